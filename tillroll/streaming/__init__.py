@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytics this library rebuilds are batch jobs over closed periods
+(a snapshot date, a cutoff between an observation and a future window), and
+real-time processing is an explicit non-goal of the original project.  No
+streaming operator is provided; every operator takes a batch DataFrame, so a
+``foreachBatch`` sink can call any of them on a micro-batch if needed.
+"""
