@@ -1 +1,112 @@
-"""Placeholder."""
+"""K03-K07, K18 (SQL oracles) and the MLlib clustering work (K01, K02, K08, K09,
+K11-K15, K17, K19; rows-only checks)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.numeric import r6
+from ..operators import rfm as R
+from ..operators import validity as K
+from . import sqltext as S
+from .registry import query
+from .segment_queries import RULE_CLUSTERS, rfm_table
+
+EMB_LONG = """
+p AS (SELECT vec_id AS id, label AS cluster, unnest(generate_series(0, len(embedding) - 1)) AS j,
+             unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
+c AS (SELECT cluster, j, avg(v) AS c, count(*) AS n FROM p GROUP BY cluster, j)"""
+
+
+def emb_points(t):
+    return K.array_to_long(t.embeddings, "vec_id", "embedding", "label")
+
+
+@query("k03_wcss", f"""
+WITH {EMB_LONG},
+pp AS (SELECT p.cluster, p.id, sum(power(p.v - c.c, 2)) AS sq FROM p JOIN c USING (cluster, j) GROUP BY 1, 2)
+SELECT cluster, count(*) AS size, {S.r6('sum(sq)')} AS wcss FROM pp GROUP BY cluster""")
+def k03_wcss(t):
+    """Within-cluster sum of squares per cluster of the embedding labels."""
+    return K.wcss(emb_points(t)).select("cluster", "size", r6("wcss").alias("wcss"))
+
+
+_SIL_BRUTE = """
+d AS (SELECT a.id, a.cluster AS own, b.cluster AS other, avg(power(list_distance(a.x, b.x), 2)) AS md
+      FROM e a JOIN e b ON a.id <> b.id GROUP BY 1, 2, 3),
+per AS (SELECT id, own, max(CASE WHEN other = own THEN md END) AS a,
+               min(CASE WHEN other <> own THEN md END) AS b FROM d GROUP BY 1, 2)
+SELECT """ + S.r6("avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END)") + \
+    """ AS silhouette_sq, count(*) AS n FROM per"""
+
+
+@query("k04_silhouette_sq", """
+WITH e AS (SELECT vec_id AS id, label AS cluster, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),""" + _SIL_BRUTE)
+def k04_silhouette_sq(t):
+    """Silhouette (squared Euclidean) of the embedding labels, O(n k d) closed form."""
+    return K.silhouette_score_sq(emb_points(t)).select(r6("silhouette_sq").alias("silhouette_sq"), "n")
+
+
+@query("k04_silhouette_sq_rfm", f"""
+WITH {RULE_CLUSTERS},
+lg AS (SELECT customer_id, cluster, ln(1 + CAST(recency AS DOUBLE)) AS r, ln(1 + CAST(frequency AS DOUBLE)) AS f,
+              ln(1 + monetary) AS m FROM cl),
+e AS (SELECT customer_id AS id, cluster,
+             [(r - avg(r) OVER ()) / stddev_pop(r) OVER (), (f - avg(f) OVER ()) / stddev_pop(f) OVER (),
+              (m - avg(m) OVER ()) / stddev_pop(m) OVER ()] AS x FROM lg),""" + _SIL_BRUTE)
+def k04_silhouette_sq_rfm(t):
+    """Silhouette (squared Euclidean) of the rule clusters on scaled RFM."""
+    cl = R.rule_clusters(rfm_table(t))
+    z = R.rfm_scaled(cl)
+    pts = K.columns_to_long(z, "customer_id", [f"{c}_z" for c in R.RFM])
+    return K.silhouette_score_sq(pts).select(r6("silhouette_sq").alias("silhouette_sq"), "n")
+
+
+@query("k05_davies_bouldin", f"""
+WITH {EMB_LONG},
+dist AS (SELECT p.cluster, p.id, sqrt(sum(power(p.v - c.c, 2))) AS d FROM p JOIN c USING (cluster, j) GROUP BY 1, 2),
+s AS (SELECT cluster, avg(d) AS S FROM dist GROUP BY 1),
+m AS (SELECT a.cluster AS ci, b.cluster AS cj, sqrt(sum(power(a.c - b.c, 2))) AS M
+      FROM c a JOIN c b ON a.j = b.j AND a.cluster <> b.cluster GROUP BY 1, 2),
+r AS (SELECT ci, max((si.S + sj.S) / M) AS R FROM m JOIN s si ON si.cluster = ci JOIN s sj ON sj.cluster = cj GROUP BY ci)
+SELECT {S.r6('avg(R)')} AS davies_bouldin FROM r""")
+def k05_davies_bouldin(t):
+    return K.davies_bouldin(emb_points(t)).select(r6("davies_bouldin").alias("davies_bouldin"))
+
+
+@query("k06_calinski_harabasz", f"""
+WITH {EMB_LONG},
+g AS (SELECT j, avg(v) AS g FROM p GROUP BY j),
+b AS (SELECT c.cluster, sum(power(c.c - g.g, 2)) * any_value(c.n) AS bs FROM c JOIN g USING (j) GROUP BY c.cluster),
+w AS (SELECT sum(power(p.v - c.c, 2)) AS W, count(DISTINCT p.id) AS n FROM p JOIN c USING (cluster, j))
+SELECT {S.r6('(sum(bs) / (count(*) - 1)) / (any_value(W) / (any_value(n) - count(*)))')} AS calinski_harabasz
+FROM b CROSS JOIN w""")
+def k06_calinski_harabasz(t):
+    return K.calinski_harabasz(emb_points(t)).select(r6("calinski_harabasz").alias("calinski_harabasz"))
+
+
+@query("k07_adjusted_rand", f"""
+WITH x AS (SELECT label AS a, (CASE WHEN embedding[1] > 0 THEN 2 ELSE 0 END)
+                              + (CASE WHEN embedding[2] > 0 THEN 1 ELSE 0 END) AS b FROM embeddings),
+ct AS (SELECT a, b, count(*) AS nij FROM x GROUP BY 1, 2),
+sa AS (SELECT sum(ai * (ai - 1) / 2.0) AS sa FROM (SELECT sum(nij) AS ai FROM ct GROUP BY a)),
+sb AS (SELECT sum(bj * (bj - 1) / 2.0) AS sb FROM (SELECT sum(nij) AS bj FROM ct GROUP BY b)),
+si AS (SELECT sum(nij * (nij - 1) / 2.0) AS sij, sum(nij) AS n FROM ct)
+SELECT {S.r6('(sij - sa * sb / (n * (n - 1) / 2.0)) / ((sa + sb) / 2 - sa * sb / (n * (n - 1) / 2.0))')} AS ari
+FROM si, sa, sb""")
+def k07_adjusted_rand(t):
+    """ARI between the embedding labels and the sign pattern of two coordinates."""
+    e = t.embeddings.select("label", (F.when(F.col("embedding")[0] > 0, 2).otherwise(0)
+                                      + F.when(F.col("embedding")[1] > 0, 1).otherwise(0)).alias("b"))
+    return K.adjusted_rand(e, "label", "b").select(r6("ari").alias("ari"))
+
+
+@query("k18_cluster_sizes", f"""
+WITH {RULE_CLUSTERS}
+SELECT cluster, count(*) AS size, {S.r6('count(*) * 100.0 / (SELECT count(*) FROM cl)')} AS pct,
+       count(*) * 100.0 / (SELECT count(*) FROM cl) < 5.0 AS micro
+FROM cl GROUP BY cluster""")
+def k18_cluster_sizes(t):
+    """Cluster sizes / shares with a micro-cluster flag (< 5 %)."""
+    s = K.cluster_sizes(R.rule_clusters(rfm_table(t)))
+    return s.select("cluster", "size", r6("pct").alias("pct"), "micro")
