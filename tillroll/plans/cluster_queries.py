@@ -110,3 +110,196 @@ def k18_cluster_sizes(t):
     """Cluster sizes / shares with a micro-cluster flag (< 5 %)."""
     s = K.cluster_sizes(R.rule_clusters(rfm_table(t)))
     return s.select("cluster", "size", r6("pct").alias("pct"), "micro")
+
+
+# --- MLlib fits (rows-only checks) -------------------------------------------
+
+from ..operators import cluster as CL  # noqa: E402
+from ..operators import scaling as SC  # noqa: E402
+
+Z_COLS = [f"{c}_z" for c in R.RFM]
+
+
+def _standardise(df, cols, suffix):
+    mom = df.agg(*[F.avg(c).alias(f"_{c}_mu") for c in cols], *[F.stddev_pop(c).alias(f"_{c}_sd") for c in cols])
+    out = df.crossJoin(F.broadcast(mom))
+    for c in cols:
+        out = out.withColumn(c + suffix, (F.col(c) - F.col(f"_{c}_mu")) / F.col(f"_{c}_sd"))
+    return out.drop(*[f"_{c}_{s}" for c in cols for s in ("mu", "sd")])
+
+
+def rfm_vectors(t, cols=Z_COLS):
+    """log1p + population z-score of R, F, M as an MLlib vector, cached for the fits."""
+    z = R.rfm_scaled(rfm_table(t))
+    return CL.assemble(z, cols).select("customer_id", "features", *R.RFM).cache()
+
+
+def _spark(t):
+    return t.spark
+
+
+@query("k01_k_sweep")
+def k01_k_sweep(t):
+    """k = 2..10: WCSS of the best of 10 restarts and its silhouette."""
+    v = rfm_vectors(t)
+    try:
+        return CL.k_sweep(_spark(t), v, range(2, 11), n_init=10)
+    finally:
+        v.unpersist()
+
+
+@query("k02_final_kmeans")
+def k02_final_kmeans(t):
+    """Final k = 4 fit (best of 10 restarts): cluster of every customer."""
+    v = rfm_vectors(t)
+    m = CL.fit_kmeans(v, 4, n_init=10)
+    return m.transform(v).select("customer_id", "cluster", *R.RFM)
+
+
+@query("k08_bootstrap_stability")
+def k08_bootstrap_stability(t):
+    """20 Poisson-bootstrap refits; ARI against the base solution on the drawn customers."""
+    v = rfm_vectors(t)
+    try:
+        base = CL.fit_kmeans(v, 4, n_init=10)
+        return CL.bootstrap_stability(_spark(t), v, base, 4, "customer_id", b_reps=20, n_init=10)
+    finally:
+        v.unpersist()
+
+
+@query("k09_seed_stability")
+def k09_seed_stability(t):
+    """Refits under 5 other seeds; ARI against the base solution."""
+    v = rfm_vectors(t)
+    try:
+        base = CL.fit_kmeans(v, 4, n_init=10)
+        return CL.seed_stability(_spark(t), v, base, 4)
+    finally:
+        v.unpersist()
+
+
+@query("k11_minmax", f"""
+WITH {S.RFM},
+lg AS (SELECT customer_id, ln(1 + CAST(recency AS DOUBLE)) AS r, ln(1 + CAST(frequency AS DOUBLE)) AS f,
+              ln(1 + monetary) AS m FROM rfm)
+SELECT customer_id, {S.r6('(r - min(r) OVER ()) / (max(r) OVER () - min(r) OVER ())')} AS recency_mm,
+       {S.r6('(f - min(f) OVER ()) / (max(f) OVER () - min(f) OVER ())')} AS frequency_mm,
+       {S.r6('(m - min(m) OVER ()) / (max(m) OVER () - min(m) OVER ())')} AS monetary_mm FROM lg""")
+def k11_minmax(t):
+    """log1p + min-max scaling of R, F, M."""
+    lg = rfm_table(t).select("customer_id", *[F.log1p(F.col(c).cast("double")).alias(c) for c in R.RFM])
+    return SC.minmax(lg, R.RFM).select("customer_id", *[r6(f"{c}_mm").alias(f"{c}_mm") for c in R.RFM])
+
+
+@query("k11_robust", f"""
+WITH {S.RFM},
+lg AS (SELECT customer_id, ln(1 + CAST(recency AS DOUBLE)) AS r, ln(1 + CAST(frequency AS DOUBLE)) AS f,
+              ln(1 + monetary) AS m FROM rfm),
+q AS (SELECT quantile_cont(r, 0.25) r1, quantile_cont(r, 0.5) r2, quantile_cont(r, 0.75) r3,
+             quantile_cont(f, 0.25) f1, quantile_cont(f, 0.5) f2, quantile_cont(f, 0.75) f3,
+             quantile_cont(m, 0.25) m1, quantile_cont(m, 0.5) m2, quantile_cont(m, 0.75) m3 FROM lg)
+SELECT customer_id, {S.r6('(r - r2) / CASE WHEN r3 = r1 THEN 1 ELSE r3 - r1 END')} AS recency_rb,
+       {S.r6('(f - f2) / CASE WHEN f3 = f1 THEN 1 ELSE f3 - f1 END')} AS frequency_rb,
+       {S.r6('(m - m2) / CASE WHEN m3 = m1 THEN 1 ELSE m3 - m1 END')} AS monetary_rb FROM lg CROSS JOIN q""")
+def k11_robust(t):
+    """log1p + robust scaling (median / IQR) of R, F, M."""
+    lg = rfm_table(t).select("customer_id", *[F.log1p(F.col(c).cast("double")).alias(c) for c in R.RFM])
+    return SC.robust(lg, R.RFM).select("customer_id", *[r6(f"{c}_rb").alias(f"{c}_rb") for c in R.RFM])
+
+
+@query("k11_yeo_johnson")
+def k11_yeo_johnson(t):
+    """Yeo-Johnson (MLE lambda per feature) + z-score of raw R, F, M."""
+    yj = SC.yeo_johnson(rfm_table(t), R.RFM)
+    return yj.select("customer_id", *[f"{c}_yj" for c in R.RFM], *[f"{c}_lambda" for c in R.RFM])
+
+
+@query("k11_quantile_normal")
+def k11_quantile_normal(t):
+    """Quantile -> normal map (1000 reference quantiles) of raw R, F, M."""
+    qn = SC.quantile_normal(rfm_table(t), R.RFM)
+    return qn.select("customer_id", *[f"{c}_qn" for c in R.RFM])
+
+
+def _transforms(t):
+    r = rfm_table(t).cache()
+    lg = r.select("customer_id", *[F.log1p(F.col(c).cast("double")).alias(c) for c in R.RFM])
+    return r, {
+        "raw_standard": _standardise(r.select("customer_id", *[F.col(c).cast("double").alias(c) for c in R.RFM]),
+                                     R.RFM, "_t"),
+        "log1p_standard": _standardise(lg, R.RFM, "_t"),
+        "log1p_minmax": SC.minmax(lg, R.RFM, "_t"),
+        "log1p_robust": SC.robust(lg, R.RFM, "_t"),
+        "yeo_johnson": SC.yeo_johnson(r, R.RFM, "_t"),
+        "quantile_normal": SC.quantile_normal(r, R.RFM, suffix="_t"),
+    }
+
+
+@query("k12_transform_sweep")
+def k12_transform_sweep(t):
+    """Silhouette per feature transform x k (2..7), best of 10 restarts each."""
+    spark = _spark(t)
+    r, tf = _transforms(t)
+    vecs = {name: CL.assemble(df, [f"{c}_t" for c in R.RFM]).select("features").cache() for name, df in tf.items()}
+    best = CL.fit_many([((name, k), v, k, 42 + i, None) for name, v in vecs.items()
+                        for k in range(2, 8) for i in range(10)])
+    rows = [(name, int(k), CL.silhouette(best[(name, k)].transform(v)))
+            for name, v in vecs.items() for k in range(2, 8)]
+    for v in vecs.values():
+        v.unpersist()
+    r.unpersist()
+    return spark.createDataFrame(rows, "transform string, k int, silhouette_sq double")
+
+
+@query("k13_feature_subsets")
+def k13_feature_subsets(t):
+    """Silhouette of log1p+z feature subsets (RFM, RM, RF, FM) for k = 3, 4, 5."""
+    spark = _spark(t)
+    r = rfm_table(t).cache()
+    lg = r.select("customer_id", *[F.log1p(F.col(c).cast("double")).alias(c) for c in R.RFM])
+    subsets = {"RFM": R.RFM, "RM": ["recency", "monetary"], "RF": ["recency", "frequency"],
+               "FM": ["frequency", "monetary"]}
+    vecs = {n: CL.assemble(_standardise(lg, cols, "_z"), [f"{c}_z" for c in cols]).select("features").cache()
+            for n, cols in subsets.items()}
+    best = CL.fit_many([((n, k), v, k, 42 + i, None) for n, v in vecs.items() for k in (3, 4, 5) for i in range(10)])
+    rows = [(n, int(k), CL.silhouette(best[(n, k)].transform(v))) for n, v in vecs.items() for k in (3, 4, 5)]
+    for v in vecs.values():
+        v.unpersist()
+    r.unpersist()
+    return spark.createDataFrame(rows, "subset string, k int, silhouette_sq double")
+
+
+def _compare(t, algorithms):
+    v = rfm_vectors(t)
+    try:
+        return CL.algorithm_comparison(_spark(t), v, "customer_id", (3, 4, 5), algorithms=algorithms)
+    finally:
+        v.unpersist()
+
+
+@query("k14_gaussian_mixture")
+def k14_gaussian_mixture(t):
+    """Gaussian mixture, k = 3, 4, 5: silhouette, Davies-Bouldin, Calinski-Harabasz."""
+    return _compare(t, ["gaussian_mixture"])
+
+
+@query("k15_bisecting_kmeans")
+def k15_bisecting_kmeans(t):
+    """Divisive (bisecting k-means) stand-in for Ward linkage, k = 3, 4, 5."""
+    return _compare(t, ["bisecting_kmeans"])
+
+
+@query("k17_pca")
+def k17_pca(t):
+    """PCA to 2 / 3 components: explained variance and k = 4 silhouette there."""
+    v = rfm_vectors(t)
+    try:
+        return CL.pca_projection(_spark(t), v)
+    finally:
+        v.unpersist()
+
+
+@query("k19_algorithm_comparison")
+def k19_algorithm_comparison(t):
+    """k-means vs Gaussian mixture vs bisecting k-means, k = 3, 4, 5, three indices."""
+    return _compare(t, ["kmeans", "gaussian_mixture", "bisecting_kmeans"])
