@@ -119,7 +119,8 @@ def inter_purchase_gaps(inv: DataFrame) -> DataFrame:
     cross = (edges.withColumn("_prev_last", F.lag("_last").over(w_b)).where(F.col("_prev_last").isNotNull())
              .select("customer_id", days("_prev_last", "_first").alias("gap")))
     return inner.unionByName(cross).groupBy("customer_id").agg(
-        F.count("gap").alias("n_gaps"), F.avg(F.col("gap").cast("double")).alias("ipt_mean"),
+        F.count("gap").alias("n_gaps"), F.sum("gap").alias("total_days"),
+        F.avg(F.col("gap").cast("double")).alias("ipt_mean"),
         F.stddev_pop(F.col("gap").cast("double")).alias("ipt_std"))
 
 
