@@ -86,11 +86,11 @@ def rfm_scaled(rfm_df: DataFrame, cols=RFM) -> DataFrame:
                       for c in cols]))
 
 
-def rule_clusters(rfm_df: DataFrame) -> DataFrame:
+def rule_clusters(rfm_df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """A fixed, rule-based 4-way partition used where a clustering must be
     reproducible in SQL: 2 x (recency <= median) + (monetary >= median)."""
-    med = quantiles(rfm_df, "recency", [0.5], names=["_r_med"]).crossJoin(
-        quantiles(rfm_df, "monetary", [0.5], names=["_m_med"]))
+    med = medians if medians is not None else population_medians(rfm_df)
+    med = med.select(F.col("pop_recency_median").alias("_r_med"), F.col("pop_monetary_median").alias("_m_med"))
     return (rfm_df.crossJoin(F.broadcast(med))
             .withColumn("cluster", (F.when(F.col("recency") <= F.col("_r_med"), 2).otherwise(0)
                                     + F.when(F.col("monetary") >= F.col("_m_med"), 1).otherwise(0)))
@@ -136,10 +136,11 @@ def population_medians(rfm_df: DataFrame) -> DataFrame:
         .agg(*[F.max(F.when(F.col("f") == c, F.col("med"))).alias(f"pop_{c}_median") for c in RFM])
 
 
-def rule_labels(profile: DataFrame, rfm_df: DataFrame) -> DataFrame:
+def rule_labels(profile: DataFrame, rfm_df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """Label each cluster from its (1-dp) means against the population
     medians on three flags: recent (<=), frequent (>=), high value (>=)."""
-    p = profile.crossJoin(F.broadcast(population_medians(rfm_df)))  # one row
+    med = medians if medians is not None else population_medians(rfm_df)
+    p = profile.crossJoin(F.broadcast(med))  # one row
     recent = F.col("recency_mean") <= F.col("pop_recency_median")
     frequent = F.col("frequency_mean") >= F.col("pop_frequency_median")
     high = F.col("monetary_mean") >= F.col("pop_monetary_median")
@@ -164,10 +165,10 @@ def disambiguate_labels(labelled: DataFrame) -> DataFrame:
                                              F.lit("]"))).otherwise(F.col("segment_label"))).drop("_dups")
 
 
-def label_segments(profile: DataFrame, rfm_df: DataFrame) -> DataFrame:
+def label_segments(profile: DataFrame, rfm_df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """R06 + R07 on a profile from :func:`segment_profile`."""
     cols = profile.columns
-    return disambiguate_labels(rule_labels(profile, rfm_df)).select(*cols, "segment_label")
+    return disambiguate_labels(rule_labels(profile, rfm_df, medians)).select(*cols, "segment_label")
 
 
 def assign_labels(clustered: DataFrame, labelled_profile: DataFrame,

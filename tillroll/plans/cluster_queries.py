@@ -56,7 +56,8 @@ e AS (SELECT customer_id AS id, cluster,
               (m - avg(m) OVER ()) / stddev_pop(m) OVER ()] AS x FROM lg),""" + _SIL_BRUTE)
 def k04_silhouette_sq_rfm(t):
     """Silhouette (squared Euclidean) of the rule clusters on scaled RFM."""
-    cl = R.rule_clusters(rfm_table(t))
+    from .segment_queries import _rule_profile
+    cl = _rule_profile(t)[1]
     z = R.rfm_scaled(cl)
     pts = K.columns_to_long(z, "customer_id", [f"{c}_z" for c in R.RFM])
     return K.silhouette_score_sq(pts).select(r6("silhouette_sq").alias("silhouette_sq"), "n")
@@ -108,7 +109,8 @@ SELECT cluster, count(*) AS size, {S.r6('count(*) * 100.0 / (SELECT count(*) FRO
 FROM cl GROUP BY cluster""")
 def k18_cluster_sizes(t):
     """Cluster sizes / shares with a micro-cluster flag (< 5 %)."""
-    s = K.cluster_sizes(R.rule_clusters(rfm_table(t)))
+    from .segment_queries import _rule_profile
+    s = K.cluster_sizes(_rule_profile(t)[1])
     return s.select("cluster", "size", r6("pct").alias("pct"), "micro")
 
 

@@ -378,8 +378,7 @@ def p23_cv_fold_scores(t):
     return s.select("model", r6("cv_f1_mean").alias("cv_f1_mean"), r6("cv_f1_std").alias("cv_f1_std"), "folds")
 
 
-@query("p24_model_comparison", f"""
-WITH {FEATURES},
+COMPARISON = f"""
 te AS ({_MET.format(extra='', where="split = 'test'", group='')}),
 tr0 AS ({_MET.format(extra='', where="split = 'train'", group='')}),
 tr AS (SELECT model, (tp + tn) * 1.0 / (tp + tn + fp + fn) AS train_accuracy FROM tr0),
@@ -387,10 +386,15 @@ s AS (SELECT model, score, CAST(sum(label) AS DOUBLE) AS pos, CAST(count(*) - su
       FROM preds WHERE split = 'test' GROUP BY model, score),
 c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY score
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s),
-auc AS (SELECT model, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS roc_auc FROM c GROUP BY model)
-SELECT model, {_metric_cols()}, {S.r6('roc_auc')} AS roc_auc, {S.r6('train_accuracy')} AS train_accuracy,
+auc AS (SELECT model, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS roc_auc FROM c GROUP BY model),
+cmp AS (SELECT model, {_metric_cols()}, {S.r6('roc_auc')} AS roc_auc, {S.r6('train_accuracy')} AS train_accuracy,
        {S.r6('train_accuracy - (tp + tn) * 1.0 / (tp + tn + fp + fn)')} AS overfit_gap
-FROM te JOIN tr USING (model) JOIN auc USING (model)""")
+FROM te JOIN tr USING (model) JOIN auc USING (model))"""
+
+
+@query("p24_model_comparison", f"""
+WITH {FEATURES}, {COMPARISON}
+SELECT * FROM cmp""")
 def p24_model_comparison(t):
     """Test metrics, AUC, train accuracy and train-test gap per model, best F1 first."""
     p = fixed_predictions(t)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
 from ..operators import rfm as R
+from ..session import materialize
 from ..sources import retail
 from . import sqltext as S
 from .registry import query
@@ -72,7 +73,7 @@ def r04_rfm_scaled(t):
     return z.select("customer_id", *[r6(f"{c}_z").alias(f"{c}_z") for c in R.RFM])
 
 
-RULE_CLUSTERS = S.RFM + """,
+RULE_TAIL = """
 meds AS (SELECT quantile_cont(CAST(recency AS DOUBLE), 0.5) AS rm, quantile_cont(monetary, 0.5) AS mm FROM rfm),
 cl AS (SELECT r.*, (CASE WHEN r.recency <= m.rm THEN 2 ELSE 0 END) + (CASE WHEN r.monetary >= m.mm THEN 1 ELSE 0 END)
               AS cluster FROM rfm_s r CROSS JOIN meds m),
@@ -85,7 +86,7 @@ prof AS (
   FROM cl GROUP BY cluster),
 popm AS (SELECT quantile_cont(CAST(recency AS DOUBLE), 0.5) AS pr, quantile_cont(CAST(frequency AS DOUBLE), 0.5) AS pf,
                 quantile_cont(monetary, 0.5) AS pm FROM rfm),
-lab AS (
+seglab AS (
   SELECT p.*, CASE
     WHEN recency_mean <= pr AND frequency_mean >= pf AND monetary_mean >= pm THEN 'Champions (recent, frequent, high spend)'
     WHEN recency_mean <= pr AND monetary_mean >= pm THEN 'Big Spenders (recent, high value, infrequent)'
@@ -101,13 +102,17 @@ final AS (
      THEN base_label || ' [rank ' || CAST(floor(rank() OVER (ORDER BY monetary_mean DESC)
           + (count(*) OVER (PARTITION BY monetary_mean) - 1) / 2.0) AS BIGINT) || ']'
      ELSE base_label END AS segment_label
-  FROM lab)"""
+  FROM seglab)"""
+RULE_CLUSTERS = S.RFM + "," + RULE_TAIL
 
 
 def _rule_profile(t):
-    r = rfm_table(t)
-    cl = R.rule_clusters(r)
-    return r, cl, R.segment_profile(cl)
+    """(rfm, clustered, profile, medians); the customer table and its medians are
+    reused by every pass below, so they are materialised once."""
+    r = materialize(rfm_table(t))
+    med = materialize(R.population_medians(r))
+    cl = R.rule_clusters(r, med)
+    return r, cl, R.segment_profile(cl), med
 
 
 @query("r05_segment_profile", f"""
@@ -120,11 +125,11 @@ def r05_segment_profile(t):
 
 @query("r06_segment_rule_labels", f"""
 WITH {RULE_CLUSTERS}
-SELECT cluster, recency_mean, frequency_mean, monetary_mean, base_label AS segment_label FROM lab""")
+SELECT cluster, recency_mean, frequency_mean, monetary_mean, base_label AS segment_label FROM seglab""")
 def r06_segment_rule_labels(t):
     """Cluster label from means vs population medians (3 flags, 8 names)."""
-    r, _, prof = _rule_profile(t)
-    return R.rule_labels(prof, r).select("cluster", "recency_mean", "frequency_mean", "monetary_mean",
+    r, _, prof, med = _rule_profile(t)
+    return R.rule_labels(prof, r, med).select("cluster", "recency_mean", "frequency_mean", "monetary_mean",
                                          "segment_label")
 
 
@@ -133,8 +138,8 @@ WITH {RULE_CLUSTERS}
 SELECT cluster, monetary_mean, segment_label FROM final""")
 def r07_label_disambiguation(t):
     """Duplicate labels get ' [rank r]' by mean monetary."""
-    r, _, prof = _rule_profile(t)
-    return R.label_segments(prof, r).select("cluster", "monetary_mean", "segment_label")
+    r, _, prof, med = _rule_profile(t)
+    return R.label_segments(prof, r, med).select("cluster", "monetary_mean", "segment_label")
 
 
 @query("r08_customer_segments", f"""
@@ -143,6 +148,6 @@ SELECT c.customer_id, c.recency, c.frequency, c.monetary, c.state, c.cluster, f.
 FROM cl c LEFT JOIN final f USING (cluster)""")
 def r08_customer_segments(t):
     """Every customer with its cluster and segment label."""
-    r, cl, prof = _rule_profile(t)
-    return R.assign_labels(cl, R.label_segments(prof, r)).select(
+    r, cl, prof, med = _rule_profile(t)
+    return R.assign_labels(cl, R.label_segments(prof, r, med)).select(
         "customer_id", "recency", "frequency", "monetary", "state", "cluster", "segment_label")

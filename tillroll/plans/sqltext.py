@@ -28,13 +28,14 @@ states AS (
   SELECT c.c_custkey AS customer_id, n.n_name AS state
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
-RFM = INVOICES + "," + STATES + """,
+RFM_TAIL = STATES + """,
 snap AS (SELECT max(inv_ts) + INTERVAL 1 DAY AS snapshot_ts FROM inv),
 rfm AS (
   SELECT i.customer_id, date_sub('day', max(i.inv_ts), any_value(s.snapshot_ts)) AS recency,
          count(*) AS frequency, CAST(sum(i.inv_cents) AS DOUBLE) / 100 AS monetary
   FROM inv i CROSS JOIN snap s GROUP BY i.customer_id),
 rfm_s AS (SELECT r.*, st.state FROM rfm r LEFT JOIN states st USING (customer_id))"""
+RFM = INVOICES + "," + RFM_TAIL
 
 
 def r6(expr: str) -> str:

@@ -51,3 +51,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder (re-read by every later pass; survives the
+    loss of the executors that computed it)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
