@@ -37,7 +37,7 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     m = len(probs)
     eps = 3.0 / accuracy
 
-    x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
     sketch_p = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
     stats = x.groupBy(*by).agg(
