@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, round_half_up
 from ..functions.quantiles import quantiles
+from ..session import materialize
 from .features import invoice_rollup
 
 RFM = ["recency", "frequency", "monetary"]
@@ -31,11 +32,16 @@ def rfm_from_invoices(inv: DataFrame, snap: DataFrame | None = None,
     frequency = distinct invoices (one roll-up row each)
     monetary  = exact sum of line amounts
     """
-    snap = snap if snap is not None else snapshot(inv, "inv_ts")
     per = inv.groupBy("customer_id").agg(
         F.max("inv_ts").alias("_last"),
         F.count(F.lit(1)).alias("frequency"),
         F.sum("inv_value").alias("_m"))
+    if snap is None:
+        # The snapshot is a global aggregate, so it needs a second pass.  Make
+        # that pass read the per-customer table (one row per customer,
+        # checkpointed) rather than rescan and reshuffle the line table.
+        per = materialize(per)
+        snap = snapshot(per, "_last")
     out = (per.crossJoin(F.broadcast(snap))  # one-row aggregate
            .select("customer_id",
                    F.expr("timestampdiff(DAY, _last, snapshot_ts)").alias("recency"),
