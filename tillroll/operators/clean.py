@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import AMOUNT_TYPE, PRICE_TYPE
 from ..functions.quantiles import quantiles
+from ..session import materialize
 
 
 # --- C01-C06 ---------------------------------------------------------------
@@ -77,36 +78,52 @@ def iqr_filter(df: DataFrame, col: str, factor: float = 1.5) -> DataFrame:
 
 def clean_lines(raw: DataFrame, formats: Sequence[str], key: str = "customer_id",
                 ts_text: str = "invoice_date", iqr_col: str | None = "amount",
-                factor: float = 1.5) -> DataFrame:
-    """C01 -> C02 -> C03/C04 -> C05 -> C06 -> C07, in the documented order."""
+                factor: float = 1.5, checkpoint: bool = True) -> DataFrame:
+    """C01 -> C02 -> C03/C04 -> C05 -> C06 -> C07, in the documented order.
+
+    The IQR fence needs several passes over its input (sketch, bracket,
+    filter) and the cleaned table feeds many later steps, so with
+    ``checkpoint`` both are materialised once in the shared checkpoint folder
+    instead of recomputing the scan, joins and dedupe shuffle per pass.
+    """
     df = dedupe(drop_null_keys(raw, key))
     df = (df.withColumn(key, normalise_key(key))
             .withColumn("invoice_ts", parse_ts(ts_text, formats))
             .where(F.col("invoice_ts").isNotNull()))
     df = with_amount(positive_only(df))
-    return iqr_filter(df, iqr_col, factor) if iqr_col else df
+    if not iqr_col:
+        return df
+    if checkpoint:
+        df = materialize(df)
+    out = iqr_filter(df, iqr_col, factor)
+    return materialize(out) if checkpoint else out
 
 
 def cleaning_funnel(raw: DataFrame, formats: Sequence[str], key: str = "customer_id",
-                    ts_text: str = "invoice_date", factor: float = 1.5) -> DataFrame:
+                    ts_text: str = "invoice_date", factor: float = 1.5, exclude: Sequence[str] = ("_source",),
+                    checkpoint: bool = True) -> DataFrame:
     """Rows remaining and removed after each stage, in stage order.
 
-    Dedupe and the IQR fence are stage boundaries; the stages in between are
-    counted as flags in one aggregate.
+    One group-by over the business columns (the dedupe shuffle) keeps a copy
+    count per distinct row, so raw, null-key and dedupe counts come from the
+    same table; date and positivity are flags on it; only the IQR fence needs
+    further passes, over the positive rows.  The raw input is read once.
     """
-    n_raw = raw.agg(F.count(F.lit(1)).alias("n"))
-    nonnull = drop_null_keys(raw, key)
-    n_nonnull = nonnull.agg(F.count(F.lit(1)).alias("n"))
-    d = dedupe(nonnull).withColumn("_ts", parse_ts(ts_text, formats))
-    flags = d.agg(F.count(F.lit(1)).alias("dedupe"),
-                  F.count_if(F.col("_ts").isNotNull()).alias("dates"),
-                  F.count_if(F.col("_ts").isNotNull() & (F.col("quantity") > 0) & (F.col("price") > 0))
-                  .alias("positive"))
-    pos = with_amount(positive_only(d.where(F.col("_ts").isNotNull())))
-    n_iqr = iqr_filter(pos, "amount", factor).agg(F.count(F.lit(1)).alias("n"))
-    one = (n_raw.select(F.col("n").alias("raw"))
-           .crossJoin(n_nonnull.select(F.col("n").alias("null_keys")))
-           .crossJoin(flags).crossJoin(n_iqr.select(F.col("n").alias("iqr"))))
+    biz = [c for c in raw.columns if c not in exclude]
+    g = (raw.groupBy(*biz).agg(F.count(F.lit(1)).alias("_copies"))
+         .withColumn("_ts", parse_ts(ts_text, formats)))
+    if checkpoint:
+        g = materialize(g)
+    nn = F.col(key).isNotNull()
+    ok_date = nn & F.col("_ts").isNotNull()
+    ok_pos = ok_date & (F.col("quantity") > 0) & (F.col("price") > 0)
+    counts = g.agg(F.sum("_copies").alias("raw"), F.coalesce(F.sum(F.when(nn, F.col("_copies"))), F.lit(0))
+                   .alias("null_keys"),
+                   F.count_if(nn).alias("dedupe"), F.count_if(ok_date).alias("dates"),
+                   F.count_if(ok_pos).alias("positive"))
+    pos = with_amount(g.where(ok_pos))
+    n_iqr = iqr_filter(pos, "amount", factor).agg(F.count(F.lit(1)).alias("iqr"))
+    one = counts.crossJoin(n_iqr)
     stages = ["raw", "null_keys", "dedupe", "dates", "positive", "iqr"]
     rows = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(s).alias("stage"), F.col(s).alias("rows_after"),
                               (F.col(stages[i - 1]) - F.col(s) if i else F.lit(0).cast("bigint")).alias("removed"))
