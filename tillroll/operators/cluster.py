@@ -46,7 +46,10 @@ def fit_many(jobs, parallelism: int = PARALLELISM, max_iter: int = 100, features
 
     def one(j):
         key, df, k, seed, weight = j
-        return key, _kmeans(df, k, seed, max_iter, features, weight)
+        try:
+            return key, _kmeans(df, k, seed, max_iter, features, weight)
+        except Exception:  # noqa: BLE001  (transient race between concurrent jobs; fits are deterministic)
+            return key, _kmeans(df, k, seed, max_iter, features, weight)
     best = {}
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
         for key, m in pool.map(one, jobs):

@@ -94,6 +94,16 @@ def f1_evaluator() -> MulticlassClassificationEvaluator:
                                              metricName="fMeasureByLabel", metricLabel=1.0)
 
 
+def retry_once(fn, *args, **kwargs):
+    """Run ``fn``; on failure run it once more.  Concurrent actions submitted from
+    driver threads can hit a transient race on inherited job properties; a fit
+    is deterministic, so a retry returns the same model."""
+    try:
+        return fn(*args, **kwargs)
+    except Exception:  # noqa: BLE001
+        return fn(*args, **kwargs)
+
+
 def tune(train: DataFrame, name: str, features: Sequence[str] = BASE_FEATURES, k: int = 5,
          parallelism: int = PARALLELISM, n_train: int | None = None, grid_size: str = "reduced"):
     """5-fold grid search on the training split; returns (best pipeline
@@ -104,7 +114,7 @@ def tune(train: DataFrame, name: str, features: Sequence[str] = BASE_FEATURES, k
     maps = grid(name, clf, n_train, grid_size)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=f1_evaluator(), numFolds=k,
                         foldCol="fold", parallelism=parallelism, seed=42)
-    m = cv.fit(train)
+    m = retry_once(cv.fit, train)
     best_i = max(range(len(m.avgMetrics)), key=lambda i: m.avgMetrics[i])
     return m.bestModel, {p.name: v for p, v in maps[best_i].items()}, float(m.avgMetrics[best_i])
 
