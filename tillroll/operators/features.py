@@ -138,13 +138,19 @@ def product_breadth(lines: DataFrame) -> DataFrame:
                                             F.sum("quantity").cast("bigint").alias("total_quantity"))
 
 
-def rich_features(inv: DataFrame, lines: DataFrame, cutoff: str, recent_days: int = 90) -> DataFrame:
+def rich_features(inv: DataFrame, lines: DataFrame, cutoff: str, recent_days: int = 90,
+                  checkpoint: bool = True) -> DataFrame:
     """Base features + gaps, invoice stats, breadth, active months,
     last-``recent_days`` spend, momentum and purchase rate; observed rows only.
 
-    The invoice-level parts are one aggregate; the line-level breadth is a
-    second aggregate on the same key, so the final join is co-partitioned.
+    The invoice roll-up feeds four aggregates (base, stats, in-bucket and
+    cross-bucket gaps); with ``checkpoint`` it is materialised once (one row
+    per invoice) so the line table is scanned twice in total - once for the
+    roll-up, once for product breadth - instead of once per aggregate.
     """
+    if checkpoint:
+        from ..session import materialize
+        inv = materialize(inv)
     c = _cut(cutoff)
     o_inv = inv.where(F.col("inv_ts") < c)
     base = base_features(inv, cutoff)
