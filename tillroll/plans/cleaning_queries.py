@@ -30,13 +30,13 @@ raw0 AS (
 raw1 AS (
   SELECT line_id, CAST(l_orderkey AS VARCHAR) AS invoice, CAST(l_partkey AS VARCHAR) AS stock_code,
          CASE WHEN l_returnflag = 'R' THEN -q ELSE q END AS quantity,
-         CASE WHEN {S.unit_hash('line_id', 'date')} < 0.02 THEN 'not a date'
+         CASE WHEN ((('0x' || substr(md5(line_id), 1, 8))::BIGINT) / 4294967296.0) < 0.02 THEN 'not a date'
               WHEN l_linenumber % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
               ELSE strftime(o_orderdate, '%-d/%-m/%Y %-H:%M') END AS invoice_date,
-         CASE WHEN {S.unit_hash('line_id', 'price')} < 0.02 THEN 0.0 ELSE CAST(pc AS DOUBLE) / 100 END AS price,
-         CASE WHEN {S.unit_hash('line_id', 'key')} < 0.03 THEN NULL
+         CASE WHEN ((('0x' || substr(md5(line_id), 9, 8))::BIGINT) / 4294967296.0) < 0.02 THEN 0.0 ELSE CAST(pc AS DOUBLE) / 100 END AS price,
+         CASE WHEN ((('0x' || substr(md5(line_id), 17, 8))::BIGINT) / 4294967296.0) < 0.03 THEN NULL
               ELSE CAST(o_custkey AS VARCHAR) || '.0' END AS customer_id,
-         o_orderdate AS _ts, {S.unit_hash('line_id', 'overlap')} < 0.04 AS _overlap
+         o_orderdate AS _ts, ((('0x' || substr(md5(line_id), 25, 8))::BIGINT) / 4294967296.0) < 0.04 AS _overlap
   FROM raw0),
 raw AS (
   SELECT line_id, invoice, stock_code, quantity, invoice_date, price, customer_id, 'extract_a' AS _source

@@ -9,6 +9,7 @@ from ..functions.numeric import r6
 from ..functions.quantiles import quantiles
 from ..operators import evaluate as E
 from ..operators import features as P
+from ..session import materialize
 from ..sources import retail
 from . import sqltext as S
 from .registry import query
@@ -49,7 +50,9 @@ def inv(t):
 
 
 def features(t):
-    return P.base_features(inv(t), CUTOFF)
+    """Customer feature table, materialised once: labels, splits, thresholds and
+    every evaluation pass read it instead of re-aggregating the line table."""
+    return materialize(P.base_features(inv(t), CUTOFF))
 
 
 def labelled(t):

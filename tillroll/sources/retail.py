@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import unit_hash
+from ..functions.hashing import TWO_POW_32
 from ..functions.money import AMOUNT_TYPE, PRICE_TYPE, cents_to_decimal, to_cents, unit_price_cents
 from .tables import Tables
 
@@ -133,7 +133,11 @@ def raw_extracts(t: Tables) -> DataFrame:
     li = _priced(t.lineitem).withColumn("line_id", line_id())
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     df = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    u = lambda tag: unit_hash(F.col("line_id"), seed=tag)
+    # four independent uniforms from the four 8-hex slices of one md5 per line
+    digest = F.md5(F.col("line_id"))
+    slot = {"date": 0, "price": 1, "key": 2, "overlap": 3}
+    u = lambda tag: (F.conv(F.substring(digest, 1 + 8 * slot[tag], 8), 16, 10).cast("double")
+                     / F.lit(TWO_POW_32))
     ts_text = (F.when(u("date") < DIRTY_BAD_DATE, F.lit("not a date"))
                .when(F.col("l_linenumber") % 2 == 0, F.date_format("o_orderdate", ISO_FORMAT))
                .otherwise(F.date_format("o_orderdate", DMY_FORMAT)))
