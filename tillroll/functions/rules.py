@@ -85,13 +85,27 @@ def fold_rules(text: Column, rules: list[tuple[str, str]]) -> Column:
     return out
 
 
+def any_rule_pattern(rules: list[tuple[str, str]]) -> str:
+    """One alternation matching wherever any rule of the stage would match
+    (a leading inline ``(?i)`` becomes a scoped ``(?i:...)`` group)."""
+    parts = []
+    for pattern, _ in rules:
+        parts.append(f"(?i:{pattern[4:]})" if pattern.startswith("(?i)") else f"(?:{pattern})")
+    return "|".join(parts)
+
+
 def apply_ruleset(text: Column, ruleset: RuleSet) -> Column:
-    """NULL stays NULL (regexp_replace is null-safe)."""
+    """NULL stays NULL (regexp_replace is null-safe).
+
+    Each stage first scans the text once for any of its patterns and runs the
+    ordered fold only where one matches: if no pattern matches the input, no
+    rule changes it, so the result is identical and most texts cost one scan
+    instead of one per rule.
+    """
     out = text
     for stage in ruleset.stages:
-        rewritten = fold_rules(out, stage.rules)
-        if stage.guard is None:
-            out = rewritten
-        else:
-            out = F.when(F.upper(out).contains(stage.guard), rewritten).otherwise(out)
+        hit = out.rlike(any_rule_pattern(stage.rules))
+        if stage.guard is not None:
+            hit = F.upper(out).contains(stage.guard) & hit
+        out = F.when(hit, fold_rules(out, stage.rules)).otherwise(out)
     return out
