@@ -94,18 +94,52 @@ def any_rule_pattern(rules: list[tuple[str, str]]) -> str:
     return "|".join(parts)
 
 
+_META = set(".^$*+?()[]{}|\\")
+
+
+def required_literal(pattern: str) -> str | None:
+    """For a pattern that is a plain word sequence between optional word
+    boundaries, the literal any match must contain; otherwise None."""
+    p = pattern
+    if p.startswith("\\b"):
+        p = p[2:]
+    if p.endswith("\\b"):
+        p = p[:-2]
+    return p if p and not any(c in _META for c in p) else None
+
+
+def stage_may_change(text: Column, rules: list[tuple[str, str]]) -> Column:
+    """A necessary condition for any rule of the stage to change ``text``:
+    a byte search for plain literals, one regex scan for the other patterns."""
+    conds = []
+    rest = []
+    for pattern, repl in rules:
+        lit = required_literal(pattern)
+        if lit is None:
+            rest.append((pattern, repl))
+        else:
+            conds.append(text.contains(lit))
+    if rest:
+        conds.append(text.rlike(any_rule_pattern(rest)))
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
 def apply_ruleset(text: Column, ruleset: RuleSet) -> Column:
     """NULL stays NULL (regexp_replace is null-safe).
 
-    Each stage first scans the text once for any of its patterns and runs the
-    ordered fold only where one matches: if no pattern matches the input, no
-    rule changes it, so the result is identical and most texts cost one scan
-    instead of one per rule.
+    Each stage first checks a necessary condition (literal byte search, or one
+    regex scan for patterns that are not plain words) and runs the ordered fold
+    only where it holds: if no pattern matches the input, no rule changes it,
+    so the result is identical and most texts cost a few byte scans instead of
+    one regex pass per rule.  A stage guard is evaluated after that check.
     """
     out = text
     for stage in ruleset.stages:
-        hit = out.rlike(any_rule_pattern(stage.rules))
+        hit = stage_may_change(out, stage.rules)
         if stage.guard is not None:
-            hit = F.upper(out).contains(stage.guard) & hit
+            hit = hit & F.upper(out).contains(stage.guard)
         out = F.when(hit, fold_rules(out, stage.rules)).otherwise(out)
     return out
