@@ -225,7 +225,7 @@ def c10_describe_numeric(t):
 
 @query("c10_describe_text", """
 WITH f AS (SELECT event_type AS v, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1)
-SELECT 'event_type' AS "column", sum(n) AS count, count(*) AS unique,
+SELECT 'event_type' AS "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS unique,
        min(v) FILTER (WHERE n = (SELECT max(n) FROM f)) AS top, max(n) AS freq FROM f""")
 def c10_describe_text(t):
     return C.describe_text(t.events, ["event_type"])

@@ -148,7 +148,7 @@ def p06_stratified_split(t):
 
 @query("p07_train_median_label", f"""
 WITH {FEATURES}
-SELECT any_value(threshold) AS threshold, count(*) AS n, sum(label) AS n_positive,
+SELECT any_value(threshold) AS threshold, count(*) AS n, CAST(sum(label) AS BIGINT) AS n_positive,
        count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test,
        {S.r6('count(*) FILTER (WHERE future_spend = 0) * 100.0 / count(*)')} AS zero_target_pct,
        {S.r6('greatest(sum(label) / count(*), 1 - sum(label) / count(*))')} AS majority_baseline
@@ -217,7 +217,7 @@ def p11_inter_purchase_gaps(t):
 WITH e AS (SELECT user_id AS customer_id, ts AS inv_ts FROM events),
 g AS (SELECT customer_id, date_sub('day', lag(inv_ts) OVER (PARTITION BY customer_id ORDER BY inv_ts), inv_ts) AS gap
       FROM e)
-SELECT customer_id, count(gap) AS n_gaps, sum(gap) AS total_days,
+SELECT customer_id, count(gap) AS n_gaps, CAST(sum(gap) AS BIGINT) AS total_days,
        """ + S.r6("avg(gap)") + """ AS ipt_mean, """ + S.r6("stddev_pop(gap)") + """ AS ipt_std
 FROM g WHERE gap IS NOT NULL GROUP BY customer_id""")
 def p11_gaps_microsecond_events(t):
@@ -242,7 +242,7 @@ def p12_invoice_stats(t):
 
 @query("p13_product_breadth", f"""
 WITH {S.LINES}
-SELECT customer_id, count(DISTINCT stock_code) AS distinct_products, sum(quantity) AS total_quantity
+SELECT customer_id, count(DISTINCT stock_code) AS distinct_products, CAST(sum(quantity) AS BIGINT) AS total_quantity
 FROM lines WHERE invoice_ts < {C} GROUP BY customer_id""")
 def p13_product_breadth(t):
     l_ = retail.lines(t)
@@ -269,7 +269,7 @@ ag AS (SELECT customer_id, CAST(max(inv_cents) AS DOUBLE) / 100 AS max_invoice_v
 gp AS (SELECT customer_id, avg(gap) AS ipt_mean, stddev_pop(gap) AS ipt_std FROM (
          SELECT customer_id, date_sub('day', lag(inv_ts) OVER (PARTITION BY customer_id ORDER BY inv_ts), inv_ts) AS gap
          FROM oinv) WHERE gap IS NOT NULL GROUP BY customer_id),
-br AS (SELECT customer_id, count(DISTINCT stock_code) AS distinct_products, sum(quantity) AS total_quantity
+br AS (SELECT customer_id, count(DISTINCT stock_code) AS distinct_products, CAST(sum(quantity) AS BIGINT) AS total_quantity
        FROM lines WHERE invoice_ts < {C} GROUP BY customer_id),
 rich AS (
   SELECT f.customer_id, f.recency, f.frequency, f.monetary, f.avg_order_value, f.tenure,

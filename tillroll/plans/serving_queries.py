@@ -329,7 +329,7 @@ def s04_artefact_roundtrip(t):
 
 @query("s05_json_record", f"""
 WITH {FEATURES}
-SELECT any_value(threshold) AS threshold, count(*) AS n, sum(label) AS n_positive,
+SELECT any_value(threshold) AS threshold, count(*) AS n, CAST(sum(label) AS BIGINT) AS n_positive,
        count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test FROM lab""")
 def s05_json_record(t):
     """One-row JSON record (label summary) written as text and read back."""

@@ -19,7 +19,7 @@ lines AS (
 INVOICES = LINES + """,
 inv AS (
   SELECT customer_id, invoice, min(invoice_ts) AS inv_ts, sum(amount_cents) AS inv_cents,
-         CAST(sum(amount_cents) AS DOUBLE) / 100 AS inv_value, sum(quantity) AS inv_items,
+         CAST(sum(amount_cents) AS DOUBLE) / 100 AS inv_value, CAST(sum(quantity) AS BIGINT) AS inv_items,
          count(*) AS n_lines
   FROM lines GROUP BY customer_id, invoice)"""
 
