@@ -2,19 +2,23 @@
 
 Spark's exact ``percentile`` keeps a value->count map per group and merges it
 in a single task: fine for small groups, unbounded for a global median over
-billions of rows.  Here the work is split in two scans:
-
-1. per group: ``count`` and a ``percentile_approx`` bracket [lo, hi] around
-   every requested rank (rank error of the sketch is at most n/accuracy; the
-   bracket is three times wider);
-2. per group and requested quantile: the number of values below ``lo`` and
-   the distinct values inside [lo, hi] with their counts.  Map-side partial
-   aggregation collapses the "below" rows, so only the bracket - about
-   6 n / accuracy distinct values - is shuffled and sorted.
-
-The two order statistics around (n-1)p are then read off a running count,
-and interpolated: the definition of pandas ``quantile``, Spark ``percentile``
-and DuckDB ``quantile_cont``.
+billions of rows.  Here each requested rank is narrowed down by histograms:
+
+1. per group: ``count``, ``min``, ``max`` - the first bracket is [min, max];
+2. while a bracket holds more than ``max_bracket`` rows (and more than one
+   distinct value): one pass over the rows inside the bracket counts them in
+   ``buckets`` equal-width value buckets (map-side partial aggregation, so
+   only <= ``buckets`` rows per group and quantile are shuffled); the bracket
+   becomes the bucket(s) holding the two target ranks, with their exact
+   min / max and the count of rows below.  Each round shrinks the value range
+   by ``buckets`` (ties collapse in the last step anyway);
+3. the distinct values inside the final bracket, with counts, are sorted per
+   (group, quantile) - at most ``max_bracket`` rows - and the two order
+   statistics around (n - 1) p are read off a running count and interpolated:
+   the definition of pandas ``quantile``, Spark ``percentile`` and DuckDB
+   ``quantile_cont``.
+
+The small per-(group, quantile) state is materialised between rounds.
 """
 
 from __future__ import annotations
@@ -24,70 +28,78 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+
+def _join_state(x: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+    # the state has one row per (group, quantile): one global group is a few
+    # rows (broadcast); grouped states are left to AQE's size-based choice
+    return x.crossJoin(F.broadcast(state)) if not by else x.join(state, by)
+
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, accuracy: int = 100_000) -> DataFrame:
+              names: Sequence[str] | None = None, max_bracket: int = 2_000_000, buckets: int = 1024,
+              max_rounds: int = 12) -> DataFrame:
     """One row per group of ``by`` with one DOUBLE column per probability.
 
-    NULL values are ignored; a group with no values yields no row.
+    NULL and NaN values are ignored; a group with no values yields no row.
     """
     by = list(by)
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     m = len(probs)
-    eps = 3.0 / accuracy
 
     x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
-    sketch_p = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
-    stats = x.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_x").alias("_min"), F.max("_x").alias("_max"),
-        F.percentile_approx("_x", sketch_p, accuracy).alias("_b"),
-    )
-    # A group of at most ``small`` rows takes its whole range as the bracket
-    # (bounded work); above that the sketch margin spans >= 20 ranks, which
-    # also covers the +1 rank needed for interpolation.
-    small = F.col("_n") <= F.lit(10 * accuracy)
-    lo = [F.col("_min") if sketch_p[i] <= 0.0 else F.when(small, F.col("_min")).otherwise(F.col("_b")[i])
-          for i in range(m)]
-    hi = [F.col("_max") if sketch_p[m + i] >= 1.0 else F.when(small, F.col("_max")).otherwise(F.col("_b")[m + i])
-          for i in range(m)]
-    stats = stats.select(*by, "_n", F.array(*lo).alias("_lo"), F.array(*hi).alias("_hi"))
-
-    # one global group is exactly one row: safe to broadcast; grouped stats are
-    # left to AQE, which broadcasts them only when their runtime size is small.
-    side = F.broadcast(stats) if not by else stats
-    xj = x.crossJoin(side) if not by else x.join(side, by)
-
-    marks = F.array(*[
-        F.struct(F.lit(i).alias("i"),
-                 (F.col("_x") < F.col("_lo")[i]).alias("below"),
-                 F.when(F.col("_x") < F.col("_lo")[i], F.lit(None).cast("double"))
-                  .otherwise(F.col("_x")).alias("v"),
-                 (F.col("_x") <= F.col("_hi")[i]).alias("keep"))
-        for i in range(m)])
-    exploded = (xj.select(*by, F.explode(F.filter(marks, lambda s: s["keep"])).alias("s"))
-                .select(*by, "s.i", "s.below", "s.v"))
-    counted = exploded.groupBy(*by, "i", "below", "v").agg(F.count(F.lit(1)).alias("c"))
-
-    below = (counted.where("below").groupBy(*by, "i").agg(F.sum("c").alias("_below")))
-    w = Window.partitionBy(*by, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = counted.where(~F.col("below")).withColumn("cum", F.sum("c").over(w))
-
-    targets = stats.select(*by, "_n", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("i", "p"))
-    targets = (targets
-               .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-               .withColumn("_k0", F.floor("_h").cast("bigint"))
-               .withColumn("_k1", F.least(F.col("_k0") + 1, F.col("_n") - 1))
-               .withColumn("_frac", F.col("_h") - F.col("_k0")))
-
-    j = (inside.join(targets, [*by, "i"])
-         .join(below, [*by, "i"], "left")
-         .withColumn("_below", F.coalesce("_below", F.lit(0))))
-    picked = j.groupBy(*by, "i").agg(
-        F.min(F.when(F.col("cum") > F.col("_k0") - F.col("_below"), F.col("v"))).alias("_v0"),
-        F.min(F.when(F.col("cum") > F.col("_k1") - F.col("_below"), F.col("v"))).alias("_v1"),
+    stats = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    state = (stats.select(*by, "_n", "_lo", "_hi", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("i", "p"))
+             .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
+             .withColumn("_k0", F.floor("_h").cast("bigint"))
+             .withColumn("_k1", F.least(F.col("_k0") + 1, F.col("_n") - 1))
+             .withColumn("_frac", F.col("_h") - F.col("_k0"))
+             .withColumn("_below", F.lit(0).cast("bigint"))
+             .withColumn("_inside", F.col("_n"))
+             .drop("p", "_h"))
+    state = materialize(state)
+    keys = [*by, "i"]
+
+    for _ in range(max_rounds):
+        is_active = (F.col("_inside") > max_bracket) & (F.col("_hi") > F.col("_lo"))
+        active = state.where(is_active)
+        if active.limit(1).count() == 0:   # verdict on the tiny state table
+            break
+        bounds = active.select(*keys, "_lo", "_hi")
+        xs = (_join_state(x, bounds, by)
+              .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+              .select(*keys, "_x", F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+                                                   * F.lit(buckets)), F.lit(buckets - 1)).cast("int").alias("b")))
+        hist = xs.groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"),
+                                          F.max("_x").alias("mx"))
+        w = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # <= buckets rows
+        hist = (hist.withColumn("cum", F.sum("c").over(w))
+                .join(active.select(*keys, "_below", "_k0", "_k1"), keys)
+                .withColumn("_end", F.col("_below") + F.col("cum")))
+        pick = hist.groupBy(*keys).agg(F.min(F.when(F.col("_end") > F.col("_k0"), F.col("b"))).alias("b0"),
+                                       F.min(F.when(F.col("_end") > F.col("_k1"), F.col("b"))).alias("b1"))
+        upd = (hist.join(pick, keys).groupBy(*keys).agg(
+            F.min(F.when(F.col("b") == F.col("b0"), F.col("mn"))).alias("_lo"),
+            F.max(F.when(F.col("b") == F.col("b1"), F.col("mx"))).alias("_hi"),
+            F.coalesce(F.sum(F.when(F.col("b") < F.col("b0"), F.col("c"))), F.lit(0)).alias("_add"),
+            F.sum(F.when(F.col("b").between(F.col("b0"), F.col("b1")), F.col("c"))).alias("_inside")))
+        refined = (active.drop("_lo", "_hi", "_inside").join(upd, keys)
+                   .withColumn("_below", F.col("_below") + F.col("_add")).drop("_add"))
+        state = materialize(state.where(~is_active).unionByName(refined))
+
+    inside = (_join_state(x, state.select(*keys, "_lo", "_hi"), by)
+              .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+              .groupBy(*keys, F.col("_x").alias("v")).agg(F.count(F.lit(1)).alias("c")))
+    w = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)  # <= max_bracket rows
+    j = (inside.withColumn("cum", F.sum("c").over(w))
+         .join(state.select(*keys, "_below", "_k0", "_k1", "_frac"), keys)
+         .withColumn("_end", F.col("_below") + F.col("cum")))
+    picked = j.groupBy(*keys).agg(
+        F.min(F.when(F.col("_end") > F.col("_k0"), F.col("v"))).alias("_v0"),
+        F.min(F.when(F.col("_end") > F.col("_k1"), F.col("v"))).alias("_v1"),
         F.first("_frac").alias("_frac"),
     ).withColumn("q", F.col("_v0") + F.col("_frac") * (F.col("_v1") - F.col("_v0")))
 
@@ -95,6 +107,5 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
         *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(names[i]) for i in range(m)])
 
 
-def median(df: DataFrame, col: str, by: Sequence[str] = (), name: str = "median",
-           accuracy: int = 100_000) -> DataFrame:
-    return quantiles(df, col, [0.5], by, [name], accuracy)
+def median(df: DataFrame, col: str, by: Sequence[str] = (), name: str = "median", **kw) -> DataFrame:
+    return quantiles(df, col, [0.5], by, [name], **kw)
