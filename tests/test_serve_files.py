@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tillroll.operators import serve as Q
 from tillroll.sources import files
