@@ -38,7 +38,7 @@ def _join_state(x: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, max_bracket: int = 2_000_000, buckets: int = 1024,
+              names: Sequence[str] | None = None, max_bracket: int = 100_000, buckets: int = 1024,
               max_rounds: int = 12) -> DataFrame:
     """One row per group of ``by`` with one DOUBLE column per probability.
 
