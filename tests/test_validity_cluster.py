@@ -76,3 +76,14 @@ def test_poisson_weights_mean_one(spark):
     df = spark.range(20000).select(CL.poisson1_weight(F.col("id"), 3).alias("w"))
     r = df.agg(F.avg("w"), F.variance("w")).first()
     assert abs(r[0] - 1) < 0.03 and abs(r[1] - 1) < 0.05
+
+
+def test_k_sweep_wcss_non_increasing_and_peaks_at_planted_k(spark, fixture):
+    df, _, _ = fixture
+    from pyspark.ml.functions import array_to_vector
+    v = df.select("id", array_to_vector("x").alias("features")).cache()
+    rows = {r.k: r for r in CL.k_sweep(spark, v, range(2, 7), n_init=3).collect()}
+    w = [rows[k].wcss for k in range(2, 7)]
+    assert all(a >= b - 1e-9 for a, b in zip(w, w[1:]))
+    assert max(rows, key=lambda k: rows[k].silhouette_sq) == 4
+    v.unpersist()
