@@ -87,3 +87,20 @@ def test_k_sweep_wcss_non_increasing_and_peaks_at_planted_k(spark, fixture):
     assert all(a >= b - 1e-9 for a, b in zip(w, w[1:]))
     assert max(rows, key=lambda k: rows[k].silhouette_sq) == 4
     v.unpersist()
+
+
+@pytest.mark.parametrize("eps", [0.6, 1.5])
+def test_density_labels_match_brute_force(spark, eps):
+    from tillroll.operators import density as DN
+    x, _ = blobs(n_per=60, seed=8)
+    rng = np.random.default_rng(2)
+    x = np.vstack([x, rng.uniform(-4, 12, (40, 3))])          # scattered noise points
+    rows = [(i, *map(float, x[i])) for i in range(len(x))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    got = {r.id: r.label for r in DN.density_labels(df, "id", ["a", "b", "c"], eps, 10).collect()}
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+    within = d2 <= eps * eps
+    core = within.sum(1) >= 10
+    border = ~core & (within & core[None, :]).any(1)
+    want = {i: "core" if core[i] else ("border" if border[i] else "noise") for i in range(len(x))}
+    assert got == want

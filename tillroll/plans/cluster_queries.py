@@ -305,3 +305,44 @@ def k17_pca(t):
 def k19_algorithm_comparison(t):
     """k-means vs Gaussian mixture vs bisecting k-means, k = 3, 4, 5, three indices."""
     return _compare(t, ["kmeans", "gaussian_mixture", "bisecting_kmeans"])
+
+
+# --- K16 (partial): DBSCAN core / border / noise -------------------------------
+
+from ..operators import density as DN  # noqa: E402
+
+EPS_LIST = [0.3, 0.5, 0.7, 1.0]
+
+
+def _dbscan_sql() -> str:
+    parts = []
+    for eps in EPS_LIST:
+        parts.append(f"""
+SELECT {eps} AS eps, count(*) FILTER (WHERE core) AS core,
+       count(*) FILTER (WHERE NOT core AND near_core) AS border,
+       count(*) FILTER (WHERE NOT core AND NOT near_core) AS noise
+FROM (SELECT a.id, any_value(a.core) AS core, bool_or(b.core AND a.id <> b.id) AS near_core
+      FROM (SELECT id, n{int(eps * 10)} >= 10 AS core FROM cnt) a
+      JOIN pr ON pr.id = a.id AND pr.d2 <= {eps} * {eps}
+      JOIN (SELECT id, n{int(eps * 10)} >= 10 AS core FROM cnt) b ON b.id = pr.nid
+      GROUP BY a.id)""")
+    counts = ", ".join(f"count(*) FILTER (WHERE d2 <= {eps} * {eps}) AS n{int(eps * 10)}" for eps in EPS_LIST)
+    return f"""
+WITH {S.RFM},
+lg AS (SELECT customer_id, ln(1 + CAST(recency AS DOUBLE)) AS r, ln(1 + CAST(frequency AS DOUBLE)) AS f,
+              ln(1 + monetary) AS m FROM rfm),
+z AS (SELECT customer_id AS id, (r - avg(r) OVER ()) / stddev_pop(r) OVER () AS x0,
+             (f - avg(f) OVER ()) / stddev_pop(f) OVER () AS x1, (m - avg(m) OVER ()) / stddev_pop(m) OVER () AS x2
+      FROM lg),
+pr AS (SELECT a.id, b.id AS nid, (a.x0 - b.x0) * (a.x0 - b.x0) + (a.x1 - b.x1) * (a.x1 - b.x1)
+              + (a.x2 - b.x2) * (a.x2 - b.x2) AS d2 FROM z a, z b),
+cnt AS (SELECT id, {counts} FROM pr GROUP BY id)""" + "\nUNION ALL".join(parts)
+
+
+@query("k16_dbscan_density", _dbscan_sql())
+def k16_dbscan_density(t):
+    """DBSCAN density labels (min_samples 10, eps 0.3 / 0.5 / 0.7 / 1.0) on log1p + z RFM:
+    core, border and noise counts (cluster components not built)."""
+    from ..session import materialize
+    z = materialize(R.rfm_scaled(rfm_table(t)).select("customer_id", *Z_COLS))  # read once per eps pass
+    return DN.density_summary(z, "customer_id", Z_COLS, EPS_LIST, 10)
