@@ -318,7 +318,7 @@ def _dbscan_sql() -> str:
     parts = []
     for eps in EPS_LIST:
         parts.append(f"""
-SELECT {eps} AS eps, count(*) FILTER (WHERE core) AS core,
+SELECT CAST({eps} AS DOUBLE) AS eps, count(*) FILTER (WHERE core) AS core,
        count(*) FILTER (WHERE NOT core AND near_core) AS border,
        count(*) FILTER (WHERE NOT core AND NOT near_core) AS noise
 FROM (SELECT a.id, any_value(a.core) AS core, bool_or(b.core AND a.id <> b.id) AS near_core
