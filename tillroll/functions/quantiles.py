@@ -42,7 +42,9 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
               max_rounds: int = 12) -> DataFrame:
     """One row per group of ``by`` with one DOUBLE column per probability.
 
-    NULL and NaN values are ignored; a group with no values yields no row.
+    NULL and NaN values are ignored.  Grouped: a group with no values yields
+    no row.  Global (no ``by``): always one row, NULL when there is no value -
+    the SQL behaviour of an aggregate over an empty input.
     """
     by = list(by)
     probs = [float(p) for p in probs]
