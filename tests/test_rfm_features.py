@@ -59,3 +59,12 @@ def test_train_median_ignores_test_rows(spark):
     df2 = df.withColumn("future_spend", F.when(F.col("split") == "test", 1e9).otherwise(F.col("future_spend")))
     b = P.label_by_train_median(df2).first()["threshold"]
     assert a == b == 4.5
+
+
+def test_gaps_with_equal_timestamps(spark):
+    import math
+    inv = spark.createDataFrame([(7, T0), (7, T0), (7, T0), (7, T0 + dt.timedelta(days=1, hours=2))],
+                                "customer_id long, inv_ts timestamp_ntz")
+    g = P.inter_purchase_gaps(inv).first()
+    assert (g.n_gaps, g.total_days) == (3, 1)
+    assert abs(g.ipt_mean - 1 / 3) < 1e-15 and abs(g.ipt_std - math.sqrt(2 / 9)) < 1e-15

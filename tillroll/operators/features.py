@@ -103,14 +103,18 @@ def base_features(inv: DataFrame, cutoff: str) -> DataFrame:
 # --- P11-P15: richer behaviour ----------------------------------------------
 
 def inter_purchase_gaps(inv: DataFrame) -> DataFrame:
-    """Whole-day gaps between consecutive invoices: count, mean, population sd.
-
-    A customer's invoices are never sorted in one task: consecutive pairs are
-    found inside (customer, day) buckets, and the pair that crosses a bucket
-    boundary comes from the much smaller per-bucket table (first, last).
+    """Whole-day gaps between consecutive invoices: count, total, mean, population sd.
+
+    Invoices sharing a timestamp only add zero gaps, so they are first
+    collapsed to (customer, timestamp, multiplicity) by a partial aggregate.
+    Consecutive distinct timestamps are then paired inside (customer, day)
+    buckets, and the pair crossing a bucket boundary comes from the small
+    per-bucket (first, last) table - a hot customer is never sorted in one
+    task.  Mean and sd come from exact integer sums (sum g, sum g^2, n).
     """
-    x = inv.select("customer_id", "inv_ts", F.date_trunc("DAY", "inv_ts").alias("_bucket"))
     from pyspark.sql import Window
+    ts = inv.groupBy("customer_id", "inv_ts").agg(F.count(F.lit(1)).alias("_dup"))
+    x = ts.withColumn("_bucket", F.date_trunc("DAY", "inv_ts"))
     w_in = Window.partitionBy("customer_id", "_bucket").orderBy("inv_ts")
     inner = (x.withColumn("_prev", F.lag("inv_ts").over(w_in)).where(F.col("_prev").isNotNull())
              .select("customer_id", days("_prev", "inv_ts").alias("gap")))
@@ -118,10 +122,20 @@ def inter_purchase_gaps(inv: DataFrame) -> DataFrame:
     w_b = Window.partitionBy("customer_id").orderBy("_bucket")
     cross = (edges.withColumn("_prev_last", F.lag("_last").over(w_b)).where(F.col("_prev_last").isNotNull())
              .select("customer_id", days("_prev_last", "_first").alias("gap")))
-    return inner.unionByName(cross).groupBy("customer_id").agg(
-        F.count("gap").alias("n_gaps"), F.sum("gap").alias("total_days"),
-        F.avg(F.col("gap").cast("double")).alias("ipt_mean"),
-        F.stddev_pop(F.col("gap").cast("double")).alias("ipt_std"))
+    pos = inner.unionByName(cross).groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("_n1"), F.sum("gap").alias("_s1"),
+        F.sum(F.col("gap") * F.col("gap")).alias("_s2"))
+    zeros = ts.where(F.col("_dup") > 1).groupBy("customer_id").agg(F.sum(F.col("_dup") - 1).alias("_n0"))
+    g = (pos.join(zeros, "customer_id", "full_outer")
+         .select("customer_id", F.coalesce("_n1", F.lit(0)).alias("_n1"), F.coalesce("_n0", F.lit(0)).alias("_n0"),
+                 F.coalesce("_s1", F.lit(0)).alias("_s1"), F.coalesce("_s2", F.lit(0)).alias("_s2")))
+    n = F.col("_n1") + F.col("_n0")
+    s1, s2 = F.col("_s1").cast("decimal(38,0)"), F.col("_s2").cast("decimal(38,0)")
+    nd = n.cast("decimal(38,0)")
+    var = (s2 * nd - s1 * s1).cast("double") / (n.cast("double") * n.cast("double"))
+    return g.select("customer_id", n.alias("n_gaps"), F.col("_s1").alias("total_days"),
+                    (F.col("_s1").cast("double") / n).alias("ipt_mean"),
+                    F.sqrt(F.greatest(var, F.lit(0.0))).alias("ipt_std"))
 
 
 def invoice_stats(inv: DataFrame) -> DataFrame:
