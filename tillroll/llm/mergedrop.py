@@ -159,7 +159,7 @@ class Merges:
 
 
 def merges(path: str) -> Merges:
-    store = worker_store(("merges", path))
+    store = worker_store("merges", path)
     if "m" not in store:
         store["m"] = Merges(path)
     return store["m"]
@@ -174,7 +174,7 @@ def encoder(path: str, dropout: float, seed: int, variants: int):
         hashes = np.fromiter((xxhash.xxh64_intdigest(c, seed) for c in keyed), np.uint64, len(keyed))
         return table.segment([c[1:].decode(errors="replace") for c in keyed], hashes, dropout)
 
-    known = ChunkEncoder(("merge ids", path, dropout, seed, variants), encode_chunks)
+    known = ChunkEncoder("merge ids", (path, dropout, seed, variants), encode_chunks)
     literal = b"".join(np.array([table.byte_ids[b]], "<u4").tobytes() for b in mark)
 
     def encode(texts: list[bytes | None]) -> list[bytes]:

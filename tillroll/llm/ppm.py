@@ -102,7 +102,7 @@ class Model:
 
     def costs(self, key: np.ndarray) -> np.ndarray:
         """Bits of each position in each language (positions x languages), through the worker's table."""
-        store = worker_store(("ppm", self.token))
+        store = worker_store("ppm", self.token)
         if not store:
             store["key"] = np.full(1 << MEMO_BITS, -1, np.int64)
             store["cost"] = np.zeros((1 << MEMO_BITS, len(self.trees)), np.float32)

@@ -21,10 +21,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CACHE, LONGEST = 600_000, 64
 
 
-def worker_store(key: tuple) -> dict:
-    """A dict that lives as long as the worker process."""
+def worker_store(kind: str, key: object) -> dict:
+    """A dict that lives as long as the worker process, or until another ``key`` of its kind is asked for."""
     home = sys.modules.setdefault("tillroll_worker_store", types.ModuleType("tillroll_worker_store"))
-    return home.__dict__.setdefault("stores", {}).setdefault(key, {})
+    stores = home.__dict__.setdefault("stores", {})
+    if kind not in stores or stores[kind][0] != key:
+        stores[kind] = (key, {})
+    return stores[kind][1]
 
 
 def default_path(name: str = "word_bpe_49k.json") -> str:
@@ -32,30 +35,63 @@ def default_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def whole(chunk: bytes) -> tuple[bytes, bytes]:
+    return chunk, b""
+
+
 class ChunkEncoder:
-    """Little-endian uint32 ids of texts; ``encode_chunks`` maps distinct chunks (bytes) to packed ids (bytes)."""
+    """Little-endian uint32 ids of texts; ``encode_chunks`` maps distinct chunks (bytes) to packed ids (bytes).
+
+    ``parts`` names a chunk's stem and ending, whose ids together are the chunk's, so
+    that chunks with one stem are encoded once.  A full cache is kept as long as it
+    knows most chunks, and emptied otherwise.
+    """
 
-    def __init__(self, key: tuple, encode_chunks: Callable[[list[bytes]], list[bytes]], cache: int = CACHE):
-        self.known = worker_store(key)
+    def __init__(self, kind: str, key: object, encode_chunks: Callable[[list[bytes]], list[bytes]],
+                 parts: Callable[[bytes], tuple[bytes, bytes]] = whole, cache: int = CACHE):
+        self.known = worker_store(kind, key)
         self.encode_chunks = encode_chunks
+        self.parts = parts
         self.cache = cache
 
     def encode(self, chunked: list[list[bytes]]) -> list[bytes]:
         known = self.known
-        if len(known) > self.cache:
-            known.clear()
-        missing = list({c for chunks in chunked for c in chunks if c not in known})
-        extra = {}
-        for at in range(0, len(missing), 50_000):
-            part = missing[at:at + 50_000]
-            extra.update(zip(part, self.encode_chunks(part)))
-        for c, ids in extra.items():
-            if len(c) <= LONGEST:
-                known[c] = ids
-        long_ones = {c: ids for c, ids in extra.items() if len(c) > LONGEST}
-        if not long_ones:
-            return [b"".join(map(known.__getitem__, chunks)) for chunks in chunked]
-        return [b"".join(known[c] if c in known else long_ones[c] for c in chunks) for chunks in chunked]
+        found = [list(map(known.get, chunks)) for chunks in chunked]
+        gaps = [i for i, ids in enumerate(found) if None in ids]
+        if gaps:
+            new = {c for i in gaps for c, ids in zip(chunked[i], found[i]) if ids is None}
+            if len(known) > self.cache and 2 * len(new) > sum(map(len, chunked)):
+                known.clear()
+            extra = self._encoded(new)
+            if len(known) <= self.cache:
+                known.update((c, ids) for c, ids in extra.items() if len(c) <= LONGEST)
+            for i in gaps:
+                found[i] = [extra[c] if ids is None else ids for c, ids in zip(chunked[i], found[i])]
+        return [b"".join(ids) for ids in found]
+
+    def _encoded(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        parts = {c: self.parts(c) for c in chunks}
+        have = {p: self.known[p] for pair in parts.values() for p in pair if p in self.known}
+        have[b""] = b""
+        stems = list({p for pair in parts.values() for p in pair if p not in have})
+        for at in range(0, len(stems), 50_000):
+            part = stems[at:at + 50_000]
+            have.update(zip(part, self.encode_chunks(part)))
+        return {c: have[stem] + have[end] for c, (stem, end) in parts.items()} | {s: have[s] for s in stems}
+
+
+def stem_and_mark(chunk: bytes) -> tuple[bytes, bytes]:
+    """The chunk without case and without a mark behind its last letter, and the mark.
+
+    The word tokenizer lower-cases and cuts between letters and marks.  Chunks that
+    may name a special token stay as they are.
+    """
+    if b"<|" in chunk:
+        return chunk, b""
+    low = chunk.lower()
+    if low[-1:] in (b".", b",", b";", b":", b"!", b"?") and low[-2:-1].isalpha():
+        return low[:-1], low[-1:]
+    return low, b""
 
 
 def word_encoder(path: str) -> Callable[[list[bytes | None]], list[bytes]]:
@@ -63,12 +99,14 @@ def word_encoder(path: str) -> Callable[[list[bytes | None]], list[bytes]]:
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    store = worker_store(("tokenizer", path))
-    tk = store.setdefault("tk", None) or store.update(tk=Tokenizer.from_file(path)) or store["tk"]
+    store = worker_store("tokenizer", path)
+    if "tk" not in store:
+        store["tk"] = Tokenizer.from_file(path)
+    tk = store["tk"]
 
     def encode_chunks(chunks: list[bytes]) -> list[bytes]:
-        found = tk.encode_batch([c.decode(errors="replace") for c in chunks], add_special_tokens=False)
+        found = tk.encode_batch_fast([c.decode(errors="replace") for c in chunks], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    encoder = ChunkEncoder(("ids", path), encode_chunks)
+    encoder = ChunkEncoder("word ids", path, encode_chunks, stem_and_mark)
     return lambda texts: encoder.encode([(t or b"").split() for t in texts])
