@@ -1,7 +1,7 @@
 """Toxic spans and document scores by a linear-chain conditional random field.
 
-Only documents are labelled.  Tokens get their labels from corpus counts: in a
-toxic document the tokens are toxic whose word or prefix stands in many toxic
+Only documents are labelled.  Tokens get their labels from counts over a bounded
+sample of the labelled documents: in a toxic document the tokens are toxic whose word or prefix stands in many toxic
 and next to no other documents, compared with the best of that document.  The
 field has hashed word and prefix weights, a start weight and transitions, and
 is fitted by stochastic gradients of the conditional likelihood; the marginals
@@ -14,8 +14,9 @@ import re
 import sys
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,9 @@ EDGE = ".,;:!?…\"'`´’‘“”«»()[]{}<>*#$%&|/\\-–—_~^=+@"
 #: A cue stands in at least so many toxic documents and is so many times likelier there; of a document's cues those count
 #: that stand in at least this share of the documents of its most frequent one.
 CUE_DOCS, CUE_RATIO, CUE_SHARE = 3, 20.0, 0.3
-#: Bounds of the sample that the field is fitted on: documents of each label, characters of a document (longer ones are
-#: not used); the corpus counts cover all labelled documents.
-FIT_DOCS, FIT_CHARS = 1500, 20_000
+#: Bounds of the labelled sample: documents of each label that the cues are counted on, and that the field is fitted on;
+#: characters of a document of the fit (longer ones are not used).
+LABELLED_DOCS, FIT_DOCS, FIT_CHARS = 8000, 1500, 20_000
 TOKEN = re.compile(r"\S+")
 
 
@@ -162,7 +163,7 @@ def fit(labelled: DataFrame, docs_of_label: int = FIT_DOCS, seed: int = 5) -> Fi
     """Fit on (text, toxic) rows.  Without rows of both labels: a field that scores every text low."""
     model = Field(token=uuid.uuid4().hex)
     rows = cut(different(labelled), "labelled")
-    counts = cue_counts(rows)
+    counts = cut(cue_counts(rows), "cues")
     all_docs = {r["bucket"]: r for r in counts.where("bucket = -1").collect()}.get(-1)
     if all_docs is None or not all_docs["n_toxic"] or not all_docs["n_clean"]:
         return model
@@ -282,7 +283,7 @@ def score(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "te
     small = Field(np.zeros(0, np.float32), model.bias, model.start, model.move, model.calibration, token)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = worker_store(("crf", token))
+        store = worker_store("crf", token)
         if "w" not in store:
             store["w"] = np.zeros(BUCKETS, np.float32)
             store["w"][nonzero] = values
@@ -290,14 +291,21 @@ def score(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "te
         w, known = store["w"], store["known"]
         for b in batches:
             for first_row, texts in blocks(b.column(1), 2_000_000):
-                if len(known) > CACHE:
-                    known.clear()
                 words = [(t or "").split() for t in texts]
-                for word in {x for ws in words for x in ws if x not in known}:
-                    ids = features(word)
-                    known[word] = float(w[ids].sum()) + bias if ids else bias
                 sizes = np.array([len(ws) for ws in words])
-                u = np.fromiter((known[x] for ws in words for x in ws), np.float64, int(sizes.sum()))
+                flat = list(chain.from_iterable(words))
+                u = list(map(known.get, flat))
+                if None in u:
+                    gaps = {x for x, score in zip(flat, u) if score is None}
+                    if len(known) > CACHE // 2 and 2 * len(gaps) > len(flat):
+                        known.clear()
+                    cores = {x: x.lower().strip(EDGE) for x in gaps}
+                    of_core = {c: bias + sum(w.item(i) for i in features(c)) for c in set(cores.values())}
+                    new = {x: of_core[c] for x, c in cores.items()}
+                    if len(known) <= CACHE // 2:
+                        known.update(new)
+                    u = [new[x] if score is None else score for x, score in zip(flat, u)]
+                u = np.array(u, np.float64)
                 starts = np.cumsum(sizes) - sizes
                 first = np.zeros(len(u), bool)
                 first[starts[sizes > 0]] = True
@@ -324,7 +332,17 @@ def score(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "te
     return source.mapInArrow(run, schema)
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
-    """(text, toxic) of the documents with a label among the ``usable`` rows; of several labels of an id the larger."""
-    known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return docs.where(usable & F.col("text").isNotNull()).select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
+def labelled_rows(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column],
+                  rows_of_label: int = LABELLED_DOCS) -> DataFrame:
+    """(text, toxic) of the documents to learn from: about ``rows_of_label`` of each label, chosen by a hash of the id.
+
+    ``held_out(doc_id)`` rows are left out; of several labels of an id the larger
+    counts.  The chosen labels are bounded, so they are broadcast and no text moves.
+    """
+    known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id") \
+        .agg(F.max("toxic").cast("int").alias("toxic"))
+    n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    some = known.where(F.when(F.col("toxic") == 1, fraction_of(F.xxhash64("doc_id"), rows_of_label, n.get(1, 0)))
+                       .otherwise(fraction_of(F.xxhash64("doc_id"), rows_of_label, n.get(0, 0))))
+    some = some.limit(4 * rows_of_label)
+    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic")

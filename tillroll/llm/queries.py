@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import binpack, crf, disclosure, itq, mergedrop, mincut, packing, ppm, quality, simhash
@@ -61,9 +61,12 @@ def token_matrices(spark: SparkSession, root: str) -> DataFrame:
 def toxicity(spark: SparkSession, root: str) -> DataFrame:
     """doc_id, held_out, score, predicted, n_toxic_tokens, spans of every document."""
     docs = table(spark, root, "documents")
-    held_out = crc_mod(F.col("doc_id"), 5) == 0
-    model = crf.fit(crf.labelled_rows(docs, table(spark, root, "labels"), ~held_out))
-    return crf.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_toxic_tokens", "spans")
+
+    def held_out(doc_id: Column) -> Column:
+        return crc_mod(doc_id, 5) == 0
+
+    model = crf.fit(crf.labelled_rows(docs, table(spark, root, "labels"), held_out))
+    return crf.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_toxic_tokens", "spans")
 
 
 def language_id(spark: SparkSession, root: str) -> DataFrame:
