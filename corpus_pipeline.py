@@ -22,9 +22,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     whose crc32(doc_id) mod 5 is not 0; null texts are not toxic."""
     labels = table(spark, sf_dir, "labels")
     model = crf.fit(crf.labelled_rows(table(spark, sf_dir, "documents"), labels, lambda i: crc_mod(i, 5) == 0))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"))
-    scored = crf.score(whole, model, doc_id="doc")
-    return scored.where("predicted = 0").select(*[F.col("doc_id")[c].alias(c) for c in docs.columns])
+    return crf.keep_clean(docs, model)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

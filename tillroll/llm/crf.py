@@ -265,71 +265,92 @@ def _calibrate(z: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
     return c
 
 
-def score(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, score, predicted, n_toxic_tokens, spans[, the ``keep`` columns].
-
-    spans: offending tokens as start:end in code points, end exclusive, comma-joined.
-    Null and empty texts have no tokens and the score of no evidence.
+class Scorer:
+    """A fitted field as tasks use it: only the weights that are not zero travel."""
+
+    def __init__(self, model: Field):
+        self.at = model.weights.nonzero()[0].astype(np.int32)
+        self.values = model.weights[self.at]
+        self.field = Field(np.zeros(0, np.float32), model.bias, model.start, model.move, model.calibration, model.token)
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Score of label 1 over 0 of each token by itself, through the worker's cache."""
+        store = worker_store("crf", self.field.token)
+        if not store:
+            store["w"] = np.zeros(BUCKETS, np.float32)
+            store["w"][self.at] = self.values
+            store["known"] = {}
+        w, known, bias = store["w"], store["known"], self.field.bias
+        u = list(map(known.get, words))
+        if None in u:
+            gaps = {x for x, score in zip(words, u) if score is None}
+            if len(known) > CACHE // 2 and 2 * len(gaps) > len(words):
+                known.clear()
+            cores = {x: x.lower().strip(EDGE) for x in gaps}
+            of_core = {c: bias + sum(w.item(i) for i in features(c)) for c in set(cores.values())}
+            new = {x: of_core[c] for x, c in cores.items()}
+            if len(known) <= CACHE // 2:
+                known.update(new)
+            u = [new[x] if score is None else score for x, score in zip(words, u)]
+        return np.array(u, np.float64)
+
+    def documents(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[int]]]:
+        """Score of each text, and the numbers of its toxic tokens."""
+        words = [(t or "").split() for t in texts]
+        sizes = np.array([len(ws) for ws in words], np.int64)
+        u = self.scores(list(chain.from_iterable(words)))
+        starts = np.cumsum(sizes) - sizes
+        first = np.zeros(len(u), bool)
+        first[starts[sizes > 0]] = True
+        r, back = self.field.chain(u, first)
+        logit = r + back
+        p = _sigmoid(self.field.document_odds(evidence(logit, starts, sizes)))
+        hits: list[list[int]] = [[] for _ in texts]
+        for t in (logit >= 0).nonzero()[0].tolist():
+            d = int(np.searchsorted(starts, t, "right")) - 1
+            hits[d].append(t - int(starts[d]))
+        return p, hits
+
+
+def spans(text: str, tokens: list[int]) -> str:
+    """The tokens as start:end in code points, end exclusive, comma-joined."""
+    wanted = set(tokens)
+    return ",".join(f"{m.start()}:{m.end()}" for k, m in enumerate(TOKEN.finditer(text)) if k in wanted) if tokens else ""
+
+
+def score(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, score, predicted, n_toxic_tokens, spans.
+
+    Null and empty texts have no tokens and the score of no evidence.  Rows are
+    independent; other columns are not read.
     """
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *[F.col(f"`{c}`") for c in keep])
-    out = source.select("doc_id").withColumns({"score": F.lit(0.0), "predicted": F.lit(0), "n_toxic_tokens": F.lit(0).cast("long"),
-                                               "spans": F.lit("")})
-    schema = out.schema
-    for c in keep:
-        schema = schema.add(source.schema[c])
-    nonzero = model.weights.nonzero()[0].astype(np.int32)
-    values = model.weights[nonzero]
-    bias, odds, token = model.bias, model.calibration, model.token
-    small = Field(np.zeros(0, np.float32), model.bias, model.start, model.move, model.calibration, token)
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    scorer = Scorer(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = worker_store("crf", token)
-        if "w" not in store:
-            store["w"] = np.zeros(BUCKETS, np.float32)
-            store["w"][nonzero] = values
-            store["known"] = {}
-        w, known = store["w"], store["known"]
         for b in batches:
-            for first_row, texts in blocks(b.column(1), 2_000_000):
-                words = [(t or "").split() for t in texts]
-                sizes = np.array([len(ws) for ws in words])
-                flat = list(chain.from_iterable(words))
-                u = list(map(known.get, flat))
-                if None in u:
-                    gaps = {x for x, score in zip(flat, u) if score is None}
-                    if len(known) > CACHE // 2 and 2 * len(gaps) > len(flat):
-                        known.clear()
-                    cores = {x: x.lower().strip(EDGE) for x in gaps}
-                    of_core = {c: bias + sum(w.item(i) for i in features(c)) for c in set(cores.values())}
-                    new = {x: of_core[c] for x, c in cores.items()}
-                    if len(known) <= CACHE // 2:
-                        known.update(new)
-                    u = [new[x] if score is None else score for x, score in zip(flat, u)]
-                u = np.array(u, np.float64)
-                starts = np.cumsum(sizes) - sizes
-                first = np.zeros(len(u), bool)
-                first[starts[sizes > 0]] = True
-                r, back = small.chain(u, first)
-                logit = r + back
-                p = _sigmoid(evidence(logit, starts, sizes) @ odds)
-                hits: dict[int, list[int]] = {}
-                for t in (logit >= 0).nonzero()[0].tolist():
-                    d = int(np.searchsorted(starts, t, "right")) - 1
-                    hits.setdefault(d, []).append(t - int(starts[d]))
-                spans, n = [""] * len(texts), [0] * len(texts)
-                for d, places in hits.items():
-                    wanted, found = set(places), []
-                    for k, m in enumerate(TOKEN.finditer(texts[d])):
-                        if k in wanted:
-                            found.append(f"{m.start()}:{m.end()}")
-                    spans[d], n[d] = ",".join(found), len(found)
-                size = len(texts)
+            for first, texts in blocks(b.column(1), 2_000_000):
+                p, hits = scorer.documents(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first_row, size), pa.array(p), pa.array((p >= 0.5).astype(np.int32)),
-                     pa.array(n, pa.int64()), pa.array(spans, pa.string()),
-                     *[c.slice(first_row, size) for c in b.columns[2:]]], schema.names)
+                    [b.column(0).slice(first, len(texts)), pa.array(p), pa.array((p >= 0.5).astype(np.int32)),
+                     pa.array([len(h) for h in hits], pa.int64()),
+                     pa.array([spans(t or "", h) for t, h in zip(texts, hits)], pa.string())],
+                    ["doc_id", "score", "predicted", "n_toxic_tokens", "spans"])
+
+    return source.mapInArrow(run, f"doc_id {kind}, score double, predicted int, n_toxic_tokens long, spans string")
+
+
+def keep_clean(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below one half, all columns as they were."""
+    scorer, place = Scorer(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, texts in blocks(b.column(place), 2_000_000):
+                yield b.slice(first, len(texts)).filter(pa.array(scorer.documents(texts)[0] < 0.5))
 
-    return source.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column],

@@ -145,6 +145,11 @@ def disclosing_terms(docs: DataFrame, text: str = "text", window: int = WINDOW,
     hit = cut(rows.select("t", mentions.alias("m")).where(F.size("m") > 0).select(text_key(F.col("t")).alias("key"), "m")
               .groupBy("key").agg(F.count("*").alias("copies"), F.first("m").alias("m")), "mentions")
     n_docs = docs.count()
+
+    def told(documents: str) -> Column:
+        more = F.greatest(F.lit(1.0), F.col(documents) / F.col("n_joint"))
+        return 1 - F.log(more) / F.log(F.lit(float(n_docs)) / F.col("n_entity"))
+
     flat = hit.select("key", "copies", F.explode("m").alias("m")).select("key", "copies", "m.*")
     # documents of each entity; (entity, word): documents, and different windows
     of_entity = flat.select("key", "copies", "entity").distinct().groupBy("entity").agg(F.sum("copies").alias("n_entity"))
@@ -155,7 +160,10 @@ def disclosing_terms(docs: DataFrame, text: str = "text", window: int = WINDOW,
         .agg(F.count("*").alias("windows")).where(F.col("windows") >= support)
     joint = several.select("key", "copies", "entity", "term").distinct().groupBy("entity", "term") \
         .agg(F.sum("copies").alias("n_joint"))
-    pairs = cut(windows.join(joint, ["entity", "term"]).join(of_entity, "entity"), "term-entity")
+    # the documents of a word are at least those that have it in some window: most words are out without reading the corpus
+    near = words.select("key", "copies", "term").distinct().groupBy("term").agg(F.sum("copies").alias("n_near"))
+    pairs = windows.join(joint, ["entity", "term"]).join(of_entity, "entity").join(near, "term")
+    pairs = cut(pairs.where((F.col("n_entity") < n_docs) & (told("n_near") >= threshold)), "term-entity")
     wanted = pairs.select("term").distinct()
     if pairs.isEmpty():
         return hit.select("key", F.array().cast("array<string>").alias("terms")).limit(0)
@@ -163,8 +171,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", window: int = WINDOW,
         wanted = F.broadcast(wanted)
     df = rows.select(F.explode(F.array_distinct(_terms(F.col("t")))).alias("term")).join(wanted, "term", "left_semi") \
         .groupBy("term").agg(F.count("*").alias("df"))
-    told = 1 - F.log(F.greatest(F.lit(1.0), F.col("df") / F.col("n_joint"))) / F.log(F.lit(float(n_docs)) / F.col("n_entity"))
-    flagged = pairs.join(df, "term").where((F.col("n_entity") < n_docs) & (told >= threshold)).select("entity", "term")
+    flagged = pairs.join(df, "term").where(told("df") >= threshold).select("entity", "term")
     return flat.select("key", "entity").distinct().join(flagged, "entity").groupBy("key") \
         .agg(F.sort_array(F.collect_set("term")).alias("terms"))
 

@@ -52,8 +52,9 @@ class Merges:
         usable = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.ids = {self.pieces[i]: i for i in usable}
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
-        self.silent = {i for i in range(n) if sp.is_control(i)}
+        byte_of = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        self.spelled = [byte_of[i] if i in byte_of else b"" if sp.is_control(i) else self.pieces[i].replace(SPACE, " ").encode()
+                        for i in range(n)]
         order = sorted(usable, key=lambda i: -sp.get_score(i))
         rank = {}
         for place, (i, before) in enumerate(zip(order, [None, *order])):  # equal scores are equal ranks
@@ -148,18 +149,12 @@ class Merges:
 
     def decode(self, ids: list[int]) -> str:
         """The text of any segmentation: the inverse of encoding."""
-        out = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                out.append(self.byte_of[i])
-            elif i not in self.silent:
-                out += self.pieces[i].replace(SPACE, " ").encode()
-        text = out.decode(errors="replace")
+        text = b"".join(map(self.spelled.__getitem__, ids)).decode(errors="replace")
         return text[1:] if text[:1] == " " else text
 
 
 def merges(path: str) -> Merges:
-    store = worker_store("merges", path)
+    store = worker_store("merge table", path)
     if "m" not in store:
         store["m"] = Merges(path)
     return store["m"]
@@ -201,7 +196,7 @@ def encoder(path: str, dropout: float, seed: int, variants: int):
 
 def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 13,
            variants: int = 8, model: str | None = None) -> DataFrame:
-    """One row per document: doc_id, ids (array<int>), n_ids, ids_crc32.
+    """One row per document: doc_id, ids (array<int>), n_ids, ids_crc32, text_crc32 (of the text's UTF-8 bytes).
 
     Null and empty texts have no ids.  Each text has one of ``variants`` draws of
     the dropped merges, chosen by a keyed hash of the text; equal texts are encoded
@@ -220,10 +215,11 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dropout:
                 ids = [np.frombuffer(p, "<u4").astype(np.int32) for p in packed]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, len(texts)), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(p) for p in packed], pa.int64())],
-                    ["doc_id", "ids", "n_ids", "ids_crc32"])
+                     pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(p) for p in packed], pa.int64()),
+                     pa.array([zlib.crc32(t or b"") for t in texts], pa.int64())],
+                    ["doc_id", "ids", "n_ids", "ids_crc32", "text_crc32"])
 
-    return source.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_ids long, ids_crc32 long")
+    return source.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_ids long, ids_crc32 long, text_crc32 long")
 
 
 def decode(encoded: DataFrame, ids: str = "ids", model: str | None = None) -> DataFrame:

@@ -35,11 +35,9 @@ def pii(spark: SparkSession, root: str) -> DataFrame:
 
 def merge_dropout(spark: SparkSession, root: str) -> DataFrame:
     """doc_id, n_ids, ids_crc32 of every document's dropped-merge segmentation, and whether it decodes to the text."""
-    docs = table(spark, root, "documents")
-    encoded = mergedrop.encode(docs.withColumn("doc", F.struct("doc_id", "text")), doc_id="doc")
-    checked = mergedrop.decode(encoded)
-    same = F.coalesce(F.col("doc.text"), F.lit("")) == F.col("decoded")
-    return checked.select("doc.doc_id", "n_ids", "ids_crc32", same.alias("lossless"))
+    checked = mergedrop.decode(mergedrop.encode(table(spark, root, "documents")))
+    same = F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")
+    return checked.select("doc_id", "n_ids", "ids_crc32", same.alias("lossless"))
 
 
 def binary_packing(spark: SparkSession, root: str) -> DataFrame:

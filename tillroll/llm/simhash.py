@@ -222,12 +222,11 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     Of rows that repeat that id any one stays; a row with a null id stays only where
     its component has no other.
     """
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text).alias("text"))
-    rows = fingerprints(whole, "text", ["doc"], shingle, seed).withColumn("row", F.monotonically_increasing_id())
-    rows = cut(rows, "fingerprints")
-    small = rows.select(F.col("doc")[doc_id].alias("doc_id"), "fp", "row")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "fp")
+    rows = cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                           F.monotonically_increasing_id().alias("row")), "rows")
+    source = rows.select("row", F.col("doc")[doc_id].alias("doc_id"), F.col("doc")[text].alias("text"))
+    small = cut(fingerprints(source, "text", ["row", "doc_id"], shingle, seed), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     first = small.join(fingerprint_components(small, radius), "fp").groupBy("root").agg(F.min(order).alias("first"))
-    first = first.select("first.fp", "first.row")
-    kept = rows.join(first, ["fp", "row"], "left_semi")
+    kept = rows.join(first.select("first.row"), "row", "left_semi")
     return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

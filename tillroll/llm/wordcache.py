@@ -22,9 +22,16 @@ CACHE, LONGEST = 800_000, 64
 
 
 def worker_store(kind: str, key: object) -> dict:
-    """A dict that lives as long as the worker process, or until another ``key`` of its kind is asked for."""
+    """A dict that lives as long as the worker process.
+
+    It goes when another ``key`` of its kind is asked for, or a kind with another
+    first word: a worker holds the caches of one operator at a time.
+    """
     home = sys.modules.setdefault("tillroll_worker_store", types.ModuleType("tillroll_worker_store"))
     stores = home.__dict__.setdefault("stores", {})
+    family = kind.split()[0]
+    for other in [k for k in stores if k.split()[0] != family]:
+        del stores[other]
     if kind not in stores or stores[kind][0] != key:
         stores[kind] = (key, {})
     return stores[kind][1]
@@ -99,7 +106,7 @@ def word_encoder(path: str) -> Callable[[list[bytes | None]], list[bytes]]:
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    store = worker_store("tokenizer", path)
+    store = worker_store("word tokenizer", path)
     if "tk" not in store:
         store["tk"] = Tokenizer.from_file(path)
     tk = store["tk"]
