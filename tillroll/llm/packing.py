@@ -40,7 +40,8 @@ def binary_pieces(n: int, longest: int = 2048) -> list[int]:
 
 
 def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, list[bytes | None]]]:
-    """(first row, texts) of consecutive rows of about ``limit`` bytes."""
+    """(first row, texts) of consecutive rows of about ``limit`` bytes; memory of earlier batches goes back to the system."""
+    pa.default_memory_pool().release_unused()
     at, size, held = 0, 0, []
     for i, t in enumerate(texts):
         held.append(t.as_py())

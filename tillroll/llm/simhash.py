@@ -79,6 +79,7 @@ def fingerprints(docs: DataFrame, text: str, keep: list[str], shingle: int = 4,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            pa.default_memory_pool().release_unused()
             fp = np.array([fingerprint(t.as_py(), shingle, seed) for t in b.column(len(keep))], np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(fp.view(np.int64))], [*keep, "fp"])
 

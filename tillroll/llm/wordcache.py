@@ -18,7 +18,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Entries of a worker's cache (about 200 bytes each), and the longest chunk (bytes) that it keeps.
-CACHE, LONGEST = 800_000, 64
+CACHE, LONGEST = 400_000, 64
 
 
 def worker_store(kind: str, key: object) -> dict:
