@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, gather: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage: later passes re-read the files, also after the loss of the
-    executors that wrote them.
+    executors that wrote them.  ``gather``: at most one file a core, for what comes
+    out of a shuffle (its partitions are read one after the other, not moved).
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(spark.sparkContext.defaultParallelism) if gather else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

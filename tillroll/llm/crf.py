@@ -162,8 +162,8 @@ def different(rows: DataFrame) -> DataFrame:
 def fit(labelled: DataFrame, docs_of_label: int = FIT_DOCS, seed: int = 5) -> Field:
     """Fit on (text, toxic) rows.  Without rows of both labels: a field that scores every text low."""
     model = Field(token=uuid.uuid4().hex)
-    rows = cut(different(labelled), "labelled")
-    counts = cut(cue_counts(rows), "cues")
+    rows = cut(different(labelled), "labelled", True)
+    counts = cut(cue_counts(rows), "cues", True)
     all_docs = {r["bucket"]: r for r in counts.where("bucket = -1").collect()}.get(-1)
     if all_docs is None or not all_docs["n_toxic"] or not all_docs["n_clean"]:
         return model

@@ -143,7 +143,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", window: int = WINDOW,
 
     mentions = F.concat(*[of_kind(k) for k in KINDS])
     hit = cut(rows.select("t", mentions.alias("m")).where(F.size("m") > 0).select(text_key(F.col("t")).alias("key"), "m")
-              .groupBy("key").agg(F.count("*").alias("copies"), F.first("m").alias("m")), "mentions")
+              .groupBy("key").agg(F.count("*").alias("copies"), F.first("m").alias("m")), "mentions", True)
     n_docs = docs.count()
 
     def told(documents: str) -> Column:
@@ -163,7 +163,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", window: int = WINDOW,
     # the documents of a word are at least those that have it in some window: most words are out without reading the corpus
     near = words.select("key", "copies", "term").distinct().groupBy("term").agg(F.sum("copies").alias("n_near"))
     pairs = windows.join(joint, ["entity", "term"]).join(of_entity, "entity").join(near, "term")
-    pairs = cut(pairs.where((F.col("n_entity") < n_docs) & (told("n_near") >= threshold)), "term-entity")
+    pairs = cut(pairs.where((F.col("n_entity") < n_docs) & (told("n_near") >= threshold)), "term-entity", True)
     wanted = pairs.select("term").distinct()
     if pairs.isEmpty():
         return hit.select("key", F.array().cast("array<string>").alias("terms")).limit(0)
@@ -178,7 +178,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", window: int = WINDOW,
 
 def _with_terms(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
     """``docs`` as (doc, t, terms): each row with the words to remove from it (null: none)."""
-    terms = cut(terms, "disclosing-terms")
+    terms = cut(terms, "disclosing-terms", True)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                        F.coalesce(F.col(text), F.lit("")).alias("t"))
     n = terms.count()

@@ -128,7 +128,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     finite = F.forall("e", lambda v: v.isNotNull() & (F.abs(v) < float("inf"))) & F.exists("e", lambda v: v != 0)
     rows = rows.withColumn("valid", F.coalesce(finite, F.lit(False)))
     nodes = cut(rows.where("valid").groupBy("e").agg(F.min("vec_id").alias("lo"), F.count("*").alias("n"))
-                .withColumn("node", F.monotonically_increasing_id()), "vectors")
+                .withColumn("node", F.monotonically_increasing_id()), "vectors", True)
     sizes = nodes.groupBy(F.size("e").alias("d")).count().orderBy(F.desc("count"), "d").first()
     alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if sizes is None:
@@ -156,7 +156,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     pairs = candidate_groups(probes, _pairs_within(radius, subs), "u long, v long", chunk)
     with_u = pairs.join(index.select(F.col("node").alias("u"), F.col("e").alias("eu")), "u")
     with_both = with_u.join(index.select(F.col("node").alias("v"), F.col("e").alias("ev")), "v")
-    links = cut(with_both.select("u", "v", "eu", "ev").mapInArrow(_cosine_at_least(threshold), "u long, v long"), "links")
+    links = cut(with_both.select("u", "v", "eu", "ev").mapInArrow(_cosine_at_least(threshold), "u long, v long"), "links", True)
     roots = components(links)
     size = nodes.select("node", "n")
     ends = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))

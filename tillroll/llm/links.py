@@ -56,7 +56,7 @@ def candidate_groups(rows: DataFrame, link: Callable[[pd.DataFrame, pd.DataFrame
     of a hot key (pairs across).  Keys with one row are dropped; every pair of
     rows that shares a key meets in exactly one call per shared key.
     """
-    counts = cut(rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1"), "key-counts")
+    counts = cut(rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1"), "key-counts", True)
     hot = counts.where(F.col("n") > chunk)
     n_hot = hot.count()
     one = F.lit(0)
@@ -104,7 +104,7 @@ def components(edges: DataFrame) -> DataFrame:
     smallest node of its component (the root itself is left out).
     """
     e = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
-            "edges")
+            "edges", True)
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -113,7 +113,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        e = cut(small, "edges")
+        e = cut(small, "edges", True)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

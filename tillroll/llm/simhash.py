@@ -176,7 +176,7 @@ def hamming_links(fps: DataFrame, radius: int = 4, shard: int = SHARD) -> DataFr
                                           for _, i, m in levels[0]])).alias("k"), "fp").select("k.k1", "k.k2", "fp")
     ready = []
     for level in levels[1:]:
-        counts = cut(rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > shard), "large-shards")
+        counts = cut(rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > shard), "large-shards", True)
         if not counts.count():
             break
         large = rows.join(counts.select("k1", "k2"), ["k1", "k2"], "left_semi")
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def fingerprint_components(fps: DataFrame, radius: int) -> DataFrame:
     """(fp, lo, root) of every distinct fp in ``fps`` (doc_id, fp): its smallest id and its component's smallest fp."""
-    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("lo")), "nodes")
+    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("lo")), "nodes", True)
     roots = components(hamming_links(nodes.select("fp"), radius))
     return nodes.join(roots, nodes["fp"] == roots["node"], "left") \
         .select("fp", "lo", F.coalesce("root", "fp").alias("root"))
