@@ -148,7 +148,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", window: int = WINDOW,
 
     def told(documents: str) -> Column:
         more = F.greatest(F.lit(1.0), F.col(documents) / F.col("n_joint"))
-        return 1 - F.log(more) / F.log(F.lit(float(n_docs)) / F.col("n_entity"))
+        return 1 - F.log(more) / F.nullif(F.log(F.lit(float(n_docs)) / F.col("n_entity")), F.lit(0.0))
 
     flat = hit.select("key", "copies", F.explode("m").alias("m")).select("key", "copies", "m.*")
     # documents of each entity; (entity, word): documents, and different windows

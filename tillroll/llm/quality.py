@@ -120,7 +120,8 @@ def verdict(c: str) -> dict[str, Column]:
                   f"{MAX_REPEAT_PERCENT} * {field['n_words']}")
     broken = []
     for r in RULES:
-        metric = " ".join(field.get(t, t) for t in r.metric.split())
+        part, _, of = r.metric.partition(" / ")
+        metric = field[part] + (f" / nullif({field[of]}, 0)" if of else "")
         tests = [f"{metric} < {r.low}"] * (r.low is not None) + [f"{metric} > {r.high}"] * (r.high is not None)
         test = F.expr(f"{field['n_words']} >= {max(1, r.from_words)} and ({' or '.join(tests)})")
         broken.append(F.when(test, F.lit(r.name)))
