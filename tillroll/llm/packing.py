@@ -18,7 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .wordcache import default_path, word_encoder
+from .wordcache import CACHE, default_path, word_encoder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -54,13 +54,13 @@ def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, list[byte
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", longest: int = 2048, end_id: int = END_ID,
-         tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
+         tokenizer: str | None = None, with_ids: bool = False, cache: int = CACHE) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids].
 
     Every row of ``docs`` is a document, also one whose id is null or repeats; null
     and empty texts are the end id alone.  length is the bucket; ``ids`` are the
     piece's ids as little-endian uint32.  sequence_id is unique and offset 0, as a
-    piece fills its sequence.  Other columns are not read.  There is no shuffle.
+    piece fills its sequence.  ``cache`` bounds a worker's known chunks.  Other columns are not read.  There is no shuffle.
     """
     path = tokenizer or default_path()
     end = np.array([end_id], "<u4").tobytes()
@@ -71,7 +71,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", longest: i
         schema = schema.removesuffix(", ids binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(path)
+        encode = word_encoder(path, cache)
         for b in batches:
             for first, texts in blocks(b.column(1)):
                 row, start, length, crc, total, parts = [], [], [], [], [], []

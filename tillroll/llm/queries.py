@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import binpack, crf, disclosure, itq, mergedrop, mincut, packing, ppm, quality, simhash
 from .common import crc_mod, table
+from .wordcache import LARGE_CACHE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,14 +36,13 @@ def pii(spark: SparkSession, root: str) -> DataFrame:
 
 def merge_dropout(spark: SparkSession, root: str) -> DataFrame:
     """doc_id, n_ids, ids_crc32 of every document's dropped-merge segmentation, and whether it decodes to the text."""
-    checked = mergedrop.decode(mergedrop.encode(table(spark, root, "documents")))
-    same = F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")
-    return checked.select("doc_id", "n_ids", "ids_crc32", same.alias("lossless"))
+    encoded = mergedrop.encode(table(spark, root, "documents"), verify=True, with_ids=False)
+    return encoded.select("doc_id", "n_ids", "ids_crc32", "lossless")
 
 
 def binary_packing(spark: SparkSession, root: str) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
-    return packing.pack(table(spark, root, "documents"))
+    return packing.pack(table(spark, root, "documents"), cache=LARGE_CACHE)
 
 
 def simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
@@ -53,7 +53,7 @@ def simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 def token_matrices(spark: SparkSession, root: str) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every segment of the packed id matrices."""
-    return binpack.segments(binpack.pack(table(spark, root, "documents")))
+    return binpack.segments(binpack.pack(table(spark, root, "documents"), cache=LARGE_CACHE))
 
 
 def toxicity(spark: SparkSession, root: str) -> DataFrame:

@@ -19,6 +19,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Entries of a worker's cache (about 200 bytes each), and the longest chunk (bytes) that it keeps.
 CACHE, LONGEST = 400_000, 64
+#: Of a job that has the executors to itself.
+LARGE_CACHE = 1_200_000
 
 
 def worker_store(kind: str, key: object) -> dict:
@@ -81,8 +83,8 @@ class ChunkEncoder:
         have = {p: self.known[p] for pair in parts.values() for p in pair if p in self.known}
         have[b""] = b""
         stems = list({p for pair in parts.values() for p in pair if p not in have})
-        for at in range(0, len(stems), 50_000):
-            part = stems[at:at + 50_000]
+        for at in range(0, len(stems), 20_000):
+            part = stems[at:at + 20_000]
             have.update(zip(part, self.encode_chunks(part)))
         return {c: have[stem] + have[end] for c, (stem, end) in parts.items()} | {s: have[s] for s in stems}
 
@@ -101,7 +103,7 @@ def stem_and_mark(chunk: bytes) -> tuple[bytes, bytes]:
     return low, b""
 
 
-def word_encoder(path: str) -> Callable[[list[bytes | None]], list[bytes]]:
+def word_encoder(path: str, cache: int = CACHE) -> Callable[[list[bytes | None]], list[bytes]]:
     """Texts (UTF-8, null: empty) to packed ids of the word tokenizer at ``path``, without special tokens."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -111,9 +113,31 @@ def word_encoder(path: str) -> Callable[[list[bytes | None]], list[bytes]]:
         store["tk"] = Tokenizer.from_file(path)
     tk = store["tk"]
 
-    def encode_chunks(chunks: list[bytes]) -> list[bytes]:
-        found = tk.encode_batch_fast([c.decode(errors="replace") for c in chunks], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    if "ends" not in store:  # ids of tokens that end a word
+        vocabulary = tk.get_vocab()
+        store["ends"] = np.zeros(max(vocabulary.values()) + 1, bool)
+        store["ends"][[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+    ends = store["ends"]
+
+    def one_by_one(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tk.encode_batch_fast(texts, add_special_tokens=False)]
 
-    encoder = ChunkEncoder("word ids", path, encode_chunks, stem_and_mark)
+    def as_words(words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, encoded as one text: each is one run of tokens up to a word's end."""
+        ids = np.array(tk.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        last = ends[ids].nonzero()[0] + 1
+        if len(last) != len(words):
+            return one_by_one(words)
+        packed = ids.tobytes()
+        return [packed[4 * a:4 * b] for a, b in zip([0, *last[:-1].tolist()], last.tolist())]
+
+    def encode_chunks(chunks: list[bytes]) -> list[bytes]:
+        texts = [c.decode(errors="replace") for c in chunks]
+        plain = [t.isalpha() and t.lower().isalpha() for t in texts]
+        words = [t for t, ok in zip(texts, plain) if ok]
+        found = iter([ids for at in range(0, len(words), 500) for ids in as_words(words[at:at + 500])])
+        others = iter(one_by_one([t for t, ok in zip(texts, plain) if not ok]))
+        return [next(found if ok else others) for ok in plain]
+
+    encoder = ChunkEncoder("word ids", path, encode_chunks, stem_and_mark, cache)
     return lambda texts: encoder.encode([(t or b"").split() for t in texts])
