@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import END_ID, blocks
-from .wordcache import default_path, word_encoder
+from .wordcache import CACHE, default_path, word_encoder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -79,7 +79,8 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = END_ID,
-         pad_id: int = 0, tokenizer: str | None = None, shard_ids: int = SHARD_IDS) -> DataFrame:
+         pad_id: int = 0, tokenizer: str | None = None, shard_ids: int = SHARD_IDS,
+         cache: int = CACHE) -> DataFrame:
     """One row per packed sequence: sequence_id, ids, cu_seqlens, position_ids, segments.
 
     ids and position_ids are ``capacity`` little-endian uint32 each (padding:
@@ -116,7 +117,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
                  pa.array(segs, pa.list_(seg))], ["ids", "cu_seqlens", "position_ids", "segments"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(path)
+        encode = word_encoder(path, cache)
         held, size, id_type = [], 0, pa.int64()
         for b in batches:
             id_type = b.schema.field(0).type
