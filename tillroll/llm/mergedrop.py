@@ -60,6 +60,9 @@ class Merges:
         for place, (i, before) in enumerate(zip(order, [None, *order])):  # equal scores are equal ranks
             same = before is not None and sp.get_score(i) == sp.get_score(before)
             rank[i] = rank[before] if same else place
+        single = {ord(p): i for p, i in self.ids.items() if len(p) == 1}
+        self.of_char = np.full(max(single) + 1, -1, np.int64)
+        self.of_char[list(single)] = list(single.values())
         pairs = {}
         for piece, i in self.ids.items():
             for k in range(1, len(piece)):
@@ -91,8 +94,9 @@ class Merges:
             return []
         sizes = np.array([len(c) for c in chunks], np.int64)
         flat = "".join(chunks)
-        get = self.ids.get
-        sym = np.fromiter((get(c, -1 - ord(c)) for c in flat), np.int64, len(flat))
+        points = np.frombuffer(flat.encode("utf-32-le"), "<u4").astype(np.int64)
+        sym = np.where(points < len(self.of_char), self.of_char[np.minimum(points, len(self.of_char) - 1)], -1)
+        sym = np.where(sym < 0, -1 - points, sym)  # a character without a piece
         word = np.repeat(np.arange(len(chunks)), sizes)
         start = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         limit = np.uint64(min(int(dropout * 2.0 ** 64), 2 ** 64 - 1))
@@ -131,20 +135,21 @@ class Merges:
             moved = np.cumsum(keep) - 1
             sym, word, start, rank, which = (x[keep] for x in (sym, word, start, rank, which))
             at = moved[pick]
-            before = at[at > 0] - 1
-            again = np.unique(np.concatenate([before, at]))
+            touched = np.zeros(len(sym), bool)
+            touched[at] = True
+            touched[at[at > 0] - 1] = True
+            again = touched.nonzero()[0]
             rank[again], which[again] = ranked(again)
         sym, word, start = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (done_sym, done_word, done_start))
         order = np.lexsort((start, word))
         sym, word = sym[order], word[order]
-        border = np.searchsorted(word, np.arange(len(chunks) + 1))
-        out = []
-        for i, c in enumerate(chunks):
-            ids = sym[border[i]:border[i + 1]]
-            if len(ids) and ids.min() < 0:
-                ids = np.array([x for s in ids.tolist()
-                                for x in ([s] if s >= 0 else [self.byte_ids[b] for b in chr(-1 - s).encode()])])
-            out.append(ids.astype("<u4").tobytes())
+        border = np.searchsorted(word, np.arange(len(chunks) + 1)).tolist()
+        packed = sym.astype("<u4").tobytes()
+        out = [packed[4 * a:4 * b] for a, b in zip(border, border[1:])]
+        for i in np.unique(word[sym < 0]).tolist():  # characters without a piece are spelled in bytes
+            ids = [x for s in sym[border[i]:border[i + 1]].tolist()
+                   for x in ([s] if s >= 0 else [self.byte_ids[b] for b in chr(-1 - s).encode()])]
+            out[i] = np.array(ids, "<u4").tobytes()
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -195,8 +200,8 @@ def encoder(path: str, dropout: float, seed: int, variants: int):
 
 
 def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 13,
-           variants: int = 8, model: str | None = None) -> DataFrame:
-    """One row per document: doc_id, ids (array<int>), n_ids, ids_crc32, text_crc32 (of the text's UTF-8 bytes).
+           variants: int = 2, model: str | None = None, with_ids: bool = True, verify: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_ids, ids_crc32[, ids (array<int>)][, lossless: the ids decode to the text].
 
     Null and empty texts have no ids.  Each text has one of ``variants`` draws of
     the dropped merges, chosen by a keyed hash of the text; equal texts are encoded
@@ -207,19 +212,26 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dropout:
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
+    schema = f"doc_id {kind}, n_ids long, ids_crc32 long" + ", ids array<int>" * with_ids + ", lossless boolean" * verify
+    names = ["doc_id", "n_ids", "ids_crc32"] + ["ids"] * with_ids + ["lossless"] * verify
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, dropout, seed, variants)
         for b in batches:
-            for first, texts in blocks(b.column(1)):
+            for first, texts in blocks(b.column(1), 2_000_000):
                 packed = enc(texts)
-                ids = [np.frombuffer(p, "<u4").astype(np.int32) for p in packed]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(texts)), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(p) for p in packed], pa.int64()),
-                     pa.array([zlib.crc32(t or b"") for t in texts], pa.int64())],
-                    ["doc_id", "ids", "n_ids", "ids_crc32", "text_crc32"])
-
-    return source.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_ids long, ids_crc32 long, text_crc32 long")
+                columns = [b.column(0).slice(first, len(texts)), pa.array([len(p) // 4 for p in packed], pa.int64()),
+                           pa.array([zlib.crc32(p) for p in packed], pa.int64())]
+                if with_ids:
+                    ids = [np.frombuffer(p, "<u4").astype(np.int32) for p in packed]
+                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                if verify:
+                    table = merges(path)
+                    columns.append(pa.array([table.decode(np.frombuffer(p, "<u4").tolist()) == (t or b"").decode(errors="replace")
+                                             for p, t in zip(packed, texts)]))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return source.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", model: str | None = None) -> DataFrame:
