@@ -39,7 +39,7 @@ def _join_state(x: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
               names: Sequence[str] | None = None, max_bracket: int = 100_000, buckets: int = 1024,
-              max_rounds: int = 12) -> DataFrame:
+              max_rounds: int = 64) -> DataFrame:
     """One row per group of ``by`` with one DOUBLE column per probability.
 
     NULL and NaN values are ignored.  Grouped: a group with no values yields
@@ -91,6 +91,8 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
         refined = (active.drop("_lo", "_hi", "_inside").join(upd, keys)
                    .withColumn("_below", F.col("_below") + F.col("_add")).drop("_add"))
         state = materialize(state.where(~is_active).unionByName(refined))
+    else:
+        raise ArithmeticError(f"quantile brackets of {col!r} are not resolved after {max_rounds} rounds")
 
     inside = (_join_state(x, state.select(*keys, "_lo", "_hi"), by)
               .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))

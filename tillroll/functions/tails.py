@@ -9,18 +9,26 @@ beta and series/continued-fraction incomplete gamma, as in Numerical Recipes).
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# workers need not have this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Terms of a series or continued fraction; one that has not converged by then raises.
+MAX_TERMS = 1_000_000
+
 
 def _betacf(a: float, b: float, x: float) -> float:
     tiny, qab, qap, qam = 1e-300, a + b, a + 1.0, a - 1.0
     c, d = 1.0, 1.0 - qab * x / qap
     d = 1.0 / (d if abs(d) > tiny else tiny)
     h = d
-    for m in range(1, 400):
+    for m in range(1, MAX_TERMS):
         m2 = 2 * m
         aa = m * (b - m) * x / ((qam + m2) * (a + m2))
         d = 1.0 + aa * d
@@ -34,8 +42,8 @@ def _betacf(a: float, b: float, x: float) -> float:
         de = d * c
         h *= de
         if abs(de - 1.0) < 1e-15:
-            break
-    return h
+            return h
+    raise ArithmeticError(f"incomplete beta of ({a}, {b}, {x}) did not converge")
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -62,10 +70,7 @@ def binom_two_sided_p_half(b: int, c: int) -> float:
     if n == 0:
         return 1.0
     k = min(b, c)
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) - n * math.log(2) for i in range(k + 1)]
-    m = max(logs)
-    tail = math.exp(m) * sum(math.exp(v - m) for v in logs)
-    return min(1.0, 2 * tail)
+    return min(1.0, 2 * betainc(n - k, k + 1, 0.5))  # P(X <= k)
 
 
 def gammaincc(a: float, x: float) -> float:
@@ -75,16 +80,16 @@ def gammaincc(a: float, x: float) -> float:
     gln = math.lgamma(a)
     if x < a + 1:
         ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(1000):
+        for _ in range(MAX_TERMS):
             ap += 1
             d *= x / ap
             s += d
             if abs(d) < abs(s) * 1e-16:
-                break
-        return 1.0 - s * math.exp(-x + a * math.log(x) - gln)
+                return 1.0 - s * math.exp(-x + a * math.log(x) - gln)
+        raise ArithmeticError(f"incomplete gamma of ({a}, {x}) did not converge")
     b, c, d = x + 1 - a, 1e300, 1.0 / (x + 1 - a)
     h = d
-    for i in range(1, 1000):
+    for i in range(1, MAX_TERMS):
         an = -i * (i - a)
         b += 2
         d = an * d + b
@@ -92,9 +97,9 @@ def gammaincc(a: float, x: float) -> float:
         c = b + an / c if abs(b + an / c) > 1e-300 else 1e-300
         de = d * c
         h *= de
-        if abs(de - 1) < 1e-16:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+        if abs(de - 1) < 1e-15:
+            return math.exp(-x + a * math.log(x) - gln) * h
+    raise ArithmeticError(f"incomplete gamma of ({a}, {x}) did not converge")
 
 
 def chi2_sf(x: float, dof: float) -> float:

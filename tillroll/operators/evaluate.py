@@ -64,7 +64,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Seque
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum(1 - F.col(label).cast("long")).alias("neg"))
     edges = s.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("e")).first()["e"]
-    splits = [-float("inf")] + sorted(set(float(e) for e in edges)) + [float("inf")]
+    splits = [-float("inf")] + (sorted(set(float(e) for e in edges or [])) or [0.0]) + [float("inf")]
     b = Bucketizer(splits=splits, inputCol="s", outputCol="bucket").transform(s)
     w_in = Window.partitionBy(*by, "bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("neg_below_in", F.coalesce(F.sum("neg").over(w_in), F.lit(0)))

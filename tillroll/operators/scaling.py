@@ -11,11 +11,14 @@ in an Arrow-batched pandas UDF (Spark has no inverse normal CDF).
 
 from __future__ import annotations
 
+import sys
+
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,6 +114,10 @@ def probit_np(p: np.ndarray) -> np.ndarray:
     return out
 
 
+# workers need not have this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.DoubleType())
 def probit(p: pd.Series) -> pd.Series:
     return pd.Series(probit_np(p.to_numpy()))

@@ -8,6 +8,7 @@ command line; on a cluster the caller passes the session it already has.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,8 +40,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant
-    folder and is used as is.  Only when nothing is configured (local tests)
-    a scratch folder is created so ``DataFrame.checkpoint()`` works.
+    folder and is used as is.  Only a local master without one gets a scratch
+    folder, so ``DataFrame.checkpoint()`` works; a cluster without one raises, as
+    its machines share no local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir
