@@ -87,8 +87,7 @@ def k06_calinski_harabasz(t):
 
 
 @query("k07_adjusted_rand", f"""
-WITH x AS (SELECT label AS a, (CASE WHEN embedding[1] > 0 THEN 2 ELSE 0 END)
-                              + (CASE WHEN embedding[2] > 0 THEN 1 ELSE 0 END) AS b FROM embeddings),
+WITH x AS (SELECT label AS a, list_position(embedding, list_max(embedding)) AS b FROM embeddings),
 ct AS (SELECT a, b, count(*) AS nij FROM x GROUP BY 1, 2),
 sa AS (SELECT sum(ai * (ai - 1) / 2.0) AS sa FROM (SELECT sum(nij) AS ai FROM ct GROUP BY a)),
 sb AS (SELECT sum(bj * (bj - 1) / 2.0) AS sb FROM (SELECT sum(nij) AS bj FROM ct GROUP BY b)),
@@ -96,9 +95,8 @@ si AS (SELECT sum(nij * (nij - 1) / 2.0) AS sij, sum(nij) AS n FROM ct)
 SELECT {S.r6('(sij - sa * sb / (n * (n - 1) / 2.0)) / ((sa + sb) / 2 - sa * sb / (n * (n - 1) / 2.0))')} AS ari
 FROM si, sa, sb""")
 def k07_adjusted_rand(t):
-    """ARI between the embedding labels and the sign pattern of two coordinates."""
-    e = t.embeddings.select("label", (F.when(F.col("embedding")[0] > 0, 2).otherwise(0)
-                                      + F.when(F.col("embedding")[1] > 0, 1).otherwise(0)).alias("b"))
+    """ARI between the embedding labels and the place of each vector's largest coordinate."""
+    e = t.embeddings.select("label", F.array_position("embedding", F.array_max("embedding")).alias("b"))
     return K.adjusted_rand(e, "label", "b").select(r6("ari").alias("ari"))
 
 
@@ -169,6 +167,18 @@ def k08_bootstrap_stability(t):
         v.unpersist()
 
 
+@query("k08_bootstrap_summary")
+def k08_bootstrap_summary(t):
+    """Mean, population sd and minimum of the bootstrap ARI."""
+    return CL.stability_summary(k08_bootstrap_stability(t.spark, t.root))
+
+
+@query("k09_seed_summary")
+def k09_seed_summary(t):
+    """Mean, population sd and minimum of the ARI over seeds."""
+    return CL.stability_summary(k09_seed_stability(t.spark, t.root))
+
+
 @query("k09_seed_stability")
 def k09_seed_stability(t):
     """Refits under 5 other seeds; ARI against the base solution."""
