@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_div
-from ..functions.quantiles import median
+from ..functions.quantiles import median, quantiles
 
 
 def _cut(cutoff: str) -> Column:
@@ -195,16 +195,23 @@ def rich_features(inv: DataFrame, lines: DataFrame, cutoff: str, recent_days: in
 # --- P06 / P07 / P08 / P09 --------------------------------------------------
 
 def stratified_split(features: DataFrame, test_fraction: float = 0.2, seed: int = 42,
-                     key: str = "customer_id") -> DataFrame:
-    """``split`` = 'test' / 'train' by a hash of (key, seed).
+                     key: str = "customer_id", target: str = "future_spend") -> DataFrame:
+    """``split`` = 'test' / 'train', exact in each of the two strata (target over its median, or not).
 
-    Within every stratum a customer is held out with probability
-    ``test_fraction``, decided by its own hash: no sort, no window over a
-    stratum, and the same customer lands on the same side in every run.
+    The customers with the smallest hashes of a stratum are held out: those up to the
+    exact ``test_fraction`` quantile of the hash, which are ceil(test_fraction * n) of n
+    (equal hashes fall on the same side).  No window spans a stratum, and a customer lands on the same
+    side in every run.  ``features`` is read three times: pass a materialised table.
     """
     from ..functions.hashing import unit_hash
-    u = unit_hash(F.col(key), seed=f"split{seed}")
-    return features.withColumn("split", F.when(u < test_fraction, F.lit("test")).otherwise(F.lit("train")))
+    median = quantiles(features, target, [0.5], names=["_median"])
+    drawn = features.crossJoin(F.broadcast(median)) \
+        .withColumn("_stratum", F.coalesce((F.col(target) > F.col("_median")).cast("int"), F.lit(0))) \
+        .withColumn("_u", unit_hash(F.col(key), seed=f"split{seed}"))
+    cuts = quantiles(drawn, "_u", [test_fraction], by=["_stratum"], names=["_cut"])  # at most two rows
+    return drawn.join(F.broadcast(cuts), "_stratum") \
+        .withColumn("split", F.when(F.col("_u") <= F.col("_cut"), F.lit("test")).otherwise(F.lit("train"))) \
+        .select(*features.columns, "split")
 
 
 def label_by_train_median(split_df: DataFrame, target: str = "future_spend",

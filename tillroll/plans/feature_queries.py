@@ -27,8 +27,11 @@ base AS (
          coalesce(CAST(sum(inv_cents) FILTER (WHERE inv_ts >= {C}) AS DOUBLE) / 100, 0.0) AS future_spend
   FROM inv GROUP BY customer_id HAVING count(*) FILTER (WHERE inv_ts < {C}) > 0),
 feat AS (SELECT *, monetary / frequency AS avg_order_value FROM base),
-sp AS (SELECT *, CASE WHEN {S.unit_hash('customer_id', 'split42')} < 0.2 THEN 'test' ELSE 'train' END AS split
-       FROM feat),
+st AS (SELECT *, CAST(future_spend > (SELECT quantile_cont(future_spend, 0.5) FROM feat) AS INTEGER) AS half,
+              {S.unit_hash('customer_id', 'split42')} AS u FROM feat),
+rk AS (SELECT *, row_number() OVER (PARTITION BY half ORDER BY u) AS nth, count(*) OVER (PARTITION BY half) AS of_n FROM st),
+sp AS (SELECT * EXCLUDE (half, u, nth, of_n), CASE WHEN nth <= ceil(of_n / 5.0) THEN 'test' ELSE 'train' END AS split
+       FROM rk),
 thr AS (SELECT quantile_cont(future_spend, 0.5) AS threshold FROM sp WHERE split = 'train'),
 lab AS (SELECT sp.*, thr.threshold, CAST(future_spend > threshold AS INTEGER) AS label FROM sp CROSS JOIN thr),
 fp AS (
@@ -138,7 +141,7 @@ WITH {FEATURES}
 SELECT split, CAST(future_spend > (SELECT quantile_cont(future_spend, 0.5) FROM feat) AS INTEGER) AS stratum,
        count(*) AS customers FROM sp GROUP BY 1, 2""")
 def p06_stratified_split(t):
-    """Hash-decided 80/20 split; sizes per split and stratum."""
+    """Exact 80/20 split of each stratum; sizes per split and stratum."""
     s = P.stratified_split(features(t))
     med = quantiles(s, "future_spend", [0.5], names=["_m"])
     return (s.crossJoin(F.broadcast(med))

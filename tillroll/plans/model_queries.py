@@ -15,6 +15,7 @@ from ..operators import evaluate as E
 from ..operators import features as P
 from ..operators import learn as L
 from ..sources import retail
+from ..session import materialize
 from .feature_queries import CUTOFF, features, labelled
 from .registry import query
 
@@ -234,7 +235,7 @@ def p37_top_quartile_model(t):
     from ..functions.quantiles import quantiles
     rich = P.rich_features(retail.invoices(t), retail.lines(t), CUTOFF)
     q = quantiles(rich, "future_spend", [0.75], names=["q75"])
-    df = (P.stratified_split(rich).crossJoin(F.broadcast(q))
+    df = (P.stratified_split(materialize(rich)).crossJoin(F.broadcast(q))
           .withColumn("label", (F.col("future_spend") > F.col("q75")).cast("int")).cache())
     m = L.fit_with(df.where(F.col("split") == "train"), "random_forest", {"numTrees": 200, "maxDepth": 8},
                    L.RICH_FEATURES)
