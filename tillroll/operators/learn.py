@@ -1,28 +1,34 @@
 """Supervised learning on the customer feature table.
 
-Pipelines are MLlib estimators, so log1p + scaling is fitted on training
-folds only; grid search is ``CrossValidator`` with a precomputed, hash-based
-fold column and F1 of the positive class.  Everything downstream (metrics,
-tests, bands, scoring) is a DataFrame aggregate over predictions.
+log1p + scaling is fitted on the training rows of a fold only, once per fold;
+its vectors are cached in partitions sized by their rows and every candidate of
+that fold is fitted on them, several at a time.  Folds are exact within each
+label.  Everything downstream (metrics, tests, bands, scoring) is a DataFrame
+aggregate over predictions.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from dataclasses import dataclass
+from functools import partial
+from itertools import product
 
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash
+from ..functions.quantiles import quantiles
 from . import evaluate as E
 
 BASE_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "tenure"]
@@ -31,114 +37,157 @@ RICH_FEATURES = BASE_FEATURES + ["ipt_mean", "ipt_std", "max_invoice_value", "st
                                  "spend_last90", "momentum_ratio", "purchase_rate"]
 MODELS = ("logistic_regression", "decision_tree", "random_forest")
 PARALLELISM = 8
-
-
-def with_folds(df: DataFrame, k: int = 5, seed: int = 42, key: str = "customer_id") -> DataFrame:
-    """Fold id in [0, k) from a hash of the key (no sort, no window)."""
-    return df.withColumn("fold", F.floor(unit_hash(F.col(key), seed=f"cv{seed}") * k).cast("int"))
-
-
-def preprocessing(features: Sequence[str], one_hot: str | None = None) -> list:
-    """log1p -> assemble -> standardise (fitted inside each training fold);
-    optionally one-hot a categorical (unknown levels kept)."""
-    logs = ", ".join(f"log1p(CAST({c} AS DOUBLE)) AS {c}_l" for c in features)
-    stages = [SQLTransformer(statement=f"SELECT *, {logs} FROM __THIS__"),
-              VectorAssembler(inputCols=[f"{c}_l" for c in features], outputCol="_raw"),
-              StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)]
-    cols = ["_scaled"]
+ROWS_PER_PARTITION = 100_000
+MAX_DEPTH = 30     # MLlib's deepest tree, for an unlimited one
+MAX_BINS = 128     # candidate thresholds per feature; MLlib cannot try every value
+
+# The settings that are compared untuned (P18) and fitted as given.
+DEFAULTS = {
+    "logistic_regression": {"C": 1.0},
+    "decision_tree": {"maxDepth": MAX_DEPTH},
+    "random_forest": {"numTrees": 100, "maxDepth": MAX_DEPTH, "featureSubsetStrategy": "sqrt"},
+    "gradient_boosting": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "minInstancesPerNode": 20},
+}
+FIXED = {
+    "logistic_regression": {"C": 1.0},
+    "decision_tree": {"maxDepth": 6},
+    "random_forest": {"numTrees": 200, "maxDepth": 8, "featureSubsetStrategy": "sqrt"},
+}
+# The grids of P19, 5 + 70 + 64 points.
+GRIDS = {
+    "logistic_regression": {"C": [0.01, 0.1, 1.0, 10.0, 100.0]},
+    "decision_tree": {"maxDepth": [3, 4, 5, 6, 8, 10, MAX_DEPTH], "minInstancesPerNode": [1, 5, 10, 20, 50],
+                      "impurity": ["gini", "entropy"]},
+    "random_forest": {"numTrees": [200, 400], "maxDepth": [5, 8, 12, MAX_DEPTH],
+                      "minInstancesPerNode": [1, 5, 10, 20], "featureSubsetStrategy": ["sqrt", "0.5"]},
+}
+
+
+def with_folds(df: DataFrame, k: int = 5, seed: int = 42, key: str = "customer_id", label: str = "label") -> DataFrame:
+    """Fold id in [0, k), exact within each label: sizes differ by at most one.
+
+    The folds of a label are cut at the exact i/k quantiles of the hashed key, so no window spans
+    a label.  ``df`` is read several times: pass a materialised table.
+    """
+    drawn = df.withColumn("_u", unit_hash(F.col(key), seed=f"cv{seed}"))
+    names = [f"_cut{i}" for i in range(1, k)]
+    cuts = quantiles(drawn, "_u", [i / k for i in range(1, k)], by=[label], names=names)  # one row a label
+    fold = sum(((F.col("_u") > F.col(c)).cast("int") for c in names), F.lit(0))
+    return drawn.join(F.broadcast(cuts), label).select(*df.columns, fold.alias("fold"))
+
+
+def preprocessing(train: DataFrame, features: Sequence[str], one_hot: str | None = None) -> PipelineModel:
+    """log1p, then centre and scale by the mean and population sd of ``train`` (a constant
+    feature is only centred); optionally one-hot a categorical (unknown levels are all zero).
+    The scaled columns ``<feature>_z`` stay beside the vector ``features``."""
+    logs = {c: f"log1p(CAST({c} AS DOUBLE))" for c in features}
+    m = train.agg(*[F.expr(f"avg({x})").alias(f"m_{c}") for c, x in logs.items()],
+                  *[F.expr(f"stddev_pop({x})").alias(f"s_{c}") for c, x in logs.items()]).first()
+    if any(m[f"m_{c}"] is None for c in features):
+        raise ValueError("no training rows with these features")
+    scaled = ", ".join(f"({x} - CAST('{m[f'm_{c}']!r}' AS DOUBLE)) / CAST('{m[f's_{c}'] or 1.0!r}' AS DOUBLE) AS {c}_z"
+                       for c, x in logs.items())
+    stages = [SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")]
+    cols = [f"{c}_z" for c in features]
     if one_hot:
         stages += [StringIndexer(inputCol=one_hot, outputCol=f"{one_hot}_ix", handleInvalid="keep"),
                    OneHotEncoder(inputCols=[f"{one_hot}_ix"], outputCols=[f"{one_hot}_oh"])]
         cols.append(f"{one_hot}_oh")
     stages.append(VectorAssembler(inputCols=cols, outputCol="features"))
-    return stages
+    return Pipeline(stages=stages).fit(train)
 
 
-def classifier(name: str, seed: int = 42):
-    """The three model families (plus gradient boosting for P35)."""
-    if name == "logistic_regression":
-        return LogisticRegression(featuresCol="features", labelCol="label", maxIter=200, elasticNetParam=0.0,
-                                  standardization=False)
-    if name == "decision_tree":
-        return DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=seed)
-    if name == "random_forest":
-        return RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed)
-    if name == "gradient_boosting":
-        return GBTClassifier(featuresCol="features", labelCol="label", seed=seed)
-    raise ValueError(name)
-
-
-def grid(name: str, clf, n_train: int, size: str = "reduced"):
-    """P19 grids.  ``full`` is the source project's grid (LR 5 points, DT 70,
-    RF 64 = 695 fits with 5 folds); ``reduced`` (default) keeps every
-    hyper-parameter but fewer values (LR 5, DT 24, RF 8).  C maps to
-    regParam = 1 / (C n); an unlimited depth maps to MLlib's maximum of 30."""
-    g = ParamGridBuilder()
-    full = size == "full"
+def classifier(name: str, params: dict | None = None, n: int = 1, seed: int = 42):
+    """One of the model families with ``params`` over its defaults; an inverse penalty ``C``
+    on ``n`` rows is MLlib's regParam 1 / (C n)."""
+    p = {**DEFAULTS[name], **(params or {})}
+    io = {"featuresCol": "features", "labelCol": "label"}
     if name == "logistic_regression":
-        g = g.addGrid(clf.regParam, [1.0 / (c * n_train) for c in (0.01, 0.1, 1.0, 10.0, 100.0)])
-    elif name == "decision_tree":
-        g = (g.addGrid(clf.maxDepth, [3, 4, 5, 6, 8, 10, 30] if full else [3, 5, 8, 30])
-              .addGrid(clf.minInstancesPerNode, [1, 5, 10, 20, 50] if full else [1, 10, 50])
-              .addGrid(clf.impurity, ["gini", "entropy"]))
-    elif name == "random_forest":
-        g = (g.addGrid(clf.numTrees, [200, 400] if full else [200])
-              .addGrid(clf.maxDepth, [5, 8, 12, 30] if full else [5, 12])
-              .addGrid(clf.minInstancesPerNode, [1, 5, 10, 20] if full else [1, 10])
-              .addGrid(clf.featureSubsetStrategy, ["sqrt", "0.5"]))
-    return g.build()
-
-
-def f1_evaluator() -> MulticlassClassificationEvaluator:
-    return MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                             metricName="fMeasureByLabel", metricLabel=1.0)
-
-
-def retry_once(fn, *args, **kwargs):
-    """Run ``fn``; on failure run it once more.  Concurrent actions submitted from
-    driver threads can hit a transient race on inherited job properties; a fit
-    is deterministic, so a retry returns the same model."""
+        return LogisticRegression(maxIter=2000, elasticNetParam=0.0, standardization=False,
+                                  regParam=1.0 / (p["C"] * max(n, 1)), **io)
+    trees = {"decision_tree": DecisionTreeClassifier, "random_forest": RandomForestClassifier,
+             "gradient_boosting": GBTClassifier}
+    return trees[name](seed=seed, maxBins=MAX_BINS, maxMemoryInMB=1024, **io, **p)
+
+
+def grid(name: str) -> list[dict]:
+    """Every point of the family's grid."""
+    g = GRIDS[name]
+    return [dict(zip(g, values)) for values in product(*g.values())]
+
+
+def in_parallel(spark: SparkSession, fn: Callable, jobs: Iterable, parallelism: int = PARALLELISM) -> list:
+    """``[fn(job) for job in jobs]``, several Spark jobs at a time; the first error is raised."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda run: run(), [inherit(partial(fn, j)) for j in jobs]))
+
+
+def vectors(prep: PipelineModel, df: DataFrame, n: int) -> DataFrame:
+    """The label and vector of each row, cached in partitions of about ``ROWS_PER_PARTITION`` rows."""
+    return (prep.transform(df).select("label", "features")
+            .repartition(max(1, math.ceil(n / ROWS_PER_PARTITION))).cache())
+
+
+@dataclass
+class Fold:
+    train: DataFrame
+    valid: DataFrame
+    n: int  # training rows
+
+
+@contextmanager
+def fold_frames(train: DataFrame, features: Sequence[str] = BASE_FEATURES, one_hot: str | None = None,
+                k: int = 5) -> Iterator[list[Fold]]:
+    """The k folds of ``train`` (column ``fold``) as cached vectors, scaled by each fold's own
+    training rows; released at the end of the block."""
+    sizes = {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}  # k rows
+    folds = []
     try:
-        return fn(*args, **kwargs)
-    except Exception:  # noqa: BLE001
-        return fn(*args, **kwargs)
+        for f in range(k):
+            rest = train.where(F.col("fold") != f)
+            n = sum(c for g, c in sizes.items() if g != f)
+            prep = preprocessing(rest, features, one_hot)
+            folds.append(Fold(vectors(prep, rest, n), vectors(prep, train.where(F.col("fold") == f), sizes.get(f, 0)), n))
+        yield folds
+    finally:
+        for f in folds:
+            f.train.unpersist()
+            f.valid.unpersist()
+
+
+def cross_validate(folds: list[Fold], name: str, points: Sequence[dict],
+                   parallelism: int = PARALLELISM) -> list[list[float]]:
+    """F1 of the positive class of every point in every fold."""
+    def one(job):
+        params, f = job
+        model = classifier(name, params, f.n).fit(f.train)
+        return E.metrics(model.transform(f.valid)).first()["f1"]
+    flat = in_parallel(folds[0].train.sparkSession, one, [(p, f) for p in points for f in folds], parallelism)
+    return [flat[i:i + len(folds)] for i in range(0, len(flat), len(folds))]
 
 
 def tune(train: DataFrame, name: str, features: Sequence[str] = BASE_FEATURES, k: int = 5,
-         parallelism: int = PARALLELISM, n_train: int | None = None, grid_size: str = "reduced"):
-    """5-fold grid search on the training split; returns (best pipeline
-    model refitted on all training rows, best params, mean CV F1)."""
-    clf = classifier(name)
-    pipe = Pipeline(stages=preprocessing(features) + [clf])
-    n_train = n_train or train.count()
-    maps = grid(name, clf, n_train, grid_size)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=f1_evaluator(), numFolds=k,
-                        foldCol="fold", parallelism=parallelism, seed=42)
-    m = retry_once(cv.fit, train)
-    best_i = max(range(len(m.avgMetrics)), key=lambda i: m.avgMetrics[i])
-    return m.bestModel, {p.name: v for p, v in maps[best_i].items()}, float(m.avgMetrics[best_i])
+         parallelism: int = PARALLELISM, points: Sequence[dict] | None = None):
+    """Grid search over the folds of ``train``; returns (pipeline refitted on all training
+    rows with the best point, that point, its F1 in each fold).  Ties go to the earlier point."""
+    points = list(points or grid(name))
+    with fold_frames(train, features, k=k) as folds:
+        scores = cross_validate(folds, name, points, parallelism)
+    best = max(range(len(points)), key=lambda i: sum(scores[i]))
+    return fit_with(train, name, points[best], features), points[best], scores[best]
 
 
 def fit_with(train: DataFrame, name: str, params: dict, features: Sequence[str] = BASE_FEATURES,
-             one_hot: str | None = None):
+             one_hot: str | None = None) -> PipelineModel:
     """Fit one configuration (params by name) on ``train``."""
-    clf = classifier(name)
-    clf = clf.copy({clf.getParam(k): v for k, v in params.items()})
-    return Pipeline(stages=preprocessing(features, one_hot) + [clf]).fit(train)
-
-
-def fold_predictions(train: DataFrame, name: str, params: dict, features: Sequence[str] = BASE_FEATURES,
-                     k: int = 5, parallelism: int = PARALLELISM) -> DataFrame:
-    """Out-of-fold predictions of one configuration (per-fold scores for P23/P25)."""
-    def one(f):
-        m = fit_with(train.where(F.col("fold") != f), name, params, features)
-        return m.transform(train.where(F.col("fold") == f)).select("customer_id", "fold", "label", "prediction")
-    with ThreadPoolExecutor(max_workers=min(k, parallelism)) as pool:
-        parts = list(pool.map(one, range(k)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    n = train.count()
+    prep = preprocessing(train, features, one_hot)
+    x = vectors(prep, train, n)
+    try:
+        return PipelineModel(prep.stages + [classifier(name, params, n).fit(x)])
+    finally:
+        x.unpersist()
 
 
 def score(model, df: DataFrame, name: str) -> DataFrame:
@@ -171,17 +220,16 @@ def decision_record(spark: SparkSession, summary: dict) -> DataFrame:
 
 def learning_curve(train: DataFrame, name: str, params: dict, fractions: Sequence[float],
                    features: Sequence[str] = BASE_FEATURES, k: int = 5, parallelism: int = PARALLELISM):
-    """Nested training subsets by hash rank within each fold; mean train and
-    validation accuracy over folds per fraction."""
+    """Nested training subsets by hashed key within each fold; (fraction, fold, train
+    accuracy, validation accuracy)."""
     u = unit_hash(F.col("customer_id"), seed="curve")
-    jobs = [(fr, f) for fr in fractions for f in range(k)]
+
+    def accuracy(model, df):
+        return E.metrics(model.transform(df)).first()["accuracy"]
 
     def one(job):
-        fr, f = job
-        tr = train.where((F.col("fold") != f) & (u < fr))
-        va = train.where(F.col("fold") == f)
-        m = fit_with(tr, name, params, features)
-        acc = lambda d: E.metrics(m.transform(d)).first()["accuracy"]
-        return fr, f, acc(tr), acc(va)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(one, jobs))
+        fraction, f = job
+        subset = train.where((F.col("fold") != f) & (u < fraction))
+        model = fit_with(subset, name, params, features)
+        return fraction, f, accuracy(model, subset), accuracy(model, train.where(F.col("fold") == f))
+    return in_parallel(train.sparkSession, one, [(fr, f) for fr in fractions for f in range(k)], parallelism)
