@@ -1,7 +1,8 @@
 """Before/after dataset validation (V01-V08) and artefact checks.
 
 Each check is a one-row DataFrame; ``check_report`` unions named checks into
-PASS/FAIL rows plus an overall verdict.  Row-level comparisons join on an
+PASS/FAIL rows plus an overall verdict, ``copy_counts`` and ``verdicts`` do so
+from one comparison of the lines and one of the keys.  Row-level comparisons join on an
 explicit line id carried from ingestion, never on partition order.
 """
 
@@ -93,3 +94,36 @@ def check_report(checks: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     overall = out.agg(F.lit("ALL").alias("check"), F.bool_and("passed").alias("passed"))
     out = out.unionByName(overall)
     return out.withColumn("status", F.when(F.col("passed"), F.lit("PASS")).otherwise(F.lit("FAIL")))
+
+
+def copy_counts(before: DataFrame, after: DataFrame, not_null: Sequence[str], unchanged: Sequence[str],
+                attr: str, key: str = "customer_id", line_id: str = "line_id") -> DataFrame:
+    """V01-V04 and V06 of an adapted copy in one row: the lines are joined once, and the keys of
+    both sides are grouped once (two shuffles).  ``multi_<attr>`` counts keys with more than one
+    ``attr`` after; lines without a key belong to no key."""
+    b = before.select(F.col(line_id).alias("_id"), F.struct(key, *unchanged).alias("b"))
+    nulls = sum((F.col(c).isNull().cast("bigint") for c in not_null), F.lit(0).cast("bigint"))
+    a = after.select(F.col(line_id).alias("_id"), F.struct(key, *unchanged, nulls.alias("_nulls")).alias("a"))
+    lines = b.join(a, "_id", "full_outer").agg(
+        F.count("b").alias("rows_before"), F.count("a").alias("rows_after"),
+        F.coalesce(F.sum("a._nulls"), F.lit(0)).alias("nulls"),
+        F.count_if(F.col("a").isNull() | F.col("b").isNull()).alias("unmatched_lines"),
+        *[F.count_if(~F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}"))).alias(f"diff_{c}") for c in (key, *unchanged)])
+    side = before.select(F.col(key).alias("k"), F.lit(True).alias("_b"), F.lit(False).alias("_a"),
+                         F.lit(None).cast(after.schema[attr].dataType).alias("v")) \
+        .unionByName(after.select(F.col(key).alias("k"), F.lit(False).alias("_b"), F.lit(True).alias("_a"),
+                                  F.col(attr).alias("v")))
+    keys = (side.where("k IS NOT NULL").groupBy("k")
+            .agg(F.bool_or("_b").alias("_b"), F.bool_or("_a").alias("_a"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .agg(F.count_if(~F.col("_a")).alias("only_before"), F.count_if(~F.col("_b")).alias("only_after"),
+                 F.count_if(F.col("lo") < F.col("hi")).alias(f"multi_{attr}")))
+    return lines.crossJoin(keys)
+
+
+def verdicts(counts: DataFrame, checks: Sequence[tuple[str, str]]) -> DataFrame:
+    """V08 from one row: ``(name, boolean SQL expression)`` -> rows (check, passed, status) and 'ALL'."""
+    rows = F.array(*[F.struct(F.lit(n).alias("check"), F.expr(c).alias("passed")) for n, c in checks])
+    both = F.concat(rows, F.array(F.struct(F.lit("ALL").alias("check"),
+                                           F.forall(rows, lambda r: r["passed"]).alias("passed"))))
+    return (counts.select(F.explode(both).alias("r")).select("r.*")
+            .withColumn("status", F.when(F.col("passed"), F.lit("PASS")).otherwise(F.lit("FAIL"))))

@@ -252,10 +252,11 @@ def leak_check(inv: DataFrame, cutoff: str) -> DataFrame:
     a = base_features(inv, cutoff)
     hard = inv.where(F.col("inv_ts") < c).groupBy("customer_id").agg(
         days(F.max("inv_ts"), c).alias("r2"), F.count(F.lit(1)).alias("f2"),
-        F.sum("inv_value").cast("double").alias("m2"))
+        F.sum("inv_value").cast("double").alias("m2"), days(F.min("inv_ts"), c).alias("t2"))
     j = a.join(hard, "customer_id", "full_outer")
     same = (F.col("recency").eqNullSafe(F.col("r2")) & F.col("frequency").eqNullSafe(F.col("f2"))
-            & F.col("monetary").eqNullSafe(F.col("m2")))
+            & F.col("monetary").eqNullSafe(F.col("m2")) & F.col("tenure").eqNullSafe(F.col("t2"))
+            & F.col("avg_order_value").eqNullSafe(F.col("m2") / F.col("f2")))
     neg = ((F.col("recency") < 0) | (F.col("frequency") < 0) | (F.col("monetary") < 0)
            | (F.col("tenure") < 0) | (F.col("avg_order_value") < 0) | (F.col("future_spend") < 0))
     return j.agg(F.count(F.lit(1)).alias("customers"), F.count_if(~same).alias("mismatched"),

@@ -177,12 +177,20 @@ def p08_threshold_leakage(t):
 
 
 @query("p09_leak_check", f"""
-WITH {FEATURES}
-SELECT count(*) AS customers, 0 AS mismatched, count(*) FILTER (WHERE recency < 0) AS negative_recency,
+WITH {FEATURES},
+hard AS (
+  SELECT customer_id, date_sub('day', max(inv_ts), {C}) AS r2, count(*) AS f2,
+         CAST(sum(inv_cents) AS DOUBLE) / 100 AS m2, date_sub('day', min(inv_ts), {C}) AS t2
+  FROM inv WHERE inv_ts < {C} GROUP BY customer_id)
+SELECT count(*) AS customers,
+       count(*) FILTER (WHERE recency IS DISTINCT FROM r2 OR frequency IS DISTINCT FROM f2
+                        OR monetary IS DISTINCT FROM m2 OR tenure IS DISTINCT FROM t2
+                        OR avg_order_value IS DISTINCT FROM m2 / f2) AS mismatched,
+       count(*) FILTER (WHERE recency < 0) AS negative_recency,
        count(*) FILTER (WHERE recency < 0 OR frequency < 0 OR monetary < 0 OR tenure < 0 OR avg_order_value < 0
                         OR future_spend < 0) AS negative_any,
        min(recency) AS min_recency, max(recency) AS max_recency
-FROM feat""")
+FROM feat FULL OUTER JOIN hard USING (customer_id)""")
 def p09_leak_check(t):
     """Features rebuilt from hard-filtered rows are identical; no negative feature."""
     return P.leak_check(inv(t), CUTOFF)

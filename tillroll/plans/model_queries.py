@@ -196,7 +196,7 @@ def p31_decision_record(t):
         "recommended_model": best,
         "compared_models": [n1, n2], "recommended_model_compared": best in (n1, n2),
         "corrected_paired_t_p": tt["p_corrected"], "mcnemar_p": mc["p_value"],
-        "models_statistically_indistinguishable": bool((tt["p_corrected"] or 0) > 0.05 and mc["p_value"] > 0.05),
+        "models_statistically_indistinguishable": bool((tt["p_corrected"] is None or tt["p_corrected"] > 0.05) and mc["p_value"] > 0.05),
         "label_threshold": lab["threshold"], "n_customers_modelled": lab["n"],
         "majority_class_baseline_accuracy": lab["majority_baseline"],
         "excluded_cold_start_customers": cold["cold_start"],
