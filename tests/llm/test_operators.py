@@ -232,6 +232,50 @@ def test_merge_dropout_is_lossless_seeded_and_varied(odd, none):
     assert len({mergedrop.encoder(path, 0.3, s, 8)(words)[0] for s in range(8)}) > 3
 
 
+def plain_merge_dropout(table, word, skipped):
+    """One word's agenda, a candidate at a time."""
+    sym = [int(table.of_char[ord(c)]) for c in word]
+    spans, gone, n = list(range(len(sym))), set(), 0
+    while True:
+        best = None
+        for i in range(len(sym) - 1):
+            k = np.searchsorted(table.keys, sym[i] << 32 | sym[i + 1])
+            if k < len(table.keys) and table.keys[k] == sym[i] << 32 | sym[i + 1]:
+                c = (int(table.ranks[k]), i, int(table.merged[k]))
+                if (spans[i], spans[i + 1], c[2]) not in gone and (best is None or c < best):
+                    best = c
+        if best is None:
+            return n, sym
+        _, i, merged = best
+        if n in skipped:
+            gone.add((spans[i], spans[i + 1], merged))
+        else:
+            sym[i:i + 2] = [merged]
+            del spans[i + 1]
+        n += 1
+
+
+def test_merge_dropout_draws_afresh_for_each_occurrence():
+    path = default_path("piece_bpe_32k.model")
+    table = mergedrop.merges(path)
+    rng = np.random.default_rng(6)
+    words = ["▁" + w for w in "reconsideration agreements of international banana aaaaaaa".split()] * 30
+    plans = [tuple(rng.choice(12, int(rng.integers(0, 5)), replace=False).tolist()) for _ in words]
+    got = table.segment(words, [tuple(sorted(p)) for p in plans])
+    assert [(n, np.frombuffer(x, "<u4").tolist()) for n, x in got] == [plain_merge_dropout(table, w, p) for w, p in zip(words, plans)]
+    # one text: more than two cuts of a word, of which the undropped one has its share
+    ids = mergedrop.encoder(path, 0.1, 13)([b"reconsideration " * 4000])[0]
+    spelled = [table.pieces[i] for i in np.frombuffer(ids, "<u4").tolist()]
+    cuts = " ".join(spelled).split("▁")[1:4001]
+    considered, whole = table.segment(["▁reconsideration"], [()])[0]
+    default = " ".join(table.pieces[i] for i in np.frombuffer(whole, "<u4").tolist()).lstrip("▁").strip()
+    share = sum(c.strip() == default for c in cuts) / len(cuts)
+    assert len({c.strip() for c in cuts}) > 8 and share >= 0.9 ** considered - 0.03
+    # an uncached long chunk varies too, and texts differ
+    long = mergedrop.encoder(path, 0.1, 13)([b"a" * 300 + b" x", b"a" * 300 + b" y"])
+    assert long[0][:200] != long[1][:200] and table.decode(np.frombuffer(long[0], "<u4").tolist()) == "a" * 300 + " x"
+
+
 # 6 and 8 packing
 def token_ids(df):
     from tokenizers import Tokenizer

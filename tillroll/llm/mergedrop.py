@@ -1,11 +1,13 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 The agenda holds the candidate merges of neighbouring symbols; the one with the
-best score, leftmost among equals, is taken next.  A keyed hash of (seed,
-variant, word, merged span, split) decides whether a candidate is skipped, so a
-segmentation depends on nothing but the key: it is the same in every run and on
-every executor.  Many words are worked on together: one agenda step merges the
-best candidate of each word.
+best score, leftmost among equals, is taken next, and is skipped for good with
+the dropout's probability.  How many candidates are taken between two skipped
+ones is drawn by a keyed hash of (seed, text, position of the word, number of
+the draw): every occurrence of a word draws afresh, and a segmentation is the
+same in every run and on every executor.  What a word becomes once the skipped
+candidates are known is cached.  Many words are worked on together: one agenda
+step takes the best candidate of each word.
 
 A text is cut before every run of the space mark and around characters that no
 piece of several characters holds; no merge crosses these borders.
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import blocks
-from .wordcache import ChunkEncoder, default_path, worker_store
+from .wordcache import CACHE, LONGEST, default_path, worker_store
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,6 +43,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def gaps(keys: np.ndarray, draw: int, dropout: float) -> np.ndarray:
+    """Candidates taken before the next skipped one: geometric, from the hash of (key, draw)."""
+    if dropout <= 0:
+        return np.full(len(keys), NEVER >> 1)
+    drawn = _mix(keys + np.uint64(draw * 0x9E3779B97F4A7C15 % 2 ** 64)) >> np.uint64(11)
+    with np.errstate(divide="ignore"):
+        return np.floor(np.log((drawn + 0.5) * 2.0 ** -53) / np.log1p(-min(dropout, 1.0))).clip(0, 2 ** 40).astype(np.int64)
+
+
 class Merges:
     """The merge table of a SentencePiece BPE model with byte fallback."""
 
@@ -88,8 +99,12 @@ class Merges:
         known = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(known, self.ranks[at], NEVER), at
 
-    def segment(self, chunks: list[str], hashes: np.ndarray, dropout: float) -> list[bytes]:
-        """Packed ids of each chunk; ``hashes`` are the chunks' keys."""
+    def segment(self, chunks: list[str], skipped: list[Sequence[int]]) -> list[tuple[int, bytes]]:
+        """(candidates considered, packed ids) of each chunk.
+
+        ``skipped`` are the chunk's numbers, ascending, of the candidates that are
+        dropped, counted in the order in which the agenda comes to them.
+        """
         if not chunks:
             return []
         sizes = np.array([len(c) for c in chunks], np.int64)
@@ -99,7 +114,10 @@ class Merges:
         sym = np.where(sym < 0, -1 - points, sym)  # a character without a piece
         word = np.repeat(np.arange(len(chunks)), sizes)
         start = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        limit = np.uint64(min(int(dropout * 2.0 ** 64), 2 ** 64 - 1))
+        plan = np.array([x for p in skipped for x in (*p, -1)], np.int64)
+        ends = np.cumsum([len(p) + 1 for p in skipped])
+        planned = np.append(0, ends[:-1])  # place in the plan, and candidates considered, of each chunk
+        considered = np.zeros(len(chunks), np.int64)
         done_sym, done_word, done_start = [], [], []
 
         def ranked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,12 +125,6 @@ class Merges:
             nxt = np.minimum(at + 1, len(sym) - 1)
             rank, which = self.look_up(sym[at], sym[nxt])
             rank[(word[at] != word[nxt]) | (nxt == at)] = NEVER
-            if dropout > 0:
-                live = (rank != NEVER).nonzero()[0]
-                span = (start[at[live]].astype(np.uint64) << np.uint64(32)) | start[nxt[live]].astype(np.uint64)
-                merged = self.merged[which[live]].astype(np.uint64)
-                drawn = _mix(_mix(hashes[word[at[live]]] ^ span) + merged)
-                rank[live[drawn < limit]] = NEVER
             return rank, which
 
         rank, which = ranked(np.arange(len(sym)))
@@ -129,6 +141,14 @@ class Merges:
                 continue
             hits = (rank == np.repeat(best, size)).nonzero()[0]
             pick = hits[np.concatenate([[True], word[hits[1:]] != word[hits[:-1]]])]  # leftmost of each word
+            of = word[pick]
+            skip = plan[planned[of]] == considered[of]
+            considered[of] += 1
+            planned[of] += skip
+            rank[pick[skip]] = NEVER  # until one of its symbols grows, which makes it another candidate
+            pick = pick[~skip]
+            if not len(pick):
+                continue
             sym[pick] = self.merged[which[pick]]
             keep = np.ones(len(sym), bool)
             keep[pick + 1] = False
@@ -150,7 +170,7 @@ class Merges:
             ids = [x for s in sym[border[i]:border[i + 1]].tolist()
                    for x in ([s] if s >= 0 else [self.byte_ids[b] for b in chr(-1 - s).encode()])]
             out[i] = np.array(ids, "<u4").tobytes()
-        return out
+        return list(zip(considered.tolist(), out))
 
     def decode(self, ids: list[int]) -> str:
         """The text of any segmentation: the inverse of encoding."""
@@ -165,48 +185,96 @@ def merges(path: str) -> Merges:
     return store["m"]
 
 
-def encoder(path: str, dropout: float, seed: int, variants: int):
-    """Texts (bytes) to packed ids.  The variant of a text is a keyed hash of it."""
+def encoder(path: str, dropout: float, seed: int, variants: int | None = None):
+    """Texts (bytes) to packed ids.  With ``variants``, texts share so many streams of draws; else each has its own."""
     table = merges(path)
-    mark = SPACE.encode()
-
-    def encode_chunks(keyed: list[bytes]) -> list[bytes]:
-        hashes = np.fromiter((xxhash.xxh64_intdigest(c, seed) for c in keyed), np.uint64, len(keyed))
-        return table.segment([c[1:].decode(errors="replace") for c in keyed], hashes, dropout)
-
-    known = ChunkEncoder("merge ids", (path, dropout, seed, variants), encode_chunks)
-    literal = b"".join(np.array([table.byte_ids[b]], "<u4").tobytes() for b in mark)
+    store = worker_store("merge ids", (path,))
+    known: dict = store.setdefault("known", {})  # chunk, or (chunk, *skipped): candidates considered, packed ids
+    literal = b"".join(np.array([table.byte_ids[b]], "<u4").tobytes() for b in SPACE.encode())
+
+    def look_up(keys: list) -> list[tuple[int, bytes]]:
+        found = list(map(known.get, keys))
+        if None not in found:
+            return found
+        new = list({k for k, x in zip(keys, found) if x is None})
+        extra = {}
+        for at in range(0, len(new), 20_000):
+            part = new[at:at + 20_000]
+            extra.update(zip(part, table.segment([k if isinstance(k, str) else k[0] for k in part],
+                                                 [() if isinstance(k, str) else k[1:] for k in part])))
+        if "" in extra:
+            extra[""] = (0, literal)
+        if len(known) > CACHE and 2 * len(new) > len(keys):
+            known.clear()
+        if len(known) <= CACHE:
+            known.update(extra)
+        return [extra[k] if x is None else x for k, x in zip(keys, found)]
+
+    def encode_chunks(chunks: list[str], keys: np.ndarray) -> list[bytes]:
+        long = [i for i, c in enumerate(chunks) if len(c) > LONGEST]  # are drawn to the end at once, and not cached
+        if long:
+            chunks = chunks.copy()
+            plans, whole = [], [chunks[i] for i in long]
+            for i in long:
+                most, drops = 3 * len(chunks[i]), []  # a chunk of n symbols has under n merges, each makes two candidates
+                while not drops or drops[-1] < most:
+                    gap = gaps(keys[i:i + 1], len(drops), dropout).item()
+                    drops.append((drops[-1] + 1 if drops else 0) + gap)
+                plans.append(drops)
+                chunks[i] = ""
+        found = look_up(chunks)
+        out = [ids for _, ids in found]
+        drop = gaps(keys, 0, dropout)
+        at = (drop < np.fromiter((n for n, _ in found), np.int64, len(found))).nonzero()[0]
+        drop = drop[at]
+        paths = [(chunks[i], d) for i, d in zip(at.tolist(), drop.tolist())]
+        draw = 1
+        while len(at):
+            found = look_up(paths)
+            for i, (_, ids) in zip(at.tolist(), found):
+                out[i] = ids
+            drop = drop + 1 + gaps(keys[at], draw, dropout)
+            more = (drop < np.fromiter((n for n, _ in found), np.int64, len(found))).nonzero()[0]
+            at, drop, draw = at[more], drop[more], draw + 1
+            paths = [(*paths[k], d) for k, d in zip(more.tolist(), drop.tolist())]
+        if long:
+            for i, (_, ids) in zip(long, table.segment(whole, plans)):
+                out[i] = ids
+        return out
 
     def encode(texts: list[bytes | None]) -> list[bytes]:
-        out = []
+        chunks: list[str] = []
+        ends, streams = [], []
         for t in texts:
-            if not t:
-                out.append(b"")
-                continue
-            text = t.decode(errors="replace")
-            prefix = bytes([xxhash.xxh64_intdigest(t, seed + 1) % variants])
-            if SPACE not in text:
-                out.append([prefix + c.encode() for c in table.chunks(text)])
-            else:  # the mark itself is spelled in bytes, so that decoding gives it back
+            if t:
+                text = t.decode(errors="replace")
                 parts = text.split(SPACE)
-                chunked = [table.chunks(parts[0])] + [table.cut.findall(p.replace(" ", SPACE)) for p in parts[1:]]
-                out.append([[prefix + c.encode() for c in part] for part in chunked])
-        plain = known.encode([x for x in out if isinstance(x, list) and not (x and isinstance(x[0], list))])
-        it = iter(plain)
-        return [x if isinstance(x, bytes) else literal.join(known.encode(x)) if x and isinstance(x[0], list)
-                else next(it) for x in out]
+                chunks += table.chunks(parts[0])
+                for p in parts[1:]:  # the mark itself is spelled in bytes, so that decoding gives it back
+                    chunks.append("")
+                    chunks += table.cut.findall(p.replace(" ", SPACE))
+            ends.append(len(chunks))
+            stream = xxhash.xxh64_intdigest(t or b"", seed)
+            streams.append(xxhash.xxh64_intdigest((stream % variants).to_bytes(8, "little"), seed) if variants else stream)
+        starts = np.array([0, *ends[:-1]], np.int64)
+        sizes = np.array(ends, np.int64) - starts
+        place = np.arange(len(chunks)) - np.repeat(starts, sizes)
+        keys = _mix(np.repeat(np.array(streams, np.uint64), sizes) + _mix(place.astype(np.uint64) + np.uint64(1)))
+        packed = encode_chunks(chunks, keys)
+        return [b"".join(packed[a:b]) for a, b in zip(starts.tolist(), ends)]
 
     return encode
 
 
 def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 13,
-           variants: int = 2, model: str | None = None, with_ids: bool = True, verify: bool = False) -> DataFrame:
+           variants: int | None = None, model: str | None = None, with_ids: bool = True, verify: bool = False) -> DataFrame:
     """One row per document: doc_id, n_ids, ids_crc32[, ids (array<int>)][, lossless: the ids decode to the text].
 
-    Null and empty texts have no ids.  Each text has one of ``variants`` draws of
-    the dropped merges, chosen by a keyed hash of the text; equal texts are encoded
-    alike, and a word may be cut differently in another text.  With dropout 0 the
-    ids are those of the SentencePiece library.  Other columns are not read.
+    Null and empty texts have no ids.  Every occurrence of a word draws its dropped
+    merges afresh, by a keyed hash of the text and the position; equal texts are
+    encoded alike.  With ``variants``, the texts share so many streams of draws.
+    With dropout 0 the ids are those of the SentencePiece library.  Other columns
+    are not read.
     """
     path = model or default_path("piece_bpe_32k.model")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
