@@ -403,6 +403,21 @@ def test_toxicity_odd(spark, odd, none):
         assert crf.score(none, model).count() == 0 and crf.keep_clean(odd, model).columns == odd.columns
 
 
+def test_toxicity_prior_is_that_of_all_labels(spark, monkeypatch):
+    rows = [(i, f"plain words number {i} of a text about {i * 7} things" + " vile slur" * (i % 10 == 0), 1, int(i % 10 == 0))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    shares, whole = [], crf._fit_sample
+
+    def watched(model, sample, support, share, *rest):
+        shares.append(share)
+        return whole(model, sample, support, share, *rest)
+    monkeypatch.setattr(crf, "_fit_sample", watched)
+    for bound in (8000, 30):
+        crf.fit(crf.labelled_rows(df.select("doc_id", "text"), df.select("doc_id", "quality", "toxic"), lambda i: i < 0, bound))
+    assert np.allclose(shares, 0.1)
+
+
 # 10 language id
 def test_language_held_out(spark):
     root = "/root/testdata/sf0.01"

@@ -149,18 +149,26 @@ def cue_counts(rows: DataFrame) -> DataFrame:
 
 
 def different(rows: DataFrame) -> DataFrame:
-    """(text, toxic) without most near copies: of each sketch and label the first text."""
+    """(text, toxic[, share]) without most near copies: of each sketch and label the first text."""
+    extra = [c for c in rows.columns if c == "share"]
+    rows = rows.select("text", "toxic", *extra)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = [sketch(t.as_py() or "") for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], ["text", "toxic", "sketch"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], ["text", "toxic", *extra, "sketch"])
 
-    return rows.mapInArrow(run, "text string, toxic int, sketch long").groupBy("sketch", "toxic") \
-        .agg(F.min("text").alias("text")).select("text", "toxic")
+    schema = "text string, toxic int, " + "share double, " * len(extra) + "sketch long"
+    return rows.mapInArrow(run, schema).groupBy("sketch", "toxic") \
+        .agg(F.min("text").alias("text"), *[F.max(c).alias(c) for c in extra]).select("text", "toxic", *extra)
 
 
 def fit(labelled: DataFrame, docs_of_label: int = FIT_DOCS, seed: int = 5) -> Field:
-    """Fit on (text, toxic) rows.  Without rows of both labels: a field that scores every text low."""
+    """Fit on (text, toxic) rows.  Without rows of both labels: a field that scores every text low.
+
+    A column ``share`` holds the share of toxic labels in the corpus that the rows were
+    chosen from; without it, it is that of the rows.
+    """
     model = Field(token=uuid.uuid4().hex)
     rows = cut(different(labelled), "labelled", True)
     counts = cut(cue_counts(rows), "cues", True)
@@ -168,6 +176,7 @@ def fit(labelled: DataFrame, docs_of_label: int = FIT_DOCS, seed: int = 5) -> Fi
     if all_docs is None or not all_docs["n_toxic"] or not all_docs["n_clean"]:
         return model
     n0, n1 = all_docs["n_clean"], all_docs["n_toxic"]
+    share = rows.agg(F.max("share")).first()[0] if "share" in rows.columns else n1 / (n0 + n1)
     ratio = ((F.col("n_toxic") + 0.5) / (n1 + 1)) / ((F.col("n_clean") + 0.5) / (n0 + 1))
     cues = counts.where((F.col("bucket") >= 0) & (F.col("n_toxic") >= CUE_DOCS) & (ratio >= CUE_RATIO))
     support = np.zeros(BUCKETS, np.int64)
@@ -176,7 +185,7 @@ def fit(labelled: DataFrame, docs_of_label: int = FIT_DOCS, seed: int = 5) -> Fi
     chosen = F.when(F.col("toxic") == 1, fraction_of(F.xxhash64("text"), docs_of_label, n1)) \
         .otherwise(fraction_of(F.xxhash64("text"), docs_of_label, n0))
     sample = rows.where(chosen & (F.length("text") <= FIT_CHARS)).limit(4 * docs_of_label).collect()
-    return _fit_sample(model, [(r["text"], r["toxic"]) for r in sample], support, n1 / (n0 + n1), seed)
+    return _fit_sample(model, [(r["text"], r["toxic"]) for r in sample], support, share, seed)
 
 
 def _fit_sample(model: Field, sample: list[tuple[str, int]], support: np.ndarray, share: float, seed: int,
@@ -355,10 +364,11 @@ def keep_clean(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column],
                   rows_of_label: int = LABELLED_DOCS) -> DataFrame:
-    """(text, toxic) of the documents to learn from: about ``rows_of_label`` of each label, chosen by a hash of the id.
+    """(text, toxic, share) of the documents to learn from: about ``rows_of_label`` of each label, chosen by a hash of the id.
 
     ``held_out(doc_id)`` rows are left out; of several labels of an id the larger
-    counts.  The chosen labels are bounded, so they are broadcast and no text moves.
+    counts.  The chosen labels are bounded, so they are broadcast and no text moves.  ``share`` is the share of toxic ones among all usable
+    labels, which the sample, bounded for each label, does not have.
     """
     known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id") \
         .agg(F.max("toxic").cast("int").alias("toxic"))
@@ -366,4 +376,6 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column
     some = known.where(F.when(F.col("toxic") == 1, fraction_of(F.xxhash64("doc_id"), rows_of_label, n.get(1, 0)))
                        .otherwise(fraction_of(F.xxhash64("doc_id"), rows_of_label, n.get(0, 0))))
     some = some.limit(4 * rows_of_label)
-    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic")
+    share = F.lit(n.get(1, 0) / max(1, n.get(0, 0) + n.get(1, 0)))
+    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(some), "doc_id") \
+        .select("text", "toxic", share.alias("share"))
