@@ -71,6 +71,26 @@ def test_extract_broken_pages(page):
     assert isinstance(mincut.main_text(page), str)
 
 
+LONG = "This sentence belongs to the article and is long enough to be told from a menu. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>t</title><meta charset=utf-8><p>{}</p></html>", "<head><title>t</title><template><p>no</p></template>{}",
+    "<body><div><button>Menu</div><p>{}</p></body>", "<body><button>Menu<article><p>{}</p></article><button>x</button></body>",
+    "<body><div><select><option>a</div><article>{}</article><select></select>", "<body><video src=x><p>{}</p></body>",
+    "<body><div><object><p>no</p></div><main>{}</main><object></object>", "İ" * 40 + "<script>x</script><article>{}</article>",
+    "<p>" + "İ" * 40 + "</p><STYLE>x</Style ><p>{}</p>"])
+def test_extract_keeps_text_after_unclosed_elements(page):
+    got = mincut.main_text(page.format(LONG))
+    assert LONG.strip() in got and not re.search(r"\bno\b", got)
+
+
+def test_extract_drops_closed_elements():
+    page = ("<article>{0}<button><div>one</div><p>two</button><select><option>three</select><canvas><p>four</p></canvas>"
+            "<template><article>five</article></template><svg><g><text>six</text></g></svg></article>")
+    assert mincut.main_text(page.format(LONG)) == LONG.strip()
+
+
 def test_least_cut_is_least():
     rng = np.random.default_rng(1)
     for _ in range(60):

@@ -32,7 +32,7 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 #: Elements whose content is no text of the page.
-DROPPED = frozenset("script style head title noscript template svg math iframe object embed canvas video audio map select"
+DROPPED = frozenset("script style title noscript template svg math iframe object embed canvas video audio map select"
                     " option datalist textarea button noembed noframes xmp".split())
 #: Of these, the ones whose content is not parsed: it runs to the end tag.
 RAW = frozenset("script style textarea title iframe noembed noframes noscript xmp".split())
@@ -41,9 +41,14 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    " rb rp rt s samp small span strike strong sub sup time tt u var wbr input".split())
 #: Start tags that end an open element of the second set (an end tag that may be left out).
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-        "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
+        "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = frozenset("address article aside blockquote details dialog dir div dl fieldset figcaption figure footer form h1 h2"
                      " h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd".split())
+#: Start tags that no unclosed element of the second set can hold; and elements that end where the next one of them starts.
+SECTIONS, ENDED = frozenset("article main section nav aside header footer body".split()), frozenset(
+    "button select option datalist object canvas video audio map".split())
+ALONE = frozenset("button select option".split())
+END_TAG = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in DROPPED}
 #: Up to which element an end tag or an implied end reaches.
 BARRIER = frozenset("ul ol dl table tbody thead tfoot article section div body html main aside nav".split())
 
@@ -101,8 +106,16 @@ def blocks(page: str) -> list[Block]:
     in_link = 0
     number = 0
     dropped: str | None = None
-    depth = 0
-    lower = None
+    inside: list[str] = []  # elements open in the dropped one
+    next_end: dict[str, int] = {}
+
+    def end_tag(tag: str) -> int:
+        """Where the next end tag starts, -1: there is none.  Each is searched for once."""
+        found = next_end.get(tag, 0)
+        if 0 <= found < at or tag not in next_end:
+            m = END_TAG[tag].search(page, at)
+            found = next_end[tag] = m.start() if m else -1
+        return found
 
     def flush() -> None:
         nonlocal parts, linked
@@ -162,20 +175,32 @@ def blocks(page: str) -> list[Block]:
         if m[5] and not m[0].endswith(">"):
             break  # the page ends inside a tag
         if dropped is not None:
-            if tag == dropped:
-                depth += -1 if closing else 1
-                if not depth:
+            if closing:
+                if tag in inside:
+                    while inside.pop() != tag:
+                        pass
+                    continue
+                if tag == dropped:
                     dropped = None
-            elif dropped == "head" and tag == "body":
+                    continue
+                if all(x[0] != tag for x in stack):
+                    continue
+                dropped = None  # an enclosing element ends, so the dropped one does
+            elif tag in SECTIONS and dropped in ENDED:
                 dropped = None
+            elif tag == dropped and tag in ALONE:
+                inside.clear()
+                continue
             else:
-                if tag in RAW and not closing:
-                    lower = page.lower() if lower is None else lower
-                    stop = lower.find("</" + tag, at)
+                if tag in RAW:
+                    stop = end_tag(tag)
                     at = end if stop < 0 else stop
+                elif tag not in VOID and not m[0].endswith("/>"):
+                    inside.append(tag)
                 continue
-            if dropped is not None or tag != "body":
-                continue
+        if tag == "head":  # what it may hold is dropped by itself, and anything else ends it
+            flush()
+            continue
         if closing:
             close(tag)
             if tag == "br":
@@ -190,14 +215,14 @@ def blocks(page: str) -> list[Block]:
             if (m[3] or m[6] or "").rstrip().endswith("/") and tag in ("svg", "math"):
                 continue
             if tag in RAW:
-                lower = page.lower() if lower is None else lower
-                stop = lower.find("</" + tag, at)
+                stop = end_tag(tag)
                 if stop < 0:
                     break
                 close_at = page.find(">", stop)
                 at = end if close_at < 0 else close_at + 1
-            else:
-                dropped, depth = tag, 1
+            elif end_tag(tag) >= 0:
+                dropped = tag
+                inside.clear()
             continue
         if tag == "br":
             parts.append(" ")
