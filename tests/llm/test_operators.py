@@ -91,6 +91,23 @@ def test_extract_drops_closed_elements():
     assert mincut.main_text(page.format(LONG)) == LONG.strip()
 
 
+@pytest.mark.parametrize("page", [
+    '<article class="content has-sidebar"><p>{}</article>', '<article class="content no-sidebar"><p>{}</article>',
+    '<div class="main with-nav"><p>{}</div>', '<div class="post-share-enabled"><p>{}</div>',
+    '<div class="content sidebar"><p>{}</div>', '<div class="layout-sidebar"><article><p>{}</article></div>',
+    '<div class="page-sidebar"><div class="entry"><p>{}</div></div>'])
+def test_extract_keeps_articles_in_layout_classes(page):
+    nav = '<div class="sidebar"><p>Some other words.</div>'
+    assert mincut.main_text(nav + page.format(LONG) + nav) == LONG.strip()
+
+
+def test_extract_word_costs():
+    for name in ("main-nav", "article-footer", "sidebar-content", "comment-body", "nav"):
+        assert mincut.main_text(f'<div class="{name}"><p>{LONG}</div>') == ""
+    assert mincut.main_text(f'<div class="layout-sidebar"><p>{LONG * 5}</div>') == (LONG * 5).strip()
+    assert mincut.main_text(f'<nav><div class="content"><article><p>{LONG}</article></div></nav>') == ""
+
+
 def test_least_cut_is_least():
     rng = np.random.default_rng(1)
     for _ in range(60):

@@ -65,20 +65,38 @@ WORD_COST = {w: -200 for w in
 WORD_COST |= {"header": -60, "article": 30, "content": 20, "main": 20, "post": 10, "entry": 20, "story": 20, "body": 5}
 ROLE_COST = {"navigation": -200, "banner": -200, "contentinfo": -200, "complementary": -200, "search": -200, "form": -200,
              "dialog": -200, "alert": -200, "menu": -200, "main": 30, "article": 40}
+#: A boilerplate word behind one of the first or before one of the second tells of the page's layout, not of the element.
+LAYOUT_BEFORE, LAYOUT_AFTER = frozenset("no has with without non not".split()), frozenset("enabled disabled".split())
+#: What boilerplate words cost beside a positive word of the same attribute; what they may cost at most in all; how much of
+#: that reaches into an article, main or positively named element; and how much unlinked text outweighs it.
+MIXED_COST, WORD_FLOOR, REACH, OUTWEIGHS = -40, -200, -40, 1000
 LINK_COST, LONG_COST, SENTENCE_COST, BASE_COST = -60, 30, 10, 5
 ADJACENT, SIBLING = 8, 12
 
 
-def _own_cost(tag: str, attributes: str) -> int:
-    cost = ELEMENT_COST.get(tag, 0)
+def _word_cost(value: str) -> int:
+    """Cost of a class or id: of each of its names, then of names that speak for content against the others."""
+    good = bad = 0
+    for name in value.split():
+        words = [w.lower() for w in WORD.findall(name)]
+        costs = [WORD_COST[w] for i, w in enumerate(words) if w in WORD_COST and not (
+            WORD_COST[w] < 0 and (i and words[i - 1] in LAYOUT_BEFORE or i + 1 < len(words) and words[i + 1] in LAYOUT_AFTER))]
+        if costs and min(costs) < 0:
+            bad = min(bad, *costs)
+        elif costs:
+            good = max(good, *costs)
+    return good + max(bad, MIXED_COST) if good and bad else good + bad
+
+
+def _own_cost(tag: str, attributes: str) -> tuple[int, int]:
+    """What the element itself, its role and style cost, and what the words of its class and id do."""
+    cost, words = ELEMENT_COST.get(tag, 0), 0
     if attributes:
         for m in ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
-                words = {w.lower() for w in WORD.findall(value)}
-                costs = [WORD_COST[w] for w in words if w in WORD_COST]
-                if costs and tag not in ("body", "html"):
-                    cost += min(costs) if min(costs) < 0 else max(costs)
+                if tag not in ("body", "html"):
+                    words += _word_cost(value)
             elif key == "role":
                 cost += ROLE_COST.get(value.strip().lower(), 0)
             elif key == "style":
@@ -86,7 +104,7 @@ def _own_cost(tag: str, attributes: str) -> int:
                     cost -= 200
             elif key == "hidden" or value.strip().lower() == "true":
                 cost -= 200
-    return cost
+    return cost, words
 
 
 class Block:
@@ -99,8 +117,8 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order, with the cost of their enclosing elements and of their own features."""
     out: list[Block] = []
-    # open elements: tag, summed cost, number, is inline
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]
+    # open elements: tag, summed cost, number, summed cost of class and id words
+    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
     parts: list[str] = []
     linked = 0
     in_link = 0
@@ -125,8 +143,11 @@ def blocks(page: str) -> list[Block]:
                 at = len(stack) - 1
                 while at and stack[at][0] in INLINE:
                     at -= 1
-                cost = stack[-1][1] + BASE_COST
                 n = len(text)
+                words = stack[-1][3]
+                if words < 0:
+                    words = min(0, words - WORD_FLOOR * max(0, n - linked) // OUTWEIGHS)
+                cost = max(-400, min(100, stack[-1][1] + words)) + BASE_COST
                 cost += LINK_COST * min(linked, n) // n + LONG_COST * min(n, 200) // 200
                 if text[-1] in ".!?…:;\"”»)":
                     cost += SENTENCE_COST
@@ -236,7 +257,11 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         number += 1
-        stack.append((tag, max(-400, min(100, stack[-1][1] + _own_cost(tag, m[3] or m[6] or ""))), number))
+        cost, words = _own_cost(tag, m[3] or m[6] or "")
+        reached = stack[-1][3]
+        if words > 0 or tag in ("article", "main") and not any(x[0] == "article" for x in stack):
+            reached = max(reached, REACH)
+        stack.append((tag, max(-400, min(100, stack[-1][1] + cost)), number, max(WORD_FLOOR, min(100, reached + words))))
         if tag == "a":
             in_link += 1
     flush()
