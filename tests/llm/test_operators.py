@@ -249,6 +249,22 @@ def test_pii_sanitise_odd(odd, none):
     assert disclosure.sanitise(odd).columns == odd.columns and disclosure.sanitise(none).count() == 0
 
 
+def test_pii_sanitise_masks_whole_spans(spark):
+    cases = [("call +33.1.42.68.53.00 now", "call [PHONE] now"), ("😀é 1.2.3.4, a.b@c.de", "😀é [IP], [EMAIL]"),
+             ("a@10.20.30.40 x", "[EMAIL] x"), ("+12345678 1.2.3.4 5678901", "+[IP]"), ("no data", "no data"), ("", ""), (None, None),
+             ("1.2.3.4", "[IP]"), ("+33.1.42.68.53.00 +33.1.42.68.53.01", None)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in disclosure.sanitise(df).collect()}
+    for i, (text, want) in enumerate(cases[:8]):
+        if i == 3:
+            assert not brute_pii(got[i]) and "12345678" not in got[i]
+        else:
+            assert got[i] == want
+    for i, t in enumerate(t for t, _ in cases):
+        spans = brute_pii(t)
+        assert all(t[int(a):int(b)] not in got[i] for _, a, b in (x.split(":") for x in spans)) and not brute_pii(got[i])
+
+
 # 5 merge-dropout
 def test_merges_equal_the_library_without_dropout(docs):
     import sentencepiece

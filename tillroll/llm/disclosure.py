@@ -228,21 +228,58 @@ def _replaced(text: Column, pattern: str | Column, test: Callable[[Column], Colu
     return _parted(text, pattern, joined)
 
 
+def _merged(spans: Column) -> Column:
+    """Spans (start, end, size, label) by start, overlapping ones as one: its label is that of the longest."""
+    kind = "array<struct<start:bigint,end:bigint,size:bigint,label:string>>"
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        both = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
+                        F.greatest(last["size"], s["size"]).alias("size"),
+                        F.when(s["size"] > last["size"], s["label"]).otherwise(last["label"]).alias("label"))
+        return F.when((F.size(acc) > 0) & (last["end"] > s["start"]),
+                      F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(both))) \
+            .otherwise(F.concat(acc, F.array(s))).cast(kind)
+
+    return F.aggregate(F.array_sort(spans).cast(kind), F.array().cast(kind), step)
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with each of the merged spans as its label, in one pass."""
+    def body(m: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(m, i - 1)["end"]).otherwise(F.lit(0).cast("long"))
+            return F.concat(F.substring(text, (before + 1).cast("int"), (s["start"] - before).cast("int")), F.lit("["), s["label"],
+                            F.lit("]"))
+        rest = F.get(m, F.size(m) - 1)["end"]
+        return F.concat(F.array_join(F.transform(m, piece), ""), F.substring(text, (rest + 1).cast("int"), F.length(text)))
+    return F.when(F.size(spans) > 0, let(_merged(spans), body)).otherwise(text)
+
+
 def sanitise(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with personal data generalised in ``text``; all other columns as they were.
 
-    Matches become [EMAIL], [IP], [CARD] and [PHONE], disclosing words [TERM].  Null
-    texts stay null, clean texts stay as they are.
+    Matches become [EMAIL], [IP], [CARD] and [PHONE], disclosing words [TERM].  All
+    are found in the text as it was, and overlapping ones become one; what is a valid
+    match only once its neighbours are gone is masked after that.  Null texts stay
+    null, clean texts stay as they are.
     """
     rows = _with_terms(docs, text, disclosing_terms(docs, text, **options))
-    out = rows
+    t = F.col("t")
+
+    def of(spans: Column, label: str) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                                     (s["end"] - s["start"]).alias("size"), F.lit(label).alias("label")))
+
+    term = F.when(F.size("terms") > 0, find(t, _term_pattern(F.col("terms")), lambda v: F.lit(True))) \
+        .otherwise(F.array().cast(SPANS))
+    out = rows.select("doc", "t", F.concat(*[of(base_spans(t, k), k.upper()) for k in KINDS], of(term, "TERM")).alias("spans"))
+    out = out.select("doc", _masked(t, F.col("spans")).alias("t"), (F.size("spans") > 0).alias("changed"))
     for k in KINDS:
-        new = _replaced(F.col("t"), PATTERNS[k], lambda v, k=k: valid(k, v), f"[{k.upper()}]")
-        some = F.col("t").rlike(PATTERNS[k])
+        new = _replaced(t, PATTERNS[k], lambda v, k=k: valid(k, v), f"[{k.upper()}]")
+        some = t.rlike(PATTERNS[k])
         if HINTS[k]:
-            some = F.col("t").contains(HINTS[k]) & some
-        out = out.withColumn("t", F.when(some, new).otherwise(F.col("t")))
-    new = _replaced(F.col("t"), _term_pattern(F.col("terms")), lambda v: F.lit(True), "[TERM]")
-    out = out.withColumn("t", F.when(F.size("terms") > 0, new).otherwise(F.col("t")))
+            some = t.contains(HINTS[k]) & some
+        out = out.withColumn("t", F.when(F.col("changed") & some, new).otherwise(t))
     return out.select(*[F.when(F.col("doc")[c].isNotNull(), F.col("t")).alias(c) if c == text else F.col("doc")[c].alias(c)
                         for c in docs.columns])
