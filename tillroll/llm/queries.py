@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binpack, crf, disclosure, itq, mergedrop, mincut, packing, ppm, quality, simhash
+from . import binpack, bitslice, bwtmerge, crf, disclosure, itq, mergedrop, mincut, packing, ppm, quality, simhash, whitening
 from .common import crc_mod, table
 from .wordcache import LARGE_CACHE
 
@@ -75,6 +75,23 @@ def language_id(spark: SparkSession, root: str) -> DataFrame:
     return ppm.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    found = bwtmerge.remove_repeats(table(spark, root, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def target_resampling(spark: SparkSession, root: str) -> DataFrame:
+    """doc_id, n_features, weight, score, rank, n_words of every document."""
+    found = bitslice.resample(table(spark, root, "documents"), table(spark, root, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def embedding_whitening(spark: SparkSession, root: str) -> DataFrame:
+    """vec_id, component, n, deviation, whitened, explained, identity_error of every vector and component."""
+    return whitening.whiten(table(spark, root, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": html_extraction,
     "op2_quality_rules": quality_rules,
@@ -86,6 +103,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_matrices": token_matrices,
     "op9_toxicity": toxicity,
     "op10_language_id": language_id,
+    "op11_suffix_dedup": suffix_dedup,
+    "op12_target_resampling": target_resampling,
+    "op13_embedding_whitening": embedding_whitening,
 }
 
 #: Where SQL cannot express an operator, tests/llm holds its query against a brute-force version.
