@@ -42,10 +42,10 @@ LENGTH = 200
 #: Bytes of an anchor.
 SEED = 32
 #: Texts are scanned in pieces of about so many bytes, with an overlap.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Context text of one merge, of one shard in it, and the most that one anchor may bring.
-BLOCK_BYTES = 1 << 20
-SHARD_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 19
+SHARD_BYTES = 1 << 17
 GROUP_BYTES = 4 << 20
 #: Keys of more rows than this, and than a HOT_KEYS-th of all, are joined by broadcast: at most HOT_KEYS of them.
 HOT_ROWS = 20_000
@@ -148,37 +148,57 @@ def _packed(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def _classes(sorted_keys: np.ndarray) -> np.ndarray:
-    """For each place of an order, the place where its class begins."""
-    new = np.r_[True, sorted_keys[1:] != sorted_keys[:-1]]
-    return np.flatnonzero(new)[np.cumsum(new) - 1]
-
-
-def _refine(order: np.ndarray, rank: np.ndarray, step: int, kind: str | None) -> None:
-    """Order the members of each class by the class of the suffix ``step`` further, in place."""
-    place = np.arange(len(order))
-    mine = rank[order]
-    open_ = np.flatnonzero((mine != place) | np.r_[mine[1:] == mine[:-1], False])  # classes of two or more
+    """For each place of an order, one more than the place where its class begins."""
+    new = np.empty(len(sorted_keys), bool)
+    new[:1] = True
+    np.not_equal(sorted_keys[1:], sorted_keys[:-1], out=new[1:])
+    begins = np.flatnonzero(new)
+    return np.repeat(begins.astype(np.int32) + 1, np.diff(begins, append=len(new)))
+
+
+def _refine(order: np.ndarray, rank: np.ndarray, open_: np.ndarray | None, step: int, kind: str | None) -> np.ndarray:
+    """Order the members of each class by the class of the suffix ``step`` further, in place.  ``open_``: the places of
+    the order in classes of two or more, None if not known; returned for the next round.  ``rank`` has zeros behind."""
+    if open_ is None:
+        mine = rank[order]
+        open_ = np.flatnonzero(_several(mine))
     if not len(open_):
-        return
+        return open_
     suffix = order[open_]
-    ahead = suffix + step
-    key = mine[open_].astype(np.int64) << 32 | np.where(ahead < len(rank), rank[np.minimum(ahead, len(rank) - 1)] + 1, 0)
+    key = rank[suffix].astype(np.int64)
+    key <<= 32
+    key |= rank[suffix + step]
     by = np.argsort(key, kind=kind)
     key, suffix = key[by], suffix[by]
     order[open_] = suffix
-    new = np.r_[True, key[1:] != key[:-1]]
-    rank[suffix] = open_[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    at = _classes(key)
+    rank[suffix] = open_[at - 1] + 1
+    return open_[_several(at)]
+
+
+def _several(classes: np.ndarray) -> np.ndarray:
+    """Which places of an order share their class with a neighbour."""
+    same = classes[1:] == classes[:-1]
+    out = np.zeros(len(classes), bool)
+    out[1:] = same
+    out[:-1] |= same
+    return out
+
+
+def _ranked(order: np.ndarray, sorted_keys: np.ndarray, length: int) -> np.ndarray:
+    rank = np.zeros(len(order) + length, np.int32)
+    rank[order] = _classes(sorted_keys)
+    return rank
 
 
 def shard_order(x: np.ndarray, n: int, length: int) -> np.ndarray:
     """The suffixes of ``x[:n]`` in the order of their first ``length`` bytes.  The shard's transform is the
     byte before each of them."""
     key = _packed(x, n)
-    order = np.argsort(key)
-    rank = np.empty(n, np.int64)
-    rank[order] = _classes(key[order])
+    order = np.argsort(key).astype(np.int32)
+    rank, open_ = _ranked(order, key[order], length), None
     for step in _depths(length):
-        _refine(order, rank, step, None)
+        open_ = _refine(order, rank, open_, step, None)
     return order
 
 
@@ -190,26 +210,27 @@ def merge(shards: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     x = np.frombuffer(b"".join([*shards, bytes(8)]), np.uint8)
     base, orders = 0, []
     for s in shards:  # each sorted by itself
-        orders.append(base + shard_order(np.frombuffer(s + bytes(8), np.uint8), len(s), length))
+        orders.append(shard_order(np.frombuffer(s + bytes(8), np.uint8), len(s), length) + np.int32(base))
         base += len(s)
     runs = np.concatenate(orders)
     key = _packed(x, n)[runs]
-    order = runs[np.argsort(key, kind="stable")]  # the interleave by eight bytes; stable sorts merge sorted runs
-    rank = np.empty(n, np.int64)
-    rank[order] = _classes(_packed(x, n)[order])
+    by = np.argsort(key, kind="stable")  # the interleave by eight bytes; stable sorts merge sorted runs
+    order = runs[by]
+    rank, open_ = _ranked(order, key[by], length), None
     for step in _depths(length):
-        _refine(order, rank, step, "stable")
-    return order, rank
+        open_ = _refine(order, rank, open_, step, "stable")
+    return order, rank[:n]
 
 
 def _repeated(contexts: list[bytes], counts: np.ndarray, length: int, shard_bytes: int):
     """For each context, the runs (first, last) of its string starts whose string stands twice or more."""
-    shards, held = [], []
+    shards, held, size = [], [], 0
     for c in contexts:
         held.append(c)
-        if sum(map(len, held)) >= shard_bytes:
+        size += len(c)
+        if size >= shard_bytes:
             shards.append(b"".join(held))
-            held = []
+            held, size = [], 0
     if held:
         shards.append(b"".join(held))
     order, rank = merge(shards, length)
@@ -220,7 +241,7 @@ def _repeated(contexts: list[bytes], counts: np.ndarray, length: int, shard_byte
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     cls = rank[starts[owner] + inside]
     times = np.bincount(cls, weights=counts[owner], minlength=1)
-    again = times[cls] >= 2
+    again = times[cls] >= 2  # classes with two starts or more: repeated intervals
     edge = np.r_[True, (owner[1:] != owner[:-1]) | (again[1:] != again[:-1])]
     first = np.flatnonzero(edge)
     last = np.r_[first[1:], len(owner)] - 1
@@ -414,14 +435,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         raise ValueError("seed must be a power of two from 8 to length, and length below 1024")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     texts = _numbered(rows)
-    places = texts.select("t", "text").mapInArrow(scan_contexts(length, seed), "key long, c long, t long, place long")
+    places = cut(texts.select("t", "text").mapInArrow(scan_contexts(length, seed), "key long, c long, t long, place long"), "contexts")
     shared = cut(places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "anchors", True)
-    wanted = cut(_counted_join(places, shared, ["key"], ["t", "place"]), "places", True)
+    wanted = cut(_counted_join(places, shared, ["key"], ["t", "place"]), "places")
     lists = wanted.groupBy("key", "c").agg(F.count("*").alias("n"), F.min(F.struct("t", "place")).alias("at")) \
         .groupBy(F.col("at.t").alias("t")).agg(F.collect_list(F.struct("key", "c", "n", "at.place")).alias("wanted"))
     contexts = cut(texts.join(lists, "t").select("text", "wanted")
                    .mapInArrow(_slice(length), "key long, c long, n long, at int, context binary"), "contexts")
-    found = cut(_found(contexts, length, seed, _span(length, seed) // 2, group_bytes), "repeats", True)
+    found = cut(_found(contexts, length, seed, _span(length, seed) // 2, group_bytes), "repeats")
     spans = _counted_join(wanted, found, ["key", "c"], ["t", "place"])
     begin = F.shiftright("place", 20)
     per_text = spans.select("t", F.transform("runs", lambda r: F.struct((begin + r["lo"]).alias("lo"), (begin + r["hi"]).alias("hi")))
