@@ -32,6 +32,19 @@ def test_every_oracle_has_a_query():
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
+def test_every_oracle_parses():
+    import __spark_entry__ as e
+    from tillroll.sources.tables import TABLES
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    for name, sql in e.oracle_sql().items():
+        try:
+            con.execute(f"EXPLAIN {sql}")
+        except duckdb.Error as error:
+            pytest.fail(f"{name}: {error}")
+
+
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, name):
     import __spark_entry__ as e

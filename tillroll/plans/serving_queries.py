@@ -132,11 +132,11 @@ def q06_state_stats(t):
 
 @query("q07_states_covering_mean", f"""
 WITH {SERVE},
-st AS (SELECT state, avg(monetary) AS mean, coalesce(1.96 * stddev_samp(monetary) / sqrt(count(*)), 0.0) AS ci
+per_state AS (SELECT state, avg(monetary) AS mean, coalesce(1.96 * stddev_samp(monetary) / sqrt(count(*)), 0.0) AS ci
        FROM cust GROUP BY state),
 om AS (SELECT avg(monetary) AS overall FROM cust)
 SELECT count(*) FILTER (WHERE mean - ci <= overall AND mean + ci >= overall) AS covering, count(*) AS states,
-       {S.r6('any_value(overall)')} AS overall_mean FROM st CROSS JOIN om""")
+       {S.r6('any_value(overall)')} AS overall_mean FROM per_state CROSS JOIN om""")
 def q07_states_covering_mean(t):
     q = Q.states_covering_mean(customers(t))
     return q.select("covering", "states", r6("overall_mean").alias("overall_mean"))
