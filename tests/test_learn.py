@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.hashing import unit_hash
 from tillroll.operators import evaluate as E
+from tillroll.operators import forests
 from tillroll.operators import learn as L
 from tillroll.session import materialize
 
@@ -78,3 +79,60 @@ def test_learning_curve_covers_every_fold(planted):
     rows = L.learning_curve(planted, "decision_tree", {"maxDepth": 3}, [0.3, 1.0], FEATURES, k=5)
     assert {(r[0], r[1]) for r in rows} == {(fr, f) for fr in (0.3, 1.0) for f in range(5)}
     assert all(r[3] > 0.7 for r in rows)
+
+
+@pytest.mark.parametrize("impurity", ["gini", "entropy"])
+def test_a_cut_tree_equals_a_fit_at_that_depth(planted, impurity):
+    noisy = planted.withColumn("label", F.when(unit_hash("customer_id", seed="f") < 0.2, 1 - F.col("label")).otherwise(F.col("label")))
+    train, valid = noisy.where("fold <> 0"), noisy.where("fold = 0")
+    prep = L.preprocessing(train, FEATURES)
+    x, y = L.vectors(prep, train, 300), L.vectors(prep, valid, 100)
+    params = {"minInstancesPerNode": 2, "impurity": impurity}
+    deep = L.classifier("decision_tree", params | {"maxDepth": L.MAX_DEPTH}).fit(x)
+    depths = [1, 2, 3, 5, 8, L.MAX_DEPTH]
+    counts = forests.nested_counts(deep, y, depths, [1])
+    nodes = forests.Forest.of(forests.saved_nodes(deep).toPandas())
+    for d in depths:
+        own = L.classifier("decision_tree", params | {"maxDepth": d}).fit(x)
+        want = own.transform(y).agg(*[F.count_if((F.col("prediction") == p) & (F.col("label") == l)).alias(n)
+                                      for n, p, l in (("tp", 1, 1), ("fp", 1, 0), ("fn", 0, 1), ("tn", 0, 0))]).first().asDict()
+        assert {k: counts[d, 1][k] for k in want} == want
+        leaf = nodes.leaves(d)
+        reached = [0]
+        for at in reached:  # the cut tree has as many nodes as the fit
+            reached += [] if leaf[at] else [int(nodes.left[at]), int(nodes.right[at])]
+        assert len(reached) == own.numNodes
+
+
+def test_first_trees_and_votes_equal_the_forest(planted):
+    train, valid = planted.where("fold <> 0"), planted.where("fold = 0")
+    prep = L.preprocessing(train, FEATURES)
+    x, y = L.vectors(prep, train, 300), L.vectors(prep, valid, 100)
+    model = L.classifier("random_forest", {"numTrees": 15, "maxDepth": 6, "featureSubsetStrategy": "1"}).fit(x)
+    counts = forests.nested_counts(model, y, [6], [1, 15])
+    f1 = E.metrics(model.transform(y)).first()["f1"]
+    assert forests.f1(counts[6, 15]) == pytest.approx(f1)
+    assert all(sum(v for k, v in c.items() if k in ("tp", "fp", "fn", "tn")) == y.count() for c in counts.values())
+    first = E.metrics(model.trees[0].transform(y)).first()["f1"]
+    assert forests.f1(counts[6, 1]) == pytest.approx(first)
+
+
+def test_nested_groups_cover_the_grids():
+    for name, fits in (("decision_tree", 10), ("random_forest", 8)):
+        groups = forests.nested_groups(L.grid(name))
+        assert len(groups) == fits and sorted(i for _, g in groups for i in g) == list(range(len(L.grid(name))))
+
+
+def test_nested_search_equals_separate_fits(planted):
+    points = [{"maxDepth": d, "minInstancesPerNode": m} for d in (1, 3, 30) for m in (1, 20)]
+    with L.fold_frames(planted, FEATURES) as folds:
+        got = L.cross_validate(folds, "decision_tree", points)
+        for p, scores in list(zip(points, got))[:3]:
+            model = L.classifier("decision_tree", p).fit(folds[0].train)
+            assert scores[0] == pytest.approx(E.metrics(model.transform(folds[0].valid)).first()["f1"])
+
+
+def test_parallel_jobs_keep_their_own_properties(spark):
+    def job(i):
+        return spark.range(1000).selectExpr(f"sum(id + {i}) AS s").first()["s"]
+    assert L.in_parallel(spark, job, range(40)) == [499500 + 1000 * i for i in range(40)]

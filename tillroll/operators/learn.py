@@ -29,13 +29,16 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash
 from ..functions.quantiles import quantiles
+from ..session import checkpoint_dir
 from . import evaluate as E
+from . import forests
 
 BASE_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "tenure"]
 RICH_FEATURES = BASE_FEATURES + ["ipt_mean", "ipt_std", "max_invoice_value", "std_invoice_value",
                                  "avg_items_per_invoice", "distinct_products", "total_quantity", "active_months",
                                  "spend_last90", "momentum_ratio", "purchase_rate"]
 MODELS = ("logistic_regression", "decision_tree", "random_forest")
+NESTED_MODELS = ("decision_tree", "random_forest")
 PARALLELISM = 8
 ROWS_PER_PARTITION = 100_000
 MAX_DEPTH = 30     # MLlib's deepest tree, for an unlimited one
@@ -107,7 +110,8 @@ def classifier(name: str, params: dict | None = None, n: int = 1, seed: int = 42
                                   regParam=1.0 / (p["C"] * max(n, 1)), **io)
     trees = {"decision_tree": DecisionTreeClassifier, "random_forest": RandomForestClassifier,
              "gradient_boosting": GBTClassifier}
-    return trees[name](seed=seed, maxBins=MAX_BINS, maxMemoryInMB=1024, **io, **p)
+    # node ids are cached, or every round would send all trees grown so far to the tasks
+    return trees[name](seed=seed, maxBins=MAX_BINS, maxMemoryInMB=1024, cacheNodeIds=True, **io, **p)
 
 
 def grid(name: str) -> list[dict]:
@@ -117,10 +121,14 @@ def grid(name: str) -> list[dict]:
 
 
 def in_parallel(spark: SparkSession, fn: Callable, jobs: Iterable, parallelism: int = PARALLELISM) -> list:
-    """``[fn(job) for job in jobs]``, several Spark jobs at a time; the first error is raised."""
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda run: run(), [inherit(partial(fn, j)) for j in jobs]))
+    """``[fn(job) for job in jobs]``, several Spark jobs at a time; the first error is raised.
+
+    Each job gets a copy of the local properties of its own.  Shared by the threads, the query id that one sets
+    would be taken away by another that ends (``Cannot parse null string``)."""
+    checkpoint_dir(spark)  # set before any thread needs it
+    runs = [inheritable_thread_target(spark)(partial(fn, j)) for j in jobs]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(runs)))) as pool:
+        return list(pool.map(lambda run: run(), runs))
 
 
 def vectors(prep: PipelineModel, df: DataFrame, n: int) -> DataFrame:
@@ -158,12 +166,30 @@ def fold_frames(train: DataFrame, features: Sequence[str] = BASE_FEATURES, one_h
 
 def cross_validate(folds: list[Fold], name: str, points: Sequence[dict],
                    parallelism: int = PARALLELISM) -> list[list[float]]:
-    """F1 of the positive class of every point in every fold."""
+    """F1 of the positive class of every point in every fold.  Points of a tree family that differ only in depth
+    and number of trees are read off one deep fit."""
+    spark = folds[0].train.sparkSession
+    if name in NESTED_MODELS:
+        groups = [(params, places, i) for params, places in forests.nested_groups(points) for i in range(len(folds))]
+
+        def whole(job):
+            params, places, i = job
+            model = classifier(name, params, folds[i].n).fit(folds[i].train)
+            own = [(points[p].get("maxDepth", MAX_DEPTH), points[p].get("numTrees", DEFAULTS[name].get("numTrees", 1)))
+                   for p in places]
+            counts = forests.nested_counts(model, folds[i].valid, sorted({d for d, _ in own}), sorted({m for _, m in own}))
+            return [(p, i, forests.f1(counts[o])) for p, o in zip(places, own)]
+        scores = [[0.0] * len(folds) for _ in points]
+        for found in in_parallel(spark, whole, groups, parallelism):
+            for p, i, f1 in found:
+                scores[p][i] = f1
+        return scores
+
     def one(job):
         params, f = job
         model = classifier(name, params, f.n).fit(f.train)
         return E.metrics(model.transform(f.valid)).first()["f1"]
-    flat = in_parallel(folds[0].train.sparkSession, one, [(p, f) for p in points for f in folds], parallelism)
+    flat = in_parallel(spark, one, [(p, f) for p in points for f in folds], parallelism)
     return [flat[i:i + len(folds)] for i in range(0, len(flat), len(folds))]
 
 
