@@ -1,9 +1,9 @@
-"""Clustering fits with MLlib.
+"""Clustering fits.
 
-Fits run on executors; the driver only loops over a handful of
-configurations (k values, restarts, resamples) and keeps k centres per fit.
-Restarts are separate fits keeping the lowest training cost, as with
-``n_init``.  Resampling for stability uses Poisson(1) weights derived from a
+K-means configurations (k values, restarts, resamples, tables) are fitted
+together, a pass over the rows moving all of them (``batch_kmeans``); the other
+algorithms are MLlib's.  Of the restarts the one with the lowest cost is kept, as
+with ``n_init``.  Resampling for stability uses Poisson(1) weights derived from a
 hash of (id, replicate), so a replicate is reproducible and needs no shuffle.
 """
 
@@ -11,9 +11,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash
+from ..session import materialize
+from . import batch_kmeans as B
 from . import validity as K
 
 
@@ -28,41 +29,39 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
 
 
-PARALLELISM = 8  # concurrent fits submitted by the driver (as CrossValidator.parallelism)
+class KMeansFit:
+    """Centres of the cheapest restart; ``transform`` adds the nearest centre as ``cluster``."""
 
+    def __init__(self, fit: B.Fit, features: str):
+        self.fit, self.features = fit, features
+        self.cost, self.centres = fit.cost, fit.centres
 
-def _kmeans(df: DataFrame, k: int, seed: int, max_iter: int, features: str, weight: str | None):
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features, predictionCol="cluster")
-    if weight:
-        km = km.setWeightCol(weight)
-    return km.fit(df)
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("cluster", self.fit.cluster(vector_to_array(F.col(self.features))))
 
 
-def fit_many(jobs, parallelism: int = PARALLELISM, max_iter: int = 300, features: str = "features"):
-    """Fit ``(key, df, k, seed, weight)`` jobs concurrently; return
-    {key: best model by training cost}.  Each fit is an ordinary MLlib job;
-    the driver only keeps the k centres of each."""
-    jobs = list(jobs)
+def restarts(key, table: str, k: int, n_init: int, seed: int, weight: int | None = None) -> list[B.Run]:
+    return [B.Run(key, table, k, seed + r, weight) for r in range(n_init)]
 
-    def one(j):
-        key, df, k, seed, weight = j
-        try:
-            return key, _kmeans(df, k, seed, max_iter, features, weight)
-        except Exception:  # noqa: BLE001  (transient race between concurrent jobs; fits are deterministic)
-            return key, _kmeans(df, k, seed, max_iter, features, weight)
-    best = {}
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
-        for key, m in pool.map(one, jobs):
-            if key not in best or m.summary.trainingCost < best[key].summary.trainingCost:
-                best[key] = m
-    return best
+
+def _arrays(df: DataFrame, features: str, weights: Column | None = None) -> DataFrame:
+    cols = [vector_to_array(F.col(features)).alias("x"), *([weights.alias("w")] if weights is not None else [])]
+    return materialize(df.select(*cols))
 
 
 def fit_kmeans(df: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300,
-               features: str = "features", weight: str | None = None, parallelism: int = PARALLELISM):
-    """Best of ``n_init`` k-means|| fits (lowest within-cluster cost)."""
-    jobs = [(0, df, k, seed + r, weight) for r in range(n_init)]
-    return fit_many(jobs, parallelism, max_iter, features)[0]
+               features: str = "features") -> KMeansFit:
+    """The cheapest of ``n_init`` restarts (lowest within-cluster cost), all fitted in the same passes."""
+    fits = B.fit_all(_arrays(df, features), restarts(0, "x", k, n_init, seed), max_iter=max_iter)
+    return KMeansFit(B.best_of(fits)[0], features)
+
+
+def sweep(df: DataFrame, tables: Sequence[str], ks: Sequence[int], n_init: int = 10, seed: int = 42) -> list[tuple]:
+    """(table, k, WCSS, silhouette) of the best restart for every table (an array column of ``df``) and k."""
+    runs = [r for t in tables for k in ks for r in restarts((t, k), t, k, n_init, seed)]
+    best = B.best_of(B.fit_all(df, runs))
+    scores = B.silhouettes(df, best)
+    return [(t, int(k), best[t, k].cost, scores[t, k]) for t in tables for k in ks]
 
 
 def silhouette(df: DataFrame, features: str = "features", pred: str = "cluster") -> float:
@@ -74,8 +73,7 @@ def silhouette(df: DataFrame, features: str = "features", pred: str = "cluster")
 def k_sweep(spark: SparkSession, df: DataFrame, ks: Sequence[int] = range(2, 11), n_init: int = 10,
             seed: int = 42, features: str = "features") -> DataFrame:
     """K, WCSS of the best restart, silhouette of its assignment."""
-    best = fit_many([(k, df, k, seed + r, None) for k in ks for r in range(n_init)], features=features)
-    rows = [(int(k), float(best[k].summary.trainingCost), silhouette(best[k].transform(df), features)) for k in ks]
+    rows = [r[1:] for r in sweep(_arrays(df, features), ["x"], ks, n_init, seed)]
     return spark.createDataFrame(rows, "k int, wcss double, silhouette_sq double")
 
 
@@ -95,27 +93,23 @@ def ari(df: DataFrame, a: str, b: str) -> float:
     return float(K.adjusted_rand(df, a, b).first()["ari"])
 
 
-def bootstrap_stability(spark: SparkSession, df: DataFrame, base, k: int, id_col: str, b_reps: int = 20,
+def bootstrap_stability(spark: SparkSession, df: DataFrame, base: KMeansFit, k: int, id_col: str, b_reps: int = 20,
                         n_init: int = 10, seed: int = 42, features: str = "features") -> DataFrame:
-    """Per replicate, refit on Poisson-weighted rows and compare the
-    refit's assignment with the base assignment on the drawn rows (ARI)."""
-    base_df = base.transform(df).select(id_col, features, F.col("cluster").alias("base")).cache()
-    reps = {b: base_df.withColumn("w", poisson1_weight(F.col(id_col), b)).where(F.col("w") > 0)
-            for b in range(b_reps)}
-    best = fit_many([(b, w, k, seed + r, "w") for b, w in reps.items() for r in range(n_init)], features=features)
-    rows = [(b, ari(best[b].transform(reps[b]), "base", "cluster")) for b in range(b_reps)]
-    base_df.unpersist()
-    return spark.createDataFrame(rows, "replicate int, ari double")
-
-
-def seed_stability(spark: SparkSession, df: DataFrame, base, k: int, seeds: Sequence[int] = (7, 13, 21, 99, 123),
+    """Per replicate, refit on Poisson-weighted rows and compare the refit's assignment with the base
+    assignment on the drawn rows (ARI).  All replicates and restarts are fitted in the same passes."""
+    x = _arrays(df, features, F.array(*[poisson1_weight(F.col(id_col), b) for b in range(b_reps)]))
+    runs = [r for b in range(b_reps) for r in restarts(b, "x", k, n_init, seed, b)]
+    found = B.adjusted_rands(x, base.fit, B.best_of(B.fit_all(x, runs, weights="w")), weights="w")
+    return spark.createDataFrame(sorted(found.items()), "replicate int, ari double")
+
+
+def seed_stability(spark: SparkSession, df: DataFrame, base: KMeansFit, k: int, seeds: Sequence[int] = (7, 13, 21, 99, 123),
                    n_init: int = 10, features: str = "features") -> DataFrame:
     """Refit with other seeds, no restart shared between two of them; ARI against the base assignment."""
-    base_df = base.transform(df).select(features, F.col("cluster").alias("base")).cache()
-    best = fit_many([(s, base_df, k, 1000 * s + r, None) for s in seeds for r in range(n_init)], features=features)
-    rows = [(int(s), ari(best[s].transform(base_df), "base", "cluster")) for s in seeds]
-    base_df.unpersist()
-    return spark.createDataFrame(rows, "seed int, ari double")
+    x = _arrays(df, features)
+    runs = [r for s in seeds for r in restarts(s, "x", k, n_init, 1000 * s)]
+    found = B.adjusted_rands(x, base.fit, B.best_of(B.fit_all(x, runs)))
+    return spark.createDataFrame([(int(s), found[s]) for s in seeds], "seed int, ari double")
 
 
 def stability_summary(df: DataFrame) -> DataFrame:

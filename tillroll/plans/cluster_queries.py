@@ -3,11 +3,14 @@ K11-K15, K17, K19; rows-only checks)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
 from ..operators import rfm as R
 from ..operators import validity as K
+from ..session import materialize
 from . import sqltext as S
 from .registry import query
 from .segment_queries import RULE_CLUSTERS, rfm_table
@@ -129,9 +132,9 @@ def _standardise(df, cols, suffix):
 
 
 def rfm_vectors(t, cols=Z_COLS):
-    """log1p + population z-score of R, F, M as an MLlib vector, cached for the fits."""
+    """log1p + population z-score of R, F, M as an MLlib vector, materialised for the fits."""
     z = R.rfm_scaled(rfm_table(t))
-    return CL.assemble(z, cols).select("customer_id", "features", *R.RFM).cache()
+    return materialize(CL.assemble(z, cols).select("customer_id", "features", *R.RFM))
 
 
 def _spark(t):
@@ -142,10 +145,7 @@ def _spark(t):
 def k01_k_sweep(t):
     """k = 2..10: WCSS of the best of 10 restarts and its silhouette."""
     v = rfm_vectors(t)
-    try:
-        return CL.k_sweep(_spark(t), v, range(2, 11), n_init=10)
-    finally:
-        v.unpersist()
+    return CL.k_sweep(_spark(t), v, range(2, 11), n_init=10)
 
 
 @query("k02_final_kmeans")
@@ -160,11 +160,8 @@ def k02_final_kmeans(t):
 def k08_bootstrap_stability(t):
     """20 Poisson-bootstrap refits; ARI against the base solution on the drawn customers."""
     v = rfm_vectors(t)
-    try:
-        base = CL.fit_kmeans(v, 4, n_init=10)
-        return CL.bootstrap_stability(_spark(t), v, base, 4, "customer_id", b_reps=20, n_init=10)
-    finally:
-        v.unpersist()
+    base = CL.fit_kmeans(v, 4, n_init=10)
+    return CL.bootstrap_stability(_spark(t), v, base, 4, "customer_id", b_reps=20, n_init=10)
 
 
 @query("k08_bootstrap_summary")
@@ -183,11 +180,8 @@ def k09_seed_summary(t):
 def k09_seed_stability(t):
     """Refits under 5 other seeds; ARI against the base solution."""
     v = rfm_vectors(t)
-    try:
-        base = CL.fit_kmeans(v, 4, n_init=10)
-        return CL.seed_stability(_spark(t), v, base, 4)
-    finally:
-        v.unpersist()
+    base = CL.fit_kmeans(v, 4, n_init=10)
+    return CL.seed_stability(_spark(t), v, base, 4)
 
 
 @query("k11_minmax", f"""
@@ -233,60 +227,42 @@ def k11_quantile_normal(t):
     return qn.select("customer_id", *[f"{c}_qn" for c in R.RFM])
 
 
-def _transforms(t):
-    r = rfm_table(t).cache()
-    lg = r.select("customer_id", *[F.log1p(F.col(c).cast("double")).alias(c) for c in R.RFM])
-    return r, {
-        "raw_standard": _standardise(r.select("customer_id", *[F.col(c).cast("double").alias(c) for c in R.RFM]),
-                                     R.RFM, "_t"),
-        "log1p_standard": _standardise(lg, R.RFM, "_t"),
-        "log1p_minmax": SC.minmax(lg, R.RFM, "_t"),
-        "log1p_robust": SC.robust(lg, R.RFM, "_t"),
-        "yeo_johnson": SC.yeo_johnson(r, R.RFM, "_t"),
-        "quantile_normal": SC.quantile_normal(r, R.RFM, suffix="_t"),
-    }
+def _tables(frames):
+    """One row per customer with an array column for each frame of (customer_id, columns)."""
+    parts = [df.select("customer_id", F.array(*cols).alias(name)) for name, df, cols in frames]
+    return materialize(reduce(lambda a, b: a.join(b, "customer_id"), parts))
 
 
 @query("k12_transform_sweep")
 def k12_transform_sweep(t):
-    """Silhouette per feature transform x k (2..7), best of 10 restarts each."""
-    spark = _spark(t)
-    r, tf = _transforms(t)
-    vecs = {name: CL.assemble(df, [f"{c}_t" for c in R.RFM]).select("features").cache() for name, df in tf.items()}
-    best = CL.fit_many([((name, k), v, k, 42 + i, None) for name, v in vecs.items()
-                        for k in range(2, 8) for i in range(10)])
-    rows = [(name, int(k), CL.silhouette(best[(name, k)].transform(v)))
-            for name, v in vecs.items() for k in range(2, 8)]
-    for v in vecs.values():
-        v.unpersist()
-    r.unpersist()
-    return spark.createDataFrame(rows, "transform string, k int, silhouette_sq double")
+    """Silhouette per feature transform x k (2..7), best of 10 restarts each, and the best k of the transform."""
+    r = materialize(rfm_table(t).select("customer_id", *[F.col(c).cast("double").alias(c) for c in R.RFM]))
+    lg = r.select("customer_id", *[F.log1p(F.col(c)).alias(c) for c in R.RFM])
+    cols = [f"{c}_t" for c in R.RFM]
+    x = _tables([("raw_standard", _standardise(r, R.RFM, "_t"), cols), ("log1p_standard", _standardise(lg, R.RFM, "_t"), cols),
+                 ("log1p_minmax", SC.minmax(lg, R.RFM, "_t"), cols), ("log1p_robust", SC.robust(lg, R.RFM, "_t"), cols),
+                 ("yeo_johnson", SC.yeo_johnson(r, R.RFM, "_t"), cols),
+                 ("quantile_normal", SC.quantile_normal(r, R.RFM, suffix="_t"), cols)])
+    rows = CL.sweep(x, [c for c in x.columns if c != "customer_id"], range(2, 8))
+    df = t.spark.createDataFrame(rows, "transform string, k int, wcss double, silhouette_sq double")
+    best = df.groupBy("transform").agg(F.max_by("k", F.struct("silhouette_sq", -F.col("k"))).alias("best_k"))
+    return df.join(best, "transform")
 
 
 @query("k13_feature_subsets")
 def k13_feature_subsets(t):
     """Silhouette of log1p+z feature subsets (RFM, RM, RF, FM) for k = 3, 4, 5."""
-    spark = _spark(t)
-    r = rfm_table(t).cache()
-    lg = r.select("customer_id", *[F.log1p(F.col(c).cast("double")).alias(c) for c in R.RFM])
-    subsets = {"RFM": R.RFM, "RM": ["recency", "monetary"], "RF": ["recency", "frequency"],
-               "FM": ["frequency", "monetary"]}
-    vecs = {n: CL.assemble(_standardise(lg, cols, "_z"), [f"{c}_z" for c in cols]).select("features").cache()
-            for n, cols in subsets.items()}
-    best = CL.fit_many([((n, k), v, k, 42 + i, None) for n, v in vecs.items() for k in (3, 4, 5) for i in range(10)])
-    rows = [(n, int(k), CL.silhouette(best[(n, k)].transform(v))) for n, v in vecs.items() for k in (3, 4, 5)]
-    for v in vecs.values():
-        v.unpersist()
-    r.unpersist()
-    return spark.createDataFrame(rows, "subset string, k int, silhouette_sq double")
+    z = materialize(_standardise(rfm_table(t).select("customer_id", *[F.log1p(F.col(c).cast("double")).alias(c) for c in R.RFM]),
+                                 R.RFM, "_z"))
+    subsets = {"RFM": R.RFM, "RM": ["recency", "monetary"], "RF": ["recency", "frequency"], "FM": ["frequency", "monetary"]}
+    x = z.select(*[F.array(*[f"{c}_z" for c in cols]).alias(n) for n, cols in subsets.items()])
+    rows = [(n, k, s) for n, k, _, s in CL.sweep(materialize(x), list(subsets), (3, 4, 5))]
+    return t.spark.createDataFrame(rows, "subset string, k int, silhouette_sq double")
 
 
 def _compare(t, algorithms):
     v = rfm_vectors(t)
-    try:
-        return CL.algorithm_comparison(_spark(t), v, "customer_id", (3, 4, 5), algorithms=algorithms)
-    finally:
-        v.unpersist()
+    return CL.algorithm_comparison(_spark(t), v, "customer_id", (3, 4, 5), algorithms=algorithms)
 
 
 @query("k14_gaussian_mixture")
@@ -305,10 +281,7 @@ def k15_bisecting_kmeans(t):
 def k17_pca(t):
     """PCA to 2 / 3 components: explained variance and k = 4 silhouette there."""
     v = rfm_vectors(t)
-    try:
-        return CL.pca_projection(_spark(t), v)
-    finally:
-        v.unpersist()
+    return CL.pca_projection(_spark(t), v)
 
 
 @query("k19_algorithm_comparison")
@@ -353,6 +326,5 @@ cnt AS (SELECT id, {counts} FROM pr GROUP BY id)""" + "\nUNION ALL".join(parts)
 def k16_dbscan_density(t):
     """DBSCAN density labels (min_samples 10, eps 0.3 / 0.5 / 0.7 / 1.0) on log1p + z RFM:
     core, border and noise counts (cluster components not built)."""
-    from ..session import materialize
     z = materialize(R.rfm_scaled(rfm_table(t)).select("customer_id", *Z_COLS))  # read once per eps pass
     return DN.density_summary(z, "customer_id", Z_COLS, EPS_LIST, 10)
