@@ -21,6 +21,17 @@ def test_quantiles_any_data(spark, rows, probs, max_bracket):
     np.testing.assert_allclose(got.to_numpy(), want.to_numpy(), atol=1e-9)
 
 
+@settings(SETTINGS, max_examples=5)
+@given(st.lists(st.floats(allow_nan=False, width=64), min_size=1, max_size=60), st.floats(0, 1), st.sampled_from([1, 7]))
+def test_quantiles_of_extreme_values(spark, values, p, max_bracket):
+    values += [5e-324, -1.7e308, 1.7e308, 0.0, -0.0, 1.0, 1.0 + 2 ** -52]
+    got = quantiles(spark.createDataFrame([(v,) for v in values], "x double"), "x", [p], max_bracket=max_bracket).first()["q0"]
+    ordered, h = sorted(values), (len(values) - 1) * p
+    a, b = ordered[int(h)], ordered[min(int(h) + 1, len(values) - 1)]
+    want = a if a == b else a + (h - int(h)) * (b - a)
+    assert got == want or (np.isnan(got) and np.isnan(want))
+
+
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 9)), min_size=2, max_size=300))
 def test_auc_any_scores(spark, rows):

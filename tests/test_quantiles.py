@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -43,3 +45,16 @@ def test_heavy_tail_and_ties_converge(spark):
     want = pd.Series(x).quantile(probs).to_list()
     for i, w in enumerate(want):
         assert abs(got[f"q{i}"] - w) < 1e-9
+
+
+def test_a_gap_at_the_rank_ends(spark):
+    # the two ranks of the median lie at the ends of the range: each has a bracket of its own
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, -1e9 - F.col("id") / 7.0).otherwise(1e9 + F.col("id") / 3.0).alias("x"))
+    got = quantiles(df, "x", [0.5], max_bracket=10).first()["q0"]
+    assert got == pytest.approx(df.toPandas().x.quantile(0.5))
+
+
+def test_rows_are_not_shuffled_by_group(spark):
+    df = spark.range(1000).select((F.col("id") % 4).alias("g"), F.col("id").cast("double").alias("x"))
+    plan = quantiles(df, "x", [0.5], by=["g"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin \[g#\d+L?\], ", plan) and not re.search(r"SortMergeJoin \[g#\d+L?\], ", plan)

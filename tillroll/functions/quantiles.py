@@ -2,111 +2,111 @@
 
 Spark's exact ``percentile`` keeps a value->count map per group and merges it
 in a single task: fine for small groups, unbounded for a global median over
-billions of rows.  Here each requested rank is narrowed down by histograms:
+billions of rows.  Here every order statistic that a quantile needs (the two
+ranks around (n - 1) p) is narrowed down by itself:
 
 1. per group: ``count``, ``min``, ``max`` - the first bracket is [min, max];
 2. while a bracket holds more than ``max_bracket`` rows (and more than one
-   distinct value): one pass over the rows inside the bracket counts them in
-   ``buckets`` equal-width value buckets (map-side partial aggregation, so
-   only <= ``buckets`` rows per group and quantile are shuffled); the bracket
-   becomes the bucket(s) holding the two target ranks, with their exact
-   min / max and the count of rows below.  Each round shrinks the value range
-   by ``buckets`` (ties collapse in the last step anyway);
+   distinct value): one pass over the rows inside counts them in ``buckets``
+   buckets (map-side partial aggregation, so only <= ``buckets`` rows per group
+   and rank are shuffled); the bracket becomes the bucket of the rank, with its
+   exact min / max and the count of rows below.  Buckets are equally wide in the
+   sign and binary logarithm of the value until a bracket lies within a factor of
+   two, then in the value itself, which is how doubles lie in their 64 bits: a
+   thousandth of the exponents is left after one round, a mantissa's 52 bits take
+   at most six more, so the rounds end for any values;
 3. the distinct values inside the final bracket, with counts, are sorted per
-   (group, quantile) - at most ``max_bracket`` rows - and the two order
-   statistics around (n - 1) p are read off a running count and interpolated:
-   the definition of pandas ``quantile``, Spark ``percentile`` and DuckDB
-   ``quantile_cont``.
+   (group, rank) - at most ``max_bracket`` rows - and the order statistics are
+   read off a running count and interpolated: the definition of pandas
+   ``quantile``, Spark ``percentile`` and DuckDB ``quantile_cont``.
 
-The small per-(group, quantile) state is materialised between rounds.
+The small per-(group, rank) state is materialised between rounds and broadcast to
+the rows up to ``BROADCAST_STATE`` brackets, so rows are not shuffled by group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
+#: Brackets (some 60 bytes each) that are broadcast; more of them are joined by a shuffle on the group.
+BROADCAST_STATE = 100_000
 
-def _join_state(x: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
-    # the state has one row per (group, quantile): one global group is a few
-    # rows (broadcast); grouped states are left to AQE's size-based choice
-    return x.crossJoin(F.broadcast(state)) if not by else x.join(state, by)
+
+def _inside(x: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
+    """Each row under every bracket of its group that holds it."""
+    if not by:
+        joined = x.crossJoin(F.broadcast(brackets))  # two ranks for each probability
+    else:
+        small = brackets.limit(BROADCAST_STATE + 1).count() <= BROADCAST_STATE
+        joined = x.join(F.broadcast(brackets) if small else brackets, by)
+    return joined.where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+
+
+def _log(x: Column) -> Column:
+    """Sign and binary logarithm in one rising number: negative values, 0, positive ones (infinity the last)."""
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (F.least(F.log2(F.abs(x)), F.lit(1025.0)) + 1100))
+
+
+def _bucket(buckets: int) -> Column:
+    x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
+    close = (F.signum(lo) == F.signum(hi)) & (F.greatest(F.abs(lo), F.abs(hi)) <= 2 * F.least(F.abs(lo), F.abs(hi))) \
+        & (F.abs(lo) < float("inf")) & (F.abs(hi) < float("inf"))
+    share = F.when(close, (x - lo) / (hi - lo)).otherwise((_log(x) - _log(lo)) / (_log(hi) - _log(lo)))
+    return F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, max_bracket: int = 100_000, buckets: int = 1024,
-              max_rounds: int = 12) -> DataFrame:
+              names: Sequence[str] | None = None, max_bracket: int = 100_000, buckets: int = 1024) -> DataFrame:
     """One row per group of ``by`` with one DOUBLE column per probability.
 
     NULL and NaN values are ignored.  Grouped: a group with no values yields
-    no row.  Global (no ``by``): always one row, NULL when there is no value -
-    the SQL behaviour of an aggregate over an empty input.
+    no row, and neither does a null group.  Global (no ``by``): always one row, NULL when there is no value -
+    the SQL behaviour of an aggregate over an empty input.  ``df`` is read once a round.
     """
     by = list(by)
-    probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    m = len(probs)
 
     x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-
-    stats = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    state = (stats.select(*by, "_n", "_lo", "_hi", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("i", "p"))
-             .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-             .withColumn("_k0", F.floor("_h").cast("bigint"))
-             .withColumn("_k1", F.least(F.col("_k0") + 1, F.col("_n") - 1))
-             .withColumn("_frac", F.col("_h") - F.col("_k0"))
-             .withColumn("_below", F.lit(0).cast("bigint"))
-             .withColumn("_inside", F.col("_n"))
-             .drop("p", "_h"))
+    h = (F.col("_n") - 1) * F.col("p")
+    stats = materialize(x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+    wanted = stats.where("_n > 0").select(*by, "_n", "_lo", "_hi", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("i", "p")) \
+        .select(*by, "_n", "_lo", "_hi", "i", F.floor(h).cast("bigint").alias("_k0"), (h - F.floor(h)).alias("_frac")) \
+        .withColumn("_k1", F.least(F.col("_k0") + 1, F.col("_n") - 1))
+    state = wanted.select(*by, F.explode(F.array("_k0", "_k1")).alias("k"), "_lo", "_hi", F.col("_n").alias("_inside"),
+                          F.lit(0).cast("bigint").alias("_below")).distinct()
     state = materialize(state)
-    keys = [*by, "i"]
-
-    for _ in range(max_rounds):
-        is_active = (F.col("_inside") > max_bracket) & (F.col("_hi") > F.col("_lo"))
-        active = state.where(is_active)
-        if active.limit(1).count() == 0:   # verdict on the tiny state table
-            break
-        bounds = active.select(*keys, "_lo", "_hi")
-        xs = (_join_state(x, bounds, by)
-              .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-              .select(*keys, "_x", F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-                                                   * F.lit(buckets)), F.lit(buckets - 1)).cast("int").alias("b")))
-        hist = xs.groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"),
-                                          F.max("_x").alias("mx"))
+    keys = [*by, "k"]
+
+    is_open = (F.col("_inside") > max_bracket) & (F.col("_hi") > F.col("_lo"))
+    while state.where(is_open).limit(1).count():  # verdict on the tiny state table
+        open_ = state.where(is_open)
+        hist = (_inside(x, open_.select(*keys, "_lo", "_hi"), by).select(*keys, "_x", _bucket(buckets).alias("b"))
+                .groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")))
         w = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # <= buckets rows
-        hist = (hist.withColumn("cum", F.sum("c").over(w))
-                .join(active.select(*keys, "_below", "_k0", "_k1"), keys)
-                .withColumn("_end", F.col("_below") + F.col("cum")))
-        pick = hist.groupBy(*keys).agg(F.min(F.when(F.col("_end") > F.col("_k0"), F.col("b"))).alias("b0"),
-                                       F.min(F.when(F.col("_end") > F.col("_k1"), F.col("b"))).alias("b1"))
-        upd = (hist.join(pick, keys).groupBy(*keys).agg(
-            F.min(F.when(F.col("b") == F.col("b0"), F.col("mn"))).alias("_lo"),
-            F.max(F.when(F.col("b") == F.col("b1"), F.col("mx"))).alias("_hi"),
-            F.coalesce(F.sum(F.when(F.col("b") < F.col("b0"), F.col("c"))), F.lit(0)).alias("_add"),
-            F.sum(F.when(F.col("b").between(F.col("b0"), F.col("b1")), F.col("c"))).alias("_inside")))
-        refined = (active.drop("_lo", "_hi", "_inside").join(upd, keys)
-                   .withColumn("_below", F.col("_below") + F.col("_add")).drop("_add"))
-        state = materialize(state.where(~is_active).unionByName(refined))
-
-    inside = (_join_state(x, state.select(*keys, "_lo", "_hi"), by)
-              .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-              .groupBy(*keys, F.col("_x").alias("v")).agg(F.count(F.lit(1)).alias("c")))
+        hist = hist.withColumn("_end", F.sum("c").over(w)).join(open_.select(*keys, "_below"), keys) \
+            .withColumn("_end", F.col("_end") + F.col("_below"))
+        own = hist.where((F.col("_end") > F.col("k")) & (F.col("_end") - F.col("c") <= F.col("k")))
+        state = materialize(state.where(~is_open).unionByName(own.select(
+            *keys, F.col("mn").alias("_lo"), F.col("mx").alias("_hi"), F.col("c").alias("_inside"),
+            (F.col("_end") - F.col("c")).alias("_below"))))
+
+    settled = state.where("_lo = _hi").select(*keys, F.col("_lo").alias("v"))
+    rest = state.where("_lo < _hi")
+    values = _inside(x, rest.select(*keys, "_lo", "_hi"), by).groupBy(*keys, F.col("_x").alias("v")).agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)  # <= max_bracket rows
-    j = (inside.withColumn("cum", F.sum("c").over(w))
-         .join(state.select(*keys, "_below", "_k0", "_k1", "_frac"), keys)
-         .withColumn("_end", F.col("_below") + F.col("cum")))
-    picked = j.groupBy(*keys).agg(
-        F.min(F.when(F.col("_end") > F.col("_k0"), F.col("v"))).alias("_v0"),
-        F.min(F.when(F.col("_end") > F.col("_k1"), F.col("v"))).alias("_v1"),
-        F.first("_frac").alias("_frac"),
-    ).withColumn("q", F.col("_v0") + F.col("_frac") * (F.col("_v1") - F.col("_v0")))
-
-    return picked.groupBy(*by).agg(
-        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(names[i]) for i in range(m)])
+    read = values.withColumn("_end", F.sum("c").over(w)).join(rest.select(*keys, "_below"), keys) \
+        .where((F.col("_end") + F.col("_below") > F.col("k")) & (F.col("_end") + F.col("_below") - F.col("c") <= F.col("k")))
+    found = settled.unionByName(read.select(*keys, "v"))
+    ends = wanted.join(found.select(*by, F.col("k").alias("_k0"), F.col("v").alias("_v0")), [*by, "_k0"]) \
+        .join(found.select(*by, F.col("k").alias("_k1"), F.col("v").alias("_v1")), [*by, "_k1"])
+    q = F.when(F.col("_v0") == F.col("_v1"), F.col("_v0")).otherwise(F.col("_v0") + F.col("_frac") * (F.col("_v1") - F.col("_v0")))
+    return ends.withColumn("q", q).groupBy(*by).agg(
+        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(n) for i, n in enumerate(names)])
 
 
 def median(df: DataFrame, col: str, by: Sequence[str] = (), name: str = "median", **kw) -> DataFrame:

@@ -23,6 +23,7 @@ from ..functions.hashing import unit_hash
 from ..session import materialize
 from . import batch_kmeans as B
 from . import validity as K
+from .density import dbscan
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -160,6 +161,23 @@ def algorithm_comparison(spark: SparkSession, df: DataFrame, id_col: str, ks: Se
                                        "davies_bouldin double, calinski_harabasz double")
 
 
+def dbscan_rows(spark: SparkSession, df: DataFrame, id_col: str, cols: Sequence[str], eps_list: Sequence[float],
+                min_samples: int = 10) -> DataFrame:
+    """Per eps the number of DBSCAN clusters, of clustered points and of noise, and the three indices of the
+    clustered points (null for fewer than two clusters)."""
+    rows = []
+    for eps in eps_list:
+        found = materialize(dbscan(df, id_col, cols, eps, min_samples))
+        clusters, clustered, noise = found.agg(F.countDistinct("cluster"), F.count("cluster"), F.count_if(F.col("cluster").isNull())).first()
+        v = {"silhouette_sq": None, "davies_bouldin": None, "calinski_harabasz": None}
+        if clusters > 1:
+            pred = df.join(found.where("cluster IS NOT NULL").select(F.col("id").alias(id_col), "cluster"), id_col)
+            v = validity_row(assemble(pred, cols), id_col)
+        rows.append(("dbscan", float(eps), int(clusters), int(clustered), int(noise), *v.values()))
+    return spark.createDataFrame(rows, "algorithm string, eps double, clusters int, clustered long, noise long, silhouette_sq double, "
+                                       "davies_bouldin double, calinski_harabasz double")
+
+
 def pca_projection(spark: SparkSession, df: DataFrame, dims: Sequence[int] = (2, 3), k: int = 4, seed: int = 42,
                    features: str = "features", n_init: int = 10) -> DataFrame:
     """PCA to 2 and 3 components, explained variance, k-means silhouette there."""

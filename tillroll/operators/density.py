@@ -1,16 +1,14 @@
-"""Density labels of DBSCAN (K16, partial): core / border / noise per point.
-
-Grid of side eps / sqrt(d): two points of one cell are always within eps, so
-every point of a cell holding >= min_samples points is core without any
-distance computed.  Points of the other ("sparse") cells - fewer than
-min_samples per cell - look at the (2r+1)^d neighbour cells: a cell whose
-box lies entirely within eps of the point adds its whole count, one
-entirely beyond eps adds nothing, and only boundary cells are compared point
-by point.  Pairs are therefore bounded by (points of sparse cells) x (cell
-sizes), never all pairs inside a dense cell.  ``min_samples`` counts the
-point itself (scikit-learn's convention).
-
-The connected components of core points (cluster ids) are not built here.
+"""DBSCAN (K16): density labels and clusters of points in a few dimensions.
+
+Grid of side eps / sqrt(d): two points of one cell are always within eps, so every point of a cell of at least
+``min_samples`` points is core, and the core points of a cell belong together.  What is left are questions between
+neighbouring cells, and they are answered without pairing their points: a cell's points are held by boxes, the
+tight bounds of their coordinates.  A box wholly within eps of a point (or of another box) counts as a whole, one wholly
+beyond eps not at all, and only boxes that the distance cuts are split, ``SPLIT_BITS`` halvings an axis each
+round.  A box of one place is always decided, so a cell of any size costs the boxes along one sphere.  Each round is
+one grouping of the points (partial sums first) and one join of boxes.
+
+``min_samples`` counts the point itself.
 """
 
 from __future__ import annotations
@@ -18,99 +16,172 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from .components import components
+
+SPLIT_BITS = 2
+#: Beyond so many halvings places are told apart by their coordinates themselves.
+LAST_BIT = 48
+#: A list of so many cells (a few numbers each) is broadcast; a longer one is joined by a shuffle.
+BROADCAST_CELLS = 100_000
+
+
+def _names(prefix: str, d: int) -> list[str]:
+    return [f"{prefix}{i}" for i in range(d)]
+
+
+def _cols(prefix: str, d: int) -> list[Column]:
+    return [F.col(c) for c in _names(prefix, d)]
 
-def _sq(cols_a: Sequence[Column], cols_b: Sequence[Column]) -> Column:
-    return sum(((a - b) * (a - b) for a, b in zip(cols_a, cols_b)), F.lit(0.0))
+
+def _renamed(df: DataFrame, d: int, keep: Sequence[str] = (), **prefixes: str) -> DataFrame:
+    return df.select(*keep, *[F.col(f"{a}{i}").alias(f"{b}{i}") for a, b in prefixes.items() for i in range(d)])
+
+
+def _reach(lo: list[Column], hi: list[Column], lo2: list[Column], hi2: list[Column]) -> tuple[Column, Column]:
+    """(least, most) squared distance between the points of two boxes."""
+    near, far = F.lit(0.0), F.lit(0.0)
+    for a, b, c, e in zip(lo, hi, lo2, hi2):
+        gap, span = F.greatest(c - b, F.lit(0.0), a - e), F.greatest(F.abs(e - a), F.abs(b - c))
+        near, far = near + gap * gap, far + span * span
+    return near, far
+
+
+def _cells(points: DataFrame, id_col: str, cols: Sequence[str], side: float) -> DataFrame:
+    d = len(cols)
+    pts = points.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    return pts.select("*", *[F.floor(F.col(f"x{i}") / side).cast("bigint").alias(f"c{i}") for i in range(d)])
 
 
-def _box_dist(p: Sequence[Column], cell: Sequence[Column], side: float, far: bool) -> Column:
-    """Squared min (far=False) or max (far=True) distance from point p to a grid cell box."""
-    terms = []
-    for x, c in zip(p, cell):
-        lo, hi = c * F.lit(side), (c + 1) * F.lit(side)
-        if far:
-            d = F.greatest(F.abs(x - lo), F.abs(x - hi))
+def _boxes(pts: DataFrame, d: int, side: float, bits: int, extra: Sequence[Column] = ()) -> DataFrame:
+    """The boxes of each cell after ``bits`` halvings: cell c, place s, place p of the box it came from, n, bounds."""
+    parts = 1 << min(bits, LAST_BIT)
+    s = [F.least(F.greatest(F.floor((x / side - c) * parts), F.lit(0)), F.lit(parts - 1)).cast("bigint").alias(f"s{i}")
+         for i, (x, c) in enumerate(zip(_cols("x", d), _cols("c", d)))]
+    own = _names("x", d) if bits > LAST_BIT else []
+    keyed = pts.select("*", *s)
+    grouped = keyed.groupBy(*_names("c", d), *_names("s", d), *[F.col(c).alias(f"_{c}") for c in own]).agg(
+        F.count(F.lit(1)).alias("n"), *[f(f"x{i}").alias(f"{k}{i}") for i in range(d) for k, f in (("lo", F.min), ("hi", F.max))], *extra)
+    back = SPLIT_BITS if bits <= LAST_BIT else 0
+    return grouped.withColumns({f"p{i}": F.shiftright(f"s{i}", back) for i in range(d)}).drop(*[f"_{c}" for c in own])
+
+
+def _within(pts: DataFrame, open_: DataFrame, d: int, prefix: str) -> DataFrame:
+    """The points of the cells that ``open_`` names (columns ``prefix``)."""
+    cells = materialize(_renamed(open_, d, **{prefix: "c"}).distinct())
+    few = F.broadcast(cells) if cells.count() <= BROADCAST_CELLS else cells
+    return pts.join(few, _names("c", d), "left_semi")
+
+
+def _neighbours(df: DataFrame, d: int, reach: int, half: bool = False) -> DataFrame:
+    """``df`` with each neighbouring cell t of its cell c, the cell itself included; ``half``: each pair of cells once."""
+    offsets = [o for o in itertools.product(range(-reach, reach + 1), repeat=d) if not half or o > (0,) * d]
+    off = F.explode(F.array(*[F.array(*map(F.lit, o)) for o in offsets]))
+    return df.withColumn("_o", off).withColumns({f"t{i}": F.col(f"c{i}") + F.col("_o")[i] for i in range(d)}).drop("_o")
+
+
+def _hits(probes: DataFrame, pts: DataFrame, d: int, side: float, eps2: float, extra: Sequence[Column] = (),
+          keep: Sequence[str] = ("n",)) -> DataFrame | None:
+    """Boxes of ``pts`` wholly within reach of the probes (id, a: coordinates, t: cell): (id, keep...).  Together they
+    hold every point within reach of the probe in that cell exactly once."""
+    bits, found = 0, []
+    open_, side_a = probes, _cols("a", d)
+    while True:
+        boxes = _renamed(_boxes(pts if not bits else _within(pts, open_, d, "t"), d, side, bits, extra), d, keep,
+                         c="t", s="s", p="p", lo="lo", hi="hi")
+        if bits:
+            joined = open_.join(boxes, [*_names("t", d), *_names("p", d)])
         else:
-            d = F.greatest(lo - x, F.lit(0.0), x - hi)
-        terms.append(d * d)
-    return sum(terms, F.lit(0.0))
+            joined = open_.join(boxes.drop(*_names("p", d)), _names("t", d))
+        near, far = _reach(side_a, side_a, _cols("lo", d), _cols("hi", d))
+        joined = materialize(joined.where(near <= eps2).withColumn("_whole", far <= eps2))
+        found.append(joined.where("_whole").select("id", *keep))
+        open_ = _renamed(joined.where(~F.col("_whole")), d, ["id"], a="a", t="t", s="p")
+        if not open_.limit(1).count():
+            return reduce(DataFrame.unionByName, found)
+        bits += SPLIT_BITS
+
 
+def _counted(pts: DataFrame, d: int, side: float, reach: int, eps2: float, min_samples: int) -> DataFrame:
+    """pts with n_neighbors (null in dense cells, where it is at least ``min_samples``) and core."""
+    size = pts.groupBy(*_names("c", d)).agg(F.count(F.lit(1)).alias("cnt"))
+    sized = pts.join(size, _names("c", d))
+    probes = _neighbours(_renamed(sized.where(F.col("cnt") < min_samples), d, ["id"], x="a", c="c"), d, reach).drop(*_names("c", d))
+    counts = _hits(probes, pts, d, side, eps2).groupBy("id").agg(F.sum("n").alias("n_neighbors"))
+    return materialize(sized.join(counts, "id", "left").select(
+        "id", *_names("x", d), *_names("c", d), "n_neighbors",
+        ((F.col("cnt") >= min_samples) | (F.coalesce("n_neighbors", F.lit(0)) >= min_samples)).alias("core")))
 
-def density_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: float,
-                   min_samples: int = 10) -> DataFrame:
-    """(id, n_neighbors, label) with label in {'core', 'border', 'noise'}."""
+
+def _linked_cells(core: DataFrame, d: int, side: float, reach: int, eps2: float) -> DataFrame:
+    """Pairs of cells (c, t) with core points within reach of each other."""
+    cells = core.select(*_names("c", d)).distinct()
+    pairs = _neighbours(cells, d, reach, half=True).join(_renamed(cells, d, c="t"), _names("t", d))
+    both = [*_names("c", d), *_names("t", d)]
+    bits, linked, open_ = 0, [], pairs
+    one = F.min(F.struct(*_names("x", d))).alias("one")  # a point of the box: two such points within reach settle the pair
+    while True:
+        inside = core if not bits else _within(core, _renamed(open_, d, c="u").unionByName(_renamed(open_, d, t="u")), d, "u")
+        boxes = materialize(_boxes(inside, d, side, bits, [one]))
+        own = boxes.select(*_names("c", d), *[F.col(f"{k}{i}").alias(f"{k}_c{i}") for k in ("s", "p", "lo", "hi") for i in range(d)],
+                           F.col("one").alias("one_c"))
+        other = boxes.select(*[F.col(f"c{i}").alias(f"t{i}") for i in range(d)],
+                             *[F.col(f"{k}{i}").alias(f"{k}_t{i}") for k in ("s", "p", "lo", "hi") for i in range(d)], F.col("one").alias("one_t"))
+        on_c, on_t = ([*_names("c", d)], [*_names("t", d)]) if not bits else \
+            ([*_names("c", d), *_names("p_c", d)], [*_names("t", d), *_names("p_t", d)])
+        joined = open_.join(own.drop(*([] if bits else _names("p_c", d))), on_c).join(other.drop(*([] if bits else _names("p_t", d))), on_t)
+        near, far = _reach(_cols("lo_c", d), _cols("hi_c", d), _cols("lo_t", d), _cols("hi_t", d))
+        a, b = ([F.col(f"one_{k}")[f"x{i}"] for i in range(d)] for k in "ct")
+        apart = sum(((x - y) * (x - y) for x, y in zip(a, b)), F.lit(0.0))
+        joined = materialize(joined.where(near <= eps2).withColumn("_linked", (far <= eps2) | (apart <= eps2)))
+        done = materialize(joined.where("_linked").select(*both).distinct())
+        linked.append(done)
+        open_ = materialize(joined.where(~F.col("_linked")).join(done, both, "left_anti").select(
+            *both, *[F.col(f"s_{k}{i}").alias(f"p_{k}{i}") for k in "ct" for i in range(d)]))
+        if not open_.limit(1).count():
+            return reduce(DataFrame.unionByName, linked)
+        bits += SPLIT_BITS
+
+
+def dbscan(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int = 10) -> DataFrame:
+    """(id, label, cluster) with label core, border or noise.  A cluster is named by its smallest core id; a border point
+    belongs to the smallest cluster with a core point within eps, noise to none.  Ids are unique and coordinates not null."""
     d = len(cols)
     side = eps / math.sqrt(d)
-    reach = math.ceil(eps / side)
-    eps2 = eps * eps
-    pts = points.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    pts = pts.select("*", *[F.floor(F.col(f"x{i}") / side).cast("bigint").alias(f"c{i}") for i in range(d)])
-    X = [F.col(f"x{i}") for i in range(d)]
-    cells = pts.groupBy(*[f"c{i}" for i in range(d)]).agg(F.count(F.lit(1)).alias("cnt"))
-    dense = cells.where(F.col("cnt") >= min_samples)
-    offsets = [o for o in itertools.product(range(-reach, reach + 1), repeat=d)]
-    off = F.explode(F.array(*[F.array(*[F.lit(v) for v in o]) for o in offsets]))
-
-    p = pts.join(cells, [f"c{i}" for i in range(d)])
-    sparse = p.where(F.col("cnt") < min_samples).drop("cnt")
-    # sparse point x neighbour cell (bounded: 5^d cells per sparse point)
-    cand = (sparse.select("id", *X, *[F.col(f"c{i}") for i in range(d)], off.alias("o"))
-            .select("id", *X, *[(F.col(f"c{i}") + F.col("o")[i]).alias(f"t{i}") for i in range(d)]))
-    cand = cand.join(cells.select(*[F.col(f"c{i}").alias(f"t{i}") for i in range(d)], "cnt"),
-                     [f"t{i}" for i in range(d)])
-    T = [F.col(f"t{i}") for i in range(d)]
-    near, far = _box_dist(X, T, side, False), _box_dist(X, T, side, True)
-    cand = cand.where(near <= eps2).withColumn("_inside", far <= eps2)
-    whole = cand.where("_inside").groupBy("id").agg(F.sum("cnt").alias("n_whole"))
-    edge = cand.where(~F.col("_inside")).select("id", *[F.col(f"x{i}").alias(f"a{i}") for i in range(d)], *T)
-    others = pts.select(F.col("id").alias("nid"), *[F.col(f"x{i}").alias(f"b{i}") for i in range(d)],
-                        *[F.col(f"c{i}").alias(f"t{i}") for i in range(d)])
-    A = [F.col(f"a{i}") for i in range(d)]
-    B = [F.col(f"b{i}") for i in range(d)]
-    pairs = edge.join(others, [f"t{i}" for i in range(d)]).where(_sq(A, B) <= eps2)
-    n_edge = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("n_edge"))
-    counts = (sparse.select("id").join(whole, "id", "left").join(n_edge, "id", "left")
-              .select("id", (F.coalesce("n_whole", F.lit(0)) + F.coalesce("n_edge", F.lit(0))).alias("n_neighbors")))
-    sparse_lab = counts.withColumn("core", F.col("n_neighbors") >= min_samples)
-    dense_lab = (p.where(F.col("cnt") >= min_samples).select("id", F.lit(None).cast("bigint").alias("n_neighbors"),
-                                                             F.lit(True).alias("core")))
-    lab = sparse_lab.unionByName(dense_lab)
-
-    # border: a non-core point with a core point within eps
-    noncore = (sparse.join(sparse_lab.where(~F.col("core")).select("id"), "id")
-               .select("id", *X, *[F.col(f"c{i}") for i in range(d)], off.alias("o"))
-               .select("id", *X, *[(F.col(f"c{i}") + F.col("o")[i]).alias(f"t{i}") for i in range(d)])
-               .where(_box_dist(X, T, side, False) <= eps2))
-    # a dense neighbour cell (all core) lying entirely within eps settles it at once
-    via_dense = (noncore.join(dense.select(*[F.col(f"c{i}").alias(f"t{i}") for i in range(d)]),
-                              [f"t{i}" for i in range(d)])
-                 .where(_box_dist(X, T, side, True) <= eps2).select("id").distinct())
-    core_pts = (pts.join(lab.where("core").select("id"), "id")
-                .select(F.col("id").alias("nid"), *[F.col(f"x{i}").alias(f"b{i}") for i in range(d)],
-                        *[F.col(f"c{i}").alias(f"t{i}") for i in range(d)]))
-    via_pairs = (noncore.select("id", *[F.col(f"x{i}").alias(f"a{i}") for i in range(d)], *T)
-                 .join(core_pts, [f"t{i}" for i in range(d)]).where(_sq(A, B) <= eps2).select("id").distinct())
-    border = via_dense.unionByName(via_pairs).distinct().withColumn("_border", F.lit(True))
-    return (lab.join(border, "id", "left")
-            .select("id", "n_neighbors",
-                    F.when(F.col("core"), F.lit("core"))
-                    .when(F.col("_border").isNotNull(), F.lit("border"))
-                    .otherwise(F.lit("noise")).alias("label")))
+    reach, eps2 = math.ceil(eps / side), eps * eps
+    pts = _counted(_cells(points, id_col, cols, side), d, side, reach, eps2, min_samples)
+    core = pts.where("core")
+    cells = materialize(core.groupBy(*_names("c", d)).agg(F.min("id").alias("cell")))
+    linked = _linked_cells(core, d, side, reach, eps2)
+    edges = linked.join(cells.withColumnRenamed("cell", "u"), _names("c", d)) \
+        .join(_renamed(cells, d, ["cell"], c="t").withColumnRenamed("cell", "v"), _names("t", d))
+    roots = components(edges.select("u", "v"))
+    named = materialize(cells.join(roots, F.col("cell") == F.col("node"), "left")
+                        .select(*_names("c", d), F.coalesce("component", "cell").alias("cluster")))
+    own = core.join(named, _names("c", d)).select("id", F.lit("core").alias("label"), "cluster")
+    probes = _neighbours(_renamed(pts.where(~F.col("core")), d, ["id"], x="a", c="c"), d, reach).drop(*_names("c", d))
+    probes = probes.join(_renamed(named, d, c="t"), _names("t", d))  # cells with a core point
+    placed = core.join(named, _names("c", d))
+    border = _hits(probes, placed, d, side, eps2, [F.min("cluster").alias("cluster")], ["cluster"]).groupBy("id").agg(F.min("cluster").alias("cluster"))
+    rest = pts.where(~F.col("core")).select("id").join(border, "id", "left") \
+        .select("id", F.when(F.col("cluster").isNotNull(), F.lit("border")).otherwise(F.lit("noise")).alias("label"), "cluster")
+    return own.unionByName(rest)
+
+
+def density_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int = 10) -> DataFrame:
+    """(id, label) with label in {'core', 'border', 'noise'}."""
+    return dbscan(points, id_col, cols, eps, min_samples).select("id", "label")
 
 
 def density_summary(points: DataFrame, id_col: str, cols: Sequence[str], eps_list: Sequence[float],
                     min_samples: int = 10) -> DataFrame:
-    """Per eps: number of core, border and noise points."""
-    out = None
-    for eps in eps_list:
-        s = (density_labels(points, id_col, cols, eps, min_samples)
-             .agg(F.lit(float(eps)).alias("eps"),
-                  F.count_if(F.col("label") == "core").alias("core"),
-                  F.count_if(F.col("label") == "border").alias("border"),
-                  F.count_if(F.col("label") == "noise").alias("noise")))
-        out = s if out is None else out.unionByName(s)
-    return out
+    """Per eps: number of clusters and of core, border and noise points."""
+    return reduce(DataFrame.unionByName, [
+        dbscan(points, id_col, cols, eps, min_samples).agg(
+            F.lit(float(eps)).alias("eps"), F.countDistinct("cluster").alias("clusters"),
+            *[F.count_if(F.col("label") == name).alias(name) for name in ("core", "border", "noise")]) for eps in eps_list])

@@ -286,11 +286,14 @@ def k17_pca(t):
 
 @query("k19_algorithm_comparison")
 def k19_algorithm_comparison(t):
-    """k-means vs Gaussian mixture vs bisecting k-means, k = 3, 4, 5, three indices."""
-    return _compare(t, ["kmeans", "gaussian_mixture", "bisecting_kmeans"])
+    """k-means, Gaussian mixture and bisecting k-means for k = 3, 4, 5, and DBSCAN for each eps (indices without
+    noise): three indices."""
+    z = materialize(R.rfm_scaled(rfm_table(t)).select("customer_id", *Z_COLS))
+    rows = CL.dbscan_rows(t.spark, z, "customer_id", Z_COLS, EPS_LIST, 10)
+    return _compare(t, ["kmeans", "gaussian_mixture", "bisecting_kmeans"]).unionByName(rows, allowMissingColumns=True)
 
 
-# --- K16 (partial): DBSCAN core / border / noise -------------------------------
+# --- K16: DBSCAN ---------------------------------------------------------------
 
 from ..operators import density as DN  # noqa: E402
 
@@ -325,6 +328,21 @@ cnt AS (SELECT id, {counts} FROM pr GROUP BY id)""" + "\nUNION ALL".join(parts)
 @query("k16_dbscan_density", _dbscan_sql())
 def k16_dbscan_density(t):
     """DBSCAN density labels (min_samples 10, eps 0.3 / 0.5 / 0.7 / 1.0) on log1p + z RFM:
-    core, border and noise counts (cluster components not built)."""
+    core, border and noise counts."""
     z = materialize(R.rfm_scaled(rfm_table(t)).select("customer_id", *Z_COLS))  # read once per eps pass
-    return DN.density_summary(z, "customer_id", Z_COLS, EPS_LIST, 10)
+    return DN.density_summary(z, "customer_id", Z_COLS, EPS_LIST, 10).drop("clusters")
+
+
+@query("k16_dbscan_clusters")
+def k16_dbscan_clusters(t):
+    """Label and cluster of every customer at eps 0.5."""
+    z = materialize(R.rfm_scaled(rfm_table(t)).select("customer_id", *Z_COLS))
+    return DN.dbscan(z, "customer_id", Z_COLS, 0.5, 10).withColumnRenamed("id", "customer_id")
+
+
+@query("k16_dbscan_summary")
+def k16_dbscan_summary(t):
+    """Per eps: clusters, points in them, noise, and the silhouette of the points without noise."""
+    z = materialize(R.rfm_scaled(rfm_table(t)).select("customer_id", *Z_COLS))
+    return CL.dbscan_rows(t.spark, z, "customer_id", Z_COLS, EPS_LIST, 10) \
+        .select("eps", "clusters", "clustered", "noise", "silhouette_sq")

@@ -59,7 +59,8 @@ def features(t):
 
 
 def labelled(t):
-    return P.label_by_train_median(P.stratified_split(features(t)))
+    """Features with split and label, materialised: the split's quantiles are computed once for all that reads it."""
+    return materialize(P.label_by_train_median(materialize(P.stratified_split(features(t)))))
 
 
 def fixed_predictions(t):
