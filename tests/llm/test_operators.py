@@ -192,14 +192,23 @@ def test_itq_links(spark):
     assert itq.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_itq_recall_against_brute_force(spark):
-    rows = table(spark, "/root/testdata/check_h", "embeddings").select("vec_id", "embedding").limit(3000)
-    got = {r["vec_id"]: r["n_links"] for r in itq.near_duplicates(rows).collect()}
-    ids, x = zip(*[(r["vec_id"], r["embedding"]) for r in rows.collect()])
-    y = np.array(x, float)
-    y /= np.linalg.norm(y, axis=1, keepdims=True)
-    want = (y @ y.T >= 0.9).sum(axis=1) - 1
-    assert sum(got.values()) >= 0.9 * want.sum() and all(got[i] <= w for i, w in zip(ids, want.tolist()))
+@pytest.mark.parametrize("hot", [False, True])
+def test_itq_recall_of_planted_pairs(spark, hot):
+    rng = np.random.default_rng(17)
+    n, d = 1500, 64
+    x = rng.standard_normal((n, d))
+    if hot:  # a third of the vectors around one direction, further from each other than the threshold
+        x[::3] = 6 * x[0] / np.linalg.norm(x[0]) + x[::3]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.standard_normal((n, d))
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    cos = rng.uniform(0.9005, 0.93, (n, 1))
+    x = np.vstack([x, cos * x + np.sqrt(1 - cos ** 2) * away / np.linalg.norm(away, axis=1, keepdims=True)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in itq.near_duplicates(df).collect()}
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    assert want.sum() >= 2 * n
+    assert sum(got.values()) >= 0.9 * want.sum() and all(got[i] <= w for i, w in enumerate(want.tolist()))
 
 
 # 4 personal data

@@ -13,6 +13,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,9 @@ FIT_ROWS = 20_000
 SUBSTRINGS = 6
 #: Codes further apart are no candidates; 11 bits in 6 substrings leave one with at most one differing bit.
 RADIUS = 11
+#: Rotations fitted from different starts; a pair is a candidate if its codes are close under any of them.  One alone
+#: finds 82 to 86 of 100 pairs at a cosine of 0.90, as two independent misses are needed with two.
+ROTATIONS = 2
 #: Rows of a table bucket; larger buckets are compared chunk by chunk.
 CHUNK = 1024
 
@@ -97,6 +101,16 @@ def _pairs_within(radius: int, subs: list[int]):
     return link
 
 
+def _encode(rotation: Rotation):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                x = _matrix(b.column(1))
+                codes = rotation.codes(x / np.linalg.norm(x, axis=1, keepdims=True))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes)], ["node", "code"])
+    return run
+
+
 def _cosine_at_least(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -113,7 +127,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
                     radius: int = RADIUS, substrings: int = SUBSTRINGS, fit_rows: int = FIT_ROWS,
-                    chunk: int = CHUNK) -> DataFrame:
+                    chunk: int = CHUNK, rotations: int = ROTATIONS) -> DataFrame:
     """One row per vector: (vec_id, n_links, component_id, kept).
 
     Vectors that are null, empty, zero, hold null or non-finite components, or have
@@ -138,22 +152,18 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     sample = index.where(fraction_of(F.xxhash64("e"), fit_rows, int(sizes["count"]))).select("e")
     fit = np.array([r["e"] for r in sample.limit(2 * fit_rows).collect()] or
                    [r["e"] for r in index.limit(1).collect()], np.float64)  # bounded by 2 * fit_rows
-    rotation = fit_rotation(fit / np.linalg.norm(fit, axis=1, keepdims=True))
-    bits = rotation.project.shape[1]
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                x = _matrix(b.column(1))
-                codes = rotation.codes(x / np.linalg.norm(x, axis=1, keepdims=True))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes)], ["node", "code"])
-
-    codes = index.select("node", "e").mapInArrow(encode, "node long, code long")
-    subs = _substring_masks(bits, min(substrings, bits))
-    keys = [F.struct(F.lit(bit).alias("k1"), F.col("code").bitwiseAND(F.lit(_signed(m & ~(1 << bit)))).alias("k2"))
-            for m in subs for bit in range(bits) if m >> bit & 1]
-    probes = codes.select(F.explode(F.array(*keys)).alias("k"), "node", "code").select("k.k1", "k.k2", "node", "code")
-    pairs = candidate_groups(probes, _pairs_within(radius, subs), "u long, v long", chunk)
+    unit = fit / np.linalg.norm(fit, axis=1, keepdims=True)
+    found = []
+    for seed in range(rotations):
+        rotation = fit_rotation(unit, seed=7 + seed)
+        bits = rotation.project.shape[1]
+        codes = index.select("node", "e").mapInArrow(_encode(rotation), "node long, code long")
+        subs = _substring_masks(bits, min(substrings, bits))
+        keys = [F.struct(F.lit(bit).alias("k1"), F.col("code").bitwiseAND(F.lit(_signed(m & ~(1 << bit)))).alias("k2"))
+                for m in subs for bit in range(bits) if m >> bit & 1]
+        probes = codes.select(F.explode(F.array(*keys)).alias("k"), "node", "code").select("k.k1", "k.k2", "node", "code")
+        found.append(candidate_groups(probes, _pairs_within(radius, subs), "u long, v long", chunk))
+    pairs = reduce(DataFrame.unionByName, found).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     with_u = pairs.join(index.select(F.col("node").alias("u"), F.col("e").alias("eu")), "u")
     with_both = with_u.join(index.select(F.col("node").alias("v"), F.col("e").alias("ev")), "v")
     links = cut(with_both.select("u", "v", "eu", "ev").mapInArrow(_cosine_at_least(threshold), "u long, v long"), "links", True)
