@@ -79,7 +79,6 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
         .withColumn("_k1", F.least(F.col("_k0") + 1, F.col("_n") - 1))
     state = wanted.select(*by, F.explode(F.array("_k0", "_k1")).alias("k"), "_lo", "_hi", F.col("_n").alias("_inside"),
                           F.lit(0).cast("bigint").alias("_below")).distinct()
-    state = materialize(state)
     keys = [*by, "k"]
 
     is_open = (F.col("_inside") > max_bracket) & (F.col("_hi") > F.col("_lo"))

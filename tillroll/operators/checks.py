@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def row_counts(before: DataFrame, after: DataFrame, expected: int | None = None) -> DataFrame:
     """Rows before/after, equal, equal to ``expected``."""
@@ -98,12 +100,14 @@ def check_report(checks: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
 
 def copy_counts(before: DataFrame, after: DataFrame, not_null: Sequence[str], unchanged: Sequence[str],
                 attr: str, key: str = "customer_id", line_id: str = "line_id") -> DataFrame:
-    """V01-V04 and V06 of an adapted copy in one row: the lines are joined once, and the keys of
-    both sides are grouped once (two shuffles).  ``multi_<attr>`` counts keys with more than one
+    """V01-V04 and V06 of an adapted copy in one row: both sides are computed once, as slim tables, their lines
+    are joined once, and the keys of both are grouped once (two shuffles).  ``multi_<attr>`` counts keys with more than one
     ``attr`` after; lines without a key belong to no key."""
+    after = after.withColumn("_nulls", sum((F.col(c).isNull().cast("bigint") for c in not_null), F.lit(0).cast("bigint")))
+    before = materialize(before.select(line_id, key, *unchanged))
+    after = materialize(after.select(line_id, key, *unchanged, "_nulls", *({attr} - {key, *unchanged})))
     b = before.select(F.col(line_id).alias("_id"), F.struct(key, *unchanged).alias("b"))
-    nulls = sum((F.col(c).isNull().cast("bigint") for c in not_null), F.lit(0).cast("bigint"))
-    a = after.select(F.col(line_id).alias("_id"), F.struct(key, *unchanged, nulls.alias("_nulls")).alias("a"))
+    a = after.select(F.col(line_id).alias("_id"), F.struct(key, *unchanged, "_nulls").alias("a"))
     lines = b.join(a, "_id", "full_outer").agg(
         F.count("b").alias("rows_before"), F.count("a").alias("rows_after"),
         F.coalesce(F.sum("a._nulls"), F.lit(0)).alias("nulls"),

@@ -106,23 +106,24 @@ def cleaning_funnel(raw: DataFrame, formats: Sequence[str], key: str = "customer
 
     One group-by over the business columns (the dedupe shuffle) keeps a copy
     count per distinct row, so raw, null-key and dedupe counts come from the
-    same table; date and positivity are flags on it; only the IQR fence needs
-    further passes, over the positive rows.  The raw input is read once.
+    same table; key, date and positivity are flags beside the amount, and only these are
+    kept; only the IQR fence needs further passes, over the amounts of the positive rows.
+    The raw input is read once.
     """
     biz = [c for c in raw.columns if c not in exclude]
-    g = (raw.groupBy(*biz).agg(F.count(F.lit(1)).alias("_copies"))
-         .withColumn("_ts", parse_ts(ts_text, formats)))
+    g = with_amount(raw.groupBy(*biz).agg(F.count(F.lit(1)).alias("_copies"))).select(
+        "_copies", "amount", F.col(key).isNotNull().alias("_key"), parse_ts(ts_text, formats).isNotNull().alias("_dated"),
+        ((F.col("quantity") > 0) & (F.col("price") > 0)).alias("_positive"))
     if checkpoint:
         g = materialize(g)
-    nn = F.col(key).isNotNull()
-    ok_date = nn & F.col("_ts").isNotNull()
-    ok_pos = ok_date & (F.col("quantity") > 0) & (F.col("price") > 0)
+    nn = F.col("_key")
+    ok_date = nn & F.col("_dated")
+    ok_pos = ok_date & F.col("_positive")
     counts = g.agg(F.sum("_copies").alias("raw"), F.coalesce(F.sum(F.when(nn, F.col("_copies"))), F.lit(0))
                    .alias("null_keys"),
                    F.count_if(nn).alias("dedupe"), F.count_if(ok_date).alias("dates"),
                    F.count_if(ok_pos).alias("positive"))
-    pos = with_amount(g.where(ok_pos))
-    n_iqr = iqr_filter(pos, "amount", factor).agg(F.count(F.lit(1)).alias("iqr"))
+    n_iqr = iqr_filter(g.where(ok_pos).select("amount"), "amount", factor).agg(F.count(F.lit(1)).alias("iqr"))
     one = counts.crossJoin(n_iqr)
     stages = ["raw", "null_keys", "dedupe", "dates", "positive", "iqr"]
     rows = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(s).alias("stage"), F.col(s).alias("rows_after"),
