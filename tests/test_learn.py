@@ -7,7 +7,7 @@ from tillroll.functions.hashing import unit_hash
 from tillroll.operators import evaluate as E
 from tillroll.operators import forests
 from tillroll.operators import learn as L
-from tillroll.session import materialize
+from tillroll.session import in_parallel, materialize
 
 FEATURES = ["recency", "monetary"]
 
@@ -135,4 +135,4 @@ def test_nested_search_equals_separate_fits(planted):
 def test_parallel_jobs_keep_their_own_properties(spark):
     def job(i):
         return spark.range(1000).selectExpr(f"sum(id + {i}) AS s").first()["s"]
-    assert L.in_parallel(spark, job, range(40)) == [499500 + 1000 * i for i in range(40)]
+    assert in_parallel(spark, job, range(40)) == [499500 + 1000 * i for i in range(40)]

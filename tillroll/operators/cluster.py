@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash
-from ..session import materialize
+from ..session import in_parallel, materialize
 from . import batch_kmeans as B
 from . import validity as K
 from .density import dbscan
@@ -141,22 +141,21 @@ def algorithm_comparison(spark: SparkSession, df: DataFrame, id_col: str, ks: Se
                          algorithms: Sequence[str] = ALGORITHMS) -> DataFrame:
     """K-means vs Gaussian mixture vs bisecting k-means
     (the distributed stand-in for Ward linkage) over ``ks``, three indices each."""
-    rows = []
-    for k in ks:
-        make = {
-            "kmeans": lambda: fit_kmeans(df, k, n_init, seed, features=features),
-            "gaussian_mixture": lambda: GaussianMixture(k=k, seed=seed, featuresCol=features,
-                                                        predictionCol="cluster", probabilityCol="_prob").fit(df),
-            "bisecting_kmeans": lambda: BisectingKMeans(k=k, seed=seed, featuresCol=features,
-                                                        predictionCol="cluster").fit(df),
-        }
-        fits = {name: make[name]() for name in algorithms}
-        for name, m in fits.items():
-            pred = m.transform(df)
-            n_clusters = pred.select("cluster").distinct().count()
-            v = validity_row(pred, id_col, features) if n_clusters > 1 else \
-                {"silhouette_sq": None, "davies_bouldin": None, "calinski_harabasz": None}
-            rows.append((name, int(k), int(n_clusters), v["silhouette_sq"], v["davies_bouldin"], v["calinski_harabasz"]))
+    make = {
+        "kmeans": lambda k: fit_kmeans(df, k, n_init, seed, features=features),
+        "gaussian_mixture": lambda k: GaussianMixture(k=k, seed=seed, featuresCol=features, predictionCol="cluster",
+                                                      probabilityCol="_prob").fit(df),
+        "bisecting_kmeans": lambda k: BisectingKMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df),
+    }
+
+    def row(job):
+        k, name = job
+        pred = make[name](k).transform(df)
+        n_clusters = pred.select("cluster").distinct().count()
+        v = validity_row(pred, id_col, features) if n_clusters > 1 else \
+            {"silhouette_sq": None, "davies_bouldin": None, "calinski_harabasz": None}
+        return name, int(k), int(n_clusters), v["silhouette_sq"], v["davies_bouldin"], v["calinski_harabasz"]
+    rows = in_parallel(spark, row, [(k, name) for k in ks for name in algorithms])
     return spark.createDataFrame(rows, "algorithm string, k int, clusters int, silhouette_sq double, "
                                        "davies_bouldin double, calinski_harabasz double")
 
@@ -165,15 +164,15 @@ def dbscan_rows(spark: SparkSession, df: DataFrame, id_col: str, cols: Sequence[
                 min_samples: int = 10) -> DataFrame:
     """Per eps the number of DBSCAN clusters, of clustered points and of noise, and the three indices of the
     clustered points (null for fewer than two clusters)."""
-    rows = []
-    for eps in eps_list:
+    def row(eps):
         found = materialize(dbscan(df, id_col, cols, eps, min_samples))
         clusters, clustered, noise = found.agg(F.countDistinct("cluster"), F.count("cluster"), F.count_if(F.col("cluster").isNull())).first()
         v = {"silhouette_sq": None, "davies_bouldin": None, "calinski_harabasz": None}
         if clusters > 1:
             pred = df.join(found.where("cluster IS NOT NULL").select(F.col("id").alias(id_col), "cluster"), id_col)
             v = validity_row(assemble(pred, cols), id_col)
-        rows.append(("dbscan", float(eps), int(clusters), int(clustered), int(noise), *v.values()))
+        return "dbscan", float(eps), int(clusters), int(clustered), int(noise), *v.values()
+    rows = in_parallel(spark, row, eps_list)
     return spark.createDataFrame(rows, "algorithm string, eps double, clusters int, clustered long, noise long, silhouette_sq double, "
                                        "davies_bouldin double, calinski_harabasz double")
 

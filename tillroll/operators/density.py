@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import in_parallel, materialize
 from .components import components
 
 SPLIT_BITS = 2
@@ -181,7 +181,8 @@ def density_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: flo
 def density_summary(points: DataFrame, id_col: str, cols: Sequence[str], eps_list: Sequence[float],
                     min_samples: int = 10) -> DataFrame:
     """Per eps: number of clusters and of core, border and noise points."""
-    return reduce(DataFrame.unionByName, [
-        dbscan(points, id_col, cols, eps, min_samples).agg(
+    def row(eps):
+        return dbscan(points, id_col, cols, eps, min_samples).agg(
             F.lit(float(eps)).alias("eps"), F.countDistinct("cluster").alias("clusters"),
-            *[F.count_if(F.col("label") == name).alias(name) for name in ("core", "border", "noise")]) for eps in eps_list])
+            *[F.count_if(F.col("label") == name).alias(name) for name in ("core", "border", "noise")])
+    return reduce(DataFrame.unionByName, in_parallel(points.sparkSession, row, eps_list))

@@ -12,13 +12,10 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import partial
 from itertools import product
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -29,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash
 from ..functions.quantiles import quantiles
-from ..session import checkpoint_dir
+from ..session import PARALLELISM, in_parallel
 from . import evaluate as E
 from . import forests
 
@@ -39,7 +36,6 @@ RICH_FEATURES = BASE_FEATURES + ["ipt_mean", "ipt_std", "max_invoice_value", "st
                                  "spend_last90", "momentum_ratio", "purchase_rate"]
 MODELS = ("logistic_regression", "decision_tree", "random_forest")
 NESTED_MODELS = ("decision_tree", "random_forest")
-PARALLELISM = 8
 ROWS_PER_PARTITION = 100_000
 MAX_DEPTH = 30     # MLlib's deepest tree, for an unlimited one
 MAX_BINS = 128     # candidate thresholds per feature; MLlib cannot try every value
@@ -120,17 +116,6 @@ def grid(name: str) -> list[dict]:
     return [dict(zip(g, values)) for values in product(*g.values())]
 
 
-def in_parallel(spark: SparkSession, fn: Callable, jobs: Iterable, parallelism: int = PARALLELISM) -> list:
-    """``[fn(job) for job in jobs]``, several Spark jobs at a time; the first error is raised.
-
-    Each job gets a copy of the local properties of its own.  Shared by the threads, the query id that one sets
-    would be taken away by another that ends (``Cannot parse null string``)."""
-    checkpoint_dir(spark)  # set before any thread needs it
-    runs = [inheritable_thread_target(spark)(partial(fn, j)) for j in jobs]
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(runs)))) as pool:
-        return list(pool.map(lambda run: run(), runs))
-
-
 def vectors(prep: PipelineModel, df: DataFrame, n: int) -> DataFrame:
     """The label and vector of each row, cached in partitions of about ``ROWS_PER_PARTITION`` rows."""
     return (prep.transform(df).select("label", "features")

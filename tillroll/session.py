@@ -10,7 +10,11 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -63,3 +67,17 @@ def materialize(df):
     loss of the executors that computed it)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+PARALLELISM = 8  # Spark jobs that the driver submits at a time
+
+
+def in_parallel(spark: SparkSession, fn: Callable, jobs: Iterable, parallelism: int = PARALLELISM) -> list:
+    """``[fn(job) for job in jobs]``, several Spark jobs at a time; the first error is raised.
+
+    Each job gets a copy of the local properties of its own.  Shared by the threads, the query id that one sets
+    would be taken away by another that ends (``Cannot parse null string``)."""
+    checkpoint_dir(spark)  # set before any thread needs it
+    runs = [inheritable_thread_target(spark)(partial(fn, j)) for j in jobs]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(runs)))) as pool:
+        return list(pool.map(lambda run: run(), runs))
