@@ -42,3 +42,14 @@ def test_t_tail(t, dof, p):
 def test_binomial_and_chi2_tails():
     assert abs(tails.binom_two_sided_p_half(3, 10) - 0.09228515625) < 1e-12
     assert abs(tails.chi2_sf(12.75, 15) - 0.622) < 2e-3
+
+
+def test_class_report_by_hand(spark):
+    rows = [(1, 1)] * 3 + [(1, 0)] * 1 + [(0, 1)] * 2 + [(0, 0)] * 4
+    got = {r["class"]: r for r in E.class_report(spark.createDataFrame(rows, "label int, prediction int")).collect()}
+    assert (got["1"]["precision"], got["1"]["recall"], got["1"]["support"]) == (3 / 5, 3 / 4, 4)
+    assert (got["0"]["precision"], got["0"]["recall"], got["0"]["support"]) == (4 / 5, 4 / 6, 6)
+    assert abs(got["weighted avg"]["recall"] - 0.7) < 1e-12 and got["macro avg"]["support"] == 10
+    assert abs(got["macro avg"]["precision"] - 0.7) < 1e-12
+    none = {r["class"]: r for r in E.class_report(spark.createDataFrame([(0, 0)], "label int, prediction int")).collect()}
+    assert none["1"]["f1"] == 0.0 and none["1"]["support"] == 0

@@ -38,6 +38,27 @@ def metrics(df: DataFrame, label: str = "label", pred: str = "prediction", by: S
                     div(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
+def class_report(df: DataFrame, label: str = "label", pred: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """P20: precision, recall, F1 and support of each class, and their plain and support-weighted means ('macro avg',
+    'weighted avg'); 0 where a denominator is 0.  From the four counts, one aggregate over the predictions."""
+    m = confusion_counts(df, label, pred, by)
+
+    def div(a, b):
+        return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
+
+    def row(name, hit, extra, missed):
+        hit, extra, missed = F.col(hit), F.col(extra), F.col(missed)
+        return F.struct(F.lit(name).alias("class"), div(hit, hit + extra).alias("precision"), div(hit, hit + missed).alias("recall"),
+                        div(2 * hit, 2 * hit + extra + missed).alias("f1"), (hit + missed).alias("support"))
+    zero, one = row("0", "tn", "fn", "fp"), row("1", "tp", "fp", "fn")
+    measures = ("precision", "recall", "f1")
+    n = zero["support"] + one["support"]
+    macro = F.struct(F.lit("macro avg").alias("class"), *[((zero[c] + one[c]) / 2).alias(c) for c in measures], n.alias("support"))
+    weighted = F.struct(F.lit("weighted avg").alias("class"), *[
+        div(zero[c] * zero["support"] + one[c] * one["support"], n).alias(c) for c in measures], n.alias("support"))
+    return m.select(*by, F.explode(F.array(zero, one, macro, weighted)).alias("r")).select(*by, "r.*")
+
+
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "prediction",
                      by: Sequence[str] = ()) -> DataFrame:
     """All four (actual, predicted) cells, zero-filled."""

@@ -356,6 +356,26 @@ def p20_classification_metrics(t):
     return m.select("model", "tp", "fp", "tn", "fn", "n", *[r6(c).alias(c) for c in METRIC_NAMES])
 
 
+@query("p20_class_report", f"""
+WITH {FEATURES},
+t AS (SELECT model, label, prediction FROM preds WHERE split = 'test'),
+per AS (SELECT t.model, k.class, count(*) FILTER (WHERE label = k.class AND prediction = k.class) AS hit,
+               count(*) FILTER (WHERE prediction = k.class) AS called, count(*) FILTER (WHERE label = k.class) AS support
+        FROM t CROSS JOIN (VALUES (0), (1)) k(class) GROUP BY 1, 2),
+m AS (SELECT model, class, support, CASE WHEN called = 0 THEN 0.0 ELSE CAST(hit AS DOUBLE) / called END AS prec,
+             CASE WHEN support = 0 THEN 0.0 ELSE CAST(hit AS DOUBLE) / support END AS rec,
+             CASE WHEN called + support = 0 THEN 0.0 ELSE 2.0 * CAST(hit AS DOUBLE) / (called + support) END AS f FROM per),
+r AS (SELECT model, CAST(class AS VARCHAR) AS class, prec, rec, f, support FROM m
+      UNION ALL SELECT model, 'macro avg', avg(prec), avg(rec), avg(f), sum(support) FROM m GROUP BY model
+      UNION ALL SELECT model, 'weighted avg', sum(prec * support) / sum(support), sum(rec * support) / sum(support),
+                       sum(f * support) / sum(support), sum(support) FROM m GROUP BY model)
+SELECT model, class, {S.r6('prec')} AS precision, {S.r6('rec')} AS recall, {S.r6('f')} AS f1, CAST(support AS BIGINT) AS support FROM r""")
+def p20_class_report(t):
+    """Held-out precision, recall, F1 and support of each class and their means, per model."""
+    m = E.class_report(_test(t), by=["model"])
+    return m.select("model", "class", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
 @query("p21_roc_auc", f"""
 WITH {FEATURES},
 s AS (SELECT model, score, CAST(sum(label) AS DOUBLE) AS pos, CAST(count(*) - sum(label) AS DOUBLE) AS neg
