@@ -45,7 +45,7 @@ def test_all_zero_future_labels_nobody_positive(spark):
 def test_single_cluster_validity(spark):
     pts = spark.createDataFrame([(i, 0, [float(i), float(i % 3)]) for i in range(20)],
                                 "id long, cluster int, x array<double>")
-    long_ = K.array_to_long(pts, "id", "x")
+    long_ = K.vector_points(pts, "id", "x")
     assert K.silhouette_score_sq(long_).first()["silhouette_sq"] == 0.0
     assert K.calinski_harabasz(long_).first()[0] is None          # undefined for k = 1
     sizes = K.cluster_sizes(pts).first()

@@ -36,7 +36,7 @@ def brute_silhouette_sq(x, lab):
 
 def test_closed_form_silhouette_equals_brute_force(fixture):
     df, x, lab = fixture
-    pts = K.array_to_long(df, "id", "x")
+    pts = K.vector_points(df, "id", "x")
     got = K.silhouette_score_sq(pts).first()["silhouette_sq"]
     assert abs(got - brute_silhouette_sq(x, lab)) < 1e-9
     assert -1 <= got <= 1
@@ -44,7 +44,7 @@ def test_closed_form_silhouette_equals_brute_force(fixture):
 
 def test_davies_bouldin_and_calinski_harabasz(fixture):
     df, x, lab = fixture
-    pts = K.array_to_long(df, "id", "x")
+    pts = K.vector_points(df, "id", "x")
     k = 4
     mu = np.array([x[lab == c].mean(0) for c in range(k)])
     s = np.array([np.linalg.norm(x[lab == c] - mu[c], axis=1).mean() for c in range(k)])
@@ -104,3 +104,50 @@ def test_density_labels_match_brute_force(spark, eps):
     border = ~core & (within & core[None, :]).any(1)
     want = {i: "core" if core[i] else ("border" if border[i] else "noise") for i in range(len(x))}
     assert got == want
+
+
+def brute_silhouette(x, lab, chosen):
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    s = []
+    for i in chosen:
+        own = lab == lab[i]
+        if own.sum() == 1:
+            s.append(0.0)
+            continue
+        a = d[i, own].sum() / (own.sum() - 1)
+        b = min(d[i, lab == c].mean() for c in set(lab) if c != lab[i])
+        s.append((b - a) / max(a, b) if max(a, b) else 0.0)
+    return s
+
+
+def test_euclidean_silhouette_equals_brute_force(spark):
+    x, lab = blobs()
+    x[:140] = x[0] + 100  # a third of the rows is one point, in two clusters
+    x, lab = np.vstack([x, [[50.0, 50.0, 50.0]]]), np.append(lab, 9)
+    rows = [(i, int(lab[i]), [float(v) for v in x[i]]) for i in range(len(x))]
+    rows += [(1000, None, [0.0, 0.0, 0.0]), (1050, 1, None)]
+    pts = K.vector_points(spark.createDataFrame(rows, "id long, cluster int, x array<double>"), "id", "x")
+    chosen = range(0, len(x), 5)
+    for sizes in ({}, {"chosen_rows": 7, "point_rows": 40}):
+        got = {r["id"]: r["s"] for r in K.silhouette_euclidean(pts, F.col("id") % 5 == 0, **sizes).collect()}
+        assert sorted(got) == list(chosen)
+        assert [got[i] for i in chosen] == pytest.approx(brute_silhouette(x, lab, chosen), abs=1e-9)
+    assert K.silhouette_euclidean(pts.limit(0)).collect() == []
+
+
+def test_validity_in_several_profile_blocks(fixture, monkeypatch):
+    df, x, lab = fixture
+    pts = K.vector_points(df, "id", "x")
+    names = (K.wcss, K.silhouette_score_sq, K.davies_bouldin, K.calinski_harabasz)
+    whole = [sorted(tuple(r) for r in f(pts).collect()) for f in names]
+    monkeypatch.setattr(K, "PROFILE_ENTRIES", 5)
+    for f, rows in zip(names, whole):
+        for r, w in zip(sorted(tuple(r) for r in f(pts).collect()), rows):
+            assert r == pytest.approx(w, rel=1e-12)
+
+
+def test_validity_moves_no_points(fixture):
+    pts = K.vector_points(fixture[0], "id", "x")
+    for f in (K.wcss, K.silhouette_score_sq, K.davies_bouldin, K.calinski_harabasz):
+        plan = f(pts)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(id" not in plan and "hashpartitioning(x" not in plan

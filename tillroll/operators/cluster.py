@@ -123,11 +123,12 @@ def validity_row(pred: DataFrame, id_col: str, features: str = "features", clust
     """Silhouette (squared), Davies-Bouldin, Calinski-Harabasz of one labelling."""
     arr = pred.select(F.col(id_col), F.col(cluster).alias("cluster"),
                       vector_to_array(F.col(features)).alias("x"))
-    pts = K.array_to_long(arr, id_col, "x", "cluster").cache()
+    pts = K.vector_points(arr, id_col, "x", "cluster").cache()
     try:
-        out = {"silhouette_sq": float(K.silhouette_score_sq(pts).first()["silhouette_sq"]),
-               "davies_bouldin": K.davies_bouldin(pts).first()["davies_bouldin"],
-               "calinski_harabasz": K.calinski_harabasz(pts).first()["calinski_harabasz"]}
+        prof = K.profiles(pts)
+        out = {"silhouette_sq": float(K.silhouette_score_sq(pts, prof).first()["silhouette_sq"]),
+               "davies_bouldin": K.davies_bouldin(pts, prof).first()["davies_bouldin"],
+               "calinski_harabasz": K.calinski_harabasz(pts, prof).first()["calinski_harabasz"]}
     finally:
         pts.unpersist()
     return out

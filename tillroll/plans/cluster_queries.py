@@ -22,7 +22,7 @@ c AS (SELECT cluster, j, avg(v) AS c, count(*) AS n FROM p GROUP BY cluster, j)"
 
 
 def emb_points(t):
-    return K.array_to_long(t.embeddings, "vec_id", "embedding", "label")
+    return K.vector_points(t.embeddings, "vec_id", "embedding", "label")
 
 
 @query("k03_wcss", f"""
@@ -62,10 +62,42 @@ def k04_silhouette_sq_rfm(t):
     from .segment_queries import _rule_profile
     cl = _rule_profile(t)[1]
     z = R.rfm_scaled(cl)
-    pts = K.columns_to_long(z, "customer_id", [f"{c}_z" for c in R.RFM])
+    pts = K.column_points(z, "customer_id", [f"{c}_z" for c in R.RFM])
     return K.silhouette_score_sq(pts).select(r6("silhouette_sq").alias("silhouette_sq"), "n")
 
 
+# the stated rows (id divisible by 50) against all rows, plain distances
+_SIL_EUCLIDEAN = """
+d AS (SELECT a.id, a.cluster AS own, b.cluster AS other, avg(list_distance(a.x, b.x)) AS md
+      FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 50 = 0 GROUP BY 1, 2, 3),
+per AS (SELECT id, max(CASE WHEN other = own THEN md END) AS a, min(CASE WHEN other <> own THEN md END) AS b
+        FROM d GROUP BY id)
+SELECT """ + S.r6("avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END)") + \
+    """ AS silhouette, count(*) AS n FROM per"""
+
+
+@query("k04_silhouette_euclidean", """
+WITH e AS (SELECT vec_id AS id, label AS cluster, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),""" + _SIL_EUCLIDEAN)
+def k04_silhouette_euclidean(t):
+    """Silhouette (plain Euclidean) of the embedding labels: vectors with an id divisible by 50 against all."""
+    return K.silhouette_score_euclidean(emb_points(t)).select(r6("silhouette").alias("silhouette"), "n")
+
+
+@query("k04_silhouette_euclidean_rfm", f"""
+WITH {RULE_CLUSTERS},
+lg AS (SELECT customer_id, cluster, ln(1 + CAST(recency AS DOUBLE)) AS r, ln(1 + CAST(frequency AS DOUBLE)) AS f,
+              ln(1 + monetary) AS m FROM cl),
+e AS (SELECT customer_id AS id, cluster,
+             [(r - avg(r) OVER ()) / stddev_pop(r) OVER (), (f - avg(f) OVER ()) / stddev_pop(f) OVER (),
+              (m - avg(m) OVER ()) / stddev_pop(m) OVER ()] AS x FROM lg),""" + _SIL_EUCLIDEAN)
+def k04_silhouette_euclidean_rfm(t):
+    """Silhouette (plain Euclidean) of the rule clusters on scaled RFM: customers with an id divisible by 50 against all."""
+    from .segment_queries import _rule_profile
+    z = R.rfm_scaled(_rule_profile(t)[1])
+    pts = K.column_points(z, "customer_id", [f"{c}_z" for c in R.RFM])
+    return K.silhouette_score_euclidean(pts).select(r6("silhouette").alias("silhouette"), "n")
+
+
 @query("k05_davies_bouldin", f"""
 WITH {EMB_LONG},
 dist AS (SELECT p.cluster, p.id, sqrt(sum(power(p.v - c.c, 2))) AS d FROM p JOIN c USING (cluster, j) GROUP BY 1, 2),

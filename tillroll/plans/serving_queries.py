@@ -260,7 +260,7 @@ def q14_briefing(t):
     """Plain-text briefing lines, every number taken from the tables."""
     c = customers(t)
     z = R.rfm_scaled(c)
-    sil = K.silhouette_score_sq(K.columns_to_long(z, "customer_id", [f"{x}_z" for x in R.RFM]))
+    sil = K.silhouette_score_sq(K.column_points(z, "customer_id", [f"{x}_z" for x in R.RFM]))
     return Q.briefing(Q.segment_totals(c), comparison(t), c, sil)
 
 
