@@ -1,6 +1,7 @@
 """The training-data operators against brute-force versions, exact round trips and held-out accuracy, and odd rows."""
 import hashlib
 import re
+import time
 import zlib
 
 import duckdb
@@ -101,6 +102,54 @@ def test_extract_keeps_articles_in_layout_classes(page):
     assert mincut.main_text(nav + page.format(LONG) + nav) == LONG.strip()
 
 
+BODY = f"<article><h1>The title of it</h1><p>{LONG * 3}</p><p>{LONG * 4}</p></article>"
+KEPT = f"The title of it\n{(LONG * 3).strip()}\n{(LONG * 4).strip()}"
+OTHER = "Quite another voice says at great length what nobody asked it to say here. " * 70
+
+
+@pytest.mark.parametrize("element", [
+    '<div class="comment-list">{}</div>', '<div class="sidebar">{}</div>', '<div class="cookie-notice">{}</div>',
+    '<div class="newsletter-signup">{}</div>', '<section id="comments">{}</section>', '<aside>{}</aside>', '<div class="ad">{}</div>',
+    '<section id="comments"><article>{}</article></section>', '<div class="comments"><article class="entry">{}</article></div>',
+    '<div id="comments"><ol><li><div class="body">{}</div></ol></div>', '<article class="comment">{}</article>'])
+@pytest.mark.parametrize("times", [1, 9])
+def test_extract_drops_long_boilerplate(element, times):
+    other = "".join(f"<p>{OTHER[:len(OTHER) * times // 9]}</p>" for _ in range(3 if times > 1 else 1))
+    if "sidebar" in element:
+        other = f"<p>{LONG * 5}</p>"  # less than the article, which is what marks a layout word
+    more = element.format(other)
+    for page in (f"<main>{BODY}{more}</main>", f"<body>{more}<div id=x>{BODY}</div></body>", f"<main><div>{BODY}</div>{more}</main>"):
+        assert mincut.main_text(page) == KEPT
+
+
+@pytest.mark.parametrize("page", [
+    '<body><a name="top"><div>{}</div>', "<div><a href>{}</a></div>", '<body><a href="/menu">Menu<div>{}</div>',
+    "<body><form action=x><input type=hidden name=v><input name=q>{}</form>", '<div class="ad-free">{}</div>',
+    '<div class="legal">{}</div>', '<div class="search-results">{}</div>', '<div class="post category-advertising">{}</div>',
+    "<div class='sidebar-layout'><div class='with-comments'>{}</div></div>"])
+def test_extract_keeps_articles_in_unlucky_elements(page):
+    nav = "<nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav>"
+    text = f"<p>{LONG * 3}</p><p>{LONG * 3}</p>"
+    got = mincut.main_text(nav + page.format(text) + "<footer>Imprint</footer>").split("\n")
+    assert [x for x in got if x != "Menu"] == [(LONG * 3).strip()] * 2
+
+
+def test_extract_short_forms_stay_out():
+    form = "<form action=s><p>Write to us and we will answer you within the day.</p><input name=mail><textarea></textarea></form>"
+    assert mincut.main_text(BODY + form) == KEPT and mincut.main_text(form) == ""
+
+
+@pytest.mark.parametrize("piece", ["<div>some words ", "<span>some words <hr>", "<b><p>some words", "<p>some <a href=x>words",
+                                   "<li>some words <ul>", "<button><i>", "<td>some words", "<div class=nav>some words </p>"])
+def test_extract_deep_pages_in_linear_time(piece):
+    start = time.perf_counter()
+    mincut.main_text("<article><p>" + LONG + "</p>" + piece * 10_000)
+    short = time.perf_counter() - start
+    start = time.perf_counter()
+    mincut.main_text("<article><p>" + LONG + "</p>" + piece * 100_000)
+    assert time.perf_counter() - start < 40 * short + 2
+
+
 def test_extract_word_costs():
     for name in ("main-nav", "article-footer", "sidebar-content", "comment-body", "nav"):
         assert mincut.main_text(f'<div class="{name}"><p>{LONG}</div>') == ""

@@ -14,7 +14,7 @@ from __future__ import annotations
 import html as entities
 import re
 import sys
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
+ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden|href|type)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
                        re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -53,78 +53,160 @@ END_TAG = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in DROPPED}
 BARRIER = frozenset("ul ol dl table tbody thead tfoot article section div body html main aside nav".split())
 
 #: Cost table (fixed weights, in units of a tenth): positive speaks for content, negative for boilerplate.
-ELEMENT_COST = {"article": 40, "main": 30, "nav": -200, "footer": -200, "aside": -200, "form": -200, "menu": -200,
+ELEMENT_COST = {"article": 40, "main": 30, "nav": -200, "footer": -200, "aside": -200, "menu": -200,
                 "dialog": -200, "header": -60, "address": -20, "fieldset": -80, "h1": 20, "blockquote": 5, "pre": 5, "p": 10}
-WORD_COST = {w: -200 for w in
-             "ad ads advert adverts advertisement advertising advertorial banner sponsor sponsored promo promotion"
-             " sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead topbar toolbar pagination pager"
-             " cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup"
-             " login register paywall comment comments commentlist respond reply replies disqus discussion share sharing"
-             " social follow related recommended recommendations trending widget copyright legal disclaimer skip"
-             " search searchbox form rail teaser outbrain taboola hidden".split()}
+#: Words of a class or id that name what no article holds, at any length.
+NEVER = frozenset("ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo promotion cookie cookies"
+                  " consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup paywall comment"
+                  " comments commentlist respond reply replies disqus outbrain taboola".split())
+#: Words of the page's layout, which long text may outweigh; and words that an article can also be about.
+LAYOUT = frozenset("banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead topbar toolbar pagination pager"
+                   " discussion share sharing social follow related recommended recommendations trending widget skip rail teaser"
+                   " hidden".split())
+AMBIGUOUS = frozenset("legal disclaimer copyright search searchbox form login register".split())
+WORD_COST = dict.fromkeys(NEVER | LAYOUT | AMBIGUOUS, -200)
 WORD_COST |= {"header": -60, "article": 30, "content": 20, "main": 20, "post": 10, "entry": 20, "story": 20, "body": 5}
 ROLE_COST = {"navigation": -200, "banner": -200, "contentinfo": -200, "complementary": -200, "search": -200, "form": -200,
              "dialog": -200, "alert": -200, "menu": -200, "main": 30, "article": 40}
-#: A boilerplate word behind one of the first or before one of the second tells of the page's layout, not of the element.
-LAYOUT_BEFORE, LAYOUT_AFTER = frozenset("no has with without non not".split()), frozenset("enabled disabled".split())
+#: A boilerplate word behind one of the first or before one of the second tells of the page's layout or topic, not of the element.
+LAYOUT_BEFORE = frozenset("no has with without non not category tag topic".split())
+LAYOUT_AFTER = frozenset("enabled disabled free open closed".split())
 #: What boilerplate words cost beside a positive word of the same attribute; what they may cost at most in all; how much of
-#: that reaches into an article, main or positively named element; and how much unlinked text outweighs it.
-MIXED_COST, WORD_FLOOR, REACH, OUTWEIGHS = -40, -200, -40, 1000
+#: that reaches into an article, main or positively named element that holds most of the page's text; how much unlinked text
+#: outweighs layout words; what a word of NEVER costs.
+MIXED_COST, WORD_FLOOR, REACH, OUTWEIGHS, NEVER_COST = -40, -200, -40, 1000, -400
+#: A form is the page's frame, not a form, if it holds most of the text, at least so much for each control.
+FORM_COST, CHARS_PER_CONTROL = -200, 200
+CONTROLS = frozenset("input select textarea button".split())
+#: Elements that cost this much hold no text that counts as the page's.  A longer link holds text of the page, as does one that
+#: is no short one and holds most of the page's text.
+OUTSIDE, LINK_CHARS, SHORT_LINK = -100, 400, 100
 LINK_COST, LONG_COST, SENTENCE_COST, BASE_COST = -60, 30, 10, 5
 ADJACENT, SIBLING = 8, 12
 
 
-def _word_cost(value: str) -> int:
-    """Cost of a class or id: of each of its names, then of names that speak for content against the others."""
-    good = bad = 0
-    for name in value.split():
-        words = [w.lower() for w in WORD.findall(name)]
-        costs = [WORD_COST[w] for i, w in enumerate(words) if w in WORD_COST and not (
-            WORD_COST[w] < 0 and (i and words[i - 1] in LAYOUT_BEFORE or i + 1 < len(words) and words[i + 1] in LAYOUT_AFTER))]
-        if costs and min(costs) < 0:
-            bad = min(bad, *costs)
-        elif costs:
-            good = max(good, *costs)
-    return good + max(bad, MIXED_COST) if good and bad else good + bad
-
-
-def _own_cost(tag: str, attributes: str) -> tuple[int, int]:
-    """What the element itself, its role and style cost, and what the words of its class and id do."""
-    cost, words = ELEMENT_COST.get(tag, 0), 0
-    if attributes:
-        for m in ATTRIBUTE.finditer(attributes):
-            key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+class Node:
+    """An open element.  ``cost``: of the element, role and style; ``good``, ``bad``: of the words of class and id, ``kind``: the
+    strongest kind of the bad ones; ``text``: unlinked text below it, ``controls``: of forms."""
+
+    __slots__ = ("tag", "parent", "depth", "cost", "good", "bad", "kind", "never", "text", "controls", "words",
+                 "form")
+
+    def __init__(self, tag: str, parent: Node | None, attributes: dict[str, str]):
+        self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
+        self.cost, self.good, self.bad, self.kind = ELEMENT_COST.get(tag, 0), 0, 0, None
+        self.text = self.controls = self.words = self.form = 0
+        for key, value in attributes.items():
             if key in ("class", "id"):
                 if tag not in ("body", "html"):
-                    words += _word_cost(value)
+                    self._weigh(value)
             elif key == "role":
-                cost += ROLE_COST.get(value.strip().lower(), 0)
+                self.cost += ROLE_COST.get(value.strip().lower(), 0)
             elif key == "style":
                 if "display:none" in value.replace(" ", "").lower():
-                    cost -= 200
-            elif key == "hidden" or value.strip().lower() == "true":
-                cost -= 200
-    return cost, words
+                    self.cost -= 200
+            elif key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true":
+                self.cost -= 200
+        self.never = self.kind is NEVER
+
+    def _weigh(self, value: str) -> None:
+        """Each name of a class or id; then names that speak for content against the others."""
+        good = bad = 0
+        for name in value.split():
+            words = [w.lower() for w in WORD.findall(name)]
+            found = [w for i, w in enumerate(words) if w in WORD_COST and not (
+                WORD_COST[w] < 0 and (i and words[i - 1] in LAYOUT_BEFORE or i + 1 < len(words) and words[i + 1] in LAYOUT_AFTER))]
+            costs = [WORD_COST[w] for w in found]
+            if costs and min(costs) < 0:
+                bad = min(bad, *costs)
+                for kind in (NEVER, LAYOUT, AMBIGUOUS):
+                    if self.kind is not NEVER and (self.kind is None or kind is not AMBIGUOUS) and not kind.isdisjoint(found):
+                        self.kind = kind
+                        break
+            elif costs:
+                good = max(good, *costs)
+        self.good += good
+        self.bad += max(bad, MIXED_COST) if good and bad else bad
 
 
-class Block:
-    __slots__ = ("text", "cost", "parent", "path")
+def _attributes(source: str) -> dict[str, str]:
+    """The first of each attribute that a cost or a link depends on."""
+    out: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(source):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
 
-    def __init__(self, text: str, cost: int, parent: int, path: tuple):
-        self.text, self.cost, self.parent, self.path = text, cost, parent, path
+class Block:
+    """``place``: the element that holds the block's own; ``links``: (link, characters) in it."""
+
+    __slots__ = ("text", "cost", "node", "place", "links")
+
+    def __init__(self, text: str, node: Node, place: Node, links: list[tuple[int, int]]):
+        self.text, self.cost, self.node, self.place, self.links = text, 0, node, place, links
+
+    @property
+    def parent(self) -> Node:
+        return self.place.parent or self.place
+
+
+def weigh(nodes: list[Node], found: list[Block], link_chars: list[int]) -> None:
+    """Set the cost of every block.  Nodes are in the order in which they were opened, so parents come first."""
+    unlinked, total = [], 0
+    whole = sum(len(b.text) for b in found)
+    label = [n <= LINK_CHARS and (n < SHORT_LINK or 2 * n <= whole) for n in link_chars]
+    for node in nodes:
+        above = node.parent
+        if above:
+            node.never |= above.never
+            node.cost = max(-400, min(100, above.cost + node.cost))
+    for b in found:
+        n = len(b.text) - min(len(b.text), sum(c for link, c in b.links if label[link]))
+        unlinked.append(n)
+        if not b.node.never and b.node.cost > OUTSIDE:
+            b.node.text += n
+            total += n
+    for node in reversed(nodes):
+        if node.parent:
+            node.parent.text += node.text
+            node.parent.controls += node.controls
+    for node in nodes:
+        above = node.parent
+        most = 2 * node.text > total
+        bad, reached, form = node.bad, above.words if above else 0, above.form if above else 0
+        if most and (node.kind is AMBIGUOUS or node.kind is LAYOUT and node.text >= OUTWEIGHS):
+            bad = 0
+        if most and (node.good + bad > 0 or node.tag in ("article", "main")):
+            reached = max(reached, REACH)
+        if node.tag == "form" and not (most and node.text >= CHARS_PER_CONTROL * node.controls):
+            form += FORM_COST
+        node.words, node.form = max(WORD_FLOOR, min(100, reached + node.good + bad)), max(-400, form)
+    for b, free in zip(found, unlinked):
+        n, node = len(b.text), b.node
+        b.cost = max(-400, min(100, node.cost + node.form + node.words)) + BASE_COST
+        if node.never:
+            b.cost += NEVER_COST
+        b.cost += LINK_COST * (n - free) // n + LONG_COST * min(n, 200) // 200
+        if b.text[-1] in ".!?…:;\"”»)":
+            b.cost += SENTENCE_COST
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks in page order, with the cost of their enclosing elements and of their own features."""
+    """Text blocks in page order, with the cost of their enclosing elements and of their own features.  Time and memory are
+    linear in the page, however deep it is nested."""
     out: list[Block] = []
-    # open elements: tag, summed cost, number, summed cost of class and id words
-    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
+    nodes = [Node("", None, {})]
+    stack = [nodes[0]]
+    where: dict[str, list[int]] = {}  # places of the open elements of each tag
+    barriers: list[int] = []
+    bases = [0]  # beside the stack: place of the innermost element that is not inline
     parts: list[str] = []
-    linked = 0
-    in_link = 0
-    number = 0
+    link_chars: list[int] = []
+    links: list[tuple[int, int]] = []
+    in_link = False
     dropped: str | None = None
     inside: list[str] = []  # elements open in the dropped one
+    open_inside: Counter[str] = Counter()
     next_end: dict[str, int] = {}
 
     def end_tag(tag: str) -> int:
@@ -136,42 +218,39 @@ def blocks(page: str) -> list[Block]:
         return found
 
     def flush() -> None:
-        nonlocal parts, linked
+        nonlocal parts, links
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                at = len(stack) - 1
-                while at and stack[at][0] in INLINE:
-                    at -= 1
-                n = len(text)
-                words = stack[-1][3]
-                if words < 0:
-                    words = min(0, words - WORD_FLOOR * max(0, n - linked) // OUTWEIGHS)
-                cost = max(-400, min(100, stack[-1][1] + words)) + BASE_COST
-                cost += LINK_COST * min(linked, n) // n + LONG_COST * min(n, 200) // 200
-                if text[-1] in ".!?…:;\"”»)":
-                    cost += SENTENCE_COST
-                path = tuple(s[2] for s in stack[:at])
-                out.append(Block(text, cost, path[-2] if len(path) > 1 else 0, path))
-        parts, linked = [], 0
+                out.append(Block(text, stack[-1], stack[max(0, bases[-1] - 1)], links))
+        parts, links = [], []
+
+    def drop(tag: str | None) -> None:
+        nonlocal dropped
+        dropped = tag
+        inside.clear()
+        open_inside.clear()
 
     def close(tag: str) -> None:
         nonlocal in_link
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == tag:
-                if tag not in INLINE:
-                    flush()
-                in_link -= sum(s[0] == "a" for s in stack[i:])
-                del stack[i:]
-                return
-
-    def imply(tags, within=BARRIER) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in tags:
-                close(stack[i][0])
-                return
-            if stack[i][0] in within:
-                return
+        if where.get(tag):
+            if tag not in INLINE:
+                flush()
+            first = where[tag][-1]
+            while len(stack) > first:
+                gone = stack.pop()
+                bases.pop()
+                where[gone.tag].pop()
+                if gone.tag in BARRIER:
+                    barriers.pop()
+                elif gone.tag == "a":
+                    in_link = False
+
+    def imply(tags) -> None:
+        """End the innermost open one of ``tags`` if no barrier stands within it."""
+        first = max((where[t][-1] for t in tags if where.get(t)), default=0)
+        if first and first >= (barriers[-1] if barriers else 0):
+            close(stack[first].tag)
 
     at = 0
     end = len(page)
@@ -183,7 +262,9 @@ def blocks(page: str) -> list[Block]:
                 text = entities.unescape(text)
             parts.append(text)
             if in_link:
-                linked += len(text)
+                n = len(text.strip())
+                link_chars[-1] += n
+                links.append((len(link_chars) - 1, n))
         if not m:
             break
         at = m.end()
@@ -197,20 +278,21 @@ def blocks(page: str) -> list[Block]:
             break  # the page ends inside a tag
         if dropped is not None:
             if closing:
-                if tag in inside:
-                    while inside.pop() != tag:
-                        pass
+                if open_inside[tag]:
+                    while (gone := inside.pop()) != tag:
+                        open_inside[gone] -= 1
+                    open_inside[tag] -= 1
                     continue
                 if tag == dropped:
-                    dropped = None
+                    drop(None)
                     continue
-                if all(x[0] != tag for x in stack):
+                if not where.get(tag):
                     continue
-                dropped = None  # an enclosing element ends, so the dropped one does
+                drop(None)  # an enclosing element ends, so the dropped one does
             elif tag in SECTIONS and dropped in ENDED:
-                dropped = None
+                drop(None)
             elif tag == dropped and tag in ALONE:
-                inside.clear()
+                drop(tag)
                 continue
             else:
                 if tag in RAW:
@@ -218,6 +300,7 @@ def blocks(page: str) -> list[Block]:
                     at = end if stop < 0 else stop
                 elif tag not in VOID and not m[0].endswith("/>"):
                     inside.append(tag)
+                    open_inside[tag] += 1
                 continue
         if tag == "head":  # what it may hold is dropped by itself, and anything else ends it
             flush()
@@ -229,6 +312,9 @@ def blocks(page: str) -> list[Block]:
             elif tag not in INLINE:
                 flush()
             continue
+        attributes = _attributes(m[3] or m[6]) if m[3] or m[6] else {}
+        if tag in CONTROLS and attributes.get("type", "").lower() != "hidden":
+            stack[-1].controls += 1
         if tag in DROPPED and tag not in VOID:
             if tag not in ("button", "select", "textarea"):
                 if tag not in INLINE and tag not in ("script", "style", "svg", "math"):
@@ -242,8 +328,7 @@ def blocks(page: str) -> list[Block]:
                 close_at = page.find(">", stop)
                 at = end if close_at < 0 else close_at + 1
             elif end_tag(tag) >= 0:
-                dropped = tag
-                inside.clear()
+                drop(tag)
             continue
         if tag == "br":
             parts.append(" ")
@@ -256,15 +341,19 @@ def blocks(page: str) -> list[Block]:
             flush()
         if tag in VOID:
             continue
-        number += 1
-        cost, words = _own_cost(tag, m[3] or m[6] or "")
-        reached = stack[-1][3]
-        if words > 0 or tag in ("article", "main") and not any(x[0] == "article" for x in stack):
-            reached = max(reached, REACH)
-        stack.append((tag, max(-400, min(100, stack[-1][1] + cost)), number, max(WORD_FLOOR, min(100, reached + words))))
         if tag == "a":
-            in_link += 1
+            in_link = "href" in attributes  # an open link ends where the next anchor starts
+            if in_link:
+                link_chars.append(0)
+        node = Node(tag, stack[-1], attributes)
+        nodes.append(node)
+        where.setdefault(tag, []).append(len(stack))
+        if tag in BARRIER:
+            barriers.append(len(stack))
+        bases.append(bases[-1] if tag in INLINE else len(stack))
+        stack.append(node)
     flush()
+    weigh(nodes, out, link_chars)
     return out
 
 
@@ -333,18 +422,18 @@ class Flow:
 def smoothness(found: list[Block]) -> list[tuple[int, int, int]]:
     """(block, later block, weight): neighbours in page order by DOM proximity, and successive blocks of one parent."""
     out = []
-    last: dict[int, int] = {}
+    last: dict[Node, int] = {}
     for i, b in enumerate(found):
         if i:
             a = found[i - 1]
-            shared = 0
-            for x, y in zip(a.path, b.path):
-                if x != y:
-                    break
-                shared += 1
-            apart = len(a.path) + len(b.path) - 2 * shared
+            x, y, apart = a.place, b.place, 0
+            while x is not y and apart < ADJACENT:  # further apart weighs nothing
+                if x.depth >= y.depth:
+                    x, apart = x.parent, apart + 1
+                else:
+                    y, apart = y.parent, apart + 1
             weight = ADJACENT // (1 + apart)
-            if a.parent == b.parent:
+            if a.parent is b.parent:
                 weight += SIBLING
             if weight:
                 out.append((i - 1, i, weight))
