@@ -1,5 +1,8 @@
+import math
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.functions import tails
 from tillroll.operators import evaluate as E
@@ -19,6 +22,10 @@ def test_auc_with_ties_matches_brute_force(spark):
     assert abs(got - brute_auc(y, s)) < 1e-12
 
 
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
 def test_metrics_and_confusion(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0), (0, 1)], "label int, prediction int")
     m = E.metrics(df).first()
@@ -35,13 +42,51 @@ def test_mcnemar_edge_cases(spark):
 
 
 @pytest.mark.parametrize("t,dof,p", [(2.0, 4, 0.11611652351681556), (0.5, 10, 0.6278936057)])
-def test_t_tail(t, dof, p):
-    assert abs(tails.t_two_sided_p(t, dof) - p) < 1e-6
+def test_t_tail(spark, t, dof, p):
+    assert abs(value(spark, tails.t_two_sided(F.lit(t), F.lit(dof))) - p) < 1e-6
+
+
+def test_binomial_and_chi2_tails(spark):
+    assert abs(value(spark, tails.binomial_two_sided_half(F.lit(3), F.lit(10))) - 0.09228515625) < 1e-12
+    assert abs(value(spark, tails.chi_square_tail(F.lit(12.75), F.lit(15))) - 0.622) < 2e-3
+
+
+def test_tails_against_closed_forms(spark):
+    def even_t(t, dof):
+        theta, coefficient, total = math.atan(abs(t) / math.sqrt(dof)), 1.0, 0.0
+        for j in range(dof // 2):
+            total += coefficient * math.cos(theta) ** (2 * j)
+            coefficient *= (2 * j + 1) / (2 * j + 2)
+        return 1 - math.sin(theta) * total
+
+    def even_chi(x, dof):
+        return sum(math.exp(-x / 2 + j * math.log(x / 2) - math.lgamma(j + 1)) for j in range(dof // 2))
+    ts = [(t, d) for t in (0.0, 0.01, 0.7, 2.5, 9.0) for d in (2, 4, 10, 48, 1000)]
+    chis = [(x, d) for x in (0.02, 1.5, 24.0, 90.0, 1003.0) for d in (2, 4, 24, 100, 1000)]
+    rows = spark.createDataFrame([(float(a), int(b)) for a, b in ts + chis], "x double, dof int")
+    got = rows.select("x", "dof", tails.t_two_sided(F.col("x"), F.col("dof")).alias("t"),
+                      tails.chi_square_tail(F.col("x"), F.col("dof")).alias("c")).collect()
+    for r, (x, d) in zip(got, ts + chis):
+        if (x, d) in ts:
+            assert r["t"] == pytest.approx(even_t(x, d), abs=1e-12)
+        else:
+            assert r["c"] == pytest.approx(even_chi(x, d), rel=1e-9, abs=1e-14)
+    assert value(spark, tails.t_two_sided(F.lit(1.0), F.lit(1))) == pytest.approx(0.5)
+    assert value(spark, tails.t_two_sided(F.lit(None).cast("double"), F.lit(3))) is None
+    assert value(spark, tails.chi_square_tail(F.lit(1.0), F.lit(0))) is None
+
+
+def test_log_gamma(spark):
+    xs = [1e-6, 0.5, 1.0, 2.0, 3.7, 9.99, 10.0, 55.5, 1e4, 1e9]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select(tails.log_gamma(F.col("x")).alias("g")).collect()
+    assert [r["g"] for r in got] == pytest.approx([math.lgamma(x) for x in xs], rel=1e-13, abs=1e-13)
 
 
-def test_binomial_and_chi2_tails():
-    assert abs(tails.binom_two_sided_p_half(3, 10) - 0.09228515625) < 1e-12
-    assert abs(tails.chi2_sf(12.75, 15) - 0.622) < 2e-3
+def test_fraction_without_end_raises(spark, monkeypatch):
+    monkeypatch.setattr(tails, "TERMS", 2)
+    monkeypatch.setattr(tails, "TERMS_PER_ROOT", 0)
+    with pytest.raises(Exception, match="did not converge"):
+        value(spark, tails.t_two_sided(F.lit(2.0), F.lit(31)))
 
 
 def test_class_report_by_hand(spark):

@@ -124,8 +124,8 @@ def paired_t(fold_a: DataFrame, fold_b: DataFrame, fold: str = "fold", metric: s
 
 
 def with_t_pvalues(t_df: DataFrame) -> DataFrame:
-    return t_df.withColumn("p", tails.t_p_udf("t", F.col("dof").cast("double"))) \
-               .withColumn("p_corrected", tails.t_p_udf("t_corrected", F.col("dof").cast("double")))
+    return t_df.withColumn("p", tails.t_two_sided(F.col("t"), F.col("dof"))) \
+               .withColumn("p_corrected", tails.t_two_sided(F.col("t_corrected"), F.col("dof")))
 
 
 def mcnemar(pa: DataFrame, pb: DataFrame, key: str, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -135,7 +135,7 @@ def mcnemar(pa: DataFrame, pb: DataFrame, key: str, label: str = "label", pred:
          .join(pb.select(key, F.col(pred).alias("pb")), key))
     ca, cb = F.col("pa") == F.col("y"), F.col("pb") == F.col("y")
     s = j.agg(F.count_if(ca & ~cb).alias("b"), F.count_if(~ca & cb).alias("c"))
-    return s.withColumn("p_value", tails.binom_p_udf("b", "c"))
+    return s.withColumn("p_value", tails.binomial_two_sided_half(F.col("b"), F.col("c")))
 
 
 def spend_bands(df: DataFrame, spend: str, threshold: str, correct: str = "correct") -> DataFrame:
@@ -168,4 +168,4 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     s = j.agg(F.sum("o").alias("_n"), F.sum(F.col("o") * F.col("o") / (F.col("ra").cast("double") * F.col("rb"))).alias("_q"),
               F.countDistinct(a).alias("_na"), F.countDistinct(b).alias("_nb"))
     s = s.select((F.col("_n") * (F.col("_q") - 1)).alias("chi2"), ((F.col("_na") - 1) * (F.col("_nb") - 1)).alias("dof"))
-    return s.withColumn("p_value", tails.chi2_p_udf("chi2", F.col("dof").cast("double")))
+    return s.withColumn("p_value", tails.chi_square_tail(F.col("chi2"), F.col("dof")))

@@ -5,25 +5,21 @@ Yeo-Johnson lambda is a maximum-likelihood fit done as aggregates: a coarse
 lambda grid, then a fine grid around the best point, each evaluated for all
 grid points in one pass (rows x grid values are generated map-side and
 reduced by partial aggregation before any shuffle).  The quantile-to-normal
-map interpolates a bounded reference-quantile table and applies the probit
-in an Arrow-batched pandas UDF (Spark has no inverse normal CDF).
+map interpolates a bounded reference-quantile table and applies the probit as
+a Column expression.
 """
 
 from __future__ import annotations
 
-import sys
-
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.quantiles import quantiles
+from ..functions.tails import probit
 
 
 def minmax(df: DataFrame, cols: Sequence[str], suffix: str = "_mm") -> DataFrame:
@@ -86,43 +82,6 @@ def yeo_johnson(df: DataFrame, cols: Sequence[str], suffix: str = "_yj",
     return out
 
 
-# Acklam's rational approximation of the inverse normal CDF (|rel err| < 1.2e-9).
-_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
-      1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
-_B = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
-      6.680131188771972e+01, -1.328068155288572e+01]
-_C = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
-      -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
-_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
-
-
-def probit_np(p: np.ndarray) -> np.ndarray:
-    p = np.asarray(p, dtype=float)
-    out = np.empty_like(p)
-    lo, hi = p < 0.02425, p > 1 - 0.02425
-    mid = ~(lo | hi)
-    q = np.sqrt(-2 * np.log(p[lo]))
-    out[lo] = (((((_C[0] * q + _C[1]) * q + _C[2]) * q + _C[3]) * q + _C[4]) * q + _C[5]) / \
-        ((((_D[0] * q + _D[1]) * q + _D[2]) * q + _D[3]) * q + 1)
-    q = p[mid] - 0.5
-    r = q * q
-    out[mid] = (((((_A[0] * r + _A[1]) * r + _A[2]) * r + _A[3]) * r + _A[4]) * r + _A[5]) * q / \
-        (((((_B[0] * r + _B[1]) * r + _B[2]) * r + _B[3]) * r + _B[4]) * r + 1)
-    q = np.sqrt(-2 * np.log(1 - p[hi]))
-    out[hi] = -(((((_C[0] * q + _C[1]) * q + _C[2]) * q + _C[3]) * q + _C[4]) * q + _C[5]) / \
-        ((((_D[0] * q + _D[1]) * q + _D[2]) * q + _D[3]) * q + 1)
-    return out
-
-
-# workers need not have this package on their path
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-@F.pandas_udf(T.DoubleType())
-def probit(p: pd.Series) -> pd.Series:
-    return pd.Series(probit_np(p.to_numpy()))
-
-
 def quantile_normal(df: DataFrame, cols: Sequence[str], n_quantiles: int = 1000, suffix: str = "_qn",
                     clip: float = 1e-7, accuracy: int = 100_000) -> DataFrame:
     """x -> its interpolated rank in a table of ``n_quantiles`` reference

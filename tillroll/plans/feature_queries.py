@@ -467,21 +467,40 @@ def p25_paired_t(t):
                     r6("t").alias("t"), r6("t_corrected").alias("t_corrected"), "dof")
 
 
-@query("p25_paired_t_pvalues")
+# closed form of the two-sided t tail for an even number of degrees of freedom (five folds: four)
+_T_TAIL = """(1 - abs({t}) / sqrt(dof + {t} * {t}) * list_sum(list_transform(range(0, CAST(dof // 2 AS BIGINT)),
+    lambda j: exp(lgamma(j + 0.5) - lgamma(j + 1) - lgamma(0.5)) * power(dof / (dof + {t} * {t}), j))))"""
+T_STATISTICS = f"""
+fm AS ({_MET.format(extra=', fold', where="split = 'train'", group=', fold')}),
+ff AS (SELECT model, fold, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1 FROM fm),
+fd AS (SELECT a.f1 - b.f1 AS d FROM ff a JOIN ff b ON a.fold = b.fold AND a.model = 'model_a' AND b.model = 'model_b'),
+fs AS (SELECT avg(d) AS mean_diff, var_samp(d) AS var_diff, count(*) AS k FROM fd),
+ts AS (SELECT mean_diff, var_diff, k, k - 1 AS dof, mean_diff / sqrt(var_diff / k) AS t,
+              mean_diff / sqrt(var_diff * (1.0 / k + 1.0 / (k - 1))) AS t_corrected FROM fs)"""
+
+
+@query("p25_paired_t_pvalues", f"""
+WITH {FEATURES}, {T_STATISTICS}
+SELECT {S.r6('mean_diff')} AS mean_diff, {S.r6('var_diff')} AS var_diff, k, {S.r6('t')} AS t,
+       {S.r6('t_corrected')} AS t_corrected, dof, {S.r6(_T_TAIL.format(t='t'))} AS p,
+       {S.r6(_T_TAIL.format(t='t_corrected'))} AS p_corrected FROM ts""")
 def p25_paired_t_pvalues(t):
     """Two-sided p-values of both t statistics (t distribution, k - 1 dof)."""
     a, b = _fold_f1(t)
-    return E.with_t_pvalues(E.paired_t(a, b))
+    s = E.with_t_pvalues(E.paired_t(a, b))
+    return s.select(*[r6(c).alias(c) for c in ("mean_diff", "var_diff")], "k", r6("t").alias("t"),
+                    r6("t_corrected").alias("t_corrected"), "dof", r6("p").alias("p"), r6("p_corrected").alias("p_corrected"))
 
 
-MCNEMAR_SQL = f"""
-WITH {FEATURES},
+MCNEMAR = """
 j AS (SELECT a.label AS y, a.prediction AS pa, b.prediction AS pb
       FROM preds a JOIN preds b ON a.customer_id = b.customer_id AND a.model = 'model_a' AND b.model = 'model_b'
       WHERE a.split = 'test'),
 bc AS (SELECT count(*) FILTER (WHERE pa = y AND pb <> y) AS b, count(*) FILTER (WHERE pa <> y AND pb = y) AS c FROM j),
 tail AS (SELECT sum(exp(lgamma(b + c + 1) - lgamma(i + 1) - lgamma(b + c - i + 1) - (b + c) * ln(2))) AS p1
-         FROM bc, range(0, CAST(least(b, c) + 1 AS BIGINT)) r(i))
+         FROM bc, range(0, CAST(least(b, c) + 1 AS BIGINT)) r(i))"""
+MCNEMAR_SQL = f"""
+WITH {FEATURES}, {MCNEMAR}
 SELECT b, c, CASE WHEN b + c = 0 THEN 1.0 ELSE {S.r6('least(1.0, 2 * p1)')} END AS p_value FROM bc, tail"""
 
 
@@ -493,15 +512,21 @@ def p26_mcnemar(t):
     return m.select("b", "c", r6("p_value").alias("p_value"))
 
 
-@query("p27_distinguishable")
+@query("p27_distinguishable", f"""
+WITH {FEATURES}, {T_STATISTICS}, {MCNEMAR},
+v AS (SELECT {_T_TAIL.format(t='t_corrected')} AS p_corrected, CASE WHEN b + c = 0 THEN 1.0 ELSE least(1.0, 2 * p1) END AS mcnemar_p
+      FROM ts, bc, tail)
+SELECT {S.r6('p_corrected')} AS p_corrected, {S.r6('mcnemar_p')} AS mcnemar_p,
+       p_corrected > 0.05 AND mcnemar_p > 0.05 AS indistinguishable FROM v""")
 def p27_distinguishable(t):
     """Verdict: models indistinguishable when both corrected-t and McNemar p > 0.05."""
     a, b = _fold_f1(t)
     tp = E.with_t_pvalues(E.paired_t(a, b)).select("p_corrected")
-    p = _test(t)
+    p = materialize(_test(t))
     mc = E.mcnemar(p.where(F.col("model") == "model_a"), p.where(F.col("model") == "model_b"), "customer_id")
     return tp.crossJoin(mc.select(F.col("p_value").alias("mcnemar_p"))).withColumn(
-        "indistinguishable", (F.col("p_corrected") > 0.05) & (F.col("mcnemar_p") > 0.05))
+        "indistinguishable", (F.col("p_corrected") > 0.05) & (F.col("mcnemar_p") > 0.05)) \
+        .withColumn("p_corrected", r6("p_corrected")).withColumn("mcnemar_p", r6("mcnemar_p"))
 
 
 @query("p28_spend_bands", f"""
@@ -523,14 +548,17 @@ def _state_labels(t):
     return labelled(t).join(retail.customer_states(t), "customer_id", "left")
 
 
-@query("p32_chi_square", f"""
-WITH {FEATURES}, {S.STATES.strip()},
+CHI_CELLS = f"""{S.STATES.strip()},
 x AS (SELECT s.state, l.label FROM lab l LEFT JOIN states s USING (customer_id)),
 o AS (SELECT state, label, count(*) AS o FROM x GROUP BY 1, 2),
 ra AS (SELECT state, sum(o) AS ra FROM o GROUP BY 1), rb AS (SELECT label, sum(o) AS rb FROM o GROUP BY 1),
 n AS (SELECT sum(o) AS n FROM o),
 e AS (SELECT ra.state, rb.label, ra.ra * rb.rb * 1.0 / n.n AS e, coalesce(o.o, 0) AS o
-      FROM ra CROSS JOIN rb CROSS JOIN n LEFT JOIN o ON o.state = ra.state AND o.label = rb.label)
+      FROM ra CROSS JOIN rb CROSS JOIN n LEFT JOIN o ON o.state = ra.state AND o.label = rb.label)"""
+
+
+@query("p32_chi_square", f"""
+WITH {FEATURES}, {CHI_CELLS}
 SELECT {S.r6('sum(power(o - e, 2) / e)')} AS chi2, (count(DISTINCT state) - 1) * (count(DISTINCT label) - 1) AS dof
 FROM e""")
 def p32_chi_square(t):
@@ -539,10 +567,15 @@ def p32_chi_square(t):
     return c.select(r6("chi2").alias("chi2"), "dof")
 
 
-@query("p32_chi_square_pvalue")
+# closed form of the chi-square tail for an even number of degrees of freedom (25 states and two labels: 24)
+@query("p32_chi_square_pvalue", f"""
+WITH {FEATURES}, {CHI_CELLS},
+c2 AS (SELECT sum(power(o - e, 2) / e) AS chi2, (count(DISTINCT state) - 1) * (count(DISTINCT label) - 1) AS dof FROM e)
+SELECT {S.r6('chi2')} AS chi2, dof, {S.r6("list_sum(list_transform(range(0, CAST(dof // 2 AS BIGINT)), lambda j: exp(j * ln(chi2 / 2) - chi2 / 2 - lgamma(j + 1))))")} AS p_value FROM c2""")
 def p32_chi_square_pvalue(t):
     """... with the chi-square tail probability."""
-    return E.chi_square(_state_labels(t), "state", "label")
+    c = E.chi_square(_state_labels(t), "state", "label")
+    return c.select(r6("chi2").alias("chi2"), "dof", r6("p_value").alias("p_value"))
 
 
 @query("p37_top_quartile_target", f"""
