@@ -241,6 +241,19 @@ def test_itq_links(spark):
     assert itq.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_itq_lengths_of_few_vectors(spark):
+    rng = np.random.default_rng(5)
+    near = lambda v: v + 0.02 * rng.standard_normal(len(v))
+    rows = [v for v in rng.standard_normal((200, 32))]
+    a, b, c = rng.standard_normal(16), rng.standard_normal(7), rng.standard_normal((30, 48))
+    rows += [a, near(a), b, b, -b, *c, *[near(v) for v in c], np.array([1.0]), np.array([2.0, 1.0])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in itq.near_duplicates(df).collect()}
+    want = {i: [j for j, w in enumerate(rows) if len(w) == len(v) and v @ w >= 0.9 * np.linalg.norm(v) * np.linalg.norm(w)]
+            for i, v in enumerate(rows)}
+    assert got == {i: (len(w) - 1, min(w)) for i, w in want.items()} and got[201] == (1, 200) and got[203] == (1, 202)
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_itq_recall_of_planted_pairs(spark, hot):
     rng = np.random.default_rng(17)
@@ -323,6 +336,39 @@ def test_pii_sanitise_masks_whole_spans(spark):
         assert all(t[int(a):int(b)] not in got[i] for _, a, b in (x.split(":") for x in spans)) and not brute_pii(got[i])
 
 
+def test_pii_texts_of_many_matches(spark):
+    n = 3_000
+    text = " ".join(f"user{i}@mail{i % 7}.example.org 10.0.{i % 256}.{i // 256} lines" for i in range(n))
+    df = spark.createDataFrame([(1, text), (2, "no data here")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in disclosure.scan(df).collect()}
+    assert got[1]["n_email"] == n and got[1]["n_ip"] == n and got[2]["spans"] == ""
+    assert got[1]["base_sha256"] == hashlib.sha256(",".join(brute_pii(text)).encode()).hexdigest()
+    clean = {r["doc_id"]: r["text"] for r in disclosure.sanitise(df).collect()}
+    assert clean == {1: " ".join(["[EMAIL] [IP] lines"] * n), 2: "no data here"}
+
+
+def test_pii_joins_only_texts_with_mentions(spark, monkeypatch):
+    rows = [(i, f"jane roe zanzibar wrote from jane@roe.org on the day {i} of it, from {i % 9}") for i in range(12)]
+    rows += [(100 + i, f"zanzibar is far from here {i}" if i < 3 else f"plain words {i}") for i in range(40)]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    few = sorted(map(tuple, disclosure.scan(df).collect()))
+    assert any(r[-1] for r in few)
+    monkeypatch.setattr(disclosure, "BROADCAST_ROWS", 1)
+    assert sorted(map(tuple, disclosure.scan(df).collect())) == few
+
+
+def test_pii_terms_outside_of_base_spans(spark):
+    rng = np.random.default_rng(2)
+    for _ in range(3):
+        cut_at = sorted(rng.choice(2000, 600, replace=False).tolist())
+        terms, base = list(zip(cut_at[::2], cut_at[1::2])), [(int(a), int(a) + int(w)) for a, w in zip(
+            rng.choice(2000, 90), rng.integers(1, 30, 90))]
+        kind = "array<struct<start:bigint,end:bigint>>"
+        df = spark.createDataFrame([(terms, base), (terms, []), ([], base)], f"t {kind}, b {kind}")
+        got = [[tuple(x) for x in r[0]] for r in df.select(disclosure._outside(F.col("t"), F.col("b"))).collect()]
+        assert got == [[t for t in terms if not any(b[0] < t[1] and t[0] < b[1] for b in base)], terms, []]
+
+
 # 5 merge-dropout
 def test_merges_equal_the_library_without_dropout(docs):
     import sentencepiece

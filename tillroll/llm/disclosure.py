@@ -16,6 +16,7 @@ from the documents that mention the entity.  Only Spark expressions are used.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,10 @@ TERM = r"\p{L}{3,}+"
 WINDOW, SUPPORT, THRESHOLD = 80, 3, 0.9
 #: Tables of up to this many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 20_000
+#: Texts with equal keys go to this many tasks where they are joined by a shuffle.
+SALTS = 64
+#: Elements of a list that a step copies while it grows; and spans that are cut from one piece of text.
+GROWTH, PIECE = 32, 256
 
 
 def _digits(value: Column) -> Column:
@@ -76,6 +81,23 @@ def _parted(text: Column, pattern: str | Column, body: Callable[[Column, Column]
     return let(both, lambda s: body(s["m"], s["p"]))
 
 
+def gathered(items: Column, zero: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """Struct (state, list) of a fold whose ``step(state, item)`` gives the next state and an array to append (of ``kind``).
+
+    The list grows in pieces, so a step copies at most a piece, not all that was gathered before.
+    """
+    none, no_piece = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def next_(acc: Column, item: Column) -> Column:
+        state, new = step(acc["state"], item)
+        full = F.size(acc["open"]) >= GROWTH
+        return F.struct(state.alias("state"), F.concat(F.when(full, none).otherwise(acc["open"]), new).alias("open"),
+                        F.when(full, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]).alias("done"))
+
+    return F.aggregate(items, F.struct(zero.alias("state"), none.alias("open"), no_piece.alias("done")), next_, lambda acc: F.struct(
+        acc["state"].alias("state"), F.flatten(F.concat(acc["done"], F.array(acc["open"]))).alias("list")))
+
+
 SPANS = "array<struct<start:bigint,end:bigint,value:string,left:string,right:string>>"
 
 
@@ -83,14 +105,11 @@ def find(text: Column, pattern: str | Column, test: Callable[[Column], Column],
     """Matches that pass ``test`` as (start, end, value, left, right): code points, end exclusive, and the text around."""
 
     def spans(m: Column, p: Column) -> Column:
-        def step(acc: Column, value: Column) -> Column:
+        def step(acc: Column, value: Column) -> tuple[Column, Column]:
             start = acc["at"] + F.length(F.get(p, acc["i"]))
-            return F.struct((acc["i"] + 1).alias("i"), (start + F.length(value)).alias("at"),
-                            F.concat(acc["starts"], F.array(start)).alias("starts"))
+            return F.struct((acc["i"] + 1).alias("i"), (start + F.length(value)).alias("at")), F.array(start)
 
-        zero = F.struct(F.lit(0).alias("i"), F.lit(0).cast("long").alias("at"),
-                        F.array().cast("array<bigint>").alias("starts"))
-        starts = F.aggregate(m, zero, step, lambda acc: acc["starts"])
+        starts = gathered(m, F.struct(F.lit(0).alias("i"), F.lit(0).cast("long").alias("at")), "bigint", step)["list"]
         side = (lambda c, at: F.substring(c, at, window)) if window else (lambda c, at: F.lit(""))
         return let(starts, lambda st: F.filter(F.transform(m, lambda v, i: F.struct(
             F.get(st, i).alias("start"), (F.get(st, i) + F.length(v)).alias("end"), v.alias("value"),
@@ -184,8 +203,15 @@ def _with_terms(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
     n = terms.count()
     if not n:
         return rows.withColumn("terms", F.lit(None).cast("array<string>"))
-    side = F.broadcast(terms) if n <= BROADCAST_ROWS else terms
-    return rows.withColumn("key", text_key(F.col("t"))).join(side, "key", "left").select("doc", "t", "terms")
+    keyed = rows.withColumn("key", text_key(F.col("t")))
+    if n <= BROADCAST_ROWS:
+        return keyed.join(F.broadcast(terms), "key", "left").select("doc", "t", "terms")
+    # only a text that mentions an entity can have terms: the others stay where they are
+    mentions = F.coalesce(reduce(Column.__or__, [F.size(base_spans(F.col("t"), k)) > 0 for k in KINDS]), F.lit(False))
+    spread = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    some = keyed.where(mentions).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    return some.join(spread, ["key", "salt"], "left").select("doc", "t", "terms") \
+        .unionByName(rows.where(~mentions).withColumn("terms", F.lit(None).cast("array<string>")))
 
 
 def _term_pattern(terms: Column) -> Column:
@@ -209,9 +235,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options)
     found = rows.select(F.col("doc.doc_id").alias("doc_id"), "t", "terms",
                         F.struct(*[base_spans(t, k).alias(k) for k in KINDS]).alias("base"))
     every = F.concat(*[F.col(f"base.{k}") for k in KINDS])
-    outside = find(t, _term_pattern(F.col("terms")), lambda v: F.lit(True))
-    term = F.when(F.size("terms") > 0, let(every, lambda b: F.filter(outside, lambda s: ~F.exists(
-        b, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))))).otherwise(F.array().cast(SPANS))
+    terms = find(t, _term_pattern(F.col("terms")), lambda v: F.lit(True))
+    term = F.when(F.size("terms") > 0, _outside(terms, every)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>"))
     found = found.select("doc_id", "base", term.alias("term"))
     base = F.concat(*[_listed(k, F.col(f"base.{k}")) for k in KINDS])
     listed = found.select("doc_id", "base", "term", F.array_join(base, ",").alias("listed"),
@@ -230,32 +255,63 @@ def _replaced(text: Column, pattern: str | Column, test: Callable[[Column], Colu
 
 def _merged(spans: Column) -> Column:
     """Spans (start, end, size, label) by start, overlapping ones as one: its label is that of the longest."""
-    kind = "array<struct<start:bigint,end:bigint,size:bigint,label:string>>"
+    kind = "struct<start:bigint,end:bigint,size:bigint,label:string>"
 
-    def step(acc: Column, s: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
+    def step(last: Column, s: Column) -> tuple[Column, Column]:
         both = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
                         F.greatest(last["size"], s["size"]).alias("size"),
                         F.when(s["size"] > last["size"], s["label"]).otherwise(last["label"]).alias("label"))
-        return F.when((F.size(acc) > 0) & (last["end"] > s["start"]),
-                      F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(both))) \
-            .otherwise(F.concat(acc, F.array(s))).cast(kind)
+        overlap = last["end"] > s["start"]
+        return (F.when(overlap, both).otherwise(s).cast(kind),
+                F.when(last.isNull() | overlap, F.array().cast(f"array<{kind}>")).otherwise(F.array(last)))
 
-    return F.aggregate(F.array_sort(spans).cast(kind), F.array().cast(kind), step)
+    ordered = F.sort_array(spans).cast(f"array<{kind}>")
+    return let(gathered(ordered, F.lit(None).cast(kind), kind, step), lambda g: F.concat(g["list"], F.array(g["state"])))
 
 
 def _masked(text: Column, spans: Column) -> Column:
     """``text`` with each of the merged spans as its label, in one pass."""
     def body(m: Column) -> Column:
-        def piece(s: Column, i: Column) -> Column:
-            before = F.when(i > 0, F.get(m, i - 1)["end"]).otherwise(F.lit(0).cast("long"))
-            return F.concat(F.substring(text, (before + 1).cast("int"), (s["start"] - before).cast("int")), F.lit("["), s["label"],
-                            F.lit("]"))
+        def stretch(c: Column) -> Column:
+            """Up to ``PIECE`` spans from place ``c`` on, and the text from the span before to the last of them."""
+            begin = F.when(c > 0, F.get(m, c - 1)["end"]).otherwise(F.lit(0).cast("long"))
+            stop = F.get(m, F.least(c + PIECE, F.size(m)) - 1)["end"]
+            return let(F.struct(begin.alias("begin"), F.slice(m, c + 1, F.lit(PIECE)).alias("m"),
+                                F.substring(text, (begin + 1).cast("int"), (stop - begin).cast("int")).alias("t")), masked)
+
+        def masked(x: Column) -> Column:
+            def piece(s: Column, i: Column) -> Column:
+                before = F.when(i > 0, F.get(x["m"], i - 1)["end"]).otherwise(x["begin"])
+                return F.concat(F.substring(x["t"], (before - x["begin"] + 1).cast("int"), (s["start"] - before).cast("int")),
+                                F.lit("["), s["label"], F.lit("]"))
+            return F.array_join(F.transform(x["m"], piece), "")
+
         rest = F.get(m, F.size(m) - 1)["end"]
-        return F.concat(F.array_join(F.transform(m, piece), ""), F.substring(text, (rest + 1).cast("int"), F.length(text)))
+        stretches = F.transform(F.sequence(F.lit(0), F.size(m) - 1, F.lit(PIECE)), stretch)
+        return F.concat(F.array_join(stretches, ""), F.substring(text, (rest + 1).cast("int"), F.length(text)))
     return F.when(F.size(spans) > 0, let(_merged(spans), body)).otherwise(text)
 
 
+def _outside(terms: Column, base: Column) -> Column:
+    """(start, end) of the terms that overlap no base span, from one pass over both by start."""
+    kind = "struct<start:bigint,end:bigint>"
+    span = lambda of, is_base: F.transform(of, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), F.lit(is_base).alias("base")))
+    none = F.array().cast(f"array<{kind}>")
+
+    def step(acc: Column, s: Column) -> tuple[Column, Column]:
+        """State: how far the base spans reach, and the last term, unless a base span overlaps it."""
+        term, held = acc["term"], F.struct(s["start"].alias("start"), s["end"].alias("end")).cast(kind)
+        state = F.struct(
+            F.when(s["base"], F.greatest(acc["reach"], s["end"])).otherwise(acc["reach"]).alias("reach"),
+            F.when(s["base"], F.when(s["start"] >= term["end"], term)).when(s["start"] >= acc["reach"], held).alias("term"))
+        return state, F.when(s["base"] | term.isNull(), none).otherwise(F.array(term))
+
+    zero = F.struct(F.lit(0).cast("long").alias("reach"), F.lit(None).cast(kind).alias("term"))
+    return let(gathered(F.sort_array(F.concat(span(terms, False), span(base, True))), zero, kind, step),
+               lambda g: F.concat(g["list"], F.when(g["state"]["term"].isNull(), none).otherwise(F.array(g["state"]["term"]))))
+
+
 def sanitise(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with personal data generalised in ``text``; all other columns as they were.
 

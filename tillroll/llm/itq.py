@@ -35,6 +35,9 @@ RADIUS = 11
 #: Rotations fitted from different starts; a pair is a candidate if its codes are close under any of them.  One alone
 #: finds 82 to 86 of 100 pairs at a cosine of 0.90, as two independent misses are needed with two.
 ROTATIONS = 2
+#: Vectors for each dimension that a mean needs.  With fewer, centring could part the members of a small cluster (two vectors lie
+#: on opposite sides of their mean), so each counts with its opposite and the mean is zero.
+MEAN_ROWS = 4
 #: Rows of a table bucket; larger buckets are compared chunk by chunk.
 CHUNK = 1024
 
@@ -125,34 +128,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
-                    radius: int = RADIUS, substrings: int = SUBSTRINGS, fit_rows: int = FIT_ROWS,
-                    chunk: int = CHUNK, rotations: int = ROTATIONS) -> DataFrame:
-    """One row per vector: (vec_id, n_links, component_id, kept).
-
-    Vectors that are null, empty, zero, hold null or non-finite components, or have
-    another length than most, link with nothing and are their own component.  Equal
-    vectors are one node with a multiplicity, so copies are counted, not paired.
-    Rows with a null id are vectors like others; they are never kept.  The rotation
-    is fitted on about ``fit_rows`` distinct vectors chosen by hash; all vectors are
-    indexed.  Columns other than the two named are not read.
-    """
-    spark = vectors.sparkSession
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("e"))
-    finite = F.forall("e", lambda v: v.isNotNull() & (F.abs(v) < float("inf"))) & F.exists("e", lambda v: v != 0)
-    rows = rows.withColumn("valid", F.coalesce(finite, F.lit(False)))
-    nodes = cut(rows.where("valid").groupBy("e").agg(F.min("vec_id").alias("lo"), F.count("*").alias("n"))
-                .withColumn("node", F.monotonically_increasing_id()), "vectors", True)
-    sizes = nodes.groupBy(F.size("e").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if sizes is None:
-        return alone.withColumn("kept", F.col("vec_id").isNotNull())
-    dims = int(sizes["d"])
-    index = nodes.where(F.size("e") == dims)
-    sample = index.where(fraction_of(F.xxhash64("e"), fit_rows, int(sizes["count"]))).select("e")
+def _links(index: DataFrame, n: int, threshold: float, radius: int, substrings: int, fit_rows: int, chunk: int,
+           rotations: int) -> DataFrame:
+    """(u, v): links between the ``n`` nodes of ``index``, whose vectors have one length."""
+    sample = index.where(fraction_of(F.xxhash64("e"), fit_rows, n)).select("e")
     fit = np.array([r["e"] for r in sample.limit(2 * fit_rows).collect()] or
                    [r["e"] for r in index.limit(1).collect()], np.float64)  # bounded by 2 * fit_rows
     unit = fit / np.linalg.norm(fit, axis=1, keepdims=True)
+    if len(unit) < MEAN_ROWS * unit.shape[1]:
+        unit = np.concatenate([unit, -unit])
     found = []
     for seed in range(rotations):
         rotation = fit_rotation(unit, seed=7 + seed)
@@ -166,7 +150,32 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     pairs = reduce(DataFrame.unionByName, found).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     with_u = pairs.join(index.select(F.col("node").alias("u"), F.col("e").alias("eu")), "u")
     with_both = with_u.join(index.select(F.col("node").alias("v"), F.col("e").alias("ev")), "v")
-    links = cut(with_both.select("u", "v", "eu", "ev").mapInArrow(_cosine_at_least(threshold), "u long, v long"), "links", True)
+    return cut(with_both.select("u", "v", "eu", "ev").mapInArrow(_cosine_at_least(threshold), "u long, v long"), "links", True)
+
+
+def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
+                    radius: int = RADIUS, substrings: int = SUBSTRINGS, fit_rows: int = FIT_ROWS,
+                    chunk: int = CHUNK, rotations: int = ROTATIONS) -> DataFrame:
+    """One row per vector: (vec_id, n_links, component_id, kept).
+
+    Vectors that are null, empty, zero or hold null or non-finite components link with
+    nothing and are their own component.  Vectors of one length are indexed together,
+    each length by itself: those of different lengths have no cosine.  Equal
+    vectors are one node with a multiplicity, so copies are counted, not paired.
+    Rows with a null id are vectors like others; they are never kept.  The rotations
+    of a length are fitted on about ``fit_rows`` distinct vectors chosen by hash; all
+    vectors are indexed.  Columns other than the two named are not read.
+    """
+    spark = vectors.sparkSession
+    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("e"))
+    finite = F.forall("e", lambda v: v.isNotNull() & (F.abs(v) < float("inf"))) & F.exists("e", lambda v: v != 0)
+    rows = rows.withColumn("valid", F.coalesce(finite, F.lit(False)))
+    nodes = cut(rows.where("valid").groupBy("e").agg(F.min("vec_id").alias("lo"), F.count("*").alias("n"))
+                .withColumn("node", F.monotonically_increasing_id()), "vectors", True)
+    lengths = [(int(r["d"]), int(r["n"])) for r in nodes.groupBy(F.size("e").alias("d")).agg(F.count("*").alias("n"))
+               .where("n > 1").orderBy("d").collect()]  # one row for each length of vectors in the table
+    every = [_links(nodes.where(F.size("e") == d), n, threshold, radius, substrings, fit_rows, chunk, rotations) for d, n in lengths]
+    links = reduce(DataFrame.unionByName, every) if every else spark.createDataFrame([], "u long, v long")
     roots = components(links)
     size = nodes.select("node", "n")
     ends = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -175,10 +184,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         .join(degree, F.col("node") == F.col("u"), "left")
     least = labelled.groupBy("root").agg(F.min("lo").alias("component_id"))
     labelled = labelled.join(least, "root").select(
-        "e", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), "component_id",
-        F.lit(dims).alias("d")).where(F.size("e") == F.col("d")).drop("d")
-    ok = F.col("valid") & (F.size("e") == dims)
-    done = rows.where(ok).join(labelled, "e").select("vec_id", "n_links", "component_id") \
-        .unionByName(rows.where(~F.coalesce(ok, F.lit(False))).select(
+        "e", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), "component_id")
+    done = rows.where("valid").join(labelled, "e").select("vec_id", "n_links", "component_id") \
+        .unionByName(rows.where("NOT valid").select(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     return done.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
