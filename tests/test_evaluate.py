@@ -22,6 +22,21 @@ def test_auc_with_ties_matches_brute_force(spark):
     assert abs(got - brute_auc(y, s)) < 1e-12
 
 
+def test_auc_of_scores_cut_again_and_again(spark):
+    rng = np.random.default_rng(2)
+    rows, want = [], {}
+    for name, s in (("spread", 10.0 ** rng.integers(-300, 300, 200) * rng.choice([-1, 1], 200)),
+                    ("near", 0.5 + 1e-15 * rng.integers(0, 40, 300)), (None, np.round(rng.random(100), 1))):
+        y = rng.integers(0, 2, len(s))
+        want[name] = brute_auc(y, s)
+        rows += [(name, int(a), float(b)) for a, b in zip(y, s)]
+    rows += [("near", 1, None), ("near", 0, float("nan")), ("near", None, 0.1), ("one class", 1, float("inf"))]
+    df = spark.createDataFrame(rows, "model string, label int, score double")
+    got = {r.model: r.roc_auc for r in E.roc_auc(df, by=["model"], max_rows=3, buckets=4).collect()}
+    assert got.pop("one class") is None and got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
 def value(spark, column):
     return spark.range(1).select(column.alias("v")).first()["v"]
 

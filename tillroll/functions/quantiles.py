@@ -52,7 +52,8 @@ def _log(x: Column) -> Column:
     return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (F.least(F.log2(F.abs(x)), F.lit(1025.0)) + 1100))
 
 
-def _bucket(buckets: int) -> Column:
+def bucket_of(buckets: int) -> Column:
+    """The bucket of ``_x`` in its bracket [``_lo``, ``_hi``], ``_lo`` < ``_hi``: the ends lie in the first and the last one."""
     x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
     close = (F.signum(lo) == F.signum(hi)) & (F.greatest(F.abs(lo), F.abs(hi)) <= 2 * F.least(F.abs(lo), F.abs(hi))) \
         & (F.abs(lo) < float("inf")) & (F.abs(hi) < float("inf"))
@@ -84,7 +85,7 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     is_open = (F.col("_inside") > max_bracket) & (F.col("_hi") > F.col("_lo"))
     while state.where(is_open).limit(1).count():  # verdict on the tiny state table
         open_ = state.where(is_open)
-        hist = (_inside(x, open_.select(*keys, "_lo", "_hi"), by).select(*keys, "_x", _bucket(buckets).alias("b"))
+        hist = (_inside(x, open_.select(*keys, "_lo", "_hi"), by).select(*keys, "_x", bucket_of(buckets).alias("b"))
                 .groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx")))
         w = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # <= buckets rows
         hist = hist.withColumn("_end", F.sum("c").over(w)).join(open_.select(*keys, "_below"), keys) \

@@ -7,12 +7,14 @@ columns such as model / fold / split); every metric is an aggregate.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tails
+from ..functions.quantiles import BROADCAST_STATE, bucket_of
+from ..session import materialize
 
 
 def confusion_counts(df: DataFrame, label: str = "label", pred: str = "prediction",
@@ -71,33 +73,59 @@ def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "predictio
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (),
-            buckets: int = 1024) -> DataFrame:
-    """Exact ROC-AUC with ties (Mann-Whitney), distributed.
-
-    Scores collapse to distinct values with (pos, neg) counts; distinct
-    values are cut into value buckets at approximate quantiles; negatives
-    below a score = negatives in lower buckets (prefix over <= ``buckets``
-    rows per group) + negatives earlier in the same bucket (window inside a
-    bucket).  No window spans a whole group of rows.
+            max_rows: int = 100_000, buckets: int = 1024) -> DataFrame:
+    """Exact ROC-AUC with ties (Mann-Whitney): the share of (positive, negative) pairs in the right order.
+
+    The rows become distinct scores with (pos, neg) counts, written once.  A range of scores with more than
+    ``max_rows`` of them is cut into ``buckets`` buckets, as the quantiles cut theirs, and those again; pairs
+    of different buckets of one range are counted by a running sum over its at most ``buckets`` totals, pairs inside a
+    last bucket by one over its at most ``max_rows`` scores.  Every pair is counted at the one level that parts it, so
+    no count travels from level to level and no window grows with the data.
+
+    Rows without a label or score (null, NaN) are left out.  A group of one class only has a null AUC; without
+    ``by`` there is always one row.
     """
     by = list(by)
-    s = df.groupBy(*by, F.col(score).cast("double").alias("s")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"),
-        F.sum(1 - F.col(label).cast("long")).alias("neg"))
-    edges = s.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("e")).first()["e"]
-    splits = [-float("inf")] + (sorted(set(float(e) for e in edges or [])) or [0.0]) + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="s", outputCol="bucket").transform(s)
-    w_in = Window.partitionBy(*by, "bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("neg_below_in", F.coalesce(F.sum("neg").over(w_in), F.lit(0)))
-    tot = b.groupBy(*by, "bucket").agg(F.sum("neg").alias("bneg"))
-    w_b = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("neg_lower", F.coalesce(F.sum("bneg").over(w_b), F.lit(0)))
-    j = b.join(tot.select(*by, "bucket", "neg_lower"), [*by, "bucket"])
-    agg = j.groupBy(*by).agg(
-        F.sum(F.col("pos") * (F.col("neg_lower") + F.col("neg_below_in") + 0.5 * F.col("neg"))).alias("u"),
-        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return agg.select(*by, F.when((F.col("P") == 0) | (F.col("N") == 0), F.lit(None))
-                      .otherwise(F.col("u") / (F.col("P") * F.col("N"))).alias("roc_auc"))
+    y, x = F.col(label).cast("long"), F.col(score).cast("double")
+    group = F.struct(*by) if by else F.struct(F.lit(0))
+    rows = materialize(df.where(y.isNotNull() & x.isNotNull() & ~F.isnan(x)).groupBy(group.alias("_g"), x.alias("_x"))
+                       .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
+    size = [F.count(F.lit(1)).alias("c"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+            F.sum("pos").alias("pos"), F.sum("neg").alias("neg")]
+    exact = "decimal(19,0)"
+
+    def pairs(neg_below, ties):
+        return F.sum(F.col("pos").cast(exact) * (2 * neg_below + ties).cast(exact)).alias("u2")  # twice, ties count one
+
+    def below(df, part, order):
+        w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn("_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+
+    keys, sizes = ["_g"], materialize(rows.groupBy("_g").agg(*size))
+    parts = [sizes.select("_g", F.lit(0).cast("decimal(38,0)").alias("u2"), F.col("pos").alias("P"), F.col("neg").alias("N"))]
+
+    def add(counted):
+        parts.append(counted.select("_g", "u2", F.lit(0).cast("long").alias("P"), F.lit(0).cast("long").alias("N")))
+    while True:
+        wide = sizes.where(F.col("c") > max_rows).select(*keys, "_min", "_max")
+        n_wide = wide.count()
+        if n_wide:
+            few = F.broadcast(wide) if n_wide <= BROADCAST_STATE else wide
+            rows = materialize(rows.join(few, keys, "left"))
+        last = rows.where(F.col("_min").isNull()) if n_wide else rows
+        add(below(last, keys, "_x").groupBy("_g").agg(pairs(F.col("_below"), F.col("neg"))))
+        if not n_wide:
+            break
+        rows = rows.where(F.col("_min").isNotNull()).select(
+            "_g", "_x", "pos", "neg", F.col("_min").alias("_lo"), F.col("_max").alias("_hi")).withColumn("_b", bucket_of(buckets))
+        keys = ["_g", "_lo", "_b"]
+        sizes = materialize(rows.groupBy(*keys).agg(*size))
+        add(below(sizes, ["_g", "_lo"], "_b").groupBy("_g").agg(pairs(F.col("_below"), F.lit(0))))
+    total = reduce(DataFrame.unionByName, parts)
+    total = total.groupBy("_g") if by else total
+    u = total.agg(F.sum("u2").cast("double").alias("u2"), F.sum("P").alias("P"), F.sum("N").alias("N"))
+    auc = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u2") / (2 * F.col("P").cast("double") * F.col("N")))
+    return u.select(*[F.col(f"_g.{c}").alias(c) for c in by], auc.alias("roc_auc"))
 
 
 def fold_scores(df: DataFrame, fold: str = "fold", by: Sequence[str] = (), label: str = "label",
