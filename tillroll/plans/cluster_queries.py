@@ -1,16 +1,17 @@
-"""K03-K07, K18 (SQL oracles) and the MLlib clustering work (K01, K02, K08, K09,
+"""K03-K07, K10, K18 (SQL oracles) and the MLlib clustering work (K01, K02, K08, K09,
 K11-K15, K17, K19; rows-only checks)."""
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
 from ..operators import rfm as R
 from ..operators import validity as K
-from ..session import materialize
+from ..session import in_parallel, materialize
 from . import sqltext as S
 from .registry import query
 from .segment_queries import RULE_CLUSTERS, rfm_table
@@ -378,3 +379,47 @@ def k16_dbscan_summary(t):
     z = materialize(R.rfm_scaled(rfm_table(t)).select("customer_id", *Z_COLS))
     return CL.dbscan_rows(t.spark, z, "customer_id", Z_COLS, EPS_LIST, 10) \
         .select("eps", "clusters", "clustered", "noise", "silhouette_sq")
+
+
+# --- K10: Hopkins statistic -------------------------------------------------------
+
+from ..operators import nearest as NN  # noqa: E402
+
+HOPKINS_SEEDS = range(5)
+
+
+def _hopkins_sql(name: str, axes: list[str]) -> str:
+    """All pairs: drawn points against the other points, and as many even places against all points."""
+    d2 = " + ".join(f"power(q.x{i} - p.x{i}, 2)" for i in range(3))
+    h = S.unit_hash
+    draw = [h(f"customer_id, 'axis{i}', seed", "") for i in range(3)]
+    even = ", ".join(f"lo{i} + {draw[i]} * (hi{i} - lo{i}) AS x{i}" for i in range(3))
+    return f"""
+z_{name} AS (SELECT customer_id, {", ".join(f"({a} - avg({a}) OVER ()) / stddev_pop({a}) OVER () AS x{i}" for i, a in enumerate(axes))} FROM lg),
+b_{name} AS (SELECT {", ".join(f"min(x{i}) AS lo{i}, max(x{i}) AS hi{i}" for i in range(3))} FROM z_{name}),
+q_{name} AS (SELECT z.*, seed FROM z_{name} z CROSS JOIN range(5) s(seed) WHERE {h("customer_id, concat('draw', seed)", "")} < 0.1),
+e_{name} AS (SELECT customer_id, seed, {even} FROM q_{name} CROSS JOIN b_{name}),
+w_{name} AS (SELECT seed, sum(d) AS w FROM (SELECT q.seed, q.customer_id, sqrt(min({d2})) AS d FROM q_{name} q
+  JOIN z_{name} p ON p.customer_id <> q.customer_id GROUP BY 1, 2) GROUP BY seed),
+u_{name} AS (SELECT seed, sum(d) AS u FROM (SELECT q.seed, q.customer_id, sqrt(min({d2})) AS d FROM e_{name} q
+  CROSS JOIN z_{name} p GROUP BY 1, 2) GROUP BY seed),
+h_{name} AS (SELECT '{name}' AS representation, CAST(5 AS BIGINT) AS seeds, {S.r6("avg(u / (u + w))")} AS hopkins FROM u_{name} JOIN w_{name} USING (seed))"""
+
+
+@query("k10_hopkins", f"""
+WITH {S.RFM},
+lg AS (SELECT customer_id, CAST(recency AS DOUBLE) AS r, CAST(frequency AS DOUBLE) AS f, monetary AS m,
+              ln(1 + CAST(recency AS DOUBLE)) AS lr, ln(1 + CAST(frequency AS DOUBLE)) AS lf, ln(1 + monetary) AS lm FROM rfm),
+{_hopkins_sql("log", ["lr", "lf", "lm"])},
+{_hopkins_sql("raw", ["r", "f", "m"])}
+SELECT * FROM h_log UNION ALL SELECT * FROM h_raw""")
+def k10_hopkins(t):
+    """Clustering tendency of standardised RFM, as the model sees it (log) and as it is (raw): mean of five seeds."""
+    rfm = materialize(rfm_table(t).select("customer_id", *[F.col(c).cast("double").alias(c) for c in R.RFM]))
+
+    def one(name):
+        x = rfm.select("customer_id", *[(F.log1p(c) if name == "log" else F.col(c)).alias(c) for c in R.RFM])
+        m = x.agg(*[f(c).alias(f"{k}_{c}") for c in R.RFM for k, f in (("mean", F.avg), ("sd", F.stddev_pop))])
+        z = x.crossJoin(F.broadcast(m)).select("customer_id", *[((F.col(c) - F.col(f"mean_{c}")) / F.col(f"sd_{c}")).alias(c) for c in R.RFM])
+        return NN.hopkins(z, "customer_id", R.RFM, HOPKINS_SEEDS).select(F.lit(name).alias("representation"), "seeds", r6("hopkins").alias("hopkins"))
+    return reduce(DataFrame.unionByName, in_parallel(t.spark, one, ["log", "raw"]))
