@@ -34,3 +34,25 @@ def test_artefact_and_json_round_trip(spark):
     assert (r.a, r.b, r.c) == (1, 2.5, "x")
     with pytest.raises(Exception):
         files.write_artefact(df, p)      # never overwrites an existing artefact
+
+
+def test_line_numbers_through_blocks_and_files(spark):
+    rows = [(f"{i:04d}", f"{i}", "é" * (i % 9), None if i % 5 == 0 else i, None, i / 4, None) for i in range(900)]
+    df = spark.createDataFrame(rows, files.RAW_SCHEMA)
+    base = files.artefact_dir(spark, "numbers")
+    paths = [files.write_csv(df.coalesce(1).sortWithinPartitions("line_id"), f"{base}/one"),
+             files.write_csv(df.repartitionByRange(5, "line_id").sortWithinPartitions("line_id"), f"{base}/five"),
+             files.write_csv(df.where("false"), f"{base}/none")]
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")   # about 20 blocks in the one file
+    try:
+        back = files.read_numbered_csv(spark, paths)
+        blocks = files.read_csv(spark, paths[:1]).select("_metadata.file_block_start").distinct().count()
+        got = back.select("_source", "line_id", "line_number", "quantity").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert blocks > 5
+    for source in ("one", "five"):
+        mine = sorted((r.line_number, r.line_id, r.quantity) for r in got if r._source == source)
+        assert mine == [(i + 1, f"{i:04d}", None if i % 5 == 0 else i) for i in range(900)]
+    assert {r._source for r in got} == {"one", "five"}

@@ -8,15 +8,18 @@ every number here has an independent SQL oracle.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import r6
+from ..operators import checks as V
 from ..operators import evaluate as E
 from ..operators import serve as Q
 from ..operators import validity as K
 from ..operators import rfm as R
+from ..session import materialize
 from ..sources import files, retail
 from . import sqltext as S
-from .cleaning_queries import RAW
+from .cleaning_queries import ADAPTED, RAW, adapted
 from .feature_queries import COMPARISON, FEATURES, fixed_predictions, labelled
 from .registry import query
 from .segment_queries import RULE_TAIL, _rule_profile
@@ -318,6 +321,55 @@ def s01_csv_extracts(t):
                                        F.count_if(F.col("customer_id").isNull()).alias("null_keys"))
 
 
+@query("s01_line_numbers", f"""
+WITH {RAW} SELECT _source, line_id, row_number() OVER (PARTITION BY _source ORDER BY line_id) AS line_number FROM raw""")
+def s01_line_numbers(t):
+    """The extracts written in the order of their line ids, in as many files as the sort gives, and read back with the
+    number of each line."""
+    base = files.artefact_dir(t.spark, "extracts")
+    raw = materialize(retail.raw_extracts(t))
+    paths = [files.write_csv(raw.where(F.col("_source") == src).drop("_source").orderBy("line_id"), f"{base}/{src}")
+             for src in ("extract_a", "extract_b")]
+    return files.read_numbered_csv(t.spark, paths).select("_source", "line_id", "line_number")
+
+
+_SWAPPED = "CASE line_id WHEN (SELECT min(line_id) FROM clean) THEN 2 WHEN (SELECT max(line_id) FROM clean) THEN 0 ELSE 1 END"
+
+
+@query("v04_row_position", f"""
+WITH {ADAPTED},
+b AS (SELECT row_number() OVER (ORDER BY line_id) AS n, line_id, customer_id FROM clean),
+a AS (SELECT 'adapted' AS copy, row_number() OVER (ORDER BY line_id) AS n, line_id, customer_id FROM final
+      UNION ALL
+      SELECT 'swapped' AS copy, row_number() OVER (ORDER BY {_SWAPPED}, line_id) AS n, line_id, customer_id FROM final),
+bc AS (SELECT * FROM b CROSS JOIN (VALUES ('adapted'), ('swapped')) c(copy)),
+j AS (SELECT coalesce(b.copy, a.copy) AS copy, b.n AS bn, a.n AS an, b.customer_id AS bk, a.customer_id AS ak,
+             b.line_id AS bl, a.line_id AS al FROM bc b FULL OUTER JOIN a ON a.n = b.n AND a.copy = b.copy)
+SELECT copy, count(*) FILTER (WHERE bn IS NULL OR an IS NULL) AS unmatched_lines,
+       count(*) FILTER (WHERE bk IS DISTINCT FROM ak) AS diff_customer_id, count(*) FILTER (WHERE bl IS DISTINCT FROM al) AS diff_line_id,
+       count(*) FILTER (WHERE bn IS NULL OR an IS NULL OR bk IS DISTINCT FROM ak OR bl IS DISTINCT FROM al) = 0 AS same_sequence
+FROM j GROUP BY copy""")
+def v04_row_position(t):
+    """Same key at the same line of the cleaned file, of its adapted copy and of a copy whose first and last lines
+    are exchanged; the line numbers come from reading the three files back."""
+    c, a = adapted(t)
+    base, key = files.artefact_dir(t.spark, "positions"), ["line_id", "customer_id"]
+    a = materialize(a.select(*key))
+    ends = a.agg(F.min("line_id").alias("first"), F.max("line_id").alias("last"))
+    exchanged = a.crossJoin(F.broadcast(ends)).orderBy(
+        F.when(F.col("line_id") == F.col("first"), 2).when(F.col("line_id") == F.col("last"), 0).otherwise(1), "line_id")
+    paths = [files.write_csv(df.select(*key), f"{base}/{name}") for name, df in (
+        ("cleaned", c.orderBy("line_id")), ("adapted", a.orderBy("line_id")), ("swapped", exchanged))]
+    schema = T.StructType([T.StructField(k, T.StringType()) for k in key])
+    lines = materialize(files.read_numbered_csv(t.spark, paths, schema))
+    one = lambda name: lines.where(F.col("_source") == name)
+
+    def compared(name):
+        d = V.compare_columns(one("cleaned"), one(name), "line_number", [("customer_id", "customer_id"), ("line_id", "line_id")])
+        return d.select(F.lit(name).alias("copy"), "*", (F.greatest("unmatched_lines", "diff_customer_id", "diff_line_id") == 0).alias("same_sequence"))
+    return compared("adapted").unionByName(compared("swapped"))
+
+
 @query("s04_artefact_roundtrip", f"WITH {S.RFM} SELECT customer_id, recency, frequency, monetary, state FROM rfm_s")
 def s04_artefact_roundtrip(t):
     """RFM table written to a new artefact folder (parquet) and read back."""
