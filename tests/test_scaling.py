@@ -43,3 +43,14 @@ def test_quantile_normal_is_monotone_and_centred(spark):
     assert out.x_qn.is_monotonic_increasing
     assert abs(out.x_qn.median()) < 0.01
     assert out.x_qn.abs().max() <= 5.2
+
+
+def test_yeo_johnson_follows_the_best_lambda_beyond_its_first_grid(spark):
+    rng = np.random.default_rng(6)
+    y = rng.normal(15.0, 3.5, 20_000).clip(0.1)
+    df = spark.createDataFrame(pd.DataFrame({"x": (5 * y + 1) ** 0.2 - 1, "flat": 2.0, "z": -np.expm1(rng.normal(2.0, 0.7, 20_000))}))
+    out = SC.yeo_johnson(df, ["x", "flat", "z"])
+    r = out.first()
+    assert abs(r["x_lambda"] - 5) < 0.7
+    assert r["flat_lambda"] == 1.0 and r["flat_yj"] == 0.0
+    assert abs(r["z_lambda"] - 2) < 0.1        # the mirror image of lambda 0

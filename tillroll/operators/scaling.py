@@ -60,17 +60,32 @@ def _best_lambda(df: DataFrame, c: str, grid: list[float]) -> DataFrame:
                                F.sum(F.signum("_x") * F.log1p(F.abs("_x"))).alias("s"),
                                F.count(F.lit(1)).alias("n"))
           .withColumn("llf", -F.col("n") / 2 * F.log(F.col("v")) + (F.col("lam") - 1) * F.col("s")))
-    return ll.where(F.col("v") > 0).agg(F.max_by("lam", "llf").alias("lam"))
+    return ll.where((F.col("v") > 0) & (F.col("v") < float("inf"))).agg(F.max_by("lam", "llf").alias("lam"))
 
 
 def yeo_johnson(df: DataFrame, cols: Sequence[str], suffix: str = "_yj",
                 lo: float = -3.0, hi: float = 3.0) -> DataFrame:
     """Per column: MLE lambda (coarse 0.05 grid, then 0.0005 around it),
-    transform, then z-score with the population sd."""
+    transform, then z-score with the population sd.  The grid starts on [lo, hi] and is moved on while its best point
+    lies on its edge, to where the likelihood falls or the powers leave the doubles.  A column without variance keeps
+    lambda 1 and becomes 0."""
     out = df
+    steps = int(round((hi - lo) / 0.05))
+    varies = df.agg(*[F.coalesce(F.min(c) < F.max(c), F.lit(False)).alias(c) for c in cols]).first()
     for c in cols:
-        coarse = [round(lo + i * 0.05, 6) for i in range(int(round((hi - lo) / 0.05)) + 1)]
-        lam0 = _best_lambda(df, c, coarse).first()["lam"]
+        if not varies[c]:
+            out = out.withColumn(c + suffix, F.when(F.col(c).isNotNull(), F.lit(0.0))).withColumn(c + "_lambda", F.lit(1.0))
+            continue
+        lam0, start = None, lo
+        while True:
+            grid = [round(start + i * 0.05, 6) for i in range(steps + 1)]
+            best = _best_lambda(df, c, grid).first()["lam"]
+            if best is None or best == lam0:
+                break
+            lam0 = best
+            if lam0 not in (grid[0], grid[-1]):
+                break
+            start = lam0 - (hi - lo) if lam0 == grid[0] else lam0
         fine = [round(lam0 - 0.05 + i * 0.0005, 6) for i in range(201)]
         lam = float(_best_lambda(df, c, fine).first()["lam"])
         y = yeo_johnson_expr(F.col(c).cast("double"), F.lit(lam))
