@@ -81,6 +81,15 @@ def test_learning_curve_covers_every_fold(planted):
     assert all(r[3] > 0.7 for r in rows)
 
 
+def test_learning_curve_subsets_are_exact_and_nested(planted):
+    fractions = [0.3, 0.6, 1.0]
+    rows = L.curve_steps(planted, fractions).collect()
+    assert len(rows) == planted.count()
+    for fold in range(5):
+        steps = [r.step for r in rows if r.fold == fold]
+        assert [sum(s <= i for s in steps) for i in range(3)] == [int((len(steps) - 1) * f) + 1 for f in fractions]
+
+
 @pytest.mark.parametrize("impurity", ["gini", "entropy"])
 def test_a_cut_tree_equals_a_fit_at_that_depth(planted, impurity):
     noisy = planted.withColumn("label", F.when(unit_hash("customer_id", seed="f") < 0.2, 1 - F.col("label")).otherwise(F.col("label")))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash
 from ..functions.quantiles import quantiles
-from ..session import PARALLELISM, in_parallel
+from ..session import PARALLELISM, in_parallel, materialize
 from . import evaluate as E
 from . import forests
 
@@ -229,18 +229,30 @@ def decision_record(spark: SparkSession, summary: dict) -> DataFrame:
     return spark.createDataFrame([(json.dumps(summary, sort_keys=True),)], "record string")
 
 
+def curve_steps(train: DataFrame, fractions: Sequence[float]) -> DataFrame:
+    """``train`` with ``step``, the first of the rising ``fractions`` whose subset holds the row (null: none).
+
+    A subset holds of each fold the customers with the smallest hashes, up to the exact quantile of the
+    fraction: floor((n - 1) fraction) + 1 of n (equal hashes fall on the same side)."""
+    drawn = materialize(train.withColumn("_u", unit_hash(F.col("customer_id"), seed="curve")))
+    cuts = [f"_cut{i}" for i in range(len(fractions))]
+    at = drawn.join(F.broadcast(quantiles(drawn, "_u", fractions, by=["fold"], names=cuts)), "fold")  # one row a fold
+    step = F.coalesce(*[F.when(F.col("_u") <= F.col(c), F.lit(i)) for i, c in enumerate(cuts)])
+    return at.withColumn("step", step).select(*train.columns, "step")
+
+
 def learning_curve(train: DataFrame, name: str, params: dict, fractions: Sequence[float],
                    features: Sequence[str] = BASE_FEATURES, k: int = 5, parallelism: int = PARALLELISM):
-    """Nested training subsets by hashed key within each fold; (fraction, fold, train
-    accuracy, validation accuracy)."""
-    u = unit_hash(F.col("customer_id"), seed="curve")
+    """(fraction, fold, train accuracy, validation accuracy) of nested training subsets (``curve_steps``)."""
+    fractions = sorted(fractions)
+    train = materialize(curve_steps(train, fractions))
 
     def accuracy(model, df):
         return E.metrics(model.transform(df)).first()["accuracy"]
 
     def one(job):
         fraction, f = job
-        subset = train.where((F.col("fold") != f) & (u < fraction))
+        subset = train.where((F.col("fold") != f) & (F.col("step") <= fractions.index(fraction)))
         model = fit_with(subset, name, params, features)
         return fraction, f, accuracy(model, subset), accuracy(model, train.where(F.col("fold") == f))
     return in_parallel(train.sparkSession, one, [(fr, f) for fr in fractions for f in range(k)], parallelism)
