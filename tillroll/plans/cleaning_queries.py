@@ -494,3 +494,12 @@ def v03_v04_damaged(t):
     c, a = adapted(t)
     d = damage(a)
     return V.key_set_equality(c, d).crossJoin(V.compare_columns(c, d, "line_id", [("customer_id", "customer_id")]))
+
+
+@query("d05_key_consistency_damaged", f"""
+WITH {DAMAGED}
+SELECT customer_id, count(DISTINCT state) AS n_values FROM dmg WHERE customer_id IS NOT NULL
+GROUP BY customer_id HAVING count(DISTINCT state) > 1""")
+def d05_key_consistency_damaged(t):
+    """Customers with more than one state in the copy with planted defects."""
+    return D.inconsistent_keys(damage(adapted(t)[1]), "customer_id", "state")
