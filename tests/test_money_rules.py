@@ -37,3 +37,20 @@ def test_reference_rule_sets(spark):
            .collect()]
     assert out == ["I LOVE MALAYSIA MUG", "KL MONORAIL TOY", "HIBISCUS PRINT CUSHION", "RAYA KETUPAT COOKIE",
                    "KIDS DESIGN cup", "INSULATED TUMBLER", "egg cup"]
+
+
+def test_every_rule_changes_a_planted_phrase(spark):
+    from tillroll.functions.rules import fold_rules
+    from tillroll.plans.adapt_queries import RULE_PHRASES
+    df = spark.createDataFrame([(x,) for x in RULE_PHRASES], "text string")
+    for ruleset in (PLACE_RULESET, CLIMATE_RULESET):
+        text, fired = F.col("text"), []
+        for stage in ruleset.stages:
+            on = F.upper(text).contains(stage.guard) if stage.guard else F.lit(True)
+            steps = [fold_rules(text, stage.rules[:i]) for i in range(len(stage.rules) + 1)]
+            fired += [F.count_if(on & (a != b)) for a, b in zip(steps, steps[1:])]
+            text = F.when(on, steps[-1]).otherwise(text)
+        assert min(df.agg(*[n.alias(f"r{i}") for i, n in enumerate(fired)]).first()) > 0
+    last = df.where(F.col("text") == RULE_PHRASES[-1])
+    assert [tuple(r) for r in last.select(apply_ruleset(F.col("text"), PLACE_RULESET), apply_ruleset(F.col("text"), CLIMATE_RULESET)).collect()] \
+        == [(RULE_PHRASES[-1],) * 2]

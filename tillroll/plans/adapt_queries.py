@@ -158,6 +158,47 @@ def d08_guarded_rewrite_documents(t):
     return d.select("doc_id", F.md5(out).alias("text_md5"), (out != F.col("text")).alias("changed"))
 
 
+# One phrase for each rule of the two sets, some in lower case where a rule ignores case; the last leaves a text as it is.
+RULE_PHRASES = [
+    "I LOVE LONDON", "LONDON BUS", "LONDON BRIDGE", "LONDON", "PARIS FASHION", "FRENCH STYLE", "NEW ENGLAND", "ENGLISH ROSE",
+    "UNION JACK", "UNION FLAG", "JUBILEE", "CHARLIE + LOLA", "Charlie and Lola", "LARRY THE LAMB", "EASTER HEN", "EASTER BUNNIES",
+    "easter bunny", "EASTER RABBIT", "EASTER CHICKS", "EASTER CHICK", "EASTER EGGS", "EASTER EGG", "WOOLLY HOTTIE", "HOTTIE",
+    "HOT WATER BOTTLE", "MINI HAND WARMER", "HAND WARMER", "POCKET WARMER", "EGG WARMER", "EGG COSY", "SCARF KNITTING KIT", "SCARF",
+    "BUNNY AND EGG CUP"]
+_PLANTED = f"""
+p AS (SELECT p_partkey AS stock_code, upper(p_name) || ' ' || [{", ".join(f"'{x}'" for x in RULE_PHRASES)}][p_partkey % {len(RULE_PHRASES)} + 1]
+             AS description_original FROM part)"""
+
+
+def planted_descriptions(t):
+    """Product descriptions that end in a phrase of the rules, by the product's number."""
+    phrase = F.element_at(F.array(*map(F.lit, RULE_PHRASES)), (F.col("p_partkey") % len(RULE_PHRASES) + 1).cast("int"))
+    return t.part.select(F.col("p_partkey").alias("stock_code"), F.concat(F.upper("p_name"), F.lit(" "), phrase).alias("description"))
+
+
+@query("d07_rewrite_planted", f"""
+WITH {_PLANTED}
+SELECT stock_code, description_original, {_fold_sql('description_original', PLACE_RULESET.stages[0].rules)} AS description FROM p""")
+def d07_rewrite_planted(t):
+    """Place-name rules over descriptions that hold a phrase of every rule."""
+    return D.rewrite_text(planted_descriptions(t), PLACE_RULESET).select("stock_code", "description_original", "description")
+
+
+def _planted_climate_sql() -> str:
+    s1, s2, climate = _climate_sql("description_original")
+    return f"""
+WITH {_PLANTED},
+a AS (SELECT *, {s1} AS s1 FROM p),
+b AS (SELECT *, {s2} AS s2 FROM a)
+SELECT stock_code, description_original, {_fold_sql('s2', climate)} AS description FROM b"""
+
+
+@query("d08_guarded_rewrite_planted", _planted_climate_sql())
+def d08_guarded_rewrite_planted(t):
+    """Pre-rules, guarded stage and ordered rules over descriptions that hold a phrase of every rule."""
+    return D.rewrite_text(planted_descriptions(t), CLIMATE_RULESET).select("stock_code", "description_original", "description")
+
+
 _VOCAB_LINES = f"""
 WITH x AS (SELECT upper(p.p_name) AS before, {VOCAB_S1} AS s1
            FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
