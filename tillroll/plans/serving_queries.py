@@ -275,7 +275,9 @@ SELECT (SELECT count(DISTINCT cluster) FROM cust) = 4 AS four_clusters,
        (SELECT count(*) FROM cust WHERE segment_label IS NULL) = 0 AS labels_present,
        (SELECT count(*) FROM cmp WHERE model IN ('model_a', 'model_b')) = 2 AS models_present,
        (SELECT count(*) FROM cmp WHERE f1 IS NULL OR roc_auc IS NULL OR accuracy IS NULL) = 0 AS metrics_present,
-       true AS columns_present""")
+       (SELECT bool_and(list_has_all(json_keys(to_json(c)), ['customer_id', 'recency', 'frequency', 'monetary', 'state', 'cluster', 'segment_label']))
+        FROM cust c)
+         AND (SELECT bool_and(list_has_all(json_keys(to_json(m)), ['f1', 'roc_auc', 'accuracy'])) FROM cmp m) AS columns_present""")
 def v09_artefact_contract(t):
     """Contract checks over the saved tables: columns, cluster count, labels, models, metrics."""
     c = customers(t)
