@@ -60,3 +60,32 @@ def test_clustered_points_score_higher(spark):
     h = [N.hopkins(spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(p)], "id long, x double, y double"),
                    "id", ["x", "y"]).first().hopkins for p in (tight, even)]
     assert h[0] > 0.9 and 0.35 < h[1] < 0.65
+
+
+def test_queries_write_no_row_for_each_box(spark, monkeypatch):
+    written = []
+
+    def counted(df, write=N.materialize):
+        out = write(df)
+        if "bound" in out.columns:
+            written.append(out.count())
+        return out
+    monkeypatch.setattr(N, "materialize", counted)
+    rng = np.random.default_rng(11)
+    rows = lambda n: [tuple(map(float, r)) for r in rng.random((n, 3))]
+    places = spark.createDataFrame(rows(4000), "x0 double, x1 double, x2 double")
+    queries = spark.createDataFrame([(i, False, *r) for i, r in enumerate(rows(200))],
+                                    "id long, real boolean, a0 double, a1 double, a2 double")
+    assert N.nearest(queries, ["id"], places, 3, "real", leaf=8).count() == 200
+    assert sum(written) <= 2 * 200
+
+
+def test_hot_boxes_are_copied(spark, monkeypatch):
+    monkeypatch.setattr(N, "BROADCAST_BOXES", 1)
+    monkeypatch.setattr(N, "HOT_ROWS", 5)
+    rng = np.random.default_rng(12)
+    p, q = rng.random((200, 2)), np.concatenate([rng.random((30, 2)), np.full((30, 2), 0.3)])
+    places = spark.createDataFrame([tuple(map(float, r)) for r in p], "x0 double, x1 double")
+    queries = spark.createDataFrame([(i, False, *map(float, r)) for i, r in enumerate(q)], "id long, real boolean, a0 double, a1 double")
+    got = {r.id: r.distance for r in N.nearest(queries, ["id"], places, 2, "real", leaf=8).collect()}
+    assert [got[i] for i in range(60)] == pytest.approx([np.sqrt(((p - v) ** 2).sum(1).min()) for v in q])

@@ -2,8 +2,10 @@
 
 Points become distinct places.  A box of more than ``leaf`` places is cut in ``PARTS`` along each side of its tight
 bounds, as often as it takes: every cut parts its two extreme places, so a hot region just gets more levels.  A query
-walks the levels down: inner boxes bound its distance from above by their far corner, leaves (a short list of
-places) give it exactly, boxes that begin beyond the bound are dropped.  Nothing pairs the queries with the points.
+walks the levels down twice: first as one row, to the nearest box of each level, which bounds its distance by the far
+corners on the way and the places of the leaf (a short list) it ends in; then to all boxes that begin within that
+bound, few of them, whose leaves give it exactly.  Boxes are compared inside the query's row, so nothing pairs the
+queries with the points, and only boxes within the bound become rows.
 """
 
 from __future__ import annotations
@@ -18,9 +20,12 @@ from ..functions.hashing import unit_hash
 from ..session import materialize
 
 PARTS = 4
-#: So many boxes (at most ``leaf`` places each) are broadcast; more are joined by a shuffle on a salted key.
+#: So many boxes (at most ``leaf`` places, or the corners of ``PARTS`` ** d boxes each) are broadcast; more are joined by a
+#: shuffle, with a copy of a box for every ``HOT_ROWS`` rows that ask for it.
 BROADCAST_BOXES = 20_000
-SALTS = 16
+HOT_ROWS = 20_000
+#: Levels that are walked before the rows are written.
+STRIDE = 4
 
 
 def _axes(prefix: str, d: int) -> list[str]:
@@ -31,8 +36,13 @@ def _join(rows: DataFrame, boxes: DataFrame, key: str, how: str, spread: Column)
     """``rows`` with their boxes; a box that many rows ask for is copied, not its rows gathered."""
     if boxes.limit(BROADCAST_BOXES + 1).count() <= BROADCAST_BOXES:
         return rows.join(F.broadcast(boxes), key, how)
-    salted = boxes.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
+    rows = materialize(rows)
+    hot = materialize(rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / HOT_ROWS).alias("_copies")).where("_copies > 1"))
+    copies = F.coalesce("_copies", F.lit(1))
+    copied = boxes.join(F.broadcast(hot), key, "left") \
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))).drop("_copies")
+    salted = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), copies)).drop("_copies")
+    return salted.join(copied, [key, "_salt"], how).drop("_salt")
 
 
 def box_levels(places: DataFrame, d: int, leaf: int = 64) -> list[DataFrame]:
@@ -65,31 +75,50 @@ def nearest(queries: DataFrame, key: Sequence[str], places: DataFrame, d: int, o
     (x0..); where the boolean column ``others`` holds, a place equal to the query does not count.  Queries without
     such a place have no row."""
     key, a = list(key), _axes("a", d)
-    per_query = Window.partitionBy(*key)
-    open_ = queries.select(*key, others, *a, F.lit("").alias("at"), F.lit(None).cast("double").alias("bound"))
-    found = []
-    for depth, boxes in enumerate(box_levels(places, d, leaf)):
-        boxes = boxes.withColumn("at", F.coalesce("parent", F.lit(""))).drop("parent")
-        near, far = F.lit(0.0), F.lit(0.0)
-        for i in range(d):
-            v, lo, hi = F.col(f"a{i}"), F.col(f"lo{i}"), F.col(f"hi{i}")
-            gap, span = F.greatest(lo - v, F.lit(0.0), v - hi), F.greatest(F.abs(hi - v), F.abs(v - lo))
-            near, far = near + gap * gap, far + span * span
-
-        def apart(spot):
-            total, same = F.lit(0.0), F.lit(True)
-            for i, c in enumerate(a):
-                total, same = total + (spot[i] - F.col(c)) * (spot[i] - F.col(c)), same & (spot[i] == F.col(c))
-            return F.when(~(F.col(others) & same), total)
-        met = _join(open_, boxes, "at", "inner", F.struct(*key))
-        met = met.withColumn("near", near).where(F.col("bound").isNull() | (F.col("near") <= F.col("bound")))
-        # an inner box holds at least two places, so one that is not the query's own
-        met = met.select(*key, others, *a, "path", "near", "bound", F.col("spots").isNull().alias("inner"),
-                         F.when(F.col("spots").isNull(), far).otherwise(F.array_min(F.transform("spots", apart))).alias("d2"))
-        met = materialize(met.withColumn("bound", F.least("bound", F.min("d2").over(per_query))))
-        found.append(met.where(~F.col("inner")).groupBy(*key).agg(F.min("d2").alias("d2")))
-        open_ = met.where(F.col("inner") & (F.col("near") <= F.col("bound"))).select(*key, others, *a, F.col("path").alias("at"), "bound")
-    return reduce(DataFrame.unionByName, found).groupBy(*key).agg(F.sqrt(F.min("d2")).alias("distance")).where("distance IS NOT NULL")
+    levels = box_levels(places, d, leaf)
+    kids = [boxes.groupBy(F.coalesce("parent", F.lit("")).alias("at")).agg(F.collect_list(F.struct(  # at most PARTS ** d
+        "path", *[f"{k}{i}" for i in range(d) for k in ("lo", "hi")])).alias("kids")) for boxes in levels]
+    leaves = reduce(DataFrame.unionByName, [b.where("spots IS NOT NULL").select(F.col("path").alias("at"), "spots") for b in levels])
+
+    def near(box):
+        total = F.lit(0.0)
+        for i, c in enumerate(a):
+            gap = F.greatest(box[f"lo{i}"] - F.col(c), F.lit(0.0), F.col(c) - box[f"hi{i}"])
+            total = total + gap * gap
+        return total
+
+    def far(box):  # a box of more than one place holds one that is not the query's own
+        total, own = F.lit(0.0), F.col(others)
+        for i, c in enumerate(a):
+            span = F.greatest(F.abs(box[f"hi{i}"] - F.col(c)), F.abs(F.col(c) - box[f"lo{i}"]))
+            total, own = total + span * span, own & (box[f"lo{i}"] == F.col(c)) & (box[f"hi{i}"] == F.col(c))
+        return F.when(~own, total)
+
+    def apart(spot):
+        total, same = F.lit(0.0), F.lit(True)
+        for i, c in enumerate(a):
+            total, same = total + (spot[i] - F.col(c)) * (spot[i] - F.col(c)), same & (spot[i] == F.col(c))
+        return F.when(~(F.col(others) & same), total)
+
+    def walk(rows, step):
+        for depth, boxes in enumerate(kids):
+            rows = step(_join(rows, boxes, "at", "left", F.struct(*key)))  # a row at a leaf stays there
+            if depth % STRIDE == STRIDE - 1 and depth + 1 < len(kids):
+                rows = materialize(rows)
+        return _join(rows, leaves, "at", "inner", F.struct(*key)).withColumn("d2", F.array_min(F.transform("spots", apart)))
+
+    def to_nearest(met):
+        first = F.array_min(F.transform("kids", lambda b: F.struct(near(b).alias("near"), b["path"].alias("path"))))
+        return met.select(*key, others, *a, F.coalesce(first["path"], "at").alias("at"),
+                          F.least("bound", F.array_min(F.transform("kids", far))).alias("bound"))
+
+    def to_all_within(met):
+        within = F.transform(F.filter("kids", lambda b: near(b) <= F.col("bound")), lambda b: b["path"])
+        return met.select(*key, others, *a, "bound", F.explode(F.coalesce(within, F.array("at"))).alias("at"))
+
+    start = queries.select(*key, others, *a, F.lit("").alias("at"), F.lit(None).cast("double").alias("bound"))
+    bound = materialize(walk(start, to_nearest).select(*key, others, *a, F.lit("").alias("at"), F.least("bound", "d2").alias("bound")))
+    return walk(bound, to_all_within).groupBy(*key).agg(F.sqrt(F.min("d2")).alias("distance")).where("distance IS NOT NULL")
 
 
 def hopkins(points: DataFrame, id_col: str, cols: Sequence[str], seeds: Sequence[int] = range(5), share: float = 0.1,
