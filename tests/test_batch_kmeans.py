@@ -78,3 +78,21 @@ def test_odd_tables(spark):
     assert fit.cost == 0 and B.silhouettes(same, {0: fit})[0] is None
     with pytest.raises(ValueError):
         B.fit_all(same.limit(0), [B.Run(0, "x", 2, 1)])
+
+
+def test_rows_in_one_partition_are_spread(planted, monkeypatch):
+    df, x, _ = planted
+    one = materialize(df.coalesce(1))
+    parts = []
+
+    def counted(rows, *rest, inner=B._sums):
+        parts.append(rows.rdd.getNumPartitions())
+        return inner(rows, *rest)
+    monkeypatch.setattr(B, "_sums", counted)
+    monkeypatch.setattr(B, "CELLS", 100)
+    fits = B.best_of(B.fit_all(one, CL.restarts(4, "x", 4, 3, 42)))
+    got = B.silhouettes(one, fits)
+    assert min(parts) > 1
+    near = ((x[:, None] - fits[4].centres) ** 2).sum(-1)
+    assert fits[4].cost == pytest.approx(near.min(1).sum())
+    assert got[4] == pytest.approx(brute_silhouette_sq(x, near.argmin(1)))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -55,6 +56,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
 
 
+@contextmanager
+def _spread(df: DataFrame, n: int, width: int) -> Iterator[DataFrame]:
+    """The ``n`` rows over enough tasks for their cells, up to two for each core; ``df`` itself if it has as many.
+
+    A table of vectors is small beside the work on it: as it was written it may lie in one partition."""
+    parts = min(-(-n * width // CELLS), 2 * df.sparkSession.sparkContext.defaultParallelism)
+    if df.rdd.getNumPartitions() >= parts:
+        yield df
+        return
+    rows = df.repartition(parts).cache()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def _sums(df: DataFrame, tables: Sequence[str], weights: str | None, width: int,
           work: Callable[[dict, np.ndarray | None], Iterable[tuple[int, np.ndarray]]]) -> dict[int, np.ndarray]:
     """``work`` on the rows of each task, a few at a time: (configuration, values), summed by place over all rows."""
@@ -75,27 +92,40 @@ def _sums(df: DataFrame, tables: Sequence[str], weights: str | None, width: int,
                  pa.array(values.astype(float))], ["config", "slot", "value"])
 
     found = df.select(*columns).mapInArrow(run, "config int, slot int, value double") \
-        .groupBy("config", "slot").agg(F.sum("value").alias("value")).orderBy("config", "slot").collect()
+        .groupBy("config", "slot").agg(F.sum("value").alias("value")).collect()
     out: dict[int, list[float]] = {}
-    for r in found:  # a few numbers for each configuration and cluster
+    for r in sorted(found):  # a few numbers for each configuration and cluster
         out.setdefault(r["config"], []).append(r["value"])
     return {c: np.array(v) for c, v in out.items()}
 
 
 def _distances(xs: dict, fits: dict[int, Fit]):
-    """(configuration, its squared distances rows x clusters), one product for each table."""
+    """(configuration, its squared distances clusters x rows), one product for each table."""
     for table, x in xs.items():
         mine = [(c, f) for c, f in fits.items() if f.run.table == table]
         if not mine:
             continue
         stacked = np.concatenate([f.centres for _, f in mine])
-        d = (x * x).sum(axis=1)[:, None] - 2 * (x @ stacked.T) + (stacked * stacked).sum(axis=1)
+        d = stacked @ x.T
+        d *= -2
+        d += (x * x).sum(axis=1)
+        d += (stacked * stacked).sum(axis=1)[:, None]
         at = 0
         for c, f in mine:
-            yield c, f, x, d[:, at:at + f.run.k]
+            yield c, f, x, d[at:at + f.run.k]
             at += f.run.k
 
 
+def _shares(d: np.ndarray) -> np.ndarray:
+    """Clusters x rows: 1 at the nearest cluster of each row, the first of equally near ones."""
+    share = (d <= d.min(axis=0)).astype(float)
+    if share.sum() != d.shape[1]:
+        again = np.flatnonzero(share.sum(axis=0) != 1)
+        share[:, again] = 0
+        share[d[:, again].argmin(axis=0), again] = 1
+    return share
+
+
 def _plus_plus(x: np.ndarray, w: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """First centres by greedy k-means++ with row weights: of a few draws the one that lowers the cost most.  Repeats the
     last centre where fewer distinct rows have weight."""
@@ -134,35 +164,44 @@ def fit_all(df: DataFrame, runs: Sequence[Run], weights: str | None = None, max_
     drawn = np.array([r[weights] for r in rows], float) if weights else None
     fits = [Fit(r, _plus_plus(start[r.table], np.ones(len(rows)) if r.weight is None else drawn[:, r.weight], r.k,
                               np.random.default_rng([r.seed, r.k]))) for r in runs]
+    with _spread(df.select(*sample.columns), n, width) as spread:
+        _move(spread, fits, tables, weights, width, max_iter, tol)
+    return fits
+
+
+def _move(df: DataFrame, fits: list[Fit], tables: Sequence[str], weights: str | None, width: int, max_iter: int, tol: float) -> None:
+    """Rounds until every fit has its centres and their cost."""
     settled: set[int] = set()  # centres are final, the cost is still to be counted
     for step in range(max_iter + 1):
         left = {i: f for i, f in enumerate(fits) if f.open}
         if not left:
             break
+        last = settled & set(left) if step < max_iter else set(left)
 
-        def work(xs, w, left=left):
+        def work(xs, w, left=left, last=last):
             for i, f, x, d in _distances(xs, left):
-                near = d.argmin(axis=1)
-                own = np.ones(len(x)) if f.run.weight is None else w[:, f.run.weight]
-                share = np.zeros((len(x), f.run.k))
-                share[np.arange(len(x)), near] = own
-                cost = own @ ((x - f.centres[near]) ** 2).sum(axis=1)
-                yield i, np.concatenate([(share.T @ x).ravel(), share.sum(axis=0), [cost]])
+                own = None if f.run.weight is None else w[:, f.run.weight]
+                if i in last:
+                    far = ((x - f.centres[d.argmin(axis=0)]) ** 2).sum(axis=1)
+                    yield i, np.array([far.sum() if own is None else own @ far])
+                    continue
+                share = _shares(d)
+                if own is not None:
+                    share *= own
+                yield i, np.concatenate([(share @ x).ravel(), share.sum(axis=1)])
 
         found = _sums(df, tables, weights, width, work)
         for i, f in left.items():
             k, d = f.centres.shape
             v = found[i]
-            f.cost = float(v[-1])
-            if i in settled or step == max_iter:
-                f.open = False
+            if i in last:
+                f.cost, f.open = float(v[0]), False
                 continue
-            size = v[k * d:k * d + k, None]
+            size = v[k * d:, None]
             moved = np.where(size > 0, v[:k * d].reshape(k, d) / np.where(size > 0, size, 1), f.centres)
             if ((moved - f.centres) ** 2).sum(axis=1).max() <= tol ** 2:
                 settled.add(i)
             f.centres = moved
-    return fits
 
 
 def best_of(fits: Iterable[Fit]) -> dict[Hashable, Fit]:
@@ -177,19 +216,23 @@ def best_of(fits: Iterable[Fit]) -> dict[Hashable, Fit]:
 def silhouettes(df: DataFrame, fits: dict[Hashable, Fit]) -> dict[Hashable, float | None]:
     """Squared-Euclidean silhouette of every fit, in two passes over the rows: sums by cluster, then each row's own value.
     Rows alone in their cluster count 0; a single cluster has none."""
+    tables = sorted({f.run.table for f in fits.values()})
+    width = sum(f.run.k for f in fits.values())
+    with _spread(df.select(*tables), df.count(), width) as rows:
+        return _silhouettes(rows, fits, tables, width)
+
+
+def _silhouettes(rows: DataFrame, fits: dict[Hashable, Fit], tables: Sequence[str], width: int) -> dict[Hashable, float | None]:
     keys = list(fits)
     own = {i: fits[k] for i, k in enumerate(keys)}
-    tables = sorted({f.run.table for f in own.values()})
-    width = sum(f.run.k for f in own.values())
 
     def sums(xs, _):
         for i, f, x, d in _distances(xs, own):
-            share = np.zeros((len(x), f.run.k))
-            share[np.arange(len(x)), d.argmin(axis=1)] = 1
-            yield i, np.concatenate([(share.T @ x).ravel(), share.T @ (x * x).sum(axis=1), share.sum(axis=0)])
+            share = _shares(d)
+            yield i, np.concatenate([(share @ x).ravel(), share @ (x * x).sum(axis=1), share.sum(axis=1)])
 
     moments = {}
-    for i, v in _sums(df, tables, None, width, sums).items():
+    for i, v in _sums(rows, tables, None, width, sums).items():
         k, d = own[i].centres.shape
         n = v[k * d + k:]
         full = np.maximum(n, 1)
@@ -197,7 +240,7 @@ def silhouettes(df: DataFrame, fits: dict[Hashable, Fit]) -> dict[Hashable, floa
 
     def values(xs, _):
         for i, f, x, d in _distances(xs, own):
-            near = d.argmin(axis=1)
+            near = d.argmin(axis=0)
             mean, square, n = moments[i]
             at = np.arange(len(x))
             apart = (x * x).sum(axis=1)[:, None] - 2 * (x @ mean.T) + square  # mean squared distance to each cluster
@@ -210,7 +253,7 @@ def silhouettes(df: DataFrame, fits: dict[Hashable, Fit]) -> dict[Hashable, floa
             s = np.where((size > 1) & (most > 0) & np.isfinite(b), (b - a) / np.where(most > 0, most, 1), 0.0)
             yield i, np.array([s.sum(), len(s)])
 
-    found = _sums(df, tables, None, width, values)
+    found = _sums(rows, tables, None, width, values)
     return {k: float(found[i][0] / found[i][1]) if (moments[i][2] > 0).sum() > 1 else None for i, k in enumerate(keys)}
 
 
@@ -221,10 +264,10 @@ def adjusted_rands(df: DataFrame, base: Fit, fits: dict[Hashable, Fit], weights:
     tables = sorted({base.run.table, *(f.run.table for f in own.values())})
 
     def cells(xs, w):
-        first = next(d for _, _, _, d in _distances({base.run.table: xs[base.run.table]}, {0: base})).argmin(axis=1)
+        first = next(d for _, _, _, d in _distances({base.run.table: xs[base.run.table]}, {0: base})).argmin(axis=0)
         for i, f, _, d in _distances(xs, own):
             drawn = np.ones(len(first), bool) if f.run.weight is None else w[:, f.run.weight] > 0
-            pair = first * f.run.k + d.argmin(axis=1)
+            pair = first * f.run.k + d.argmin(axis=0)
             yield i, np.bincount(pair[drawn], minlength=base.run.k * f.run.k)
 
     found = _sums(df, tables, weights, sum(f.run.k for f in own.values()) + base.run.k, cells)
