@@ -1,6 +1,7 @@
 """Planted signal: the label follows one feature, the rest is noise."""
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tillroll.functions.hashing import unit_hash
@@ -145,3 +146,15 @@ def test_parallel_jobs_keep_their_own_properties(spark):
     def job(i):
         return spark.range(1000).selectExpr(f"sum(id + {i}) AS s").first()["s"]
     assert in_parallel(spark, job, range(40)) == [499500 + 1000 * i for i in range(40)]
+
+
+def test_strategies_that_try_as_many_features_share_a_fit(spark):
+    points = L.grid("random_forest")
+    groups = forests.nested_groups(points, 5)  # the root and the half of 5 are both 3
+    assert len(groups) == 4 and sorted(i for _, g in groups for i in g) == list(range(len(points)))
+    assert len(forests.nested_groups(points, 16)) == 8
+    rows = spark.range(300).select(F.array(*[unit_hash("id", seed=f"x{i}") for i in range(5)]).alias("x"), (F.col("id") % 2).cast("int").alias("label"))
+    df = rows.select("label", array_to_vector("x").alias("features")).coalesce(1).cache()
+    a, b = (L.classifier("random_forest", {"numTrees": 4, "maxDepth": 6, "featureSubsetStrategy": s}).fit(df) for s in ("sqrt", "0.5"))
+    text = lambda m: m.toDebugString.split("\n", 1)[1]
+    assert text(a) == text(b)
