@@ -56,3 +56,12 @@ def test_line_numbers_through_blocks_and_files(spark):
         mine = sorted((r.line_number, r.line_id, r.quantity) for r in got if r._source == source)
         assert mine == [(i + 1, f"{i:04d}", None if i % 5 == 0 else i) for i in range(900)]
     assert {r._source for r in got} == {"one", "five"}
+
+
+def test_folder_name_without_a_search(spark):
+    """``_source`` is cut from the path by its slashes, not searched for by a regular expression for each row."""
+    base = files.artefact_dir(spark, "folders")
+    df = spark.createDataFrame([("1", "1", "a", 1, None, 1.0, None)], files.RAW_SCHEMA)
+    back = files.read_csv(spark, [files.write_csv(df, f"{base}/ext ra.ct=a"), files.write_csv(df, f"{base}/b")])
+    assert "regexp_extract" not in back._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r._source for r in back.collect()) == ["b", "ext%20ra.ct=a"]

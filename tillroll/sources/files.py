@@ -40,7 +40,9 @@ def read_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructType = R
     df = (spark.read.schema(sch).option("header", True).option("encoding", encoding)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").csv(list(paths)))
     if source_col:
-        df = df.withColumn(source_col, F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]*$", 1))
+        # the name of the file's folder; a regular expression searched from every place of the path, for each row
+        folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
+        df = df.withColumn(source_col, folder)
     return df
 
 
