@@ -1,4 +1,5 @@
 """Planted signal: the label follows one feature, the rest is noise."""
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.functions import array_to_vector
@@ -158,3 +159,31 @@ def test_strategies_that_try_as_many_features_share_a_fit(spark):
     a, b = (L.classifier("random_forest", {"numTrees": 4, "maxDepth": 6, "featureSubsetStrategy": s}).fit(df) for s in ("sqrt", "0.5"))
     text = lambda m: m.toDebugString.split("\n", 1)[1]
     assert text(a) == text(b)
+
+
+def test_forest_in_parts(spark, planted, monkeypatch):
+    train, test = planted.where("fold > 0"), planted.where("fold = 0")
+    params = {"numTrees": 11, "maxDepth": 4}
+    whole = L.fit_with(train, "random_forest", params, FEATURES)
+    assert not isinstance(whole.stages[-1], L.ForestParts)
+    monkeypatch.setattr(L, "FOREST_PART", 700)
+    model = L.fit_with(train, "random_forest", params, FEATURES)
+    parts = model.stages[-1].parts
+    assert len(parts) > 1 and sum(m.getNumTrees for m in parts) == 11
+    assert len({m.toDebugString.split("\n", 1)[1] for m in parts}) == len(parts)
+    assert abs(sum(model.stages[-1].featureImportances) - 1) < 1e-9
+    for r in model.transform(test).select("probability", "prediction", "features").collect():
+        votes = sum(m.predictRaw(r.features).toArray() for m in parts)
+        assert np.allclose(r.probability.toArray(), votes / 11) and r.prediction == votes.argmax()
+    assert L.importances(spark, {"random_forest": model}, FEATURES).count() == len(FEATURES)
+
+
+def test_trees_held_at_a_time():
+    at = lambda n, least: L.trees_at_once("decision_tree", {"minInstancesPerNode": least}, n, 8)
+    assert [at(1000, 1), at(576_000, 1), at(576_000, 5), at(10 ** 8, 1)] == [8, 2, 8, 1]
+
+
+def test_folds_of_trees_in_few_partitions(spark, planted, monkeypatch):
+    monkeypatch.setattr(L, "ROWS_PER_PARTITION", 10)
+    with L.fold_frames(planted, FEATURES) as folds:
+        assert all(f.train.rdd.getNumPartitions() == 1 for f in folds)
