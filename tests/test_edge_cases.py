@@ -58,3 +58,16 @@ def test_null_keys_dropped_and_counted(spark):
     assert C.dedupe(C.drop_null_keys(raw), exclude=()).count() == 1
     assert C.drop_null_keys(raw).select(C.normalise_key("customer_id")).first()[0] == "5"
     assert raw.where(F.col("customer_id").isNull()).count() == 1
+
+
+def test_dedupe_counts_the_copies(spark):
+    raw = spark.createDataFrame([("a", None, "x"), ("a", None, "y"), ("a", 1, "x"), (None, 1, "x")], "k string, v int, _source string")
+    got = C.dedupe(C.drop_null_keys(raw, "k"), copies="n").collect()
+    assert sorted((r.v or 0, r.n) for r in got) == [(0, 2), (1, 1)]
+
+
+def test_removed_copies_from_one_read(spark):
+    """The extracts are made once for both counts; an empty table gives zeros."""
+    from tillroll.plans.cleaning_queries import c02_dedupe
+    df = c02_dedupe(spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1

@@ -25,9 +25,12 @@ def drop_null_keys(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return df.na.drop(subset=[key])
 
 
-def dedupe(df: DataFrame, exclude: Sequence[str] = ("_source",)) -> DataFrame:
-    """Exact whole-row dedupe over the business columns."""
-    return df.dropDuplicates([c for c in df.columns if c not in exclude])
+def dedupe(df: DataFrame, exclude: Sequence[str] = ("_source",), copies: str | None = None) -> DataFrame:
+    """Exact whole-row dedupe over the business columns; with ``copies``, these and the number of equal rows."""
+    biz = [c for c in df.columns if c not in exclude]
+    if copies:
+        return df.groupBy(*biz).agg(F.count(F.lit(1)).alias(copies))
+    return df.dropDuplicates(biz)
 
 
 def normalise_key(c: str | Column) -> Column:

@@ -9,6 +9,7 @@ from ..functions.numeric import r6
 from ..operators import adapt as D
 from ..operators import checks as V
 from ..operators import clean as C
+from ..session import materialize
 from ..sources import retail
 from . import sqltext as S
 from .registry import query
@@ -116,10 +117,8 @@ def c01_drop_null_keys(t):
 WITH {RAW}
 SELECT (SELECT count(*) FROM nn) - count(*) AS removed, count(*) AS rows_after FROM dd""")
 def c02_dedupe(t):
-    nn = C.drop_null_keys(raw(t))
-    d = C.dedupe(nn).agg(F.count(F.lit(1)).alias("rows_after"))
-    return d.crossJoin(nn.agg(F.count(F.lit(1)).alias("_n"))).select(
-        (F.col("_n") - F.col("rows_after")).alias("removed"), "rows_after")
+    d = C.dedupe(C.drop_null_keys(raw(t)), copies="_copies")  # the extracts are made and read once
+    return d.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("removed"), F.count(F.lit(1)).alias("rows_after"))
 
 
 @query("c03_key_normalisation", f"""
@@ -492,7 +491,7 @@ SELECT *, only_before = 0 AND only_after = 0 AS identical FROM ks CROSS JOIN ln"
 def v03_v04_damaged(t):
     """Key sets and line-by-line keys of the copy with planted defects."""
     c, a = adapted(t)
-    d = damage(a)
+    d = materialize(damage(a).select("line_id", "customer_id"))  # read by both checks
     return V.key_set_equality(c, d).crossJoin(V.compare_columns(c, d, "line_id", [("customer_id", "customer_id")]))
 
 
