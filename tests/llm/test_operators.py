@@ -433,6 +433,33 @@ def test_merge_dropout_draws_afresh_for_each_occurrence():
     assert long[0][:200] != long[1][:200] and table.decode(np.frombuffer(long[0], "<u4").tolist()) == "a" * 300 + " x"
 
 
+def test_merge_dropout_in_small_parts_is_the_same(monkeypatch):
+    path = default_path("piece_bpe_32k.model")
+    table = mergedrop.merges(path)
+    at = table.look_up(table.keys >> 32, table.keys & 0xFFFFFFFF)
+    assert at.tolist() == list(range(len(table.keys)))
+    assert set(table.look_up(np.array([mergedrop.END, mergedrop.BARE + 65, 10 ** 6]), np.array([0, 1, 2])).tolist()) == {-1}
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("▁aeinrst"), int(n))) for n in rng.integers(1, 90, 120)]
+    plans = [tuple(sorted(rng.choice(60, int(rng.integers(0, 9)), replace=False).tolist())) for _ in words]
+    monkeypatch.setattr(mergedrop, "CELLS", 300)
+    got = table.segment(words, plans)
+    assert [(n, np.frombuffer(x, "<u4").tolist()) for n, x in got] == [plain_merge_dropout(table, w, p) for w, p in zip(words, plans)]
+    texts = [" ".join("".join(rng.choice(list("aeinrst\u4e2d▁😀"), int(n))) for n in rng.integers(1, 12, 40)).encode() for _ in range(30)] + [b"", None]
+    encode = mergedrop.encoder(path, 0.3, 13)
+    want = encode(texts)
+    assert want == [encode([t])[0] for t in texts]
+    monkeypatch.setattr(mergedrop, "CACHE", 20)
+    monkeypatch.setattr(mergedrop, "PART", 7)
+    cuts = mergedrop.worker_store("merge ids", (path,))["cuts"]
+    for _ in range(2):  # blocks of one text; beyond the cache, what a block adds goes with it
+        assert [encode([t])[0] for t in texts] == want
+        cuts.trim()
+        assert len(cuts.number) == len([k for k in cuts.keys if k is not None])
+        assert cuts.kept is None or len(cuts.keys) == cuts.kept == len(cuts.start)
+    assert [table.decode(np.frombuffer(x, "<u4").tolist()) for x in want] == [(t or b"").decode() for t in texts]
+
+
 # 6 and 8 packing
 def token_ids(df):
     from tokenizers import Tokenizer

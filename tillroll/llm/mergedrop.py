@@ -34,6 +34,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPACE = "▁"
 NEVER = np.iinfo(np.int64).max
+#: Symbols that no piece has: characters without a piece, from ``BARE`` on, and what stands behind a word.
+BARE = 1 << 24
+END = BARE - 1
+#: Cells of places x words that are worked on at once.
+CELLS = 1 << 18
+#: Words that are cut at once.
+PART = 100_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -83,6 +90,7 @@ class Merges:
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], np.int64)
         self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], np.int64)
+        self.slots = self._hashed()
         joined = {c for p in self.ids if len(p) > 1 for c in p}
         inside = "".join(re.escape(c) for c in sorted(joined - {SPACE}))
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
@@ -93,84 +101,133 @@ class Merges:
         """Chunks whose concatenation is the text with a space mark in front and for each space."""
         return self.cut.findall(SPACE + text.replace(" ", SPACE))
 
-    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = (left << np.int64(32)) | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        known = (self.keys[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(known, self.ranks[at], NEVER), at
-
-    def segment(self, chunks: list[str], skipped: list[Sequence[int]]) -> list[tuple[int, bytes]]:
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The place of each pair in the table, -1 for none."""
+        key = (left.astype(np.int64) << np.int64(32)) | right
+        at = self._home(key)
+        place = self.slots[at]
+        wrong = ((place >= 0) & (self.keys[place] != key)).nonzero()[0]
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) & (len(self.slots) - 1)
+            place[wrong] = self.slots[at[wrong]]
+            wrong = wrong[(place[wrong] >= 0) & (self.keys[place[wrong]] != key[wrong])]
+        return place
+
+    def _home(self, key: np.ndarray) -> np.ndarray:
+        drawn = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (drawn >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def _hashed(self) -> np.ndarray:
+        """Places of the pairs in a hash table with linear probing."""
+        self.slots = np.full(1 << (8 * len(self.keys) + 1).bit_length(), -1, np.int32)
+        left, at = np.arange(len(self.keys)), self._home(self.keys)
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            again = self.slots[at] != left
+            left, at = left[again], (at[again] + 1) & (len(self.slots) - 1)
+        return self.slots
+
+    def segment(self, chunks: list[str], skipped: Sequence[Sequence[int]]) -> list[tuple[int, bytes]]:
         """(candidates considered, packed ids) of each chunk.
 
         ``skipped`` are the chunk's numbers, ascending, of the candidates that are
         dropped, counted in the order in which the agenda comes to them.
         """
-        if not chunks:
-            return []
-        sizes = np.array([len(c) for c in chunks], np.int64)
-        flat = "".join(chunks)
-        points = np.frombuffer(flat.encode("utf-32-le"), "<u4").astype(np.int64)
+        considered, ids, start, size = self.segmented(chunks, skipped)
+        packed = ids.tobytes()
+        return [(n, packed[4 * a:4 * (a + k)]) for n, a, k in zip(considered.tolist(), start.tolist(), size.tolist())]
+
+    def segmented(self, chunks: list[str], skipped: Sequence[Sequence[int]]) -> tuple[np.ndarray, ...]:
+        """``segment`` as arrays: candidates considered, the ids of all chunks, and where each chunk's begin and how many they are."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        points = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4").astype(np.int64)
         sym = np.where(points < len(self.of_char), self.of_char[np.minimum(points, len(self.of_char) - 1)], -1)
-        sym = np.where(sym < 0, -1 - points, sym)  # a character without a piece
-        word = np.repeat(np.arange(len(chunks)), sizes)
-        start = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        sym = np.append(np.where(sym < 0, BARE + points, sym), END).astype(np.int32)
+        first = np.cumsum(sizes) - sizes
         plan = np.array([x for p in skipped for x in (*p, -1)], np.int64)
-        ends = np.cumsum([len(p) + 1 for p in skipped])
-        planned = np.append(0, ends[:-1])  # place in the plan, and candidates considered, of each chunk
-        considered = np.zeros(len(chunks), np.int64)
-        done_sym, done_word, done_start = [], [], []
-
-        def ranked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Rank and merge of the candidates of positions ``at`` with their right neighbours."""
-            nxt = np.minimum(at + 1, len(sym) - 1)
-            rank, which = self.look_up(sym[at], sym[nxt])
-            rank[(word[at] != word[nxt]) | (nxt == at)] = NEVER
-            return rank, which
-
-        rank, which = ranked(np.arange(len(sym)))
-        while len(sym):
-            first = np.concatenate([[True], word[1:] != word[:-1]]).nonzero()[0]
-            size = np.diff(np.append(first, len(sym)))
-            best = np.minimum.reduceat(rank, first)
-            over = np.repeat(best == NEVER, size)
-            if over.any():
-                done_sym.append(sym[over])
-                done_word.append(word[over])
-                done_start.append(start[over])
-                sym, word, start, rank, which = (x[~over] for x in (sym, word, start, rank, which))
-                continue
-            hits = (rank == np.repeat(best, size)).nonzero()[0]
-            pick = hits[np.concatenate([[True], word[hits[1:]] != word[hits[:-1]]])]  # leftmost of each word
-            of = word[pick]
+        lengths = np.fromiter(map(len, skipped), np.int64, len(skipped)) + 1
+        planned = np.cumsum(lengths) - lengths
+        considered, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        order = np.argsort(sizes, kind="stable")
+        ordered, words, found, at = sizes[order], [], [], 0
+        while at < len(order):  # words of about one length
+            most = int(ordered[at]) * 5 // 4 + 1
+            upto = min(int(np.searchsorted(ordered, most, "right")), at + max(1, CELLS // most))
+            own, at = order[at:upto], upto
+            place = first[own] + np.arange(sizes[own[-1]] + 2)[:, None]
+            inside = np.arange(len(place))[:, None] < sizes[own]
+            for done, ids, n in self._grown(np.where(inside, sym[np.where(inside, place, -1)], END), own, plan, planned, considered):
+                words.append(done)
+                found.append(ids)
+                size[done] = n
+        words, ids = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (words, found))
+        start = np.zeros(len(chunks), np.int64)
+        start[words] = np.cumsum(size[words]) - size[words]
+        bare = (ids >= BARE).nonzero()[0]
+        if len(bare):  # characters without a piece are spelled in bytes
+            spelled = [[self.byte_ids[b] for b in chr(x - BARE).encode()] for x in ids[bare].tolist()]
+            wide = np.ones(len(ids), np.int64)
+            wide[bare] = [len(x) for x in spelled]
+            ends = np.append(0, np.cumsum(wide))
+            ids = np.repeat(ids, wide)
+            for x, a in zip(spelled, ends[bare].tolist()):
+                ids[a:a + len(x)] = x
+            start, size = ends[start], ends[start + size] - ends[start]
+        return considered, ids.astype("<u4"), start, size
+
+    def _grown(self, sym: np.ndarray, word: np.ndarray, plan: np.ndarray, planned: np.ndarray,
+               considered: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Merges the words of the columns of ``sym`` to the end; (words, their ids, ids of each) as they are done.
+
+        ``sym`` has a row for each place and END below each word.  Places keep their number: a merged symbol stands at
+        its first one.  The last row is never a candidate; it is also what stands before the first place."""
+        last, n = sym.shape[0] - 1, sym.shape[1]
+        kind = np.int32 if len(self.keys) and (int(self.ranks.max()) + 1) * (last + 1) < 2 ** 31 - 1 else np.int64
+        never = np.iinfo(kind).max
+        ranks, merged = np.append(self.ranks, 0), np.append(self.merged, 0)
+        place = np.full(sym.shape, -1, np.int32)
+        place[:last] = self.look_up(sym[:last].ravel(), sym[1:].ravel()).reshape(last, n)
+        rows = np.arange(last + 1)[:, None]
+        rank = np.where(place < 0, never, ranks[place] * (last + 1) + rows).astype(kind)
+        after = np.broadcast_to(np.minimum(rows + 1, last), sym.shape).astype(np.int32)
+        before = np.broadcast_to(np.where(rows > 0, rows - 1, last), sym.shape).astype(np.int32)
+        while True:
+            best = rank[:last].min(axis=0)
+            live = best != never
+            left = np.count_nonzero(live)
+            if left < 0.7 * n or not left:
+                done = sym[:, ~live].T
+                kept = done != END
+                yield word[~live], done[kept], kept.sum(axis=1)
+                if not left:
+                    return
+                sym, place, rank, after, before = (np.ascontiguousarray(x[:, live]) for x in (sym, place, rank, after, before))
+                word, best, n = word[live], best[live], left
+                col = np.arange(n)
+            else:
+                col = live.nonzero()[0]
+                best = best[col]
+            of = word[col]
             skip = plan[planned[of]] == considered[of]
             considered[of] += 1
             planned[of] += skip
-            rank[pick[skip]] = NEVER  # until one of its symbols grows, which makes it another candidate
-            pick = pick[~skip]
-            if not len(pick):
-                continue
-            sym[pick] = self.merged[which[pick]]
-            keep = np.ones(len(sym), bool)
-            keep[pick + 1] = False
-            moved = np.cumsum(keep) - 1
-            sym, word, start, rank, which = (x[keep] for x in (sym, word, start, rank, which))
-            at = moved[pick]
-            touched = np.zeros(len(sym), bool)
-            touched[at] = True
-            touched[at[at > 0] - 1] = True
-            again = touched.nonzero()[0]
-            rank[again], which[again] = ranked(again)
-        sym, word, start = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (done_sym, done_word, done_start))
-        order = np.lexsort((start, word))
-        sym, word = sym[order], word[order]
-        border = np.searchsorted(word, np.arange(len(chunks) + 1)).tolist()
-        packed = sym.astype("<u4").tobytes()
-        out = [packed[4 * a:4 * b] for a, b in zip(border, border[1:])]
-        for i in np.unique(word[sym < 0]).tolist():  # characters without a piece are spelled in bytes
-            ids = [x for s in sym[border[i]:border[i + 1]].tolist()
-                   for x in ([s] if s >= 0 else [self.byte_ids[b] for b in chr(-1 - s).encode()])]
-            out[i] = np.array(ids, "<u4").tobytes()
-        return list(zip(considered.tolist(), out))
+            at = best.astype(np.int64) % (last + 1)
+            # one place of a column each: flat views of the tables
+            sym_, place_, rank_, after_, before_ = (x.reshape(-1) for x in (sym, place, rank, after, before))
+            rank_[at[skip] * n + col[skip]] = never  # until one of its symbols grows, which makes it another candidate
+            at, col = at[~skip], col[~skip]
+            here = at * n + col
+            gone = after_[here].astype(np.int64) * n + col
+            then = after_[gone]
+            follow = then.astype(np.int64) * n + col
+            sym_[here], sym_[gone], rank_[gone] = merged[place_[here]], END, never
+            after_[here], before_[follow] = then, at
+            front = before_[here].astype(np.int64) * n + col
+            again = np.concatenate([here, front])
+            found = self.look_up(sym_[again], sym_[np.concatenate([follow, here])])
+            place_[again] = found
+            rank_[again] = np.where(found < 0, never, ranks[found] * (last + 1) + again // n)
 
     def decode(self, ids: list[int]) -> str:
         """The text of any segmentation: the inverse of encoding."""
@@ -185,32 +242,96 @@ def merges(path: str) -> Merges:
     return store["m"]
 
 
+class Cuts:
+    """How chunks are cut: a state for each chunk, and for each state and next skipped candidate another one.
+
+    The first ``CACHE`` states are kept; once there are more, the others last for a block, until most
+    chunks of a block are unknown and all are forgotten."""
+
+    def __init__(self, table: Merges):
+        self.table = table
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict = {}  # chunk, or state << 32 | candidate: state
+        self.keys, self.chunks, self.skipped = [], [], []
+        self.considered = self.start = self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
+        self.kept, self.strange = None, False
+        self.add([""], [SPACE], [()])
+        # the mark itself, spelled in bytes
+        self.ids, self.considered = np.array([self.table.byte_ids[b] for b in SPACE.encode()], "<u4"), np.zeros(1, np.int64)
+        self.start, self.size = np.zeros(1, np.int64), np.array([len(self.ids)])
+
+    def trim(self) -> None:
+        """Before each block."""
+        if self.strange and len(self.keys) > CACHE:
+            self.clear()
+        if self.kept is None:
+            self.kept = len(self.keys) if len(self.keys) > CACHE else None
+        elif len(self.keys) > self.kept:
+            for k in self.keys[self.kept:]:
+                if k is not None:
+                    del self.number[k]
+            for x in (self.keys, self.chunks, self.skipped):
+                del x[self.kept:]
+            self.considered, self.start, self.size = (x[:self.kept] for x in (self.considered, self.start, self.size))
+            self.ids = self.ids[:int((self.start + self.size).max())]
+
+    def add(self, keys: list, chunks: list[str], skipped: list[Sequence[int]]) -> np.ndarray:
+        """The states of new ``keys``; a key None is not found again."""
+        at, first = len(self.keys), len(self.keys)
+        for i in range(0, len(chunks), PART):
+            considered, ids, start, size = self.table.segmented(chunks[i:i + PART], skipped[i:i + PART])
+            self.considered, self.size = np.append(self.considered, considered), np.append(self.size, size)
+            self.start, self.ids = np.append(self.start, start + len(self.ids)), np.append(self.ids, ids)
+        for k in keys:
+            if k is not None:
+                self.number[k] = at
+            at += 1
+        self.keys += keys
+        self.chunks += chunks
+        self.skipped += skipped
+        return np.arange(first, at)
+
+    def undropped(self, chunks: list[str]) -> np.ndarray:
+        found = list(map(self.number.get, chunks))
+        missed = [c for c, s in zip(chunks, found) if s is None]
+        self.strange = 2 * len(missed) > len(chunks)
+        if missed:
+            new = list(dict.fromkeys(missed))
+            self.add(new, new, [()] * len(new))
+            found = list(map(self.number.__getitem__, chunks))
+        return np.array(found, np.int64)
+
+    def dropped(self, state: np.ndarray, candidate: np.ndarray) -> np.ndarray:
+        """The states that follow on ``state`` when ``candidate`` is skipped next."""
+        keys, back = np.unique(state << 32 | candidate, return_inverse=True)
+        keys = keys.tolist()
+        found = list(map(self.number.get, keys))
+        new = [k for k, s in zip(keys, found) if s is None]
+        if new:
+            self.add(new, [self.chunks[k >> 32] for k in new], [(*self.skipped[k >> 32], k & 0xFFFFFFFF) for k in new])
+            found = list(map(self.number.__getitem__, keys))
+        return np.array(found, np.int64)[back]
+
+    def packed(self, state: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The packed ids of the states, one after the other, and the border in bytes before each and behind the last."""
+        size = self.size[state]
+        border = np.append(0, np.cumsum(size))
+        return self.ids[np.repeat(self.start[state] - border[:-1], size) + np.arange(border[-1])].tobytes(), 4 * border
+
+
 def encoder(path: str, dropout: float, seed: int, variants: int | None = None):
     """Texts (bytes) to packed ids.  With ``variants``, texts share so many streams of draws; else each has its own."""
     table = merges(path)
     store = worker_store("merge ids", (path,))
-    known: dict = store.setdefault("known", {})  # chunk, or (chunk, *skipped): candidates considered, packed ids
-    literal = b"".join(np.array([table.byte_ids[b]], "<u4").tobytes() for b in SPACE.encode())
-
-    def look_up(keys: list) -> list[tuple[int, bytes]]:
-        found = list(map(known.get, keys))
-        if None not in found:
-            return found
-        new = list({k for k, x in zip(keys, found) if x is None})
-        extra = {}
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            extra.update(zip(part, table.segment([k if isinstance(k, str) else k[0] for k in part],
-                                                 [() if isinstance(k, str) else k[1:] for k in part])))
-        if "" in extra:
-            extra[""] = (0, literal)
-        if len(known) > CACHE and 2 * len(new) > len(keys):
-            known.clear()
-        if len(known) <= CACHE:
-            known.update(extra)
-        return [extra[k] if x is None else x for k, x in zip(keys, found)]
-
-    def encode_chunks(chunks: list[str], keys: np.ndarray) -> list[bytes]:
+    if "cuts" not in store:
+        store["cuts"] = Cuts(table)
+    cuts = store["cuts"]
+
+    def encode_chunks(chunks: list[str], keys: np.ndarray) -> np.ndarray:
+        """The state of each chunk."""
         long = [i for i, c in enumerate(chunks) if len(c) > LONGEST]  # are drawn to the end at once, and not cached
         if long:
             chunks = chunks.copy()
@@ -222,25 +343,18 @@ def encoder(path: str, dropout: float, seed: int, variants: int | None = None):
                     drops.append((drops[-1] + 1 if drops else 0) + gap)
                 plans.append(drops)
                 chunks[i] = ""
-        found = look_up(chunks)
-        out = [ids for _, ids in found]
+        state = cuts.undropped(chunks)
         drop = gaps(keys, 0, dropout)
-        at = (drop < np.fromiter((n for n, _ in found), np.int64, len(found))).nonzero()[0]
-        drop = drop[at]
-        paths = [(chunks[i], d) for i, d in zip(at.tolist(), drop.tolist())]
-        draw = 1
+        at = (drop < cuts.considered[state]).nonzero()[0]
+        drop, draw = drop[at], 1
         while len(at):
-            found = look_up(paths)
-            for i, (_, ids) in zip(at.tolist(), found):
-                out[i] = ids
+            state[at] = cuts.dropped(state[at], drop)
             drop = drop + 1 + gaps(keys[at], draw, dropout)
-            more = (drop < np.fromiter((n for n, _ in found), np.int64, len(found))).nonzero()[0]
+            more = (drop < cuts.considered[state[at]]).nonzero()[0]
             at, drop, draw = at[more], drop[more], draw + 1
-            paths = [(*paths[k], d) for k, d in zip(more.tolist(), drop.tolist())]
         if long:
-            for i, (_, ids) in zip(long, table.segment(whole, plans)):
-                out[i] = ids
-        return out
+            state[long] = cuts.add([None] * len(long), whole, plans)
+        return state
 
     def encode(texts: list[bytes | None]) -> list[bytes]:
         chunks: list[str] = []
@@ -260,8 +374,10 @@ def encoder(path: str, dropout: float, seed: int, variants: int | None = None):
         sizes = np.array(ends, np.int64) - starts
         place = np.arange(len(chunks)) - np.repeat(starts, sizes)
         keys = _mix(np.repeat(np.array(streams, np.uint64), sizes) + _mix(place.astype(np.uint64) + np.uint64(1)))
-        packed = encode_chunks(chunks, keys)
-        return [b"".join(packed[a:b]) for a, b in zip(starts.tolist(), ends)]
+        cuts.trim()
+        packed, border = cuts.packed(encode_chunks(chunks, keys))
+        border = border[np.append(0, ends)].tolist()
+        return [packed[a:b] for a, b in zip(border, border[1:])]
 
     return encode
 
