@@ -1,6 +1,7 @@
 """DBSCAN against brute force, and components against a union-find."""
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from test_validity_cluster import blobs, brute_silhouette_sq
 from tillroll.operators import cluster as CL
@@ -79,3 +80,32 @@ def test_comparison_rows(spark):
     assert (some["clusters"], some["noise"]) == (len({own[i][1] for i in kept}), len(x) - len(kept))
     assert some["silhouette_sq"] == pytest.approx(brute_silhouette_sq(x[kept], np.array([own[i][1] for i in kept])))
     assert one["clusters"] == 1 and one["noise"] == 0 and one["silhouette_sq"] is None
+
+
+def test_dense_cells_are_not_counted_point_by_point(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.uniform(0, 0.5, (40, 2)), rng.uniform(6.4, 6.9, (40, 2))])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, a double, b double")
+    want = brute_dbscan(x, list(range(80)), 1.0, 10)
+
+    def no_probes(*_):
+        raise AssertionError("no cell has few points and every point is core")
+    monkeypatch.setattr(DN, "_hits", no_probes)
+    got = {r["id"]: r for r in DN.placed_dbscan(df, "id", ["a", "b"], 1.0).collect()}
+    assert {i: (r["label"], r["cluster"]) for i, r in got.items()} == want
+    assert all((r["x0"], r["x1"]) == tuple(x[i]) for i, r in got.items())
+    core = DN._cells(df, "id", ["a", "b"], 0.7)
+    plan = DN._boxes(core, 2, 0.7, 0, [F.first("x0").alias("one0")])._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_k_means_of_all_k_share_their_passes(spark, monkeypatch):
+    x, _ = blobs(30, seed=3)
+    df = CL.assemble(spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, a double, b double, c double"), ["a", "b", "c"])
+    calls, fit_all = [], CL.B.fit_all
+    monkeypatch.setattr(CL.B, "fit_all", lambda *a, **k: calls.append(1) or fit_all(*a, **k))
+    rows = CL.algorithm_comparison(spark, df, "id", (2, 3), n_init=2, algorithms=["kmeans", "bisecting_kmeans"]).collect()
+    assert [(r["algorithm"], r["k"]) for r in rows] == [("kmeans", 2), ("bisecting_kmeans", 2), ("kmeans", 3), ("bisecting_kmeans", 3)]
+    assert len(calls) == 1
+    apart = CL.fit_kmeans(df, 3, 2)
+    assert rows[2]["silhouette_sq"] == pytest.approx(CL.silhouette(apart.transform(df)))

@@ -23,7 +23,7 @@ from ..functions.hashing import unit_hash
 from ..session import in_parallel, materialize
 from . import batch_kmeans as B
 from . import validity as K
-from .density import dbscan
+from .density import placed_dbscan
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -121,9 +121,13 @@ def stability_summary(df: DataFrame) -> DataFrame:
 
 def validity_row(pred: DataFrame, id_col: str, features: str = "features", cluster: str = "cluster") -> dict:
     """Silhouette (squared), Davies-Bouldin, Calinski-Harabasz of one labelling."""
-    arr = pred.select(F.col(id_col), F.col(cluster).alias("cluster"),
-                      vector_to_array(F.col(features)).alias("x"))
-    pts = K.vector_points(arr, id_col, "x", "cluster").cache()
+    return point_indices(pred.select(F.col(id_col), F.col(cluster).alias("cluster"),
+                                     vector_to_array(F.col(features)).alias("x")), id_col)
+
+
+def point_indices(points: DataFrame, id_col: str) -> dict:
+    """``validity_row`` of points with their coordinates as an array ``x``."""
+    pts = K.vector_points(points, id_col, "x", "cluster").cache()
     try:
         prof = K.profiles(pts)
         out = {"silhouette_sq": float(K.silhouette_score_sq(pts, prof).first()["silhouette_sq"]),
@@ -142,23 +146,33 @@ def algorithm_comparison(spark: SparkSession, df: DataFrame, id_col: str, ks: Se
                          algorithms: Sequence[str] = ALGORITHMS) -> DataFrame:
     """K-means vs Gaussian mixture vs bisecting k-means
     (the distributed stand-in for Ward linkage) over ``ks``, three indices each."""
+    def kmeans(own):
+        runs = [r for k in own for r in restarts(k, "x", k, n_init, seed)]
+        return {k: KMeansFit(f, features) for k, f in B.best_of(B.fit_all(_arrays(df, features), runs)).items()}
     make = {
-        "kmeans": lambda k: fit_kmeans(df, k, n_init, seed, features=features),
-        "gaussian_mixture": lambda k: GaussianMixture(k=k, seed=seed, featuresCol=features, predictionCol="cluster",
-                                                      probabilityCol="_prob").fit(df),
-        "bisecting_kmeans": lambda k: BisectingKMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df),
+        "kmeans": kmeans,
+        "gaussian_mixture": lambda own: {k: GaussianMixture(k=k, seed=seed, featuresCol=features, predictionCol="cluster",
+                                                            probabilityCol="_prob").fit(df) for k in own},
+        "bisecting_kmeans": lambda own: {k: BisectingKMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
+                                         for k in own},
     }
 
-    def row(job):
-        k, name = job
-        pred = make[name](k).transform(df)
-        n_clusters = pred.select("cluster").distinct().count()
-        v = validity_row(pred, id_col, features) if n_clusters > 1 else \
-            {"silhouette_sq": None, "davies_bouldin": None, "calinski_harabasz": None}
-        return name, int(k), int(n_clusters), v["silhouette_sq"], v["davies_bouldin"], v["calinski_harabasz"]
-    rows = in_parallel(spark, row, [(k, name) for k in ks for name in algorithms])
-    return spark.createDataFrame(rows, "algorithm string, k int, clusters int, silhouette_sq double, "
-                                       "davies_bouldin double, calinski_harabasz double")
+    def rows(job):
+        name, own = job
+        fits, out = make[name](own), {}
+        for k in own:
+            pred = fits[k].transform(df)
+            n_clusters = pred.select("cluster").distinct().count()
+            v = validity_row(pred, id_col, features) if n_clusters > 1 else \
+                {"silhouette_sq": None, "davies_bouldin": None, "calinski_harabasz": None}
+            out[k, name] = name, int(k), int(n_clusters), v["silhouette_sq"], v["davies_bouldin"], v["calinski_harabasz"]
+        return out
+    # the k-means fits of all k move in the same passes; MLlib's are fits of their own
+    jobs = [(name, own) for name in algorithms for own in ([list(ks)] if name == "kmeans" else [[k] for k in ks])]
+    found = {key: r for part in in_parallel(spark, rows, jobs) for key, r in part.items()}
+    return spark.createDataFrame([found[k, name] for k in ks for name in algorithms],
+                                 "algorithm string, k int, clusters int, silhouette_sq double, "
+                                 "davies_bouldin double, calinski_harabasz double")
 
 
 def dbscan_rows(spark: SparkSession, df: DataFrame, id_col: str, cols: Sequence[str], eps_list: Sequence[float],
@@ -166,12 +180,12 @@ def dbscan_rows(spark: SparkSession, df: DataFrame, id_col: str, cols: Sequence[
     """Per eps the number of DBSCAN clusters, of clustered points and of noise, and the three indices of the
     clustered points (null for fewer than two clusters)."""
     def row(eps):
-        found = materialize(dbscan(df, id_col, cols, eps, min_samples))
+        found = materialize(placed_dbscan(df, id_col, cols, eps, min_samples))
         clusters, clustered, noise = found.agg(F.countDistinct("cluster"), F.count("cluster"), F.count_if(F.col("cluster").isNull())).first()
         v = {"silhouette_sq": None, "davies_bouldin": None, "calinski_harabasz": None}
         if clusters > 1:
-            pred = df.join(found.where("cluster IS NOT NULL").select(F.col("id").alias(id_col), "cluster"), id_col)
-            v = validity_row(assemble(pred, cols), id_col)
+            v = point_indices(found.where("cluster IS NOT NULL")
+                              .select("id", "cluster", F.array(*[f"x{i}" for i in range(len(cols))]).alias("x")), "id")
         return "dbscan", float(eps), int(clusters), int(clustered), int(noise), *v.values()
     rows = in_parallel(spark, row, eps_list)
     return spark.createDataFrame(rows, "algorithm string, eps double, clusters int, clustered long, noise long, silhouette_sq double, "

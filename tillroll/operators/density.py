@@ -71,11 +71,15 @@ def _boxes(pts: DataFrame, d: int, side: float, bits: int, extra: Sequence[Colum
     return grouped.withColumns({f"p{i}": F.shiftright(f"s{i}", back) for i in range(d)}).drop(*[f"_{c}" for c in own])
 
 
+def _listed(cells: DataFrame) -> DataFrame:
+    """A materialised table of cells for a join with points: the points stay where they are if it is short."""
+    return F.broadcast(cells) if cells.count() <= BROADCAST_CELLS else cells
+
+
 def _within(pts: DataFrame, open_: DataFrame, d: int, prefix: str) -> DataFrame:
     """The points of the cells that ``open_`` names (columns ``prefix``)."""
     cells = materialize(_renamed(open_, d, **{prefix: "c"}).distinct())
-    few = F.broadcast(cells) if cells.count() <= BROADCAST_CELLS else cells
-    return pts.join(few, _names("c", d), "left_semi")
+    return pts.join(_listed(cells), _names("c", d), "left_semi")
 
 
 def _neighbours(df: DataFrame, d: int, reach: int, half: bool = False) -> DataFrame:
@@ -86,13 +90,13 @@ def _neighbours(df: DataFrame, d: int, reach: int, half: bool = False) -> DataFr
 
 
 def _hits(probes: DataFrame, pts: DataFrame, d: int, side: float, eps2: float, extra: Sequence[Column] = (),
-          keep: Sequence[str] = ("n",)) -> DataFrame | None:
+          keep: Sequence[str] = ("n",)) -> DataFrame:
     """Boxes of ``pts`` wholly within reach of the probes (id, a: coordinates, t: cell): (id, keep...).  Together they
     hold every point within reach of the probe in that cell exactly once."""
     bits, found = 0, []
-    open_, side_a = probes, _cols("a", d)
+    open_, side_a = materialize(probes), _cols("a", d)
     while True:
-        boxes = _renamed(_boxes(pts if not bits else _within(pts, open_, d, "t"), d, side, bits, extra), d, keep,
+        boxes = _renamed(_boxes(_within(pts, open_, d, "t"), d, side, bits, extra), d, keep,
                          c="t", s="s", p="p", lo="lo", hi="hi")
         if bits:
             joined = open_.join(boxes, [*_names("t", d), *_names("p", d)])
@@ -109,13 +113,18 @@ def _hits(probes: DataFrame, pts: DataFrame, d: int, side: float, eps2: float, e
 
 def _counted(pts: DataFrame, d: int, side: float, reach: int, eps2: float, min_samples: int) -> DataFrame:
     """pts with n_neighbors (null in dense cells, where it is at least ``min_samples``) and core."""
-    size = pts.groupBy(*_names("c", d)).agg(F.count(F.lit(1)).alias("cnt"))
-    sized = pts.join(size, _names("c", d))
-    probes = _neighbours(_renamed(sized.where(F.col("cnt") < min_samples), d, ["id"], x="a", c="c"), d, reach).drop(*_names("c", d))
+    size = materialize(pts.groupBy(*_names("c", d)).agg(F.count(F.lit(1)).alias("cnt")))
+    sized = pts.join(_listed(size), _names("c", d))
+    columns = ["id", *_names("x", d), *_names("c", d)]
+    dense = sized.where(F.col("cnt") >= min_samples).select(*columns, F.lit(None).cast("bigint").alias("n_neighbors"), F.lit(True).alias("core"))
+    if not size.where(F.col("cnt") < min_samples).limit(1).count():
+        return materialize(dense)
+    sparse = materialize(sized.where(F.col("cnt") < min_samples).select(*columns))  # under min_samples points a cell
+    probes = _neighbours(_renamed(sparse, d, ["id"], x="a", c="c"), d, reach).drop(*_names("c", d))
+    probes = probes.join(_listed(_renamed(size, d, c="t")), _names("t", d), "left_semi")
     counts = _hits(probes, pts, d, side, eps2).groupBy("id").agg(F.sum("n").alias("n_neighbors"))
-    return materialize(sized.join(counts, "id", "left").select(
-        "id", *_names("x", d), *_names("c", d), "n_neighbors",
-        ((F.col("cnt") >= min_samples) | (F.coalesce("n_neighbors", F.lit(0)) >= min_samples)).alias("core")))
+    return materialize(dense.unionByName(sparse.join(counts, "id", "left").select(
+        *columns, "n_neighbors", (F.coalesce("n_neighbors", F.lit(0)) >= min_samples).alias("core"))))
 
 
 def _linked_cells(core: DataFrame, d: int, side: float, reach: int, eps2: float) -> DataFrame:
@@ -124,20 +133,19 @@ def _linked_cells(core: DataFrame, d: int, side: float, reach: int, eps2: float)
     pairs = _neighbours(cells, d, reach, half=True).join(_renamed(cells, d, c="t"), _names("t", d))
     both = [*_names("c", d), *_names("t", d)]
     bits, linked, open_ = 0, [], pairs
-    one = F.min(F.struct(*_names("x", d))).alias("one")  # a point of the box: two such points within reach settle the pair
+    # a point of the box: two such points within reach settle the pair (one aggregation reads all coordinates off one row)
+    one = [F.first(f"x{i}").alias(f"one{i}") for i in range(d)]
     while True:
         inside = core if not bits else _within(core, _renamed(open_, d, c="u").unionByName(_renamed(open_, d, t="u")), d, "u")
-        boxes = materialize(_boxes(inside, d, side, bits, [one]))
-        own = boxes.select(*_names("c", d), *[F.col(f"{k}{i}").alias(f"{k}_c{i}") for k in ("s", "p", "lo", "hi") for i in range(d)],
-                           F.col("one").alias("one_c"))
+        boxes = materialize(_boxes(inside, d, side, bits, one))
+        own = boxes.select(*_names("c", d), *[F.col(f"{k}{i}").alias(f"{k}_c{i}") for k in ("s", "p", "lo", "hi", "one") for i in range(d)])
         other = boxes.select(*[F.col(f"c{i}").alias(f"t{i}") for i in range(d)],
-                             *[F.col(f"{k}{i}").alias(f"{k}_t{i}") for k in ("s", "p", "lo", "hi") for i in range(d)], F.col("one").alias("one_t"))
+                             *[F.col(f"{k}{i}").alias(f"{k}_t{i}") for k in ("s", "p", "lo", "hi", "one") for i in range(d)])
         on_c, on_t = ([*_names("c", d)], [*_names("t", d)]) if not bits else \
             ([*_names("c", d), *_names("p_c", d)], [*_names("t", d), *_names("p_t", d)])
         joined = open_.join(own.drop(*([] if bits else _names("p_c", d))), on_c).join(other.drop(*([] if bits else _names("p_t", d))), on_t)
         near, far = _reach(_cols("lo_c", d), _cols("hi_c", d), _cols("lo_t", d), _cols("hi_t", d))
-        a, b = ([F.col(f"one_{k}")[f"x{i}"] for i in range(d)] for k in "ct")
-        apart = sum(((x - y) * (x - y) for x, y in zip(a, b)), F.lit(0.0))
+        apart = sum(((x - y) * (x - y) for x, y in zip(_cols("one_c", d), _cols("one_t", d))), F.lit(0.0))
         joined = materialize(joined.where(near <= eps2).withColumn("_linked", (far <= eps2) | (apart <= eps2)))
         done = materialize(joined.where("_linked").select(*both).distinct())
         linked.append(done)
@@ -148,14 +156,13 @@ def _linked_cells(core: DataFrame, d: int, side: float, reach: int, eps2: float)
         bits += SPLIT_BITS
 
 
-def dbscan(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int = 10) -> DataFrame:
-    """(id, label, cluster) with label core, border or noise.  A cluster is named by its smallest core id; a border point
-    belongs to the smallest cluster with a core point within eps, noise to none.  Ids are unique and coordinates not null."""
+def placed_dbscan(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int = 10) -> DataFrame:
+    """``dbscan`` with the coordinates x0, x1, ... (doubles) behind its columns."""
     d = len(cols)
     side = eps / math.sqrt(d)
     reach, eps2 = math.ceil(eps / side), eps * eps
     pts = _counted(_cells(points, id_col, cols, side), d, side, reach, eps2, min_samples)
-    core = pts.where("core")
+    core, others = pts.where("core"), pts.where(~F.col("core"))
     cells = materialize(core.groupBy(*_names("c", d)).agg(F.min("id").alias("cell")))
     linked = _linked_cells(core, d, side, reach, eps2)
     edges = linked.join(cells.withColumnRenamed("cell", "u"), _names("c", d)) \
@@ -163,16 +170,24 @@ def dbscan(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_
     roots = components(edges.select("u", "v"))
     named = materialize(cells.join(roots, F.col("cell") == F.col("node"), "left")
                         .select(*_names("c", d), F.coalesce("component", "cell").alias("cluster")))
-    own = core.join(named, _names("c", d)).select("id", F.lit("core").alias("label"), "cluster")
-    probes = _neighbours(_renamed(pts.where(~F.col("core")), d, ["id"], x="a", c="c"), d, reach).drop(*_names("c", d))
-    probes = probes.join(_renamed(named, d, c="t"), _names("t", d))  # cells with a core point
-    placed = core.join(named, _names("c", d))
+    placed = core.join(_listed(named), _names("c", d))
+    own = placed.select("id", F.lit("core").alias("label"), "cluster", *_names("x", d))
+    if not others.limit(1).count():
+        return own
+    probes = _neighbours(_renamed(others, d, ["id"], x="a", c="c"), d, reach).drop(*_names("c", d))
+    probes = probes.join(_listed(_renamed(named, d, c="t")), _names("t", d))  # cells with a core point
     border = _hits(probes, placed, d, side, eps2, [F.min("cluster").alias("cluster")], ["cluster"]).groupBy("id").agg(F.min("cluster").alias("cluster"))
-    rest = pts.where(~F.col("core")).select("id").join(border, "id", "left") \
-        .select("id", F.when(F.col("cluster").isNotNull(), F.lit("border")).otherwise(F.lit("noise")).alias("label"), "cluster")
+    rest = others.select("id", *_names("x", d)).join(border, "id", "left") \
+        .select("id", F.when(F.col("cluster").isNotNull(), F.lit("border")).otherwise(F.lit("noise")).alias("label"), "cluster", *_names("x", d))
     return own.unionByName(rest)
 
 
+def dbscan(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int = 10) -> DataFrame:
+    """(id, label, cluster) with label core, border or noise.  A cluster is named by its smallest core id; a border point
+    belongs to the smallest cluster with a core point within eps, noise to none.  Ids are unique and coordinates not null."""
+    return placed_dbscan(points, id_col, cols, eps, min_samples).select("id", "label", "cluster")
+
+
 def density_labels(points: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samples: int = 10) -> DataFrame:
     """(id, label) with label in {'core', 'border', 'noise'}."""
     return dbscan(points, id_col, cols, eps, min_samples).select("id", "label")
