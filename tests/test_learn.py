@@ -187,3 +187,44 @@ def test_folds_of_trees_in_few_partitions(spark, planted, monkeypatch):
     monkeypatch.setattr(L, "ROWS_PER_PARTITION", 10)
     with L.fold_frames(planted, FEATURES) as folds:
         assert all(f.train.rdd.getNumPartitions() == 1 for f in folds)
+
+
+def test_boosted_trees_equal_mllibs(planted):
+    noisy = planted.withColumn("label", F.when(unit_hash("customer_id", seed="f") < 0.2, 1 - F.col("label")).otherwise(F.col("label")))
+    params = {"maxIter": 6, "maxDepth": 3, "minInstancesPerNode": 5}
+    prep = L.preprocessing(noisy, FEATURES)
+    tables = [L.vectors(prep, noisy.where(f"fold <> {i}"), 300) for i in (0, 1)]
+    sizes = [x.count() for x in tables]
+    y = L.vectors(prep, noisy, 403)
+    for x, n, model in zip(tables, sizes, L.fit_boosted(tables, sizes, params)):
+        own = L.classifier("gradient_boosting", params, n).fit(x)
+        assert [int((t.left >= 0).sum()) * 2 + 1 for t in model.trees] == [t.numNodes for t in own.trees]
+        p = lambda m: [tuple(r) for r in m.transform(y).select(vector_to_array("probability")[1], "prediction").collect()]
+        assert np.allclose(p(model), p(own), atol=1e-12)
+
+
+def test_boosting_passes_do_not_grow_with_tables_or_partitions(spark, planted):
+    def passes(tables):
+        group = f"boost-{len(tables)}-{tables[0].rdd.getNumPartitions()}"
+        sizes = [x.count() for x in tables]
+        spark.sparkContext.setJobGroup(group, group)
+        L.fit_boosted(tables, sizes, {"maxIter": 2, "maxDepth": 2})
+        tracker = spark.sparkContext.statusTracker()
+        jobs = tracker.getJobIdsForGroup(group)
+        stages = [s for j in jobs for s in tracker.getJobInfo(j).stageIds]
+        return len(jobs), max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s))
+    prep = L.preprocessing(planted, FEATURES)
+    x = L.vectors(prep, planted, 403)
+    many = prep.transform(planted).select("label", "features").repartition(6).cache()
+    one, four, cut = passes([x]), passes([x] * 4), passes([many])
+    assert four[0] - one[0] <= 3    # the thresholds of a table are one job, its trees none
+    assert cut[0] == one[0] and cut[1] <= 6
+
+
+def test_cross_validation_of_boosting_equals_separate_fits(planted):
+    params = {"maxIter": 3, "maxDepth": 2}
+    with L.fold_frames(planted, FEATURES) as folds:
+        got, = L.cross_validate(folds, "gradient_boosting", [params])
+        for f, score in list(zip(folds, got))[:2]:
+            model = L.classifier("gradient_boosting", params, f.n).fit(f.train)
+            assert score == pytest.approx(E.metrics(model.transform(f.valid)).first()["f1"])

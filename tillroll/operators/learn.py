@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import unit_hash
 from ..functions.quantiles import quantiles
 from ..session import PARALLELISM, in_parallel, materialize
+from . import boosting
 from . import evaluate as E
 from . import forests
 
@@ -168,6 +169,11 @@ def fit_forest(x: DataFrame, params: dict, n: int, seed: int = 42, parallelism:
     return ForestParts(in_parallel(x.sparkSession, one, range(count), parallelism))
 
 
+def fit_boosted(frames: Sequence[DataFrame], sizes: Sequence[int], params: dict, seed: int = 42) -> list[boosting.Boosted]:
+    """Gradient-boosted trees with ``params`` over their defaults on each of the cached tables, grown in the same passes."""
+    return boosting.fit(frames, sizes, seed=seed, bins=MAX_BINS, **DEFAULTS["gradient_boosting"] | params)
+
+
 @dataclass
 class Fold:
     train: DataFrame
@@ -232,6 +238,13 @@ def cross_validate(folds: list[Fold], name: str, points: Sequence[dict],
         params, f = job
         model = classifier(name, params, f.n).fit(f.train)
         return E.metrics(model.transform(f.valid)).first()["f1"]
+    if name == "gradient_boosting":  # the folds of a point share their passes
+        scores = []
+        for p in points:
+            models = fit_boosted([f.train for f in folds], [f.n for f in folds], p)
+            scores.append(in_parallel(spark, lambda mf: E.metrics(mf[0].transform(mf[1].valid)).first()["f1"],
+                                      list(zip(models, folds)), parallelism))
+        return scores
     flat = in_parallel(spark, one, [(p, f) for p in points for f in folds], parallelism)
     return [flat[i:i + len(folds)] for i in range(0, len(flat), len(folds))]
 
@@ -254,7 +267,10 @@ def fit_with(train: DataFrame, name: str, params: dict, features: Sequence[str]
     prep = preprocessing(train, features, one_hot)
     x = vectors(prep, train, n, TREE_ROWS_PER_PARTITION if name in NESTED_MODELS else ROWS_PER_PARTITION)
     try:
-        model = fit_forest(x, params, n, parallelism=parallelism) if name == "random_forest" else classifier(name, params, n).fit(x)
+        if name == "gradient_boosting":
+            model, = fit_boosted([x], [n], params)
+        else:
+            model = fit_forest(x, params, n, parallelism=parallelism) if name == "random_forest" else classifier(name, params, n).fit(x)
         return PipelineModel(prep.stages + [model])
     finally:
         x.unpersist()
