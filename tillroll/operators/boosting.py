@@ -53,7 +53,7 @@ def reached(nodes: Nodes, x: np.ndarray) -> np.ndarray:
     rows = np.arange(x.shape[1]) if left[0] >= 0 else node[:0]
     while len(rows):
         at = node if len(rows) == len(node) else node[rows]
-        at = left[at] + (x[feature[at], rows] > cut[at])
+        at = left[at] + ~(x[feature[at], rows] <= cut[at])  # NaN goes right, as into the last bin
         if len(rows) == len(node):
             node = at
         else:
@@ -232,7 +232,7 @@ class Boosted(Transformer):
         @F.pandas_udf("double")
         def margin(x: pd.Series) -> pd.Series:
             return pd.Series(margins(np.stack(x.to_numpy()), trees, weights) if len(x) else np.zeros(0))
-        p = 1 / (1 + F.exp(-2 * F.col("_margin")))
+        p = 1 - 1 / (1 + F.exp(2 * F.col("_margin")))  # MLlib's order, with its ties
         return df.withColumn("_margin", margin(vector_to_array("features"))).select(
             *df.columns, array_to_vector(F.array(-F.col("_margin"), "_margin")).alias("rawPrediction"),
             array_to_vector(F.array(1 - p, p)).alias("probability"),
