@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 START_ROWS = 5_000
 #: Cells of rows x centres that are compared at once.
 CELLS = 1 << 21
+#: Sums of so many (task, centre) pairs at most are added up by the driver, more of them by a shuffle in between.
+GATHERED = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -86,17 +88,29 @@ def _sums(df: DataFrame, tables: Sequence[str], weights: str | None, width: int,
                 xs = {t: _matrix(part.column(i)) for i, t in enumerate(tables)}
                 for config, values in work(xs, _matrix(part.column(len(tables))) if weights else None):
                     total[config] = total[config] + values if config in total else values
+        if few:  # a row for each configuration
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*total], pa.int32()), pa.array([v.astype(float).tobytes() for v in total.values()], pa.binary())],
+                ["config", "value"])
+            return
         for config, values in total.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(values), config, np.int32)), pa.array(np.arange(len(values), dtype=np.int32)),
                  pa.array(values.astype(float))], ["config", "slot", "value"])
 
+    few = df.rdd.getNumPartitions() * width <= GATHERED
+    if few:
+        out: dict[int, np.ndarray] = {}
+        for r in df.select(*columns).mapInArrow(run, "config int, value binary").collect():  # in the order of the tasks
+            values = np.frombuffer(r["value"])
+            out[r["config"]] = out[r["config"]] + values if r["config"] in out else values
+        return out
     found = df.select(*columns).mapInArrow(run, "config int, slot int, value double") \
         .groupBy("config", "slot").agg(F.sum("value").alias("value")).collect()
-    out: dict[int, list[float]] = {}
+    lists: dict[int, list[float]] = {}
     for r in sorted(found):  # a few numbers for each configuration and cluster
-        out.setdefault(r["config"], []).append(r["value"])
-    return {c: np.array(v) for c, v in out.items()}
+        lists.setdefault(r["config"], []).append(r["value"])
+    return {c: np.array(v) for c, v in lists.items()}
 
 
 def _distances(xs: dict, fits: dict[int, Fit]):
