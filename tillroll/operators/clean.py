@@ -70,9 +70,11 @@ def iqr_fences(df: DataFrame, col: str, factor: float = 1.5) -> DataFrame:
                     (F.col("q3") + factor * (F.col("q3") - F.col("q1"))).alias("upper"))
 
 
-def iqr_filter(df: DataFrame, col: str, factor: float = 1.5) -> DataFrame:
-    """Keep lower <= x <= upper (both inclusive)."""
+def iqr_filter(df: DataFrame, col: str, factor: float = 1.5, checkpoint: bool = False) -> DataFrame:
+    """Keep lower <= x <= upper (both inclusive); with ``checkpoint`` the fence is computed once."""
     f = iqr_fences(df, col, factor).select("lower", "upper")
+    if checkpoint:
+        f = materialize(f)
     x = F.col(col).cast("double")
     return df.crossJoin(F.broadcast(f)).where(x.between(F.col("lower"), F.col("upper"))).drop("lower", "upper")
 
@@ -86,8 +88,9 @@ def clean_lines(raw: DataFrame, formats: Sequence[str], key: str = "customer_id"
 
     The IQR fence needs several passes over its input (sketch, bracket,
     filter) and the cleaned table feeds many later steps, so with
-    ``checkpoint`` both are materialised once in the shared checkpoint folder
-    instead of recomputing the scan, joins and dedupe shuffle per pass.
+    ``checkpoint`` its input is materialised once in the shared checkpoint folder
+    instead of recomputing the scan, joins and dedupe shuffle per pass, and so is
+    the fence; the cleaned table is a filter over the two and not written again.
     """
     df = dedupe(drop_null_keys(raw, key))
     df = (df.withColumn(key, normalise_key(key))
@@ -98,8 +101,7 @@ def clean_lines(raw: DataFrame, formats: Sequence[str], key: str = "customer_id"
         return df
     if checkpoint:
         df = materialize(df)
-    out = iqr_filter(df, iqr_col, factor)
-    return materialize(out) if checkpoint else out
+    return iqr_filter(df, iqr_col, factor, checkpoint)
 
 
 def cleaning_funnel(raw: DataFrame, formats: Sequence[str], key: str = "customer_id",

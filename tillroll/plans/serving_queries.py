@@ -371,14 +371,14 @@ def v04_row_position(t):
     are exchanged; the line numbers come from reading the three files back."""
     c, a = adapted(t)
     base, key = files.artefact_dir(t.spark, "positions"), ["line_id", "customer_id"]
-    a = materialize(a.select(*key))
-    ends = a.agg(F.min("line_id").alias("first"), F.max("line_id").alias("last"))
+    a = a.select(*key)  # row by row from the cleaned lines, which are written
+    ends = materialize(a.agg(F.min("line_id").alias("first"), F.max("line_id").alias("last")))
     exchanged = a.crossJoin(F.broadcast(ends)).orderBy(
         F.when(F.col("line_id") == F.col("first"), 2).when(F.col("line_id") == F.col("last"), 0).otherwise(1), "line_id")
     paths = [files.write_csv(df.select(*key), f"{base}/{name}") for name, df in (
         ("cleaned", c.orderBy("line_id")), ("adapted", a.orderBy("line_id")), ("swapped", exchanged))]
     schema = T.StructType([T.StructField(k, T.StringType()) for k in key])
-    lines = materialize(files.read_numbered_csv(t.spark, paths, schema))
+    lines = files.read_numbered_csv(t.spark, paths, schema)  # written once by itself
     one = lambda name: lines.where(F.col("_source") == name)
 
     def compared(name):

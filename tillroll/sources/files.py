@@ -62,7 +62,9 @@ def read_numbered_csv(spark: SparkSession, paths: Sequence[str], schema: T.Struc
     scan = read_csv(spark, paths, schema, encoding)
     kept = scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
                        F.monotonically_increasing_id().alias("_seq"))
-    kept = read_artefact(spark, write_artefact(kept, artefact_dir(spark, "numbered")))
+    path = artefact_dir(spark, "numbered")
+    kept.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    kept = read_artefact(spark, path)
     blocks = kept.groupBy("_source", "_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
     before = lambda n, w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     whole = blocks.groupBy("_source", "_file").agg(F.sum("_n").alias("_rows"))
