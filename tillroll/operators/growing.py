@@ -126,21 +126,21 @@ def no_splits(k: int) -> Splits:
 
 def put(best: Splits, nodes, spec: Spec, node, tried, bins, left_rows, left_positive, whole, rows, positive) -> None:
     """Enter the best of some splits (in the order of their nodes) where it is better than before; the first of equals."""
-    t = rows[node]
+    t = rows.take(node)
     right_rows = t - left_rows
     if spec.least > 1:
         ok = np.flatnonzero((left_rows >= spec.least) & (right_rows >= spec.least))
         node, tried, bins, left_rows, left_positive, right_rows, t = (a[ok] for a in (node, tried, bins, left_rows, left_positive, right_rows, t))
     if not len(node):
         return
-    right_positive = positive[node] - left_positive
-    gain = whole[node] - left_rows / t * impurity_of(spec.impurity, left_rows, left_positive)
+    right_positive = positive.take(node) - left_positive
+    gain = whole.take(node) - left_rows / t * impurity_of(spec.impurity, left_rows, left_positive)
     gain -= right_rows / t * impurity_of(spec.impurity, right_rows, right_positive)
     starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
     most = np.zeros(len(rows))
     most[node[starts]] = np.maximum.reduceat(gain, starts)
     most[most <= best[0][nodes]] = np.inf
-    top = np.flatnonzero(gain == most[node])
+    top = np.flatnonzero(gain == most.take(node))
     own, first = np.unique(node[top], return_index=True)
     i, at = top[first], nodes[own]
     for to, of in zip(best, (gain, tried, bins, left_rows, left_positive)):
@@ -151,9 +151,9 @@ def large_splits(best: Splits, nodes, spec: Spec, flat, m, rows, size, tried, va
     """The best splits of ``nodes``, whose rows are summed by bin."""
     k = len(size)
     node = np.repeat(np.arange(k), size)
-    val, base = val[rows], node * MAX_BINS
+    val, base = val.take(rows), node * MAX_BINS
     for j in range(tried.shape[1]):
-        sums = np.bincount(base + flat[(tried[:, j] * m)[node] + rows], val, k * MAX_BINS).reshape(k, MAX_BINS)
+        sums = np.bincount(flat.take((tried[:, j] * m).take(node) + rows) + base, val, k * MAX_BINS).reshape(k, MAX_BINS)
         positive = np.floor(sums / POSITIVE)
         left = np.cumsum(sums - positive * POSITIVE, axis=1)
         at = np.flatnonzero((sums > 0) & (left < left[:, -1:]))  # something lies in the bin, and right of it
@@ -166,9 +166,9 @@ def small_splits(best: Splits, nodes, spec: Spec, flat, m, rows, size, tried, co
     k, q = tried.shape
     kind = np.int32 if bits <= 6 and k * q <= 1 << 18 else np.int64
     node = np.repeat(np.arange(k), size)
-    code, key = code[rows], np.empty((q, len(rows)), kind)
+    code, key = code.take(rows), np.empty((q, len(rows)), kind)
     for j in range(q):
-        key[j] = (node * q + j) << (7 + bits) | flat[(tried[:, j] * m)[node] + rows].astype(np.int64) << bits | code
+        key[j] = (node * q + j) << (7 + bits) | flat.take((tried[:, j] * m).take(node) + rows).astype(np.int64) << bits | code
     key = key.ravel()
     key.sort()
     weight = (key & ((1 << bits) - 1)) >> 1
@@ -177,10 +177,10 @@ def small_splits(best: Splits, nodes, spec: Spec, flat, m, rows, size, tried, co
     other = key[1:] ^ key[:-1]
     at = np.flatnonzero((other > 0) & (other < MAX_BINS))  # the bin is another, node and feature are not
     ends = np.cumsum(np.repeat(size, q))[:-1] - 1
-    key = key[at]
+    key = key.take(at)
     group = key >> 7
-    left = left[at] - np.r_[0, left[ends]][group]
-    positive = positive[at] - np.r_[0, positive[ends]][group]
+    left = left.take(at) - np.r_[0, left[ends]].take(group)
+    positive = positive.take(at) - np.r_[0, positive[ends]].take(group)
     node = group // q
     put(best, nodes, spec, node, tried[node, group - node * q], key & 127, left.astype(float), positive.astype(float), *own)
 
@@ -243,16 +243,16 @@ def grow(x: np.ndarray, y: np.ndarray, spec: Spec, rng: np.random.Generator) ->
         goes = may_split(total, positive, len(levels) - 1)
         open_ = np.flatnonzero(goes)
         node = np.repeat(np.arange(k), size)
-        right = flat[(found[1] * m)[node] + rows] > found[2][node]
-        child = 2 * (np.cumsum(split) - 1)[node] + right
-        keep = goes[child] & split[node]
+        right = flat.take((found[1] * m).take(node) + rows) > found[2].take(node)
+        child = 2 * (np.cumsum(split) - 1).take(node) + right
+        keep = goes.take(child, mode="wrap") & split.take(node)
         place = np.cumsum(goes) - 1
         size = np.bincount(place[child[keep]], minlength=len(open_))
         begin = np.cumsum(size) - size
         moved = np.empty(int(size.sum()), int)
         for side in (keep & ~right, keep & right):  # the rows of one side already stand in the order of their nodes
             at = np.flatnonzero(side)
-            own = place[child[at]]
+            own = place.take(child.take(at))
             first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(at) else at
             moved[np.repeat(begin[own[first]] - first, np.diff(np.r_[first, len(at)])) + np.arange(len(at))] = rows[at]
         rows = moved
@@ -269,15 +269,15 @@ def down(feature, cut, left, x: np.ndarray, leaves: Sequence[np.ndarray]) -> Ite
     n, flat = x.shape[1], x.ravel()
     node, at_row = np.zeros(n, int), feature.astype(np.int64) * n
     for leaf in leaves:
-        rows = np.flatnonzero(~leaf[node])
-        at = node[rows]
+        rows = np.flatnonzero(~leaf.take(node))
+        at = node.take(rows)
         while len(rows):
-            at = left[at] + (flat[at_row[at] + rows] > cut[at])
-            ends = leaf[at]
+            at = left.take(at) + (flat.take(at_row.take(at) + rows) > cut.take(at))
+            ends = leaf.take(at)
             if ends.any():
                 node[rows[ends]] = at[ends]
                 on = np.flatnonzero(~ends)
-                rows, at = rows[on], at[on]
+                rows, at = rows.take(on), at.take(on)
         yield node
 
 
@@ -459,10 +459,15 @@ class Grown(Transformer):
 
 def shares(trees: Sequence[tuple], x: np.ndarray) -> np.ndarray:
     """The sum over the trees of the share of the leaf that each row reaches."""
-    out = np.zeros(x.shape[1])
+    n, flat = x.shape[1], x.ravel()
+    rows, out = np.arange(n), np.zeros(n)
     for feature, cut, left, share in trees:
-        for node in down(feature, cut, left, x, [left < 0]):
-            out += share[node]
+        leaf = left < 0
+        to = np.where(leaf, np.arange(len(left)), left)  # a row stays in its leaf
+        most, at_row, at = np.where(leaf, 255, cut).astype(np.uint8), feature.astype(np.int64) * n, np.zeros(n, int)
+        while not leaf.take(at).all():
+            at = to.take(at) + (flat.take(at_row.take(at) + rows) > most.take(at))
+        out += share.take(at)
     return out
 
 
